@@ -1,0 +1,140 @@
+import datetime as dt
+import json
+
+import pytest
+from games import expected, game, lines
+
+from pitchflow.plans.games import normalise_game, season_games, season_pbp, sort_plays
+from pitchflow.schemas import PBP
+from pitchflow.sources.feeds import parse_feed, read_feed, read_schedule
+from pitchflow.sources.tables import read_pbp, write_pbp
+
+
+def docs_df(spark, docs):
+    return parse_feed(spark.createDataFrame([(t,) for t in lines(docs)], "value STRING"))
+
+
+def key(rows, names):
+    return sorted((tuple((r[n] is None, r[n]) for n in names) for r in rows), key=repr)
+
+
+@pytest.mark.parametrize("attach", ["reference", "parent"])
+@pytest.mark.parametrize("clean", [True, False])
+def test_normalise_matches_brute_force(spark, attach, clean):
+    docs = [game(pk, seed=3, clean=clean) for pk in range(1, 7)]
+    got = [r.asDict() for r in normalise_game(docs_df(spark, docs), attach).collect()]
+    want = [row for d in docs for row in expected(d, attach)]
+    assert key(got, want[0].keys()) == key(want, want[0].keys())
+    assert list(got[0]) == list(PBP)
+
+
+def test_attach_modes_agree_on_clean_games(spark):
+    feed = docs_df(spark, [game(pk, clean=True) for pk in range(4)])
+    a, b = (normalise_game(feed, m).collect() for m in ("reference", "parent"))
+    assert key([r.asDict() for r in a], PBP) == key([r.asDict() for r in b], PBP)
+
+
+def test_repeated_document_stays_one_game_each(spark):
+    doc = game(5, seed=1)
+    once = normalise_game(docs_df(spark, [doc])).count()
+    assert normalise_game(docs_df(spark, [doc, doc])).count() == 2 * once == 2 * len(expected(doc))
+
+
+def test_flag_ignoring_nulls(spark):
+    feed = docs_df(spark, [game(2, seed=5)])
+    for attach in ("reference", "parent"):
+        rows = normalise_game(feed, attach, flag_nulls="ignore").collect()
+        assert all((r["last.pitch.of.ab"] is None) == (r["pitchNumber"] is None) for r in rows)
+
+
+def test_order(spark):
+    rows = normalise_game(docs_df(spark, [game(1), game(2)]), ordered=True).collect()
+    low = 10**9
+    keys = [(r.game_pk, -(r.atBatIndex if r.atBatIndex is not None else -low),
+             -(r.pitchNumber if r.pitchNumber is not None else -low), r.event_pos) for r in rows]
+    assert keys == sorted(keys)
+
+
+def test_broken_documents_are_kept_apart(spark, tmp_path):
+    texts = lines([game(1), game(2)]) + [lines([game(3)])[0][:-40], json.dumps({**game(4), "game_pk": None})]
+    wrong_type = game(6)
+    wrong_type["liveData"]["plays"]["allPlays"][0]["count"]["balls"] = "many"
+    (tmp_path / "feed.jsonl").write_text("\n".join([*texts, json.dumps(wrong_type)]))
+    good, bad = read_feed(spark, str(tmp_path), errors="split")
+    assert sorted(r.game_pk for r in good.collect()) == [1, 2]
+    assert bad.count() == 3
+    assert bad.select("document").where("document is not null").count() == 2
+    kept = read_feed(spark, str(tmp_path), errors="keep")
+    assert {(r.status, r["count"]) for r in kept.groupBy("status").count().collect()} == {("ok", 2), ("error", 3)}
+    assert read_feed(spark, str(tmp_path)).count() == 2
+
+
+def test_documents_are_parsed_once(spark):
+    feed = docs_df(spark, [game(1)])
+    for attach in ("reference", "parent"):
+        plan = normalise_game(feed, attach)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("from_json") <= 1, plan
+
+
+def test_plans_shuffle_once_or_never(spark):
+    feed = docs_df(spark, [game(1)])
+
+    def exchanges(df):
+        return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+    assert exchanges(normalise_game(feed, "parent")) == 0
+    assert exchanges(normalise_game(feed, "reference")) == 1
+    text = normalise_game(feed)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in text
+
+
+def season_inputs(spark, tmp_path):
+    docs = [game(pk, seed=2) for pk in range(1, 9)]
+    (tmp_path / "feed").mkdir()
+    (tmp_path / "feed" / "a.jsonl").write_text("\n".join(lines(docs)))
+    (tmp_path / "sched").mkdir()
+    schedule = {"dates": [
+        {"date": "2020-07-24", "games": [{"gamePk": 1, "status": {"abstractGameState": "Final"}},
+                                         {"gamePk": 2, "status": {"abstractGameState": "Final"}}]},
+        {"date": "2020-07-25", "games": [{"gamePk": 2, "status": {"abstractGameState": "Final"}}]},
+        {"date": "2020-08-01", "games": [{"gamePk": 3, "status": {"abstractGameState": "Final"}}]},
+        {"date": "2020-12-01", "games": [{"gamePk": 4, "status": {"abstractGameState": "Final"}}]},
+    ]}
+    (tmp_path / "sched" / "s.json").write_text(json.dumps(schedule))
+    days = ["2020-07-24", "2020-07-24", "2020-07-25", "2020-08-01", "2020-12-01", None]
+    pitches = spark.createDataFrame([(d and dt.date.fromisoformat(d),) for d in days], "game_date DATE")
+    return docs, read_feed(spark, str(tmp_path / "feed")), read_schedule(spark, str(tmp_path / "sched")), pitches
+
+
+def test_season(spark, tmp_path):
+    docs, feed, schedule, pitches = season_inputs(spark, tmp_path)
+    first, last = dt.date(2020, 7, 24), dt.date(2020, 8, 1)
+    ids = season_games(pitches, schedule, first, last)
+    assert sorted(r.game_pk for r in ids.collect()) == [1, 2, 3]
+    assert sorted(r.game_pk for r in season_games(pitches, schedule, first, last, dedupe=False).collect()) == [1, 2, 2, 3]
+    size = {d["game_pk"]: len(expected(d)) for d in docs}
+
+    pbp = season_pbp(feed, pitches, schedule, first, last, exclude=[3])
+    assert pbp.count() == size[1] + size[2]
+    twice = season_pbp(feed, pitches, schedule, first, last, dedupe=False)
+    assert twice.count() == size[1] + 2 * size[2] + size[3]
+
+    write_pbp(pbp, str(tmp_path / "out"))
+    back = read_pbp(spark, str(tmp_path / "out"))
+    assert dict(back.dtypes) == {n: t.lower() for n, t in PBP.items()}
+    names = list(PBP)
+    assert key([r.asDict() for r in back.collect()], names) == key([r.asDict() for r in pbp.collect()], names)
+    assert sort_plays(back).first().game_pk == 1
+
+
+def test_streamed_folder_equals_batch(spark, tmp_path):
+    from pitchflow.streaming.landing import follow_feeds
+
+    landing, table, state = (str(tmp_path / n) for n in ("landing", "table", "state"))
+    (tmp_path / "landing").mkdir()
+    for run, pks in enumerate(([1, 2], [3])):
+        (tmp_path / "landing" / f"{run}.jsonl").write_text("\n".join(lines([game(pk) for pk in pks])))
+        follow_feeds(spark, landing, table, state).awaitTermination()
+    got = spark.read.parquet(table)
+    assert got.count() == sum(len(expected(game(pk))) for pk in (1, 2, 3))
+    assert got.select("batch").distinct().count() == 2
