@@ -99,12 +99,12 @@ _NAMES = ", ".join(flat_name(n) for n in PBP)
 
 @query("game_pbp_reference", f"WITH {SQL_PBP['reference']} SELECT {_NAMES} FROM pbp")
 def game_pbp_reference(t: Tables):
-    return undotted(normalise_game(parse_feed(feed_texts(t.events)), "reference"))
+    return undotted(normalise_game(parse_feed(feed_texts(t.events)), "reference", doc_keys=["game_pk"]))
 
 
 @query("game_pbp_parent", f"WITH {SQL_PBP['parent']} SELECT {_NAMES} FROM pbp")
 def game_pbp_parent(t: Tables):
-    return undotted(normalise_game(parse_feed(feed_texts(t.events)), "parent"))
+    return undotted(normalise_game(parse_feed(feed_texts(t.events)), "parent", doc_keys=["game_pk"]))
 
 
 @query(
@@ -115,7 +115,7 @@ SELECT matchup_pitcher_id AS pitcher, CASE WHEN count(*) = count(matchup_pitcher
 FROM pbp WHERE pitchData_typeConfidence >= 0.5 AND type = 'pitch' AND details_type_code IS NOT NULL GROUP BY 1""",
 )
 def pbp_pitcher_tendencies(t: Tables):
-    return pitcher_tendencies(normalise_game(parse_feed(feed_texts(t.events)), "reference"))
+    return pitcher_tendencies(normalise_game(parse_feed(feed_texts(t.events)), "reference", doc_keys=["game_pk"]))
 
 
 @query(
@@ -251,7 +251,7 @@ def summary(t: Tables):
 )
 def season(t: Tables):
     feed = parse_feed(feed_texts(t.events))
-    return undotted(season_pbp(feed, _pitches(t), _schedule(t), FIRST, LAST, EXCLUDED))
+    return undotted(season_pbp(feed, _pitches(t), _schedule(t), FIRST, LAST, EXCLUDED, doc_keys=["game_pk"]))
 
 
 @query(
@@ -261,4 +261,7 @@ def season(t: Tables):
 )
 def season_repeated(t: Tables):
     feed = parse_feed(feed_texts(t.events))
-    return undotted(season_pbp(feed, _pitches(t), _schedule(t), FIRST, LAST, EXCLUDED, dedupe=False, attach="parent"))
+    pbp = season_pbp(
+        feed, _pitches(t), _schedule(t), FIRST, LAST, EXCLUDED, dedupe=False, attach="parent", doc_keys=["game_pk"]
+    )
+    return undotted(pbp)

@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitchflow.schemas import q
+from pitchflow.schemas import CORRUPT, q
+from pitchflow.sources.feeds import parse_documents
 
 # Pitch-type codes by the event's k; UN is in no bucket, the last has none.
 _CODES = ["FF", "SI", "SL", "CH", "CU", "FC", "FT", "FO", "EP", "KN", "FS", "KC", "SC", "CS", "UN", "FF", "SL", "FF"]
@@ -87,13 +88,13 @@ def flat_name(name: str) -> str:
 
 
 def undotted(df: DataFrame) -> DataFrame:
-    return df.select(*[F.col(q(n)).alias(flat_name(n)) for n in df.columns])
+    return df.toDF(*[flat_name(n) for n in df.columns])
 
 
 def raw_events(events: DataFrame) -> DataFrame:
-    return events.select(
-        "event_id", "ts", "user_id", "event_type", "value",
-        F.get_json_object("props", "$.k").cast("int").alias("k"),
+    parsed = parse_documents(events, "props", "k INT", ("event_id", "ts", "user_id", "event_type", "value"))
+    return parsed.drop(CORRUPT).select(
+        "*",
         F.expr("event_id div 240").alias("game_pk"),
         F.expr("cast(event_id % 240 as int)").alias("event_pos"),
         F.expr("cast(event_id % 240 div 6 as int)").alias("ab"),
@@ -102,75 +103,61 @@ def raw_events(events: DataFrame) -> DataFrame:
 
 def plays(events: DataFrame) -> DataFrame:
     """One play-by-play row per event, at-bat fields from the event's own at-bat; no shuffle."""
-    return raw_events(events).select(
-        "game_pk", "event_pos", F.col("ab").alias("atBatIndex"),
-        *[F.expr(s).alias(n) for n, (s, _) in (_EVENT | _AT_BAT).items()],
+    return raw_events(events).selectExpr(
+        "game_pk", "event_pos", "ab AS atBatIndex", *[f"{s} AS {q(n)}" for n, (s, _) in (_EVENT | _AT_BAT).items()]
     )
 
 
 def game_documents(events: DataFrame) -> DataFrame:
     """Game documents in the landed shape, as struct columns."""
-    rows = raw_events(events).select(
-        "game_pk", "ts", F.struct("event_id", "ab", *[F.expr(s).alias(flat_name(n)) for n, (s, _) in _EVENT.items()]).alias("x")
-    )
-    games = rows.groupBy("game_pk").agg(
-        F.sort_array(F.collect_list("x")).alias("xs"), F.date_format(F.min("ts"), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("start")
-    )
-    at_bats = games.select(
-        "game_pk", "start", "xs", F.array_distinct(F.transform("xs", lambda x: x["ab"])).alias("abs")
-    )
-
-    def event(x):
-        f = lambda n: x[flat_name(n)]
-        return F.struct(
-            f("type").alias("type"), f("pitchNumber").alias("pitchNumber"), f("endTime").alias("endTime"),
-            F.struct(*[f(f"count.{n}.start").alias(n) for n in ("balls", "strikes", "outs")]).alias("count"),
-            F.struct(
-                *[f(f"details.{n}").alias(n) for n in ("code", "isStrike", "isBall", "isInPlay")],
-                F.struct(*[f(f"details.type.{n}").alias(n) for n in ("code", "description")]).alias("type"),
-                F.struct(f("details.call.description").alias("description")).alias("call"),
-            ).alias("details"),
-            F.struct(f("pitchData.typeConfidence").alias("typeConfidence")).alias("pitchData"),
-        )
-
-    # One row per at-bat would need a second shuffle; the document is assembled in place.
-    one = at_bats.select("game_pk", "start", F.posexplode("abs").alias("i", "ab"), "xs")
-    fields = {n: F.expr(s) for n, (s, _) in _AT_BAT.items()}
-    person = lambda who: F.struct(*[fields[f"matchup.{who}.{n}"].alias(n) for n in ("id", "fullName")])
-    play = F.struct(
-        F.col("i"), F.col("ab").alias("atBatIndex"), fields["playEndTime"].alias("playEndTime"),
-        F.struct(fields["result.event"].alias("event")).alias("result"),
-        F.struct(fields["about.halfInning"].alias("halfInning")).alias("about"),
-        F.struct(*[fields[f"count.{n}.end"].alias(n) for n in ("balls", "strikes", "outs")]).alias("count"),
-        F.struct(
-            person("batter").alias("batter"), person("pitcher").alias("pitcher"),
-            F.struct(fields["matchup.splits.menOnBase"].alias("menOnBase")).alias("splits"),
-        ).alias("matchup"),
-        F.transform(F.filter("xs", lambda x: x["ab"] == F.col("ab")), event).alias("playEvents"),
-    )
-    # The rows of a game still lie together here; 40 at-bats at most.
-    packed = one.select("game_pk", "start", play.alias("play")).groupBy("game_pk").agg(
-        F.first("start").alias("start"), F.sort_array(F.collect_list("play")).alias("allPlays")
-    )
-    team = lambda shift: F.struct(
-        F.expr(f"concat('Team ', (game_pk + {shift}) % 30)").alias("name"),
-        F.struct(F.lit(1).cast("long").alias("id"), F.lit("Major").alias("name")).alias("sport"),
-        F.struct(
-            F.expr(f"103 + (game_pk + {shift}) % 30 % 2").alias("id"),
-            F.expr(f"concat('League ', (game_pk + {shift}) % 30 % 2)").alias("name"),
-        ).alias("league"),
+    e = {n: s for n, (s, _) in _EVENT.items()}
+    a = {n: s for n, (s, _) in _AT_BAT.items()}
+    struct = lambda fields: "named_struct(" + ", ".join(f"'{n}', {s}" for n, s in fields.items()) + ")"
+    counts = lambda x, when: struct({n: x[f"count.{n}.{when}"] for n in ("balls", "strikes", "outs")})
+    event = struct({
+        "event_id": "event_id", "type": e["type"], "pitchNumber": e["pitchNumber"], "endTime": e["endTime"],
+        "count": counts(e, "start"),
+        "details": struct({
+            **{n: e[f"details.{n}"] for n in ("code", "isStrike", "isBall", "isInPlay")},
+            "type": struct({n: e[f"details.type.{n}"] for n in ("code", "description")}),
+            "call": struct({"description": e["details.call.description"]}),
+        }),
+        "pitchData": struct({"typeConfidence": e["pitchData.typeConfidence"]}),
+    })
+    person = lambda who: struct({n: a[f"matchup.{who}.{n}"] for n in ("id", "fullName")})
+    play = struct({
+        "atBatIndex": "ab", "playEndTime": a["playEndTime"], "result": struct({"event": a["result.event"]}),
+        "about": struct({"halfInning": a["about.halfInning"]}), "count": counts(a, "end"),
+        "matchup": struct({
+            "batter": person("batter"), "pitcher": person("pitcher"),
+            "splits": struct({"menOnBase": a["matchup.splits.menOnBase"]}),
+        }),
+        "playEvents": "xs",
+    })
+    team = lambda shift: struct({
+        "name": f"concat('Team ', (game_pk + {shift}) % 30)", "sport": struct({"id": "1L", "name": "'Major'"}),
+        "league": struct({
+            "id": f"103 + (game_pk + {shift}) % 30 % 2", "name": f"concat('League ', (game_pk + {shift}) % 30 % 2)",
+        }),
+    })
+    rows = raw_events(events).selectExpr("game_pk", "ab", "ts", f"{event} AS x")
+    # One shuffle by game serves both groupings; six rows and forty at-bats are the most a group has.
+    at_bats = rows.repartition("game_pk").groupBy("game_pk", "ab").agg(
+        F.expr("sort_array(collect_list(x)) AS xs"), F.min("ts").alias("start")
     )
-    return packed.select(
-        "game_pk",
-        F.struct(
-            F.struct(F.col("start").alias("dateTime")).alias("datetime"),
-            F.struct(F.expr("if(game_pk % 10 = 0, 'Live', 'Final')").alias("abstractGameState")).alias("status"),
-            F.struct(team(0).alias("home"), team(7).alias("away")).alias("teams"),
-        ).alias("gameData"),
-        F.struct(
-            F.struct("allPlays", F.struct(F.col("allPlays")[F.size("allPlays") - 1]["atBatIndex"].alias("atBatIndex")).alias("currentPlay")).alias("plays")
-        ).alias("liveData"),
+    games = at_bats.selectExpr("game_pk", "start", f"{play} AS play").groupBy("game_pk").agg(
+        F.expr("date_format(min(start), \"yyyy-MM-dd'T'HH:mm:ss'Z'\") AS start"),
+        F.expr("sort_array(collect_list(play)) AS plays"),
     )
+    game_data = struct({
+        "datetime": struct({"dateTime": "start"}),
+        "status": struct({"abstractGameState": "if(game_pk % 10 = 0, 'Live', 'Final')"}),
+        "teams": struct({"home": team(0), "away": team(7)}),
+    })
+    live = struct({"plays": struct({
+        "allPlays": "plays", "currentPlay": struct({"atBatIndex": "element_at(plays, -1).atBatIndex"}),
+    })})
+    return games.selectExpr("game_pk", f"{game_data} AS gameData", f"{live} AS liveData")
 
 
 def feed_texts(events: DataFrame, broken_every: int = 0) -> DataFrame:
@@ -183,7 +170,7 @@ def feed_texts(events: DataFrame, broken_every: int = 0) -> DataFrame:
 
 def schedule_documents(events: DataFrame) -> DataFrame:
     """Schedule documents of at most 16 games: every day an event of the game falls on."""
-    listed = raw_events(events).select(F.to_date("ts").cast("string").alias("date"), "game_pk").distinct()
+    listed = events.select(F.to_date("ts").cast("string").alias("date"), F.expr("event_id div 240").alias("game_pk")).distinct()
     status = F.struct(F.expr("if(game_pk % 10 = 0, 'Live', 'Final')").alias("abstractGameState")).alias("status")
     games = listed.groupBy("date", F.expr("game_pk div 16").alias("part")).agg(
         F.collect_list(F.struct(F.col("game_pk").alias("gamePk"), status)).alias("games")

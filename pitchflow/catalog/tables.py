@@ -45,7 +45,9 @@ def share_by_entity(t: Tables):
     f"SELECT user_id, max(event_type) AS last_type, count(*) AS events, {_EVENT_SHARES} FROM events GROUP BY user_id",
 )
 def share_with_label(t: Tables):
-    return share_profile(t.events, ["user_id"], _event_flags(), F.col("event_type"), "last_type", "events")
+    return share_profile(
+        t.events, ["user_id"], _event_flags(), F.col("event_type"), "last_type", "events", category=["event_type"]
+    )
 
 
 def _line_flags():

@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from pitchflow.functions.text import paste
+from pitchflow.schemas import q
 
 # The pitch-type codes of each bucket.
 BUCKETS: dict[str, tuple[str, ...]] = {
@@ -33,17 +34,18 @@ SINGLE_TYPES: dict[str, str] = {
 SHARE_NAMES: list[str] = [*BUCKETS, *SINGLE_TYPES]
 
 
-def code_flag(code: Column, *codes: str) -> Column:
-    """1 where ``code`` is one of ``codes``, else 0 (also where it is missing)."""
-    return F.when(code.isin(*codes), 1).otherwise(0)
+def code_flag(column: str, *codes: str) -> Column:
+    """1 where ``column`` holds one of ``codes``, else 0 (also where it is missing)."""
+    listed = ", ".join(f"'{code}'" for code in codes)
+    return F.expr(f"CASE WHEN {q(column)} IN ({listed}) THEN 1 ELSE 0 END")
 
 
 def null_flag(code: Column) -> Column:
     return code.isNull().cast("int")
 
 
-def bucket_flags(code: Column) -> dict[str, Column]:
-    """The 0/1 indicators behind the 17 share columns, by output name."""
+def bucket_flags(code: str) -> dict[str, Column]:
+    """The 0/1 indicators behind the 17 share columns, by output name, over the column ``code``."""
     flags = {name: code_flag(code, *codes) for name, codes in BUCKETS.items()}
     flags.update({name: code_flag(code, single) for name, single in SINGLE_TYPES.items()})
     return flags

@@ -79,4 +79,5 @@ def season_summary(pitches: DataFrame, ids: DataFrame, date_column: str = "game_
     """One row: game days, listed game ids, distinct game ids."""
     days = distinct_days(pitches, date_column).agg(F.count(F.lit(1)).alias("n_days"))
     games = ids.agg(F.count(F.lit(1)).alias("n_ids"), F.countDistinct("game_pk").alias("n_distinct_ids"))
-    return days.join(games, F.lit(True))
+    both = days.unionByName(games, allowMissingColumns=True)
+    return both.agg(*[F.max(n).alias(n) for n in both.columns])

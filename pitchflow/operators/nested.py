@@ -91,17 +91,22 @@ def class_table(df: DataFrame) -> DataFrame:
     return one_row.unpivot([], [c(n) for n in one_row.columns], "variable", "value")
 
 
-def game_meta(current: bool = False) -> dict[str, Column]:
-    """The scalars of a game document, by output name."""
-    out: dict[str, Column] = {}
+def _meta_paths() -> dict[str, str]:
+    out: dict[str, str] = {}
     for side in ("home", "away"):
         team = f"gameData.teams.{side}"
-        out[f"{side}_team"] = F.col(f"{team}.name")
+        out[f"{side}_team"] = f"{team}.name"
         for part, name in (("sport", "level"), ("league", "league")):
-            out[f"{side}_{name}_id"] = F.col(f"{team}.{part}.id")
-            out[f"{side}_{name}_name"] = F.col(f"{team}.{part}.name")
-    out["game_status"] = F.col("gameData.status.abstractGameState")
-    out["date_time"] = F.col("gameData.datetime.dateTime")
-    if current:
-        out["current_play"] = F.col("liveData.plays.currentPlay")
-    return out
+            out[f"{side}_{name}_id"] = f"{team}.{part}.id"
+            out[f"{side}_{name}_name"] = f"{team}.{part}.name"
+    return out | {"game_status": "gameData.status.abstractGameState", "date_time": "gameData.datetime.dateTime"}
+
+
+# Where the scalars of a game document stand, by output name.
+META_PATHS: dict[str, str] = _meta_paths()
+
+
+def game_meta(current: bool = False) -> dict[str, Column]:
+    """The scalars of a game document as columns, on request with the current play."""
+    paths = META_PATHS | ({"current_play": "liveData.plays.currentPlay"} if current else {})
+    return {name: F.col(path) for name, path in paths.items()}

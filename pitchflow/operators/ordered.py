@@ -24,15 +24,24 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from pitchflow.schemas import c
+from pitchflow.schemas import c, q
 
 MAX_ROWS = 5_000_000
 
 
-def _cols(names: Sequence[str]) -> list[Column]:
-    return [c(n) for n in names]
+def _list(names: Sequence[str]) -> str:
+    return ", ".join(q(n) for n in names)
+
+
+def _order(names: Sequence[str], first: str = "", how: str = "") -> str:
+    return ", ".join([*([first] if first else []), *[f"{q(n)} {how}".strip() for n in names]])
+
+
+SO_FAR = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+BEFORE = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+# Extra rows stand before all others of their segment.
+EDGE = "_edge DESC"
 
 
 def _split_large(df: DataFrame, keys: Sequence[str], segment: Column, max_rows: int, stats: Sequence[Column] = ()):
@@ -51,8 +60,16 @@ def _split_large(df: DataFrame, keys: Sequence[str], segment: Column, max_rows:
     )
 
 
-def _key_of(order: Sequence[str]) -> Column:
-    return c(order[0]) if len(order) == 1 else F.struct(*_cols(order))
+def _large(cut: DataFrame) -> DataFrame:
+    return cut.where("_seg IS NOT NULL")
+
+
+def _with_edges(cut: DataFrame, edges: DataFrame) -> DataFrame:
+    return cut.selectExpr("*", "false AS _edge").unionByName(edges.selectExpr("*", "true AS _edge"), allowMissingColumns=True)
+
+
+def _position(order: Sequence[str]) -> str:
+    return q(order[0]) if len(order) == 1 else f"struct({_list(order)})"
 
 
 def fill_up(
@@ -71,32 +88,24 @@ def fill_up(
     """
     names = df.columns
 
-    def filled(data: DataFrame, by: Sequence[str], first: Sequence[Column] = ()) -> DataFrame:
-        below = (
-            Window.partitionBy(*_cols(by))
-            .orderBy(*first, *[c(o).desc() for o in order])
-            .rowsBetween(Window.unboundedPreceding, 0)
-        )
-        values = [F.last(c(n), ignorenulls=True).over(below).alias(n) if n in columns else c(n) for n in names]
-        return data.select(*values, *[F.col(n) for n in data.columns if n == "_edge"])
+    def filled(data: DataFrame, by: Sequence[str], first: str = "") -> DataFrame:
+        below = f"(PARTITION BY {_list(by)} ORDER BY {_order(order, first, 'DESC')} {SO_FAR})"
+        values = [f"last({q(n)}, true) OVER {below} AS {q(n)}" if n in columns else q(n) for n in names]
+        return data.selectExpr(*values, *(["_edge"] if first else []))
 
     if segment is None:
         return filled(df, keys)
 
     cut = _split_large(df, keys, segment, max_rows)
-    at = _key_of(order)
-    tops = (
-        cut.where(F.col("_seg").isNotNull())
-        .groupBy(*_cols(keys), "_seg")
-        .agg(*[F.min_by(c(n), F.when(c(n).isNotNull(), at)).alias(n) for n in columns])
+    at = _position(order)
+    tops = _large(cut).groupBy(*[c(k) for k in keys], "_seg").agg(
+        *[F.expr(f"min_by({q(n)}, if({q(n)} IS NULL, NULL, {at}))").alias(n) for n in columns]
     )
-    later = Window.partitionBy(*_cols(keys)).orderBy(F.col("_seg").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    edges = tops.select(
-        *_cols(keys), "_seg", *[F.last(c(n), ignorenulls=True).over(later).alias(n) for n in columns],
-        F.lit(True).alias("_edge"),
+    later = f"(PARTITION BY {_list(keys)} ORDER BY _seg DESC {BEFORE})"
+    edges = tops.selectExpr(
+        *[q(k) for k in keys], "_seg", *[f"last({q(n)}, true) OVER {later} AS {q(n)}" for n in columns]
     )
-    rows = cut.withColumn("_edge", F.lit(False)).unionByName(edges, allowMissingColumns=True)
-    return filled(rows, [*keys, "_seg"], [F.col("_edge").desc()]).where(~F.col("_edge")).drop("_edge")
+    return filled(_with_edges(cut, edges), [*keys, "_seg"], EDGE).where("NOT _edge").drop("_edge")
 
 
 def last_of_group_flag(
@@ -115,21 +124,18 @@ def last_of_group_flag(
     """
     if nulls not in ("propagate", "ignore"):
         raise ValueError("nulls must be 'propagate' or 'ignore'")
-    names = df.columns
-    missing, top = F.max(c(column).isNull()), F.max(c(column))
-    if segment is None:
-        by = Window.partitionBy(*_cols(keys))
-        data, missing, top = df, missing.over(by), top.over(by)
-    else:
+    value, data, by = q(column), df, _list(keys)
+    if segment is not None:
         # Large groups take their maximum from the broadcast statistics.
-        data = _split_large(df, keys, segment, max_rows, [missing.alias("_missing"), top.alias("_top")])
-        by = Window.partitionBy(*_cols(keys), F.col("_seg"))
-        missing = F.when(F.col("_seg").isNotNull(), F.col("_missing")).otherwise(missing.over(by))
-        top = F.when(F.col("_seg").isNotNull(), F.col("_top")).otherwise(top.over(by))
-    value = F.when(c(column) == top, "true").when(c(column).isNotNull(), "false")
+        stats = [F.expr(f"max({value} IS NULL)").alias("_missing"), F.expr(f"max({value})").alias("_top")]
+        data, by = _split_large(df, keys, segment, max_rows, stats), f"{by}, _seg"
+    missing, top = (f"max({x}) OVER (PARTITION BY {by})" for x in (f"{value} IS NULL", value))
+    if segment is not None:
+        missing, top = f"if(_seg IS NULL, {missing}, _missing)", f"if(_seg IS NULL, {top}, _top)"
+    flag = f"CASE WHEN {value} = {top} THEN 'true' WHEN {value} IS NOT NULL THEN 'false' END"
     if nulls == "propagate":
-        value = F.when(~missing, value)
-    return data.select(*_cols([n for n in names if n != name]), value.alias(name))
+        flag = f"if({missing}, NULL, {flag})"
+    return data.selectExpr(*[q(n) for n in df.columns if n != name], f"{flag} AS {q(name)}")
 
 
 def running_record(
@@ -144,48 +150,32 @@ def running_record(
     max_rows: int = MAX_ROWS,
 ) -> DataFrame:
     """The record up to and including each row, as ``wins-losses``."""
-    names = [n for n in df.columns if n != name]
+    names = [q(n) for n in df.columns if n != name]
     data = df.withColumns({
-        "_w": (c(result).eqNullSafe(F.lit(win))).cast("long"),
-        "_l": (c(result).eqNullSafe(F.lit(loss))).cast("long"),
+        "_w": c(result).eqNullSafe(F.lit(win)).cast("long"),
+        "_l": c(result).eqNullSafe(F.lit(loss)).cast("long"),
     })
-    by, first = [*keys], []
+    by, first = _list(keys), ""
     if segment is not None:
         cut = _split_large(data, keys, segment, max_rows)
-        sums = (
-            cut.where(F.col("_seg").isNotNull())
-            .groupBy(*_cols(keys), "_seg")
-            .agg(F.sum("_w").alias("_w"), F.sum("_l").alias("_l"))
-        )
-        before = Window.partitionBy(*_cols(keys)).orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
-        edges = sums.select(
-            *_cols(keys), "_seg", F.sum("_w").over(before).alias("_w"), F.sum("_l").over(before).alias("_l"),
-            F.lit(True).alias("_edge"),
+        sums = _large(cut).groupBy(*[c(k) for k in keys], "_seg").agg(F.sum("_w").alias("_w"), F.sum("_l").alias("_l"))
+        before = f"(PARTITION BY {by} ORDER BY _seg {BEFORE})"
+        edges = sums.selectExpr(
+            *[q(k) for k in keys], "_seg", *[f"coalesce(sum({x}) OVER {before}, 0) AS {x}" for x in ("_w", "_l")]
         )
-        data = cut.withColumn("_edge", F.lit(False)).unionByName(edges, allowMissingColumns=True)
-        by, first = [*keys, "_seg"], [F.col("_edge").desc()]
-    so_far = (
-        Window.partitionBy(*_cols(by)).orderBy(*first, *_cols(order)).rowsBetween(Window.unboundedPreceding, 0)
-    )
-    record = F.concat(F.sum("_w").over(so_far).cast("string"), F.lit("-"), F.sum("_l").over(so_far).cast("string"))
-    out = data.withColumn(name, record)
-    if segment is not None:
-        out = out.where(~F.col("_edge"))
-    return out.select(*_cols(names), c(name))
+        data, by, first = _with_edges(cut, edges), f"{by}, _seg", EDGE
+    so_far = f"(PARTITION BY {by} ORDER BY {_order(order, first)} {SO_FAR})"
+    record = f"concat(sum(_w) OVER {so_far}, '-', sum(_l) OVER {so_far}) AS {q(name)}"
+    out = data.selectExpr(*names, record, *(["_edge"] if first else []))
+    return out.where("NOT _edge").drop("_edge") if first else out
 
 
-def _runs(data: DataFrame, by: Sequence[str], first: Sequence[Column], order: Sequence[str], result: str) -> DataFrame:
+def _runs(data: DataFrame, by: str, order: str, result: str) -> DataFrame:
     """``_len``: the length of the run of equal results that ends at each row."""
-    ordered = Window.partitionBy(*_cols(by)).orderBy(*first, *_cols(order))
-    so_far = ordered.rowsBetween(Window.unboundedPreceding, 0)
-    changed = F.coalesce((~c(result).eqNullSafe(F.lag(c(result)).over(ordered))).cast("long"), F.lit(0))
-    numbered = data.withColumn("_changed", changed).withColumn("_island", F.sum("_changed").over(so_far))
-    in_run = (
-        Window.partitionBy(*_cols(by), F.col("_island"))
-        .orderBy(*first, *_cols(order))
-        .rowsBetween(Window.unboundedPreceding, 0)
-    )
-    return numbered.withColumn("_len", F.sum("_weight").over(in_run)).drop("_changed", "_island")
+    changed = f"int(NOT ({result} <=> lag({result}) OVER (PARTITION BY {by} ORDER BY {order}))) AS _changed"
+    island = f"sum(_changed) OVER (PARTITION BY {by} ORDER BY {order} {SO_FAR}) AS _island"
+    length = f"sum(_weight) OVER (PARTITION BY {by}, _island ORDER BY {order} {SO_FAR}) AS _len"
+    return data.selectExpr("*", changed).selectExpr("*", island).selectExpr("*", length)
 
 
 def streak(
@@ -199,37 +189,32 @@ def streak(
     max_rows: int = MAX_ROWS,
 ) -> DataFrame:
     """Signed length of the current run of equal results: positive for ``win``, else negative."""
-    names = [n for n in df.columns if n != name]
-    data = df.withColumn("_weight", F.lit(1).cast("long"))
-    by, first = [*keys], []
+    names, res = [q(n) for n in df.columns if n != name], q(result)
+    data, by, first = df.selectExpr("*", "1L AS _weight"), _list(keys), ""
     if segment is not None:
-        cut = _split_large(data, keys, segment, max_rows)
-        at = _key_of(order)
-        local = _runs(cut.where(F.col("_seg").isNotNull()), [*keys, "_seg"], [], order, result)
+        cut, group, by = _split_large(data, keys, segment, max_rows), by, f"{by}, _seg"
         # Per segment: its rows, its last result, and the run it ends with.
-        ends = local.groupBy(*_cols(keys), "_seg").agg(
-            F.count(F.lit(1)).alias("_n"), F.max_by(F.struct(c(result).alias("r"), F.col("_len").alias("t")), at).alias("_e")
+        ends = (
+            _runs(_large(cut), by, _order(order), res)
+            .selectExpr(
+                *[q(k) for k in keys], "_seg", f"{res} AS _r", "_len AS _t",
+                f"count(1) OVER (PARTITION BY {by} ORDER BY {_order(order)} {SO_FAR}) AS _n",
+                f"lead(1) OVER (PARTITION BY {by} ORDER BY {_order(order)}) IS NULL AS _last",
+            )
+            .where("_last")
         )
-        segments = Window.partitionBy(*_cols(keys)).orderBy("_seg")
         # A segment of one single run prolongs the run before it when the results agree.
-        whole = (F.col("_e.t") == F.col("_n")) & F.col("_e.r").eqNullSafe(F.lag("_e.r").over(segments))
-        grouped = ends.withColumn("_break", (~whole).cast("long")).withColumn(
-            "_chain", F.sum("_break").over(segments.rowsBetween(Window.unboundedPreceding, 0))
-        )
-        chain = (
-            Window.partitionBy(*_cols(keys), F.col("_chain"))
-            .orderBy("_seg")
-            .rowsBetween(Window.unboundedPreceding, 0)
-        )
-        ended = grouped.withColumn("_run", F.sum("_e.t").over(chain))
-        edges = ended.select(
-            *_cols(keys), "_seg", F.lag("_e.r").over(segments).alias(result), F.lag("_run").over(segments).alias("_weight"),
-            F.lit(True).alias("_edge"),
-        ).where(F.col("_weight").isNotNull())
-        data = cut.withColumn("_edge", F.lit(False)).unionByName(edges, allowMissingColumns=True)
-        by, first = [*keys, "_seg"], [F.col("_edge").desc()]
-    out = _runs(data, by, first, order, result)
-    if segment is not None:
-        out = out.where(~F.col("_edge"))
+        segments = f"PARTITION BY {group} ORDER BY _seg"
+        starts = f"int(NOT (_t = _n AND _r <=> lag(_r) OVER ({segments}))) AS _start"
+        chain = f"sum(_start) OVER ({segments} {SO_FAR}) AS _chain"
+        run = f"sum(_t) OVER (PARTITION BY {group}, _chain ORDER BY _seg {SO_FAR}) AS _run"
+        ended = ends.selectExpr("*", starts).selectExpr("*", chain).selectExpr("*", run)
+        edges = ended.selectExpr(
+            *[q(k) for k in keys], "_seg", f"lag(_r) OVER ({segments}) AS {res}", f"lag(_run) OVER ({segments}) AS _weight"
+        ).where("_weight IS NOT NULL")
+        data, first = _with_edges(cut, edges), EDGE
+    out = _runs(data, by, _order(order, first), res)
+    if first:
+        out = out.where("NOT _edge")
     signed = F.when(c(result) == win, F.col("_len")).otherwise(-F.col("_len")).cast("int")
-    return out.select(*_cols(names), signed.alias(name))
+    return out.select(*names, signed.alias(name))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pitchflow.functions.pitches import bucket_flags, pre_pitch_count
-from pitchflow.schemas import c
+from pitchflow.schemas import c, q
 
 NO_DATA = "No data available for that player. Please try again or display all."
 BAD_CONFIDENCE = "Confidence Level out of range. Please choose a number between 0 and 1"
@@ -18,17 +18,38 @@ class NoDataError(ValueError):
     """The chosen player has no rows."""
 
 
-def _aggregates(flags: Mapping[str, Column], label: Column | None, label_name: str, count_name: str, label_nulls: str):
-    rows = F.count(F.lit(1))
+def _reduce(df: DataFrame, keys: Sequence[str], flags: Mapping[str, Column], label: Column | None, category: Sequence[str]):
+    """The rows reduced to counts per key, label and category, and what to sum in them.
+
+    The label is a grouping key here and not an aggregate, since an aggregate
+    over text cannot be kept in a hash table and would sort every row.
+    """
+    by = [c(k) for k in keys]
+    if label is not None:
+        by.append(label.cast("string").alias("_label"))
+    rows = F.count(F.lit(1)).alias("_rows")
+    if category:
+        reduced = df.groupBy(*by, *[c(n).alias(f"_c{i}") for i, n in enumerate(category)]).agg(rows)
+        named = reduced.selectExpr(
+            *[q(k) for k in keys], *(["_label"] if label is not None else []), "_rows",
+            *[f"_c{i} AS {q(n)}" for i, n in enumerate(category) if n not in keys],
+        )
+        rows = F.col("_rows")
+        return named.select("*", *[(flag * rows).alias(f"_f{i}") for i, flag in enumerate(flags.values())])
+    return df.groupBy(*by).agg(rows, *[F.sum(flag).alias(f"_f{i}") for i, flag in enumerate(flags.values())])
+
+
+def _shares(flags: Mapping[str, Column], label: Column | None, label_name: str, count_name: str, label_nulls: str):
+    """The aggregates over reduced rows."""
     out: list[Column] = []
     if label is not None:
-        top = F.max(label.cast("string"))
+        top = F.max("_label")
         if label_nulls == "propagate":
-            top = F.when(~F.max(label.isNull()), top)
+            top = F.when(~F.max(F.col("_label").isNull()), top)
         out.append(top.alias(label_name))
+    rows = F.sum("_rows")
     out.append(rows.alias(count_name))
-    out += [(F.sum(flag) / rows).alias(name) for name, flag in flags.items()]
-    return out
+    return out + [F.expr(f"sum(_f{i}) / sum(_rows) AS {q(name)}") for i, name in enumerate(flags)]
 
 
 def share_profile(
@@ -39,16 +60,27 @@ def share_profile(
     label_name: str = "label",
     count_name: str = "rows",
     label_nulls: str = "skip",
+    category: Sequence[str] = (),
     ordered: bool = True,
 ) -> DataFrame:
     """Per key: the greatest label, the number of rows, and each flag's share of them.
 
-    ``flags`` maps output names to 0/1 expressions. Only sums and counts, so
-    every key, however frequent, is reduced before the shuffle. The greatest
-    label goes by byte order; ``label_nulls="propagate"`` makes it NULL where
-    any label of the key is missing. Sorted by volume, ties in key order.
+    ``flags`` maps output names to 0/1 expressions. If they depend on a few
+    columns with few values only, name these in ``category``: then rows are just
+    counted per key and category, and the flags are worked out on the counts.
+    Every key, however frequent, is reduced before the shuffle.
+
+    The greatest label goes by byte order; ``label_nulls="propagate"`` makes it
+    NULL where any label of the key is missing. Sorted by volume, ties in key
+    order.
     """
-    out = df.groupBy(*[c(k) for k in keys]).agg(*_aggregates(flags, label, label_name, count_name, label_nulls))
+    if label is None and not category:
+        rows = F.count(F.lit(1))
+        shares = [(F.sum(flag) / rows).alias(name) for name, flag in flags.items()]
+        out = df.groupBy(*[c(k) for k in keys]).agg(rows.alias(count_name), *shares)
+    else:
+        reduced = _reduce(df, keys, flags, label, category)
+        out = reduced.groupBy(*[c(k) for k in keys]).agg(*_shares(flags, label, label_name, count_name, label_nulls))
     if ordered:
         out = out.orderBy(c(count_name).desc(), *[c(k).asc_nulls_last() for k in keys])
     return out
@@ -103,7 +135,8 @@ def tendencies(
     pitches = _pitches(pbp, entity, entity_id, confidence, add_count, check)
     keys = [entity, *(["Count"] if add_count else []), *(["outs"] if add_outs else [])]
     return share_profile(
-        pitches, keys, bucket_flags(F.col("pitch_type")), F.col("player"), "player", "pitches", label_nulls, ordered
+        pitches, keys, bucket_flags("pitch_type"), F.col("player"), "player", "pitches", label_nulls,
+        ["pitch_type"], ordered,
     )
 
 
@@ -126,30 +159,20 @@ def share_all_levels(
     label_name: str = "label",
     count_name: str = "rows",
     label_nulls: str = "skip",
+    category: Sequence[str] = (),
 ) -> DataFrame:
     """The profiles by entity alone and by entity with every subset of ``extra``, in one pass.
 
-    The rows are first reduced to sums per finest key; only these sums, not the
+    The rows are first reduced to counts per finest key; only these, not the
     rows, are multiplied by the grouping sets. ``level`` names the key columns.
     """
-    rows, hits = F.sum("_rows"), {name: f"_f{i}" for i, name in enumerate(flags)}
-    fine_aggs = [F.count(F.lit(1)).alias("_rows"), *[F.sum(flag).alias(hits[n]) for n, flag in flags.items()]]
-    if label is not None:
-        fine_aggs += [F.max(label.cast("string")).alias("_label"), F.max(label.isNull()).alias("_label_missing")]
-    finest = df.groupBy(c(entity), *[c(e) for e in extra]).agg(*fine_aggs)
-
     keys = [entity, *extra]
+    reduced = _reduce(df, keys, flags, label, category)
     sets = [[entity, *[e for j, e in enumerate(extra) if mask >> j & 1]] for mask in range(2 ** len(extra))]
-    aggs: list[Column] = []
-    if label is not None:
-        top = F.max("_label")
-        if label_nulls == "propagate":
-            top = F.when(~F.max("_label_missing"), top)
-        aggs.append(top.alias(label_name))
-    aggs.append(rows.alias(count_name))
-    aggs += [(F.sum(hits[n]) / rows).alias(n) for n in flags]
     level = F.concat_ws(",", *[F.when(F.grouping(c(k)) == 0, F.lit(k)) for k in keys]).alias("level")
-    return finest.groupingSets([[c(k) for k in s] for s in sets], *[c(k) for k in keys]).agg(level, *aggs)
+    return reduced.groupingSets([[c(k) for k in s] for s in sets], *[c(k) for k in keys]).agg(
+        level, *_shares(flags, label, label_name, count_name, label_nulls)
+    )
 
 
 def tendencies_all_levels(pbp: DataFrame, entity: str, entity_id: int = 0, confidence: float = 0.5,
@@ -157,6 +180,6 @@ def tendencies_all_levels(pbp: DataFrame, entity: str, entity_id: int = 0, confi
     """All four key sets of :func:`tendencies` from one pass over the plays."""
     pitches = _pitches(pbp, entity, entity_id, confidence, True, False)
     return share_all_levels(
-        pitches, entity, ["Count", "outs"], bucket_flags(F.col("pitch_type")), F.col("player"), "player", "pitches",
-        label_nulls,
+        pitches, entity, ["Count", "outs"], bucket_flags("pitch_type"), F.col("player"), "player", "pitches",
+        label_nulls, ["pitch_type"],
     )

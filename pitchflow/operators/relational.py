@@ -128,7 +128,8 @@ def exclude_ids(df: DataFrame, column: str, ids: Iterable | DataFrame) -> DataFr
     A missing id is dropped by the list form, as a comparison with it is unknown.
     """
     if isinstance(ids, DataFrame):
-        only = ids.select(c(ids.columns[0]).alias("_id"))
+        # Distinct first: that is reduced before the shuffle, so an id listed very often costs nothing.
+        only = ids.select(c(ids.columns[0]).alias("_id")).distinct()
         return df.join(only, c(column) == F.col("_id"), "left_anti")
     return df.where(~c(column).isin(*ids))
 

@@ -5,16 +5,17 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitchflow.functions.pitches import side_columns
 from pitchflow.functions.text import date_prefix
 from pitchflow.operators.calendar import distinct_days, game_ids_for_days, grid_end, pull_weeks
-from pitchflow.operators.nested import game_meta
+from pitchflow.operators.nested import META_PATHS
 from pitchflow.operators.ordered import fill_up, last_of_group_flag
 from pitchflow.operators.relational import broadcast_within, exclude_ids
-from pitchflow.schemas import PBP, c
+from pitchflow.schemas import PBP, c, q
+from pitchflow.sources.feeds import DOC_ID
 from pitchflow.sources.tables import in_range
 
 PLAYS = "liveData.plays.allPlays"
@@ -49,41 +50,38 @@ AT_BAT_COLUMNS: dict[str, str] = {
     "matchup.pitcher.fullName": "matchup.pitcher.fullName",
     "matchup.splits.menOnBase": "matchup.splits.menOnBase",
 }
+META_COLUMNS = {n: path for n, path in META_PATHS.items() if n != "game_status"}
 FLAG = "last.pitch.of.ab"
 
 
-def _pick(element: Column, columns: dict[str, str]) -> list[Column]:
-    out = []
-    for name, path in columns.items():
-        col = element
-        for step in path.split("."):
-            col = col.getField(step)
-        out.append(col.alias(name))
-    return out
+def _fields(element: str, columns: dict[str, str]) -> list[str]:
+    return [f"{element}.{path} AS {q(name)}" for name, path in columns.items()]
+
+
+def _struct(element: str, columns: dict[str, str]) -> str:
+    return "named_struct(" + ", ".join(f"'{name}', {element}.{path}" for name, path in columns.items()) + ")"
 
 
 def _by_parent(games: DataFrame, carried: list[str], flag_nulls: str) -> DataFrame:
     """Events with the fields of the at-bat they sit in: two explodes, no shuffle."""
-    sizes = F.transform("_plays", lambda ab: F.greatest(F.size(ab["playEvents"]), F.lit(0)))
-    at_bats = games.withColumn("_sizes", sizes).select(*carried, "_sizes", F.posexplode("_plays").alias("_i", "_ab"))
-    numbers = F.transform(F.col("_ab.playEvents"), lambda e: e["pitchNumber"])
-    last = F.array_max(numbers)
+    last = "array_max(transform(_ab.playEvents, e -> e.pitchNumber))"
     if flag_nulls == "propagate":
-        last = F.when(~F.exists(numbers, lambda n: n.isNull()), last)
+        last = f"if(exists(_ab.playEvents, e -> e.pitchNumber IS NULL), NULL, {last})"
+    at_bats = games.selectExpr(
+        *carried, "transform(_plays, ab -> greatest(size(ab.playEvents), 0)) AS _sizes", "_plays"
+    ).selectExpr(*carried, "_sizes", "posexplode(_plays) AS (_i, _ab)")
     # Events of the at-bats before this one, so that positions run through the game.
-    before = F.aggregate(F.slice("_sizes", F.lit(1), F.col("_i")), F.lit(0), lambda total, n: total + n)
-    per_at_bat = at_bats.select(
-        *carried, before.alias("_before"), *_pick(F.col("_ab"), AT_BAT_COLUMNS), last.alias("_last"),
-        F.col("_ab.playEvents").alias("_events"),
+    per_at_bat = at_bats.selectExpr(
+        *carried, "aggregate(slice(_sizes, 1, _i), 0, (total, n) -> total + n) AS _before",
+        *_fields("_ab", AT_BAT_COLUMNS), f"{last} AS _last", "_ab.playEvents AS _events",
     )
-    fields = [c(n) for n in AT_BAT_COLUMNS]
-    rows = per_at_bat.select(*carried, "_before", *fields, "_last", F.posexplode("_events").alias("_j", "_e"))
-    flat = rows.select(
-        *carried, (F.col("_before") + F.col("_j")).alias("event_pos"), *_pick(F.col("_e"), EVENT_COLUMNS), *fields, "_last"
+    fields = [q(n) for n in AT_BAT_COLUMNS]
+    rows = per_at_bat.selectExpr(*carried, "_before", *fields, "_last", "posexplode(_events) AS (_j, _e)")
+    flag = """CASE WHEN _e.pitchNumber = _last THEN 'true'
+                   WHEN _last IS NOT NULL AND _e.pitchNumber IS NOT NULL THEN 'false' END"""
+    return rows.selectExpr(
+        *carried, "_before + _j AS event_pos", *_fields("_e", EVENT_COLUMNS), *fields, f"{flag} AS {q(FLAG)}"
     )
-    number = c("pitchNumber")
-    flag = F.when(number == F.col("_last"), "true").when(F.col("_last").isNotNull() & number.isNotNull(), "false")
-    return flat.withColumn(FLAG, flag)
 
 
 def _by_end_time(games: DataFrame, carried: list[str], doc_keys: list[str], flag_nulls: str) -> DataFrame:
@@ -93,31 +91,27 @@ def _by_end_time(games: DataFrame, carried: list[str], doc_keys: list[str], flag
     document and takes neither a second parse nor a shuffle. The fill and the
     flag share one shuffle on the document.
     """
-    plays = F.col("_plays")
-
-    def matches(event: Column) -> Column:
-        ends_with = F.filter(plays, lambda ab: ab["playEndTime"].eqNullSafe(event["endTime"]))
-        return F.transform(ends_with, lambda ab: F.struct(*_pick(ab, AT_BAT_COLUMNS)))
-
-    def events(at_bat: Column) -> Column:
-        return F.transform(
-            at_bat["playEvents"], lambda e: F.struct(F.struct(*_pick(e, EVENT_COLUMNS)).alias("e"), matches(e).alias("m"))
-        )
-
-    with_events = F.filter(plays, lambda ab: ab["playEvents"].isNotNull())
-    stacked = games.select(*carried, F.posexplode(F.flatten(F.transform(with_events, events))).alias("event_pos", "_x"))
-    joined = stacked.select(
-        *carried, "event_pos", F.col("_x.e").alias("_e"), F.posexplode_outer("_x.m").alias("_match", "_ab")
-    )
-    flat = joined.select(
-        *carried, "event_pos", F.coalesce("_match", F.lit(0)).alias("_match"),
-        *[F.col("_e").getField(n).alias(n) for n in EVENT_COLUMNS],
-        *[F.col("_ab").getField(n).alias(n) for n in AT_BAT_COLUMNS],
+    matches = f"""transform(filter(_plays, b -> b.playEndTime <=> e.endTime), b -> {_struct("b", AT_BAT_COLUMNS)})"""
+    events = f"""flatten(transform(filter(_plays, ab -> ab.playEvents IS NOT NULL),
+        ab -> transform(ab.playEvents, e -> named_struct('e', {_struct("e", EVENT_COLUMNS)}, 'm', {matches}))))"""
+    stacked = games.selectExpr(*carried, f"posexplode({events}) AS (event_pos, _x)")
+    joined = stacked.selectExpr(*carried, "event_pos", "_x.e AS _e", "posexplode_outer(_x.m) AS (_match, _ab)")
+    flat = joined.selectExpr(
+        *carried, "event_pos", "coalesce(_match, 0) AS _match",
+        *[f"_e.{q(n)} AS {q(n)}" for n in EVENT_COLUMNS], *[f"_ab.{q(n)} AS {q(n)}" for n in AT_BAT_COLUMNS],
     )
     filled = fill_up(flat, list(AT_BAT_COLUMNS), doc_keys, ["event_pos", "_match"])
     return last_of_group_flag(filled, "pitchNumber", [*doc_keys, "atBatIndex"], FLAG, flag_nulls)
 
 
+def _with_doc_keys(feed: DataFrame, doc_keys: Sequence[str] | None) -> tuple[DataFrame, list[str]]:
+    if doc_keys is not None:
+        return feed, list(doc_keys)
+    if DOC_ID not in feed.columns:
+        feed = feed.withColumn(DOC_ID, F.xxhash64("gameData", "liveData"))
+    return feed, ["game_pk", DOC_ID]
+
+
 def normalise_game(
     feed: DataFrame,
     attach: str = "reference",
@@ -135,25 +129,26 @@ def normalise_game(
     them from the at-bat the event is listed in.
 
     A document is one unit even if its ``game_pk`` comes again: ``doc_keys``
-    are columns of ``feed`` that tell documents apart, by default a row id
-    given here (put it on the scan yourself if ``feed`` is the result of a
-    shuffle). ``ordered`` sorts by game, then latest at-bat and pitch first.
+    are columns of ``feed`` that tell documents apart. By default that is the
+    id from :func:`read_feed`, or else a hash of the document, which like any
+    key of a shuffle must come out the same when a task is run again. Equal
+    documents may share a key, as their rows fill each other with equal values.
+    ``ordered`` sorts by game, then latest at-bat and pitch first.
     """
-    if doc_keys is None:
-        feed, doc_keys = feed.withColumn("_doc", F.monotonically_increasing_id()), ["game_pk", "_doc"]
-    meta = {n: col for n, col in game_meta().items() if n != "game_status"}
+    feed, doc_keys = _with_doc_keys(feed, doc_keys)
     extra = [k for k in doc_keys if k != "game_pk"]
-    carried = ["game_pk", *extra, *meta]
-    games = feed.select("game_pk", *extra, *[col.alias(n) for n, col in meta.items()], F.col(PLAYS).alias("_plays"))
+    carried = ["game_pk", *extra, *META_COLUMNS]
+    meta = [f"{path} AS {n}" for n, path in META_COLUMNS.items()]
+    games = feed.selectExpr("game_pk", *extra, *meta, f"{PLAYS} AS _plays")
     if attach == "parent":
         rows = _by_parent(games, carried, flag_nulls)
     elif attach == "reference":
-        rows = _by_end_time(games, carried, list(doc_keys), flag_nulls)
+        rows = _by_end_time(games, carried, doc_keys, flag_nulls)
     else:
         raise ValueError("attach must be 'reference' or 'parent'")
     sides = side_columns(c("about.halfInning"), F.col("home_team"), F.col("away_team"))
     rows = rows.withColumns({"game_date": date_prefix(F.col("date_time")), **sides})
-    out = rows.select(*[c(n) for n in PBP])
+    out = rows.selectExpr(*[q(n) for n in PBP])
     return sort_plays(out) if ordered else out
 
 
@@ -176,7 +171,8 @@ def season_games(
 
     Of the pitch rows only the date is read.
     """
-    days = distinct_days(pull_weeks(pitches, "game_date", first, last))
+    # The windows bound the number of days, so the days can be broadcast.
+    days = F.broadcast(distinct_days(pull_weeks(pitches, "game_date", first, last)))
     ids = game_ids_for_days(days, schedule, dedupe)
     exclude = list(exclude)
     return exclude_ids(ids, "game_pk", exclude) if exclude else ids
@@ -192,6 +188,7 @@ def season_pbp(
     dedupe: bool = True,
     attach: str = "reference",
     flag_nulls: str = "propagate",
+    doc_keys: Sequence[str] | None = None,
 ) -> DataFrame:
     """The season's play-by-play table as one lazy plan.
 
@@ -202,7 +199,5 @@ def season_pbp(
     ids = season_games(pitches, schedule, first, last, exclude, dedupe)
     listed = in_range(schedule.withColumn("date", F.col("date").cast("date")), "date", first, grid_end(first, last))
     ids = broadcast_within(ids, bound=listed.select("gamePk"))
-    documents = feed.withColumn("_doc", F.monotonically_increasing_id())
-    return normalise_game(
-        documents.join(ids, "game_pk"), attach, flag_nulls, doc_keys=["game_pk", "_doc", "listed_on"]
-    )
+    feed, doc_keys = _with_doc_keys(feed, doc_keys)
+    return normalise_game(feed.join(ids, "game_pk"), attach, flag_nulls, doc_keys=[*doc_keys, "listed_on"])

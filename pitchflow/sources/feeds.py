@@ -28,14 +28,19 @@ def parse_documents(df: DataFrame, text: str | Column, schema: str, keep: tuple[
     return df.select(*keep, F.inline(F.array(document)))
 
 
-def parse_feed(df: DataFrame, text: str | Column = "value", errors: str = "drop"):
+# Tells documents apart even if a game has been landed more than once.
+DOC_ID = "doc_id"
+
+
+def parse_feed(df: DataFrame, text: str | Column = "value", errors: str = "drop", keep: tuple[str, ...] = ()):
     """Game documents from JSON text.
 
     ``errors``: ``"drop"`` returns the good documents; ``"keep"`` all of them
     with ``status`` ok / error and the broken text; ``"split"`` a pair of good
     documents and error table. A document without ``game_pk`` is an error.
+    ``keep`` carries columns of ``df`` along.
     """
-    parsed = parse_documents(df, text, FEED)
+    parsed = parse_documents(df, text, FEED, keep)
     bad = F.col(CORRUPT).isNotNull() | F.col("game_pk").isNull()
     if errors == "keep":
         return parsed.withColumn("status", F.when(bad, "error").otherwise("ok"))
@@ -43,13 +48,20 @@ def parse_feed(df: DataFrame, text: str | Column = "value", errors: str = "drop"
     if errors == "drop":
         return good
     if errors == "split":
-        return good, parsed.where(bad).select("game_pk", F.lit("error").alias("status"), F.col(CORRUPT).alias("document"))
+        status = F.lit("error").alias("status")
+        return good, parsed.where(bad).select(*keep, "game_pk", status, F.col(CORRUPT).alias("document"))
     raise ValueError("errors must be 'drop', 'keep' or 'split'")
 
 
 def read_feed(spark: SparkSession, path: str, errors: str = "drop", whole_files: bool = False):
-    """Landed game documents; see :func:`parse_feed` for ``errors``."""
-    return parse_feed(spark.read.text(path, wholetext=whole_files), "value", errors)
+    """Landed game documents with a row id; see :func:`parse_feed` for ``errors``.
+
+    The id is given right at the scan of unchanging files, so a task that is run
+    again gives the same ids.
+    """
+    texts = spark.read.text(path, wholetext=whole_files)
+    texts = texts.where(F.length("value") > 0).withColumn(DOC_ID, F.monotonically_increasing_id())
+    return parse_feed(texts, "value", errors, (DOC_ID,))
 
 
 def schedule_games(documents: DataFrame) -> DataFrame:

@@ -40,6 +40,15 @@ def test_repeated_document_stays_one_game_each(spark):
     assert normalise_game(docs_df(spark, [doc, doc])).count() == 2 * once == 2 * len(expected(doc))
 
 
+def test_two_versions_of_a_game_stay_apart(spark, tmp_path):
+    docs = [game(5, seed=1), game(5, seed=2), game(5, seed=2)]
+    want = [row for d in docs for row in expected(d)]
+    (tmp_path / "f.jsonl").write_text("\n".join(lines(docs)))
+    for feed in (docs_df(spark, docs), read_feed(spark, str(tmp_path))):
+        got = [r.asDict() for r in normalise_game(feed).collect()]
+        assert key(got, want[0].keys()) == key(want, want[0].keys())
+
+
 def test_flag_ignoring_nulls(spark):
     feed = docs_df(spark, [game(2, seed=5)])
     for attach in ("reference", "parent"):

@@ -122,7 +122,7 @@ def test_missing_name(pbp):
 
 def test_ten_pitches(spark):
     df = spark.createDataFrame([(477132, x) for x in "SL FF CU SL SL FF SL SL FF SL".split()], "pitcher LONG, pitch_type STRING")
-    r = share_profile(df, ["pitcher"], bucket_flags(F.col("pitch_type")), count_name="pitches").first()
+    r = share_profile(df, ["pitcher"], bucket_flags("pitch_type"), count_name="pitches").first()
     assert (r.pitches, r.slider, r.fs_fb, r.curveball, r.fastballs, r.breaking_ball) == (10, 0.6, 0.3, 0.1, 0.3, 0.7)
 
 
@@ -147,5 +147,8 @@ def test_plan(spark, tmp_path, pbp):
     pushed = plan[plan.index("PushedFilters"):]
     assert "EqualTo(`matchup.pitcher.id`,2)" in pushed and "GreaterThanOrEqual(`pitchData.typeConfidence`,0.6)" in pushed
     assert "matchup.batter" not in plan
-    assert plan.count("Exchange hashpartitioning") == 1 and "Python" not in plan
+    # The rows are counted in hash tables; only the counts are shuffled again for the label.
+    steps = [line.strip(" +-:") for line in plan.splitlines() if "Aggregate" in line]
+    assert [x.split("(")[0] for x in steps] == ["SortAggregate", "SortAggregate", "HashAggregate", "HashAggregate"]
+    assert plan.count("Exchange hashpartitioning") == 2 and "Python" not in plan
     assert json.dumps(SHARE_NAMES).count(",") == 16
