@@ -11,8 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitchflow.schemas import CORRUPT, q
-from pitchflow.sources.feeds import parse_documents
+from pitchflow.schemas import q
 
 # Pitch-type codes by the event's k; UN is in no bucket, the last has none.
 _CODES = ["FF", "SI", "SL", "CH", "CU", "FC", "FT", "FO", "EP", "KN", "FS", "KC", "SC", "CS", "UN", "FF", "SL", "FF"]
@@ -91,13 +90,14 @@ def undotted(df: DataFrame) -> DataFrame:
     return df.toDF(*[flat_name(n) for n in df.columns])
 
 
+# The number in {"k": 69}. Cheap enough to be repeated wherever a predicate moves it.
+_K = "cast(substring(props, 7, length(props) - 7) AS int)"
+
+
 def raw_events(events: DataFrame) -> DataFrame:
-    parsed = parse_documents(events, "props", "k INT", ("event_id", "ts", "user_id", "event_type", "value"))
-    return parsed.drop(CORRUPT).select(
-        "*",
-        F.expr("event_id div 240").alias("game_pk"),
-        F.expr("cast(event_id % 240 as int)").alias("event_pos"),
-        F.expr("cast(event_id % 240 div 6 as int)").alias("ab"),
+    return events.selectExpr(
+        "event_id", "ts", "user_id", "event_type", "value", f"{_K} AS k",
+        "event_id div 240 AS game_pk", "cast(event_id % 240 AS int) AS event_pos", "cast(event_id % 240 div 6 AS int) AS ab",
     )
 
 

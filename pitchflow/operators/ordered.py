@@ -171,11 +171,17 @@ def running_record(
 
 
 def _runs(data: DataFrame, by: str, order: str, result: str) -> DataFrame:
-    """``_len``: the length of the run of equal results that ends at each row."""
-    changed = f"int(NOT ({result} <=> lag({result}) OVER (PARTITION BY {by} ORDER BY {order}))) AS _changed"
-    island = f"sum(_changed) OVER (PARTITION BY {by} ORDER BY {order} {SO_FAR}) AS _island"
-    length = f"sum(_weight) OVER (PARTITION BY {by}, _island ORDER BY {order} {SO_FAR}) AS _len"
-    return data.selectExpr("*", changed).selectExpr("*", island).selectExpr("*", length)
+    """``_len``: the length of the run of equal results that ends at each row.
+
+    The weight so far less the weight before the last change: all windows have
+    one order, so the rows are sorted once.
+    """
+    rows = f"(PARTITION BY {by} ORDER BY {order})"
+    so_far = f"(PARTITION BY {by} ORDER BY {order} {SO_FAR})"
+    changed = f"NOT ({result} <=> lag({result}) OVER {rows}) AS _changed"
+    counted = data.selectExpr("*", changed, f"sum(_weight) OVER {so_far} AS _total")
+    start = f"last(if(_changed, _total - _weight, NULL), true) OVER {so_far} AS _start"
+    return counted.selectExpr("*", start).selectExpr("*", "_total - coalesce(_start, 0) AS _len")
 
 
 def streak(
@@ -205,8 +211,8 @@ def streak(
         )
         # A segment of one single run prolongs the run before it when the results agree.
         segments = f"PARTITION BY {group} ORDER BY _seg"
-        starts = f"int(NOT (_t = _n AND _r <=> lag(_r) OVER ({segments}))) AS _start"
-        chain = f"sum(_start) OVER ({segments} {SO_FAR}) AS _chain"
+        starts = f"int(NOT (_t = _n AND _r <=> lag(_r) OVER ({segments}))) AS _first"
+        chain = f"sum(_first) OVER ({segments} {SO_FAR}) AS _chain"
         run = f"sum(_t) OVER (PARTITION BY {group}, _chain ORDER BY _seg {SO_FAR}) AS _run"
         ended = ends.selectExpr("*", starts).selectExpr("*", chain).selectExpr("*", run)
         edges = ended.selectExpr(

@@ -34,8 +34,8 @@ def _reduce(df: DataFrame, keys: Sequence[str], flags: Mapping[str, Column], lab
             *[q(k) for k in keys], *(["_label"] if label is not None else []), "_rows",
             *[f"_c{i} AS {q(n)}" for i, n in enumerate(category) if n not in keys],
         )
-        rows = F.col("_rows")
-        return named.select("*", *[(flag * rows).alias(f"_f{i}") for i, flag in enumerate(flags.values())])
+        flagged = named.select("*", *[flag.alias(f"_f{i}") for i, flag in enumerate(flags.values())])
+        return flagged.selectExpr(*[q(n) for n in named.columns], *[f"_f{i} * _rows AS _f{i}" for i in range(len(flags))])
     return df.groupBy(*by).agg(rows, *[F.sum(flag).alias(f"_f{i}") for i, flag in enumerate(flags.values())])
 
 
