@@ -179,7 +179,7 @@ def attach_and_fill(t: Tables):
         F.when(F.col("k") % 5 != 0, F.col("value")).alias("value"),
     )
     # A game has at most 240 events, so joined groups and windows are small.
-    joined = left_join_suffixed(events, ends, [("at", "ended")], scope=["game_pk"])
+    joined = left_join_suffixed(events, ends, [("at", "ended")], scope=["game_pk"], hot_right_rows=None)
     keyed = joined.withColumn("match", F.coalesce("purchase_id", F.lit(0)))
     filled = fill_up(keyed, ["purchase_id", "value.y"], ["game_pk"], ["event_id", "match"])
     return undotted(filled.drop("at", "match"))

@@ -317,7 +317,7 @@ WHERE o_orderkey NOT IN (17, 4711)""",
 )
 def ids_for_days(t: Tables):
     shipped = t.lineitem.where((F.col("l_shipdate") >= "1996-01-01") & (F.col("l_shipdate") < "1996-01-15"))
-    days = distinct_days(shipped, "l_shipdate")
+    days = F.broadcast(distinct_days(shipped, "l_shipdate"))  # two weeks
     orders = t.orders.select("o_orderkey", F.to_date("o_orderdate").alias("game_date"))
     return exclude_ids(orders.join(days, "game_date"), "o_orderkey", [17, 4711]).select("o_orderkey")
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pitchflow.schemas import c
 
 BROADCAST_ROWS = 1_000_000
+HOT_ROWS = 5_000_000
 
 
 def broadcast_within(df: DataFrame, max_rows: int = BROADCAST_ROWS, bound: DataFrame | None = None) -> DataFrame:
@@ -45,7 +46,7 @@ def left_join_suffixed(
     on: Sequence[tuple[str, str]],
     scope: Sequence[str] = (),
     suffixes: tuple[str, str] = (".x", ".y"),
-    hot_right_rows: int | None = None,
+    hot_right_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Left join in which a missing key matches a missing key.
 
@@ -55,9 +56,10 @@ def left_join_suffixed(
     the left row.
 
     A left key with very many rows is split by adaptive execution, which cuts
-    the left side of a left join. It cannot cut the right side, so with
-    ``hot_right_rows`` the keys above that many right rows go through an inner
-    join instead (they have a match by definition), where both sides are cut.
+    the left side of a left join. It cannot cut the right side, so keys with
+    more than ``hot_right_rows`` right rows go through an inner join instead
+    (they have a match by definition), where both sides are cut. That costs a
+    count of the right keys; where the scope keeps groups small, pass ``None``.
     """
     keys = [*on, *((s, s) for s in scope)]
     right_keys = {r for _, r in keys}

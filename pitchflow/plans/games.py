@@ -13,7 +13,7 @@ from pitchflow.functions.text import date_prefix
 from pitchflow.operators.calendar import distinct_days, game_ids_for_days, grid_end, pull_weeks
 from pitchflow.operators.nested import META_PATHS
 from pitchflow.operators.ordered import fill_up, last_of_group_flag
-from pitchflow.operators.relational import broadcast_within, exclude_ids
+from pitchflow.operators.relational import BROADCAST_ROWS, broadcast_within, exclude_ids
 from pitchflow.schemas import PBP, c, q
 from pitchflow.sources.feeds import DOC_ID
 from pitchflow.sources.tables import in_range
@@ -189,15 +189,16 @@ def season_pbp(
     attach: str = "reference",
     flag_nulls: str = "propagate",
     doc_keys: Sequence[str] | None = None,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """The season's play-by-play table as one lazy plan.
 
     The documents are the large side and should not be shuffled, so the ids are
-    broadcast if the schedule lists few enough games in the season; otherwise
-    the join shuffles.
+    broadcast if the schedule lists at most ``broadcast_rows`` games in the
+    season; otherwise the join shuffles.
     """
     ids = season_games(pitches, schedule, first, last, exclude, dedupe)
     listed = in_range(schedule.withColumn("date", F.col("date").cast("date")), "date", first, grid_end(first, last))
-    ids = broadcast_within(ids, bound=listed.select("gamePk"))
+    ids = broadcast_within(ids, broadcast_rows, bound=listed.select("gamePk"))
     feed, doc_keys = _with_doc_keys(feed, doc_keys)
     return normalise_game(feed.join(ids, "game_pk"), attach, flag_nulls, doc_keys=[*doc_keys, "listed_on"])

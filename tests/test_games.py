@@ -125,6 +125,8 @@ def test_season(spark, tmp_path):
 
     pbp = season_pbp(feed, pitches, schedule, first, last, exclude=[3])
     assert pbp.count() == size[1] + size[2]
+    shuffled = season_pbp(feed, pitches, schedule, first, last, exclude=[3], broadcast_rows=1)
+    assert key([r.asDict() for r in shuffled.collect()], PBP) == key([r.asDict() for r in pbp.collect()], PBP)
     twice = season_pbp(feed, pitches, schedule, first, last, dedupe=False)
     assert twice.count() == size[1] + 2 * size[2] + size[3]
 
