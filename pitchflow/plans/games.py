@@ -7,6 +7,7 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pitchflow.functions.pitches import side_columns
 from pitchflow.functions.text import date_prefix
@@ -20,50 +21,52 @@ from pitchflow.sources.tables import in_range
 
 PLAYS = "liveData.plays.allPlays"
 
-# Path inside one event, and inside one at-bat, by output name.
-EVENT_COLUMNS: dict[str, str] = {
-    "type": "type",
-    "pitchNumber": "pitchNumber",
-    "endTime": "endTime",
-    "count.balls.start": "count.balls",
-    "count.strikes.start": "count.strikes",
-    "count.outs.start": "count.outs",
-    "details.code": "details.code",
-    "details.isStrike": "details.isStrike",
-    "details.isBall": "details.isBall",
-    "details.isInPlay": "details.isInPlay",
-    "details.type.code": "details.type.code",
-    "details.type.description": "details.type.description",
-    "details.call.description": "details.call.description",
-    "pitchData.typeConfidence": "pitchData.typeConfidence",
-}
-AT_BAT_COLUMNS: dict[str, str] = {
-    "atBatIndex": "atBatIndex",
-    "result.event": "result.event",
-    "about.halfInning": "about.halfInning",
-    "count.balls.end": "count.balls",
-    "count.strikes.end": "count.strikes",
-    "count.outs.end": "count.outs",
-    "matchup.batter.id": "matchup.batter.id",
-    "matchup.batter.fullName": "matchup.batter.fullName",
-    "matchup.pitcher.id": "matchup.pitcher.id",
-    "matchup.pitcher.fullName": "matchup.pitcher.fullName",
-    "matchup.splits.menOnBase": "matchup.splits.menOnBase",
-}
 META_COLUMNS = {n: path for n, path in META_PATHS.items() if n != "game_status"}
 FLAG = "last.pitch.of.ab"
 
 
+def _leaf_paths(kind: T.StructType, prefix: str = "") -> list[str]:
+    """The paths of the scalar fields; lists are left out."""
+    out: list[str] = []
+    for field in kind.fields:
+        if isinstance(field.dataType, T.StructType):
+            out += _leaf_paths(field.dataType, f"{prefix}{field.name}.")
+        elif not isinstance(field.dataType, (T.ArrayType, T.MapType)):
+            out.append(prefix + field.name)
+    return out
+
+
+def _play_columns(plays: T.ArrayType) -> tuple[dict[str, str], dict[str, str]]:
+    """Path inside an event, and inside an at-bat, by output name, as the schema has them.
+
+    The counts, which both have, become start and end; other common names get .x and .y.
+    """
+    at_bat = plays.elementType
+    events = _leaf_paths(at_bat["playEvents"].dataType.elementType)
+    at_bats = [p for p in _leaf_paths(at_bat) if p != "playEndTime"]
+    common = set(events) & set(at_bats)
+
+    def name(path: str, count: str, other: str) -> str:
+        return path if path not in common else path + (count if path.startswith("count.") else other)
+
+    return {name(p, ".start", ".x"): p for p in events}, {name(p, ".end", ".y"): p for p in at_bats}
+
+
+def _path(element: str, path: str) -> str:
+    return ".".join([element, *[q(step) for step in path.split(".")]])
+
+
 def _fields(element: str, columns: dict[str, str]) -> list[str]:
-    return [f"{element}.{path} AS {q(name)}" for name, path in columns.items()]
+    return [f"{_path(element, path)} AS {q(name)}" for name, path in columns.items()]
 
 
 def _struct(element: str, columns: dict[str, str]) -> str:
-    return "named_struct(" + ", ".join(f"'{name}', {element}.{path}" for name, path in columns.items()) + ")"
+    return "named_struct(" + ", ".join(f"'{name}', {_path(element, path)}" for name, path in columns.items()) + ")"
 
 
 def _by_parent(games: DataFrame, carried: list[str], flag_nulls: str) -> DataFrame:
     """Events with the fields of the at-bat they sit in: two explodes, no shuffle."""
+    event_columns, at_bat_columns = _play_columns(games.schema["_plays"].dataType)
     last = "array_max(transform(_ab.playEvents, e -> e.pitchNumber))"
     if flag_nulls == "propagate":
         last = f"if(exists(_ab.playEvents, e -> e.pitchNumber IS NULL), NULL, {last})"
@@ -73,14 +76,14 @@ def _by_parent(games: DataFrame, carried: list[str], flag_nulls: str) -> DataFra
     # Events of the at-bats before this one, so that positions run through the game.
     per_at_bat = at_bats.selectExpr(
         *carried, "aggregate(slice(_sizes, 1, _i), 0, (total, n) -> total + n) AS _before",
-        *_fields("_ab", AT_BAT_COLUMNS), f"{last} AS _last", "_ab.playEvents AS _events",
+        *_fields("_ab", at_bat_columns), f"{last} AS _last", "_ab.playEvents AS _events",
     )
-    fields = [q(n) for n in AT_BAT_COLUMNS]
+    fields = [q(n) for n in at_bat_columns]
     rows = per_at_bat.selectExpr(*carried, "_before", *fields, "_last", "posexplode(_events) AS (_j, _e)")
     flag = """CASE WHEN _e.pitchNumber = _last THEN 'true'
                    WHEN _last IS NOT NULL AND _e.pitchNumber IS NOT NULL THEN 'false' END"""
     return rows.selectExpr(
-        *carried, "_before + _j AS event_pos", *_fields("_e", EVENT_COLUMNS), *fields, f"{flag} AS {q(FLAG)}"
+        *carried, "_before + _j AS event_pos", *_fields("_e", event_columns), *fields, f"{flag} AS {q(FLAG)}"
     )
 
 
@@ -91,16 +94,17 @@ def _by_end_time(games: DataFrame, carried: list[str], doc_keys: list[str], flag
     document and takes neither a second parse nor a shuffle. The fill and the
     flag share one shuffle on the document.
     """
-    matches = f"""transform(filter(_plays, b -> b.playEndTime <=> e.endTime), b -> {_struct("b", AT_BAT_COLUMNS)})"""
+    event_columns, at_bat_columns = _play_columns(games.schema["_plays"].dataType)
+    matches = f"""transform(filter(_plays, b -> b.playEndTime <=> e.endTime), b -> {_struct("b", at_bat_columns)})"""
     events = f"""flatten(transform(filter(_plays, ab -> ab.playEvents IS NOT NULL),
-        ab -> transform(ab.playEvents, e -> named_struct('e', {_struct("e", EVENT_COLUMNS)}, 'm', {matches}))))"""
+        ab -> transform(ab.playEvents, e -> named_struct('e', {_struct("e", event_columns)}, 'm', {matches}))))"""
     stacked = games.selectExpr(*carried, f"posexplode({events}) AS (event_pos, _x)")
     joined = stacked.selectExpr(*carried, "event_pos", "_x.e AS _e", "posexplode_outer(_x.m) AS (_match, _ab)")
     flat = joined.selectExpr(
         *carried, "event_pos", "coalesce(_match, 0) AS _match",
-        *[f"_e.{q(n)} AS {q(n)}" for n in EVENT_COLUMNS], *[f"_ab.{q(n)} AS {q(n)}" for n in AT_BAT_COLUMNS],
+        *[f"_e.{q(n)} AS {q(n)}" for n in event_columns], *[f"_ab.{q(n)} AS {q(n)}" for n in at_bat_columns],
     )
-    filled = fill_up(flat, list(AT_BAT_COLUMNS), doc_keys, ["event_pos", "_match"])
+    filled = fill_up(flat, list(at_bat_columns), doc_keys, ["event_pos", "_match"])
     return last_of_group_flag(filled, "pitchNumber", [*doc_keys, "atBatIndex"], FLAG, flag_nulls)
 
 
@@ -134,6 +138,9 @@ def normalise_game(
     key of a shuffle must come out the same when a task is run again. Equal
     documents may share a key, as their rows fill each other with equal values.
     ``ordered`` sorts by game, then latest at-bat and pitch first.
+
+    The table has all scalar fields of events and at-bats that the schema of
+    ``feed`` names: the standard ones first, then any extra ones.
     """
     feed, doc_keys = _with_doc_keys(feed, doc_keys)
     extra = [k for k in doc_keys if k != "game_pk"]
@@ -148,7 +155,8 @@ def normalise_game(
         raise ValueError("attach must be 'reference' or 'parent'")
     sides = side_columns(c("about.halfInning"), F.col("home_team"), F.col("away_team"))
     rows = rows.withColumns({"game_date": date_prefix(F.col("date_time")), **sides})
-    out = rows.selectExpr(*[q(n) for n in PBP])
+    working = {*carried, "_match", *PBP}
+    out = rows.selectExpr(*[q(n) for n in PBP], *[q(n) for n in rows.columns if n not in working])
     return sort_plays(out) if ordered else out
 
 

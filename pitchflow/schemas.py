@@ -6,6 +6,8 @@ games, and turns a game's duration such as ``3:06`` into a timestamp.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -24,25 +26,58 @@ CORRUPT = "_corrupt_record"
 
 # --- nested documents -------------------------------------------------------
 
-_TEAM = "STRUCT<name: STRING, sport: STRUCT<id: BIGINT, name: STRING>, league: STRUCT<id: BIGINT, name: STRING>>"
-_COUNT = "STRUCT<balls: INT, strikes: INT, outs: INT>"
-_PERSON = "STRUCT<id: BIGINT, fullName: STRING>"
-_EVENT = f"""STRUCT<
-    type: STRING, pitchNumber: INT, endTime: STRING, count: {_COUNT},
-    details: STRUCT<code: STRING, isStrike: BOOLEAN, isBall: BOOLEAN, isInPlay: BOOLEAN,
-                    type: STRUCT<code: STRING, description: STRING>, call: STRUCT<description: STRING>>,
-    pitchData: STRUCT<typeConfidence: DOUBLE>>"""
-_AT_BAT = f"""STRUCT<
-    atBatIndex: INT, playEndTime: STRING, result: STRUCT<event: STRING>, about: STRUCT<halfInning: STRING>,
-    count: {_COUNT},
-    matchup: STRUCT<batter: {_PERSON}, pitcher: {_PERSON}, splits: STRUCT<menOnBase: STRING>>,
-    pitchIndex: ARRAY<INT>, playEvents: ARRAY<{_EVENT}>>"""
-
-# One game document. game_pk is stamped on the record when it is landed.
-FEED = f"""game_pk BIGINT,
-    gameData STRUCT<datetime: STRUCT<dateTime: STRING>, status: STRUCT<abstractGameState: STRING>,
-                    teams: STRUCT<home: {_TEAM}, away: {_TEAM}>>,
-    liveData STRUCT<plays: STRUCT<allPlays: ARRAY<{_AT_BAT}>, currentPlay: STRUCT<atBatIndex: INT>>>"""
+# Paths inside one event and inside one at-bat, with their types.
+EVENT_PATHS: dict[str, str] = {
+    "type": "STRING", "pitchNumber": "INT", "endTime": "STRING",
+    "count.balls": "INT", "count.strikes": "INT", "count.outs": "INT",
+    "details.code": "STRING", "details.isStrike": "BOOLEAN", "details.isBall": "BOOLEAN", "details.isInPlay": "BOOLEAN",
+    "details.type.code": "STRING", "details.type.description": "STRING", "details.call.description": "STRING",
+    "pitchData.typeConfidence": "DOUBLE",
+}
+AT_BAT_PATHS: dict[str, str] = {
+    "atBatIndex": "INT", "playEndTime": "STRING", "result.event": "STRING", "about.halfInning": "STRING",
+    "count.balls": "INT", "count.strikes": "INT", "count.outs": "INT",
+    "matchup.batter.id": "BIGINT", "matchup.batter.fullName": "STRING",
+    "matchup.pitcher.id": "BIGINT", "matchup.pitcher.fullName": "STRING",
+    "matchup.splits.menOnBase": "STRING", "pitchIndex": "ARRAY<INT>",
+}
+
+
+def struct_ddl(paths: Mapping[str, str]) -> str:
+    """``{"a": "INT", "b.c": "STRING"}`` as a nested struct type."""
+    tree: dict = {}
+    for path, kind in paths.items():
+        *parents, leaf = path.split(".")
+        node = tree
+        for name in parents:
+            node = node.setdefault(name, {})
+        node[leaf] = kind
+
+    def render(node) -> str:
+        if isinstance(node, str):
+            return node
+        return "STRUCT<" + ", ".join(f"{q(name)}: {render(child)}" for name, child in node.items()) + ">"
+
+    return render(tree)
+
+
+def feed_schema(event_extra: Mapping[str, str] = {}, at_bat_extra: Mapping[str, str] = {}) -> str:
+    """One game document. game_pk is stamped on the record when it is landed.
+
+    A live feed has many more fields than the ones used here; those wanted in
+    the play-by-play table are named by their paths, for instance
+    ``event_extra={"pitchData.startSpeed": "DOUBLE"}``.
+    """
+    team = {"name": "STRING", "sport.id": "BIGINT", "sport.name": "STRING", "league.id": "BIGINT", "league.name": "STRING"}
+    at_bat = AT_BAT_PATHS | dict(at_bat_extra)
+    at_bat["playEvents"] = f"ARRAY<{struct_ddl(EVENT_PATHS | dict(event_extra))}>"
+    game = {"datetime.dateTime": "STRING", "status.abstractGameState": "STRING"}
+    game |= {f"teams.{side}.{path}": kind for side in ("home", "away") for path, kind in team.items()}
+    live = {"plays.allPlays": f"ARRAY<{struct_ddl(at_bat)}>", "plays.currentPlay.atBatIndex": "INT"}
+    return f"game_pk BIGINT, gameData {struct_ddl(game)}, liveData {struct_ddl(live)}"
+
+
+FEED = feed_schema()
 
 SCHEDULE = """dates ARRAY<STRUCT<date: STRING,
     games: ARRAY<STRUCT<gamePk: BIGINT, status: STRUCT<abstractGameState: STRING>>>>>"""
@@ -109,7 +144,7 @@ def _pitch_type(name: str) -> str:
     return "DOUBLE"
 
 
-def ddl(columns: dict[str, str]) -> str:
+def ddl(columns: Mapping[str, str]) -> str:
     return ", ".join(f"{q(name)} {kind}" for name, kind in columns.items())
 
 

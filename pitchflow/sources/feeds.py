@@ -32,15 +32,18 @@ def parse_documents(df: DataFrame, text: str | Column, schema: str, keep: tuple[
 DOC_ID = "doc_id"
 
 
-def parse_feed(df: DataFrame, text: str | Column = "value", errors: str = "drop", keep: tuple[str, ...] = ()):
+def parse_feed(
+    df: DataFrame, text: str | Column = "value", errors: str = "drop", keep: tuple[str, ...] = (), schema: str = FEED
+):
     """Game documents from JSON text.
 
     ``errors``: ``"drop"`` returns the good documents; ``"keep"`` all of them
     with ``status`` ok / error and the broken text; ``"split"`` a pair of good
     documents and error table. A document without ``game_pk`` is an error.
-    ``keep`` carries columns of ``df`` along.
+    ``keep`` carries columns of ``df`` along; ``schema`` may have more fields,
+    see :func:`pitchflow.schemas.feed_schema`.
     """
-    parsed = parse_documents(df, text, FEED, keep)
+    parsed = parse_documents(df, text, schema, keep)
     bad = F.col(CORRUPT).isNotNull() | F.col("game_pk").isNull()
     if errors == "keep":
         return parsed.withColumn("status", F.when(bad, "error").otherwise("ok"))
@@ -53,15 +56,15 @@ def parse_feed(df: DataFrame, text: str | Column = "value", errors: str = "drop"
     raise ValueError("errors must be 'drop', 'keep' or 'split'")
 
 
-def read_feed(spark: SparkSession, path: str, errors: str = "drop", whole_files: bool = False):
-    """Landed game documents with a row id; see :func:`parse_feed` for ``errors``.
+def read_feed(spark: SparkSession, path: str, errors: str = "drop", whole_files: bool = False, schema: str = FEED):
+    """Landed game documents with a row id; see :func:`parse_feed` for ``errors`` and ``schema``.
 
     The id is given right at the scan of unchanging files, so a task that is run
     again gives the same ids.
     """
     texts = spark.read.text(path, wholetext=whole_files)
     texts = texts.where(F.length("value") > 0).withColumn(DOC_ID, F.monotonically_increasing_id())
-    return parse_feed(texts, "value", errors, (DOC_ID,))
+    return parse_feed(texts, "value", errors, (DOC_ID,), schema)
 
 
 def schedule_games(documents: DataFrame) -> DataFrame:

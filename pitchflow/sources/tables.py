@@ -150,9 +150,12 @@ def write_pbp(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     )
 
 
-def read_pbp(spark: SparkSession, path: str) -> DataFrame:
-    """The season table; the schema keeps the partition column ``game_date`` a text."""
-    return spark.read.schema(ddl(schemas.PBP)).parquet(path)
+def read_pbp(spark: SparkSession, path: str, extra: Mapping[str, str] = {}) -> DataFrame:
+    """The season table, with ``extra`` columns if it was made with more fields.
+
+    The schema keeps the partition column ``game_date`` a text.
+    """
+    return spark.read.schema(ddl(schemas.PBP | dict(extra))).parquet(path)
 
 
 def write_sample(df: DataFrame, path: str, order: Sequence[str], rows: int = 10, index: bool = True) -> None:

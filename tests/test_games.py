@@ -5,7 +5,7 @@ import pytest
 from games import expected, game, lines
 
 from pitchflow.plans.games import normalise_game, season_games, season_pbp, sort_plays
-from pitchflow.schemas import PBP
+from pitchflow.schemas import PBP, feed_schema
 from pitchflow.sources.feeds import parse_feed, read_feed, read_schedule
 from pitchflow.sources.tables import read_pbp, write_pbp
 
@@ -21,7 +21,7 @@ def key(rows, names):
 @pytest.mark.parametrize("attach", ["reference", "parent"])
 @pytest.mark.parametrize("clean", [True, False])
 def test_normalise_matches_brute_force(spark, attach, clean):
-    docs = [game(pk, seed=3, clean=clean) for pk in range(1, 7)]
+    docs = [game(pk, seed=3, clean=clean) for pk in range(1, 61)]
     got = [r.asDict() for r in normalise_game(docs_df(spark, docs), attach).collect()]
     want = [row for d in docs for row in expected(d, attach)]
     assert key(got, want[0].keys()) == key(want, want[0].keys())
@@ -56,6 +56,27 @@ def test_flag_ignoring_nulls(spark):
         assert all((r["last.pitch.of.ab"] is None) == (r["pitchNumber"] is None) for r in rows)
 
 
+def test_extra_fields(spark, tmp_path):
+    doc = game(1, clean=True)
+    for i, play in enumerate(doc["liveData"]["plays"]["allPlays"]):
+        play["about"]["inning"], play["note"] = 1 + i // 6, f"p{i}"
+        for e in play["playEvents"]:
+            e["pitchData"]["startSpeed"], e["note"] = 90.5, "e"
+    schema = feed_schema({"pitchData.startSpeed": "DOUBLE", "note": "STRING"}, {"about.inning": "INT", "note": "STRING"})
+    (tmp_path / "f.jsonl").write_text(lines([doc])[0])
+    feed = read_feed(spark, str(tmp_path), schema=schema)
+    for attach in ("reference", "parent"):
+        pbp = normalise_game(feed, attach)
+        assert pbp.columns == [*PBP, "pitchData.startSpeed", "note.x", "about.inning", "note.y"]
+        for r in pbp.collect():
+            assert (r["pitchData.startSpeed"], r["note.x"]) == (90.5, "e")
+            assert (r["about.inning"], r["note.y"]) == (1 + r.atBatIndex // 6, f"p{r.atBatIndex}")
+    out = str(tmp_path / "out")
+    write_pbp(pbp, out)
+    extra = {"pitchData.startSpeed": "DOUBLE", "about.inning": "INT"}
+    assert read_pbp(spark, out, extra).where("`about.inning` = 2 and `pitchData.startSpeed` > 90").count() > 0
+
+
 def test_order(spark):
     rows = normalise_game(docs_df(spark, [game(1), game(2)]), ordered=True).collect()
     low = 10**9
