@@ -24,7 +24,9 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self._folder}/{name}.parquet")
+        table = self.spark.read.parquet(f"{self._folder}/{name}.parquet")
+        setattr(self, name, table)
+        return table
 
 
 CATALOG: dict[str, Query] = {}

@@ -111,6 +111,14 @@ def test_left_join(spark, hot):
          (2, "b", 5, 12, "p"), (2, "b", 5, 13, "q")], out.schema))
 
 
+@pytest.mark.parametrize("hot", [None, 2])
+def test_join_of_a_table_with_itself(spark, hot):
+    df = spark.createDataFrame([(1, "a"), (2, "a"), (3, "a"), (4, "b"), (5, None), (6, None)], "n INT, k STRING")
+    out = left_join_suffixed(df, df.where("n <> 4").withColumnRenamed("k", "rk"), [("k", "rk")], hot_right_rows=hot)
+    want = [(a, x, b) for a, x in df.collect() for b, y in df.collect() if x == y and b != 4] + [(4, "b", None)]
+    assert rows(out) == sorted(want, key=repr)
+
+
 def test_join_same_key_name(spark):
     left = spark.createDataFrame([(1, 5), (2, 6)], "k INT, v INT")
     right = spark.createDataFrame([(1, 7)], "k INT, v INT")
