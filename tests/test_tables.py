@@ -1,7 +1,5 @@
 import datetime as dt
 
-import pytest
-from pyspark.sql import functions as F
 
 from pitchflow import schemas
 from pitchflow.functions.batting import batting_ratios
