@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchflow.llm import bpe_chunks, line_dedup, mixing, quality_classifier
+from pitchflow.llm import bpe_chunks, chosen_path, line_dedup, mixing, quality_classifier
 from pitchflow.llm.common import quoted, read, shared_folder
 
 
@@ -33,6 +33,11 @@ def with_length(docs: DataFrame, columns: list[str]) -> DataFrame:
     return docs.select(*[length if n == "n_chars" else F.col(quoted(n)) for n in columns])
 
 
+def keep_one(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """One document of each class of near copies stays, the one with the least id."""
+    return chosen_path.one_of_each_class(docs, chosen_path.similarity_join(docs)).select(*[quoted(n) for n in docs.columns])
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """The mixture by source weights; a document stands in it as often as it is drawn."""
     return mixing.mixture(mixing.mix(docs)).select(*[quoted(n) for n in docs.columns])
@@ -45,7 +50,8 @@ def encode(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 STAGES: list[tuple[str, Stage]] = [
-    ("quality_classifier", keep_good), ("line_dedup", drop_lines), ("mixture", mix_sources), ("bpe", encode),
+    ("quality_classifier", keep_good), ("line_dedup", drop_lines), ("chosen_path", keep_one), ("mixture", mix_sources),
+    ("bpe", encode),
 ]
 
 #: A trained classifier and a tokenizer can't be stated in SQL; tests hold the stages against brute force.

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchflow.llm import bpe_chunks, line_dedup, mixing, quality_classifier, quality_rules, token_store
+from pitchflow.llm import (
+    bpe_chunks, chosen_path, line_dedup, mixing, paragraph_dedup, quality_classifier, quality_rules, repeated_bytes, token_store,
+)
 from pitchflow.llm.common import read, shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +21,13 @@ def query(f: Callable[[SparkSession, str], DataFrame]):
     return f
 
 
+@query
+def op1_paragraph_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder).select("doc_id", "text")
+    out = paragraph_dedup.drop_paragraphs(docs)
+    return out.withColumn("removed", F.col("n_removed") > 0).withColumnRenamed("text", "kept_text")
+
+
 @query
 def op2_token_store(spark: SparkSession, folder: str) -> DataFrame:
     out = shared_folder(spark)
@@ -31,12 +40,22 @@ def op3_line_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.clean_lines(read(spark, folder).select("doc_id", "text"), clean_text=False)
 
 
+@query
+def op5_repeated_bytes(spark: SparkSession, folder: str) -> DataFrame:
+    return repeated_bytes.remove_repeats(read(spark, folder).select("doc_id", "text"), kept=False)
+
+
 @query
 def op6_mixture(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix(read(spark, folder).select("doc_id", "source", "text"))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.size("draws")).alias("taken"))
 
 
+@query
+def op7_chosen_path(spark: SparkSession, folder: str) -> DataFrame:
+    return chosen_path.similarity_join(read(spark, folder).select("doc_id", "text"))
+
+
 @query
 def op8_chunk_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe_chunks.transcode(read(spark, folder).select("doc_id", "text"), ("n_tokens", "ids_sha256", "decoded_sha256"))
