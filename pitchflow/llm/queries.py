@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitchflow.llm import (
-    bpe_chunks, chosen_path, line_dedup, mixing, paragraph_dedup, quality_classifier, quality_rules, repeated_bytes, token_store,
+    bpe_chunks, chosen_path, fingerprints, line_dedup, mixing, paragraph_dedup, quality_classifier, quality_rules, repeated_bytes, token_store,
 )
 from pitchflow.llm.common import read, shared_folder
 
@@ -40,6 +40,11 @@ def op3_line_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.clean_lines(read(spark, folder).select("doc_id", "text"), clean_text=False)
 
 
+@query
+def op4_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.compare_with_edits(read(spark, folder).select("doc_id", "text"))
+
+
 @query
 def op5_repeated_bytes(spark: SparkSession, folder: str) -> DataFrame:
     return repeated_bytes.remove_repeats(read(spark, folder).select("doc_id", "text"), kept=False)
