@@ -27,7 +27,9 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 @lru_cache(maxsize=2)
 def _powers(n: int) -> np.ndarray:
-    return np.cumprod(np.concatenate([[1], np.full(n - 1, _BASE, np.uint64)]).astype(np.uint64))
+    out = np.full(n, _BASE, np.uint64)
+    out[0] = 1
+    return np.cumprod(out, dtype=np.uint64)
 
 
 def word_hashes(texts: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
