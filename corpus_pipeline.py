@@ -12,18 +12,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitchflow.llm import bpe_chunks, chosen_path, line_dedup, mixing, quality_classifier
-from pitchflow.llm.common import quoted, read, shared_folder
+from pitchflow.llm.common import fresh, quoted, read, shared_folder
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents that the attention model predicts to be of quality; the others go."""
     model = quality_classifier.fit(docs, read(spark, folder, "labels"))
-    return quality_classifier.score(docs, model).where("predicted = 1").select(*[quoted(n) for n in docs.columns])
+    names = fresh(docs, "score", "predicted")
+    return quality_classifier.score(docs, model, names=tuple(names)).where(f"{names[1]} = 1").select(*[quoted(n) for n in docs.columns])
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Lines that stand in five documents or more stay in one; ``n_chars`` follows the text."""
-    cleaned = line_dedup.drop_repeated_lines(docs, line_dedup.LineIndex.build(docs, min_docs=5, min_chars=40))
+    index = line_dedup.LineIndex.build(docs, min_docs=5, min_chars=40)
+    cleaned = line_dedup.drop_repeated_lines(docs, index, names=tuple(fresh(docs, "n_lines", "n_dropped")))
     return with_length(cleaned, docs.columns)
 
 
@@ -40,7 +42,9 @@ def keep_one(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 def mix_sources(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """The mixture by source weights; a document stands in it as often as it is drawn."""
-    return mixing.mixture(mixing.mix(docs)).select(*[quoted(n) for n in docs.columns])
+    # The whole row goes along as one column, so no name of a document's columns meets one of the operator's.
+    rows = docs.select("doc_id", "source", mixing.word_count(F.col("text")).alias("words"), F.struct("*").alias("row"))
+    return mixing.mixture(mixing.mix(rows, size=F.col("words"))).select("row.*")
 
 
 def encode(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

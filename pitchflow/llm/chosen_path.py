@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitchflow.llm.common import components, digest, stored
+from pitchflow.llm.common import components, digest, fresh, stored
 from pitchflow.llm.shingles import linked, minhashes, shingle_hashes, shingle_sets
 
 THRESHOLD = 0.8
@@ -133,8 +133,9 @@ def similarity_join(
 
 def one_of_each_class(docs: DataFrame, joined: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` that stand for their class: the least id, one row of it."""
-    stays = joined.where("doc_id <=> class_id").select(F.col("doc_id").alias("_stays"), F.col("text_id").alias("_text")).distinct()
+    stays_id, stays_text, nth = fresh(docs, "_stays", "_stays_text", "_nth")
+    stays = joined.where("doc_id <=> class_id").select(F.col("doc_id").alias(stays_id), F.col("text_id").alias(stays_text)).distinct()
     key = F.lower(F.hex(digest(F.coalesce(F.col(text), F.lit("")))))
-    met = docs.join(stays, F.col(doc_id).eqNullSafe(F.col("_stays")) & (key == F.col("_text")))
-    ranked = met.selectExpr("*", "row_number() OVER (PARTITION BY _stays, _text ORDER BY 1) AS _nth")
-    return ranked.where("_nth = 1").drop("_stays", "_text", "_nth")
+    met = docs.join(stays, F.col(doc_id).eqNullSafe(F.col(stays_id)) & (key == F.col(stays_text)))
+    ranked = met.selectExpr("*", f"row_number() OVER (PARTITION BY {stays_id}, {stays_text} ORDER BY 1) AS {nth}")
+    return ranked.where(f"{nth} = 1").drop(stays_id, stays_text, nth)

@@ -239,8 +239,10 @@ class LineIndex:
         return hit.groupBy("doc").agg(F.collect_set("key").alias("keys"))
 
 
-def drop_repeated_lines(docs: DataFrame, index: LineIndex, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """``docs`` with the lines gone that ``index`` gives to another document, and ``n_lines`` and ``n_dropped``."""
+def drop_repeated_lines(
+    docs: DataFrame, index: LineIndex, text: str = "text", doc_id: str = "doc_id", names: tuple[str, str] = ("n_lines", "n_dropped"),
+) -> DataFrame:
+    """``docs`` with the lines gone that ``index`` gives to another document, and ``n_lines`` and ``n_dropped``, or what ``names`` calls them."""
     gone_id, gone, lines, left = fresh(docs, "gone_id", "gone", "lines", "left")
     dropped = index.dropped().select(F.col("doc").alias(gone_id), F.col("keys").alias(gone))
     joined = docs.join(dropped, F.col(doc_id) == F.col(gone_id), "left").withColumn(
@@ -254,6 +256,6 @@ def drop_repeated_lines(docs: DataFrame, index: LineIndex, text: str = "text", d
     ))
     out = joined.withColumn(left, stays)
     n_lines, n_left = F.size(lines).cast("long"), F.size(left).cast("long")
-    kept = [F.col(quoted(n)) for n in docs.columns if n not in (text, "n_lines", "n_dropped")]
+    kept = [F.col(quoted(n)) for n in docs.columns if n not in (text, *names)]
     whole = F.when(F.col(gone).isNull(), F.col(text)).otherwise(F.array_join(left, "\n"))
-    return out.select(*kept, whole.alias(text), n_lines.alias("n_lines"), (n_lines - n_left).alias("n_dropped"))
+    return out.select(*kept, whole.alias(text), n_lines.alias(names[0]), (n_lines - n_left).alias(names[1]))

@@ -126,10 +126,10 @@ def mix(
     """
     words = word_count(F.col("text")) if size is None else size
     names = [quoted(n) for n in docs.columns if n not in ("size", "source_size", "target", "draws")]
-    h, b, at, key = fresh(docs, "_h", "_b", "_at", "_key")
+    h, b, at, key, words_of = fresh(docs, "_mix_h", "_mix_b", "_mix_at", "_mix", "_mix_words")
     hashed = F.xxhash64(F.lit(seed), F.col(doc_id))
-    wide = docs.withColumn("size", words).withColumn(h, hashed).withColumn(b, F.pmod(h, F.lit(buckets)))
-    narrow = stored(wide.selectExpr(f"{quoted(doc_id)} AS _id", f"{quoted(source)} AS source", "size", f"{h} AS _h", f"{b} AS _b"))
+    wide = docs.withColumn(words_of, words).withColumn(h, hashed).withColumn(b, F.pmod(h, F.lit(buckets)))
+    narrow = stored(wide.selectExpr(f"{quoted(doc_id)} AS _id", f"{quoted(source)} AS source", f"{words_of} AS size", f"{h} AS _h", f"{b} AS _b"))
 
     sums = stored(narrow.groupBy("source", "_b").agg(F.sum("size").alias("size")))
     running = "(PARTITION BY source ORDER BY _b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
@@ -139,22 +139,22 @@ def mix(
         "if(target <= 0, 0L, bigint(floor(target / source_size))) AS full",
     ).withColumn("part", F.expr("target - full * source_size")))
 
-    def placed(rows: DataFrame, plan: DataFrame, by: str, bucket: str, order: str) -> DataFrame:
-        """``rows`` with their place in the source's order and the columns of ``plan``."""
+    def placed(rows: DataFrame, plan: DataFrame, by: str, bucket: str, order: str, n: str) -> DataFrame:
+        """``rows`` with their place in the source's order and the columns of ``plan``, all under new names."""
         info = starts.alias("x").join(plan.alias("p"), F.expr("x.source <=> p.source")).selectExpr(
-            f"x.source AS {key}", f"x._b AS {key}_b", "_start", *[f"p.{n} AS _{n}" for n in plan.columns if n != "source"]
+            f"x.source AS {key}_s", f"x._b AS {key}_c", f"_start AS {key}_start", *[f"p.{n} AS {key}_{n}" for n in plan.columns if n != "source"]
         )
-        inside = f"(PARTITION BY {by}, {bucket} ORDER BY {order}, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
-        out = rows.selectExpr("*", f"coalesce(sum(size) OVER {inside}, 0L) AS {at}")
+        inside = f"(PARTITION BY {by}, {bucket} ORDER BY {order}, {n} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+        out = rows.selectExpr("*", f"coalesce(sum({n}) OVER {inside}, 0L) AS {at}")
         # A row per (source, bucket) on the right; the left side is large, and its hot sources are many buckets.
-        same = F.expr(f"{by} <=> {key} AND {bucket} = {key}_b")
-        return out.join(info, same, "left").withColumn(at, F.col("_start") + F.col(at))
+        same = F.expr(f"{by} <=> {key}_s AND {bucket} = {key}_c")
+        return out.join(info, same, "left").withColumn(at, F.col(f"{key}_start") + F.col(at))
 
     # The part of an epoch that is left over takes the documents that end before it does, and then, ``FILLERS`` times, the largest other
     # one that still fits; the last time the one that comes nearest.
-    order = stored(placed(narrow, targets, "source", "_b", "_h, _id").where("size > 0 AND _part > 0"))
+    order = stored(placed(narrow, targets, "source", "_b", "_h, _id", "size").where(f"size > 0 AND {key}_part > 0"))
     fill = order.groupBy("source").agg(
-        F.max(F.expr(f"if({at} + size <= _part, {at} + size, 0L)")).alias("got"), F.max("_part").alias("part"),
+        F.max(F.expr(f"if({at} + size <= {key}_part, {at} + size, 0L)")).alias("got"), F.max(f"{key}_part").alias("part"),
         F.expr("cast(array() AS array<bigint>)").alias("fillers"),
     )
     for turn in range(FILLERS):
@@ -181,19 +181,19 @@ def mix(
     )
     plan = stored(filled.alias("t").join(F.broadcast(ends).alias("e"), F.expr("t.source <=> e.source"), "left").selectExpr("t.*", "e.ends"))
 
-    joined = placed(wide, plan, quoted(source), b, f"{h}, {quoted(doc_id)}")
-    epochs = f"if(size = 0 OR _target <= 0, 0, int(_full) + int(_part > 0 AND ({at} + size <= _part OR array_contains(_fillers, {at}))))"
-    block = f"least(_quota - 1, bigint(floor((e * _source_size + {at}) / _target * _quota)))"
+    joined = placed(wide, plan, quoted(source), b, f"{h}, {quoted(doc_id)}", words_of)
+    more = f"{key}_part > 0 AND ({at} + {words_of} <= {key}_part OR array_contains({key}_fillers, {at}))"
+    epochs = f"if({words_of} = 0 OR {key}_target <= 0, 0, int({key}_full) + int({more}))"
+    block = f"least({key}_quota - 1, bigint(floor((e * {key}_source_size + {at}) / {key}_target * {key}_quota)))"
     # A one-to-one map of block numbers: the factor is a prime beyond any quota.
-    turned = f"pmod({block} * (2147483647L % _quota) + {seed}, _quota)"
-    shard = f"size(filter(_ends, x -> x <= {turned}))"
+    turned = f"pmod({block} * (2147483647L % {key}_quota) + {seed}, {key}_quota)"
+    shard = f"size(filter({key}_ends, x -> x <= {turned}))"
     draws = f"transform(if({epochs} = 0, cast(array() AS array<int>), sequence(0, {epochs} - 1)), e -> named_struct('epoch', e, 'shard', {shard}, 'block', {turned}))"
-    return joined.selectExpr(*names, "size", "_source_size AS source_size", "_target AS target", f"{draws} AS draws")
+    return joined.selectExpr(*names, f"{words_of} AS size", f"{key}_source_size AS source_size", f"{key}_target AS target", f"{draws} AS draws")
 
 
 def mixture(mixed: DataFrame, doc_id: str = "doc_id", seed: int = SEED) -> DataFrame:
-    """The mixture itself: one row per draw, shards apart and each in its own random order."""
-    rows = mixed.select("*", F.explode("draws").alias("_d")).drop("draws")
-    rows = rows.select("*", "_d.epoch", "_d.shard", "_d.block").drop("_d")
-    order = F.xxhash64(F.lit(seed), F.col("shard"), F.col("epoch"), F.col(doc_id))
-    return rows.repartition("shard", "block").sortWithinPartitions("shard", order)
+    """The mixture itself: one row per draw with its ``draw`` instead of ``draws``, shards apart and each in its own random order."""
+    rows = mixed.select(*[quoted(n) for n in mixed.columns if n not in ("draw", "draws")], F.explode("draws").alias("draw"))
+    order = F.xxhash64(F.lit(seed), F.col("draw.shard"), F.col("draw.epoch"), F.col(doc_id))
+    return rows.repartition("draw.shard", "draw.block").sortWithinPartitions("draw.shard", order)

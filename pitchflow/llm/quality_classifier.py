@@ -202,12 +202,12 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "d
     return fit_bags(bags, np.array([r.label for r in got]))
 
 
-def score(docs: DataFrame, model: Model, text: str = "text", threshold: float = THRESHOLD, keep_text: bool = True) -> DataFrame:
-    """``docs`` with ``score`` and ``predicted``."""
-    out = ("score", "predicted") if keep_text else ("score", "predicted", text)
+def score(docs: DataFrame, model: Model, text: str = "text", threshold: float = THRESHOLD, keep_text: bool = True, names: tuple[str, str] = ("score", "predicted")) -> DataFrame:
+    """``docs`` with ``score`` and ``predicted``, or what ``names`` calls them."""
+    out = names if keep_text else (*names, text)
     passed = [n for n in docs.columns if n not in out]
     kept = docs.select(*[F.col(quoted(n)) for n in passed], F.coalesce(F.col(text), F.lit("")).alias("_text_scored"))
-    schema = T.StructType([*[docs.schema[n] for n in passed], T.StructField("score", T.DoubleType())])
+    schema = T.StructType([*[docs.schema[n] for n in passed], T.StructField(names[0], T.DoubleType())])
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -222,7 +222,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", threshold: float =
                     held, size = [], 0
             if batch.num_rows:
                 done = pa.array(np.concatenate(scores).astype(float))
-                yield pa.RecordBatch.from_arrays([*batch.columns[: len(passed)], done], names=[*passed, "score"])
+                yield pa.RecordBatch.from_arrays([*batch.columns[: len(passed)], done], names=[*passed, names[0]])
 
     got = kept.mapInArrow(scored, schema)
-    return got.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    return got.withColumn(names[1], (F.col(quoted(names[0])) >= threshold).cast("int"))
