@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pitchflow.llm.common import quoted
+from pitchflow.llm.common import fresh, quoted
 from pitchflow.llm.tokens import Encoder, default_path, encoder
 
 #: Bytes the rolling hash sees, a power of two, and the average length of a chunk, another.
@@ -170,4 +170,4 @@ def transcode(docs: DataFrame, outputs: Sequence[str] = ("n_tokens", "ids", "dec
             arrays = [pa.array(columns[n], _KINDS[n][1]) for n in outputs]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(passed)], *arrays], names=[*passed, *outputs])
 
-    return docs.select(*[F.col(quoted(n)) for n in passed], F.col(quoted(text)).alias("_text")).mapInArrow(coded, schema)
+    return docs.select(*[F.col(quoted(n)) for n in passed], F.col(quoted(text)).alias(fresh(docs, "_body")[0])).mapInArrow(coded, schema)

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pitchflow.llm.common import quoted
+from pitchflow.llm.common import fresh, quoted
 
 SAMPLE = 3000
 BAG = 64
@@ -206,7 +206,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", threshold: float =
     """``docs`` with ``score`` and ``predicted``, or what ``names`` calls them."""
     out = names if keep_text else (*names, text)
     passed = [n for n in docs.columns if n not in out]
-    kept = docs.select(*[F.col(quoted(n)) for n in passed], F.coalesce(F.col(text), F.lit("")).alias("_text_scored"))
+    kept = docs.select(*[F.col(quoted(n)) for n in passed], F.coalesce(F.col(text), F.lit("")).alias(fresh(docs, "_body")[0]))
     schema = T.StructType([*[docs.schema[n] for n in passed], T.StructField(names[0], T.DoubleType())])
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

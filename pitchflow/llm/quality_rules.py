@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pitchflow.llm.common import quoted
+from pitchflow.llm.common import fresh, quoted
 
 MIN_WORDS = 50
 MAX_LOST = 0.5
@@ -130,4 +130,4 @@ def clean_lines(docs: DataFrame, text: str = "text", limits: Limits = Limits(),
             columns = [pa.array([r[n] for r in rows], arrow[k]) for n, k in out]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(passed)], *columns], names=[*passed, *[n for n, _ in out]])
 
-    return docs.select(*[F.col(quoted(n)) for n in passed], F.col(quoted(text)).alias("_text")).mapInArrow(judged, schema)
+    return docs.select(*[F.col(quoted(n)) for n in passed], F.col(quoted(text)).alias(fresh(docs, "_body")[0])).mapInArrow(judged, schema)

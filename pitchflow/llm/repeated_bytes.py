@@ -169,14 +169,16 @@ def _merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _numbered(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
-    """``(doc, nth, text)``: the id, and a number that tells rows of one id with different texts apart."""
+def _numbered(docs: DataFrame, text: str, doc_id: str) -> tuple[DataFrame, DataFrame]:
+    """``(doc, nth, text)``: the id, and a number that tells rows of one id with different texts apart. First as documents, then for every row."""
     rows = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(_LEAST)).alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     if rows.groupBy("doc").count().where("count > 1").isEmpty():
-        return rows.select("doc", F.lit(0).alias("nth"), "text")
+        once = rows.select("doc", F.lit(0).alias("nth"), "text")
+        return once, once
     narrow = rows.select("doc", digest(F.col("text")).alias("key"))
     again = narrow.groupBy("doc", "key").count().selectExpr("doc", "key", "row_number() OVER (PARTITION BY doc ORDER BY key) - 1 AS nth")
-    return rows.withColumn("key", digest(F.col("text"))).join(again, ["doc", "key"]).select("doc", F.col("nth").cast("int").alias("nth"), "text")
+    every = rows.withColumn("key", digest(F.col("text"))).join(again, ["doc", "key"]).select("doc", F.col("nth").cast("int").alias("nth"), "text")
+    return every.dropDuplicates(["doc", "nth"]), every
 
 
 def covered(numbered: DataFrame, length: int = LENGTH, hot: int = HOT, k: int = K) -> DataFrame:
@@ -268,8 +270,8 @@ def covered(numbered: DataFrame, length: int = LENGTH, hot: int = HOT, k: int =
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT, text: str = "text", doc_id: str = "doc_id", kept: bool = True) -> DataFrame:
     """Per document ``doc_id, n_bytes, n_removed, n_spans, kept_sha256``, the removed ``spans`` and, if wanted, the ``kept`` bytes."""
-    numbered = _numbered(docs, text, doc_id)
-    joined = numbered.join(covered(numbered, length, hot), ["doc", "nth"], "left").select("doc", "nth", "text", "ranges")
+    numbered, every = _numbered(docs, text, doc_id)
+    joined = every.join(covered(numbered, length, hot), ["doc", "nth"], "left").select("doc", "nth", "text", "ranges")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans", "kept"][: 7 if kept else 6]
