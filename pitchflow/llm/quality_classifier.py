@@ -159,7 +159,7 @@ def fit_bags(bags: list[np.ndarray], labels: np.ndarray, steps: int = 400, batch
     """Adam on the cross entropy; the same bags and seed give the same model."""
     labels = np.asarray(labels, float)
     prior = float(labels.mean()) if len(labels) else 0.5
-    if not 0 < prior < 1:
+    if not len(labels) or not 0 < prior < 1:
         return Model(None, prior)
     rng = np.random.default_rng(seed)
     p = {
