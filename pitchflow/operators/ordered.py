@@ -4,82 +4,74 @@ A window puts each group in one task, which is right for groups that are small
 by nature (the events of one game) and wrong for a key that may hold a third of
 a large table. So every operator here takes an optional ``segment``: an integer
 expression that never decreases along the order and cuts a group into pieces of
-limited size, for instance ``event_id >> 20`` for a unique ``event_id``. Groups
-of more than ``max_rows`` rows are then worked piece by piece:
+limited size, for instance ``event_id >> 20`` for a unique ``event_id``. With it
+every group, large or small, is worked piece by piece:
 
-1. the keys of such groups are counted (at most rows / ``max_rows`` of them, so
-   the list is broadcast), and only their rows get a segment number;
-2. each of their segments is summarised in a partial aggregate, and what every
-   segment must know of its neighbours is worked out on those few summary rows;
-3. that knowledge enters the segment as one extra row at its edge, the window
-   runs over (group, segment), and the extra rows are dropped again.
+1. the table is dealt once by (group, segment);
+2. each piece is summarised to one row, and what a piece must know of the others
+   is worked out on these rows alone;
+3. that knowledge is joined to the piece, and the window runs inside the piece.
 
-The table itself is shuffled once, as for the plain window.
+There is no threshold: the plan and the result are the same at every size. Both
+uses of the table read the one shuffle. A missing segment, or one that decreases
+along the order, is an error when the query runs, never another result.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pitchflow.schemas import c, q
 
-MAX_ROWS = 5_000_000
-
 
 def _list(names: Sequence[str]) -> str:
     return ", ".join(q(n) for n in names)
 
 
-def _order(names: Sequence[str], first: str = "", how: str = "") -> str:
-    return ", ".join([*([first] if first else []), *[f"{q(n)} {how}".strip() for n in names]])
+def _order(names: Sequence[str], how: str = "") -> str:
+    return ", ".join(f"{q(n)} {how}".strip() for n in names)
 
 
 SO_FAR = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
 BEFORE = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
-# Extra rows stand before all others of their segment.
-EDGE = "_edge DESC"
-
-
-def _split_large(df: DataFrame, keys: Sequence[str], segment: Column, max_rows: int, stats: Sequence[Column] = ()):
-    """``df`` with ``_seg`` (NULL in groups of at most ``max_rows`` rows) and the
-    aggregates ``stats`` of the large groups."""
-    large = (
-        df.groupBy(*[c(k).alias(f"_k{i}") for i, k in enumerate(keys)])
-        .agg(F.count(F.lit(1)).alias("_n"), *stats)
-        .where(F.col("_n") > max_rows)
-        .withColumn("_n", F.lit(True))
-    )
-    same = reduce(lambda a, b: a & b, [c(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
-    joined = df.withColumn("_cut", segment.cast("long")).join(F.broadcast(large), same, "left")
-    return joined.withColumn("_seg", F.when(F.col("_n"), F.col("_cut"))).drop(
-        "_n", "_cut", *[f"_k{i}" for i in range(len(keys))]
-    )
-
-
-def _large(cut: DataFrame) -> DataFrame:
-    return cut.where("_seg IS NOT NULL")
+# A piece: its group (all keys, so that a missing key is a key like others) and its segment.
+PIECE = "_group, _seg"
+LATER = f"(PARTITION BY _of ORDER BY _nth DESC {BEFORE})"
+EARLIER = f"(PARTITION BY _of ORDER BY _nth {BEFORE})"
 
 
-def _with_edges(cut: DataFrame, edges: DataFrame) -> DataFrame:
-    return cut.selectExpr("*", "false AS _edge").unionByName(edges.selectExpr("*", "true AS _edge"), allowMissingColumns=True)
+def _pieces(df: DataFrame, keys: Sequence[str], segment: Column) -> DataFrame:
+    missing = F.raise_error(F.lit("the segment is missing in some row")).cast("long")
+    named = df.withColumn("_seg", F.coalesce(segment.cast("long"), missing))
+    return named.withColumn("_group", F.struct(*[c(k) for k in keys])).repartition("_group", "_seg")
 
 
-def _position(order: Sequence[str]) -> str:
-    return q(order[0]) if len(order) == 1 else f"struct({_list(order)})"
+def _informed(pieces: DataFrame, columns: Sequence[str], order: Sequence[str], stats: Sequence[Column], *carried: Sequence[str]) -> DataFrame:
+    """``pieces`` with the last of ``carried``, SQL over the pieces' ``stats`` and over the steps before it.
 
-
-def fill_up(
-    df: DataFrame,
-    columns: Sequence[str],
-    keys: Sequence[str],
-    order: Sequence[str],
-    segment: Column | None = None,
-    max_rows: int = MAX_ROWS,
-) -> DataFrame:
+    A piece's rows have the place ``_nth`` in their group ``_of``. The checksum
+    makes the summary need every column, so that Spark sees one shuffle with two
+    readers instead of two different ones.
+    """
+    checked = "_nth"
+    if order:
+        at = f"struct({_list(order)})"
+        stats = [*stats, F.expr(f"min({at})").alias("_lo"), F.expr(f"max({at})").alias("_hi")]
+        before = "(PARTITION BY _of ORDER BY _nth)"
+        checked = f"if(_lo < lag(_hi) OVER {before}, cast(raise_error('the segment decreases along the order') AS bigint), _nth)"
+    every = F.max(F.xxhash64(*[c(n) for n in columns])).alias("_every")
+    summary = pieces.groupBy("_group", "_seg").agg(*stats, every).withColumnsRenamed({"_group": "_of", "_seg": "_nth"})
+    for step in carried[:-1]:
+        summary = summary.selectExpr("*", *step)
+    info = summary.selectExpr("*", f"if(_every IS NULL, NULL, {checked}) AS _checked").selectExpr("_of", "_checked AS _nth", *carried[-1])
+    # Every piece has its row. A left join puts no filter below one of the two readers.
+    return pieces.join(info, (F.col("_group") == F.col("_of")) & (F.col("_seg") == F.col("_nth")), "left")
+
+
+def fill_up(df: DataFrame, columns: Sequence[str], keys: Sequence[str], order: Sequence[str], segment: Column | None = None) -> DataFrame:
     """Each missing value takes the next present one below it in the group.
 
     Columns are filled one by one; what has nothing below stays NULL. The window
@@ -87,51 +79,40 @@ def fill_up(
     forward from every row would be quadratic.
     """
     names = df.columns
-
-    def filled(data: DataFrame, by: Sequence[str], first: str = "") -> DataFrame:
-        below = f"(PARTITION BY {_list(by)} ORDER BY {_order(order, first, 'DESC')} {SO_FAR})"
-        values = [f"last({q(n)}, true) OVER {below} AS {q(n)}" if n in columns else q(n) for n in names]
-        return data.selectExpr(*values, *(["_edge"] if first else []))
-
+    by = _list(keys) if segment is None else PIECE
+    below = f"(PARTITION BY {by} ORDER BY {_order(order, 'DESC')} {SO_FAR})"
     if segment is None:
-        return filled(df, keys)
-
-    cut = _split_large(df, keys, segment, max_rows)
-    at = _position(order)
-    tops = _large(cut).groupBy(*[c(k) for k in keys], "_seg").agg(
-        *[F.expr(f"min_by({q(n)}, if({q(n)} IS NULL, NULL, {at}))").alias(n) for n in columns]
-    )
-    later = f"(PARTITION BY {_list(keys)} ORDER BY _seg DESC {BEFORE})"
-    edges = tops.selectExpr(
-        *[q(k) for k in keys], "_seg", *[f"last({q(n)}, true) OVER {later} AS {q(n)}" for n in columns]
-    )
-    return filled(_with_edges(cut, edges), [*keys, "_seg"], EDGE).where("NOT _edge").drop("_edge")
+        return df.selectExpr(*[f"last({q(n)}, true) OVER {below} AS {q(n)}" if n in columns else q(n) for n in names])
+    at = f"struct({_list(order)})"
+    tops = [F.expr(f"min_by({q(n)}, if({q(n)} IS NULL, NULL, {at}))").alias(f"_top{i}") for i, n in enumerate(columns)]
+    carried = [f"last(_top{i}, true) OVER {LATER} AS _next{i}" for i in range(len(columns))]
+    data = _informed(_pieces(df, keys, segment), names, order, tops, carried)
+    number = {n: i for i, n in enumerate(columns)}
+    return data.selectExpr(*[
+        f"coalesce(last({q(n)}, true) OVER {below}, _next{number[n]}) AS {q(n)}" if n in number else q(n) for n in names
+    ])
 
 
 def last_of_group_flag(
-    df: DataFrame,
-    column: str,
-    keys: Sequence[str],
-    name: str,
-    nulls: str = "propagate",
-    segment: Column | None = None,
-    max_rows: int = MAX_ROWS,
+    df: DataFrame, column: str, keys: Sequence[str], name: str, nulls: str = "propagate", segment: Column | None = None,
 ) -> DataFrame:
     """``"true"`` where ``column`` is the group's maximum, else ``"false"``.
 
     With ``nulls="propagate"`` one missing value makes the flag NULL in its
-    whole group; with ``"ignore"`` only on its own row.
+    whole group; with ``"ignore"`` only on its own row. No order is needed, so
+    ``segment`` may be any integer that cuts large groups.
     """
     if nulls not in ("propagate", "ignore"):
         raise ValueError("nulls must be 'propagate' or 'ignore'")
-    value, data, by = q(column), df, _list(keys)
-    if segment is not None:
-        # Large groups take their maximum from the broadcast statistics.
-        stats = [F.expr(f"max({value} IS NULL)").alias("_missing"), F.expr(f"max({value})").alias("_top")]
-        data, by = _split_large(df, keys, segment, max_rows, stats), f"{by}, _seg"
-    missing, top = (f"max({x}) OVER (PARTITION BY {by})" for x in (f"{value} IS NULL", value))
-    if segment is not None:
-        missing, top = f"if(_seg IS NULL, {missing}, _missing)", f"if(_seg IS NULL, {top}, _top)"
+    value = q(column)
+    if segment is None:
+        data = df
+        missing, top = (f"max({x}) OVER (PARTITION BY {_list(keys)})" for x in (f"{value} IS NULL", value))
+    else:
+        stats = [F.expr(f"max({value} IS NULL)").alias("_m"), F.expr(f"max({value})").alias("_t")]
+        carried = [f"max({x}) OVER (PARTITION BY _of) AS {n}" for x, n in (("_m", "_missing"), ("_t", "_top"))]
+        data = _informed(_pieces(df, keys, segment), df.columns, (), stats, carried)
+        missing, top = "_missing", "_top"
     flag = f"CASE WHEN {value} = {top} THEN 'true' WHEN {value} IS NOT NULL THEN 'false' END"
     if nulls == "propagate":
         flag = f"if({missing}, NULL, {flag})"
@@ -139,15 +120,8 @@ def last_of_group_flag(
 
 
 def running_record(
-    df: DataFrame,
-    result: str,
-    keys: Sequence[str],
-    order: Sequence[str],
-    name: str = "W-L",
-    win: str = "W",
-    loss: str = "L",
+    df: DataFrame, result: str, keys: Sequence[str], order: Sequence[str], name: str = "W-L", win: str = "W", loss: str = "L",
     segment: Column | None = None,
-    max_rows: int = MAX_ROWS,
 ) -> DataFrame:
     """The record up to and including each row, as ``wins-losses``."""
     names = [q(n) for n in df.columns if n != name]
@@ -155,72 +129,50 @@ def running_record(
         "_w": c(result).eqNullSafe(F.lit(win)).cast("long"),
         "_l": c(result).eqNullSafe(F.lit(loss)).cast("long"),
     })
-    by, first = _list(keys), ""
+    by, wins, losses = _list(keys), "0L", "0L"
     if segment is not None:
-        cut = _split_large(data, keys, segment, max_rows)
-        sums = _large(cut).groupBy(*[c(k) for k in keys], "_seg").agg(F.sum("_w").alias("_w"), F.sum("_l").alias("_l"))
-        before = f"(PARTITION BY {by} ORDER BY _seg {BEFORE})"
-        edges = sums.selectExpr(
-            *[q(k) for k in keys], "_seg", *[f"coalesce(sum({x}) OVER {before}, 0) AS {x}" for x in ("_w", "_l")]
-        )
-        data, by, first = _with_edges(cut, edges), f"{by}, _seg", EDGE
-    so_far = f"(PARTITION BY {by} ORDER BY {_order(order, first)} {SO_FAR})"
-    record = f"concat(sum(_w) OVER {so_far}, '-', sum(_l) OVER {so_far}) AS {q(name)}"
-    out = data.selectExpr(*names, record, *(["_edge"] if first else []))
-    return out.where("NOT _edge").drop("_edge") if first else out
+        stats = [F.sum("_w").alias("_ws"), F.sum("_l").alias("_ls")]
+        carried = [f"coalesce(sum({x}) OVER {EARLIER}, 0L) AS {n}" for x, n in (("_ws", "_w0"), ("_ls", "_l0"))]
+        data, by, wins, losses = _informed(_pieces(data, keys, segment), data.columns, order, stats, carried), PIECE, "_w0", "_l0"
+    so_far = f"(PARTITION BY {by} ORDER BY {_order(order)} {SO_FAR})"
+    return data.selectExpr(*names, f"concat({wins} + sum(_w) OVER {so_far}, '-', {losses} + sum(_l) OVER {so_far}) AS {q(name)}")
 
 
 def _runs(data: DataFrame, by: str, order: str, result: str) -> DataFrame:
-    """``_len``: the length of the run of equal results that ends at each row.
+    """``_nth_row`` in the group, and ``_len``: the length of the run of equal results that ends at each row.
 
-    The weight so far less the weight before the last change: all windows have
-    one order, so the rows are sorted once.
+    The rows so far less those before the last change: all windows have one
+    order, so the rows are sorted once.
     """
     rows = f"(PARTITION BY {by} ORDER BY {order})"
-    so_far = f"(PARTITION BY {by} ORDER BY {order} {SO_FAR})"
     changed = f"NOT ({result} <=> lag({result}) OVER {rows}) AS _changed"
-    counted = data.selectExpr("*", changed, f"sum(_weight) OVER {so_far} AS _total")
-    start = f"last(if(_changed, _total - _weight, NULL), true) OVER {so_far} AS _start"
-    return counted.selectExpr("*", start).selectExpr("*", "_total - coalesce(_start, 0) AS _len")
+    counted = data.selectExpr("*", changed, f"row_number() OVER {rows} AS _nth_row")
+    start = f"last(if(_changed, _nth_row - 1, NULL), true) OVER (PARTITION BY {by} ORDER BY {order} {SO_FAR}) AS _start"
+    return counted.selectExpr("*", start).selectExpr("*", "_nth_row - coalesce(_start, 0) AS _len")
 
 
 def streak(
-    df: DataFrame,
-    result: str,
-    keys: Sequence[str],
-    order: Sequence[str],
-    name: str = "Streak",
-    win: str = "W",
+    df: DataFrame, result: str, keys: Sequence[str], order: Sequence[str], name: str = "Streak", win: str = "W",
     segment: Column | None = None,
-    max_rows: int = MAX_ROWS,
 ) -> DataFrame:
     """Signed length of the current run of equal results: positive for ``win``, else negative."""
     names, res = [q(n) for n in df.columns if n != name], q(result)
-    data, by, first = df.selectExpr("*", "1L AS _weight"), _list(keys), ""
-    if segment is not None:
-        cut, group, by = _split_large(data, keys, segment, max_rows), by, f"{by}, _seg"
-        # Per segment: its rows, its last result, and the run it ends with.
-        ends = (
-            _runs(_large(cut), by, _order(order), res)
-            .selectExpr(
-                *[q(k) for k in keys], "_seg", f"{res} AS _r", "_len AS _t",
-                f"count(1) OVER (PARTITION BY {by} ORDER BY {_order(order)} {SO_FAR}) AS _n",
-                f"lead(1) OVER (PARTITION BY {by} ORDER BY {_order(order)}) IS NULL AS _last",
-            )
-            .where("_last")
+    if segment is None:
+        out, length = _runs(df, _list(keys), _order(order), res), "_len"
+    else:
+        pieces = _runs(_pieces(df, keys, segment), PIECE, _order(order), res)
+        # Per piece: its rows, its last result, and the run it ends with.
+        stats = [F.count(F.lit(1)).alias("_n"), *[
+            F.expr(f"max_by({x}, _nth_row)").alias(n) for x, n in ((res, "_r"), ("_len", "_t"))
+        ]]
+        rows = "PARTITION BY _of ORDER BY _nth"
+        # A piece of one single run prolongs the run before it when the results agree.
+        steps = (
+            [f"int(NOT (_t = _n AND _r <=> lag(_r) OVER ({rows}))) AS _first"],
+            [f"sum(_first) OVER ({rows} {SO_FAR}) AS _chain"],
+            [f"sum(_t) OVER (PARTITION BY _of, _chain ORDER BY _nth {SO_FAR}) AS _run"],
+            [f"lag(_r) OVER ({rows}) AS _before_r", f"lag(_run) OVER ({rows}) AS _before_run"],
         )
-        # A segment of one single run prolongs the run before it when the results agree.
-        segments = f"PARTITION BY {group} ORDER BY _seg"
-        starts = f"int(NOT (_t = _n AND _r <=> lag(_r) OVER ({segments}))) AS _first"
-        chain = f"sum(_first) OVER ({segments} {SO_FAR}) AS _chain"
-        run = f"sum(_t) OVER (PARTITION BY {group}, _chain ORDER BY _seg {SO_FAR}) AS _run"
-        ended = ends.selectExpr("*", starts).selectExpr("*", chain).selectExpr("*", run)
-        edges = ended.selectExpr(
-            *[q(k) for k in keys], "_seg", f"lag(_r) OVER ({segments}) AS {res}", f"lag(_run) OVER ({segments}) AS _weight"
-        ).where("_weight IS NOT NULL")
-        data, first = _with_edges(cut, edges), EDGE
-    out = _runs(data, by, _order(order, first), res)
-    if first:
-        out = out.where("NOT _edge")
-    signed = F.when(c(result) == win, F.col("_len")).otherwise(-F.col("_len")).cast("int")
-    return out.select(*names, signed.alias(name))
+        out = _informed(pieces, df.columns, order, stats, *steps)
+        length = f"_len + if(_len = _nth_row AND {res} <=> _before_r, coalesce(_before_run, 0), 0)"
+    return out.selectExpr(*names, f"int(if({res} <=> '{win}', 1, -1) * ({length})) AS {q(name)}")

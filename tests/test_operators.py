@@ -221,10 +221,10 @@ def uneven(spark):
 
 @pytest.mark.parametrize("width", [4, 16, 1000])
 def test_pieces_equal_whole_groups(uneven, width):
-    cut = {"segment": F.floor(F.col("i") / width), "max_rows": 300}
+    cut = {"segment": F.floor(F.col("i") / width)}
     assert rows(fill_up(uneven, ["v", "n"], ["k"], ["i"])) == rows(fill_up(uneven, ["v", "n"], ["k"], ["i"], **cut))
     assert rows(fill_up(uneven, ["v"], ["k"], ["day", "i"])) == rows(
-        fill_up(uneven, ["v"], ["k"], ["day", "i"], segment=F.col("day"), max_rows=300))
+        fill_up(uneven, ["v"], ["k"], ["day", "i"], segment=F.col("day")))
     assert rows(running_record(uneven, "r", ["k"], ["i"])) == rows(running_record(uneven, "r", ["k"], ["i"], **cut))
     assert rows(streak(uneven, "r", ["k"], ["i"])) == rows(streak(uneven, "r", ["k"], ["i"], **cut))
     for nulls in ("propagate", "ignore"):
@@ -236,14 +236,37 @@ def test_streak_over_missing_results(spark):
     data = [(i, "g", r) for i, r in enumerate(["W", "W", None, None, "L", "W", "W", "W", None, "W"] * 6)]
     df = spark.createDataFrame(data, "i INT, k STRING, r STRING")
     for width in (1, 2, 3, 7):
-        cut = {"segment": F.floor(F.col("i") / width), "max_rows": 5}
+        cut = {"segment": F.floor(F.col("i") / width)}
         assert rows(streak(df, "r", ["k"], ["i"])) == rows(streak(df, "r", ["k"], ["i"], **cut))
 
 
-def test_large_table_is_shuffled_once(uneven):
-    df = fill_up(uneven, ["v"], ["k"], ["i"], segment=F.floor(F.col("i") / 16), max_rows=300)
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "SortMergeJoin" not in plan and "CartesianProduct" not in plan and "Python" not in plan
+OPERATORS = {
+    "fill_up": lambda df, cut: fill_up(df, ["v"], ["k"], ["i"], segment=cut),
+    "flag": lambda df, cut: last_of_group_flag(df, "n", ["k"], "f", segment=cut),
+    "record": lambda df, cut: running_record(df, "r", ["k"], ["i"], segment=cut),
+    "streak": lambda df, cut: streak(df, "r", ["k"], ["i"], segment=cut),
+}
+
+
+@pytest.mark.parametrize("name", OPERATORS)
+@pytest.mark.parametrize("width", [3, 50, 10_000])
+def test_bad_segments_are_errors(uneven, name, width):
+    missing = F.when(F.col("i") % 11 != 0, F.floor(F.col("i") / width))
+    with pytest.raises(Exception, match="segment is missing"):
+        OPERATORS[name](uneven, missing).collect()
+    if name != "flag":  # needs no order
+        with pytest.raises(Exception, match="segment decreases"):
+            OPERATORS[name](uneven, F.floor(-F.col("i") / min(width, 50))).collect()
+
+
+@pytest.mark.parametrize("name", OPERATORS)
+def test_the_table_is_read_once(spark, uneven, name, tmp_path):
+    path = str(tmp_path / "rows")
+    uneven.write.parquet(path)
+    execution = OPERATORS[name](spark.read.parquet(path), F.floor(F.col("i") / 64))._jdf.queryExecution()
+    assert execution.toRdd().count() == 3000
+    final = execution.executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("FileScan") == 1 and "ReusedExchange" in final
 
 
 # --- calendar ----------------------------------------------------------------

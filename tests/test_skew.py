@@ -49,15 +49,3 @@ def test_third_of_the_right_rows_with_one_key(small_partitions):
     total = lambda df: df.agg(F.count(F.lit(1)), F.sum(F.col("y") % 1000), F.sum("id")).first()
     assert total(plain) == total(split)
     assert "skew=true" not in run(plain)[1] and "skew=true" in run(split)[1]
-
-
-def test_without_large_groups_nothing_extra_runs(spark, tmp_path):
-    path = str(tmp_path / "rows")
-    spark.range(0, 5000, 1, 4).selectExpr("id", "id % 50 AS k", "if(id % 9 = 0, id, NULL) AS v").write.parquet(path)
-    df = spark.read.parquet(path)
-    rows, plan = run(fill_up(df, ["v"], ["k"], ["id"], F.shiftright("id", 8)))
-    assert rows == 5000
-    assert (plan.count("FileScan"), plan.count("Window ["), plan.count("Union"), plan.count("Join")) == (1, 1, 0, 0)
-    left, right = df.selectExpr("k", "id"), df.selectExpr("id AS rk", "v")
-    rows, plan = run(left_join_suffixed(left, right, [("k", "rk")]))
-    assert rows == 5000 and plan.count("Join") == 1
