@@ -7,19 +7,19 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from pitchflow.catalog.derived import (
-    SQL_PBP, SQL_PLAYS, SQL_RAW, feed_texts, flat_name, plays, raw_events, schedule_documents, undotted,
+    SQL_PBP, SQL_PLAYS, SQL_RAW, feed, feed_texts, flat_name, plays, raw_events, schedule_texts, undotted,
 )
 from pitchflow.catalog.registry import Tables, query
 from pitchflow.functions.pitches import BUCKETS, SINGLE_TYPES
 from pitchflow.functions.text import date_prefix
-from pitchflow.operators.calendar import season_summary
+from pitchflow.operators.calendar import pull_weeks, season_summary
 from pitchflow.operators.nested import explode_path, game_meta
 from pitchflow.operators.ordered import fill_up
 from pitchflow.operators.profile import batter_tendencies, pitcher_tendencies, tendencies_all_levels
 from pitchflow.operators.relational import code_frequencies, left_join_suffixed
 from pitchflow.plans.games import normalise_game, season_games, season_pbp
 from pitchflow.schemas import PBP
-from pitchflow.sources.feeds import parse_feed, schedule_games
+from pitchflow.sources.feeds import TEXT, broken_documents, good_documents, parse_feed, parse_schedule, schedule_games
 
 # --- tendencies ----------------------------------------------------------------
 
@@ -27,6 +27,7 @@ _SHARES = ", ".join(
     f"sum(CASE WHEN details_type_code IN ({', '.join(repr(x) for x in codes)}) THEN 1 ELSE 0 END) / count(*) AS {name}"
     for name, codes in (BUCKETS | {n: (x,) for n, x in SINGLE_TYPES.items()}).items()
 )
+# The label's text.
 _COUNT = """CASE WHEN details_isStrike IS NULL THEN NULL
   WHEN details_isStrike THEN count_balls_start || '-' || (count_strikes_start - 1)
   WHEN details_isBall THEN (count_balls_start - 1) || '-' || count_strikes_start
@@ -99,12 +100,12 @@ _NAMES = ", ".join(flat_name(n) for n in PBP)
 
 @query("game_pbp_reference", f"WITH {SQL_PBP['reference']} SELECT {_NAMES} FROM pbp")
 def game_pbp_reference(t: Tables):
-    return undotted(normalise_game(parse_feed(feed_texts(t.events)), "reference", doc_keys=["game_pk"]))
+    return undotted(normalise_game(feed(t.events), "reference", doc_keys=["game_pk"]))
 
 
 @query("game_pbp_parent", f"WITH {SQL_PBP['parent']} SELECT {_NAMES} FROM pbp")
 def game_pbp_parent(t: Tables):
-    return undotted(normalise_game(parse_feed(feed_texts(t.events)), "parent", doc_keys=["game_pk"]))
+    return undotted(normalise_game(feed(t.events), "parent", doc_keys=["game_pk"]))
 
 
 @query(
@@ -115,7 +116,7 @@ SELECT matchup_pitcher_id AS pitcher, CASE WHEN count(*) = count(matchup_pitcher
 FROM pbp WHERE pitchData_typeConfidence >= 0.5 AND type = 'pitch' AND details_type_code IS NOT NULL GROUP BY 1""",
 )
 def pbp_pitcher_tendencies(t: Tables):
-    return pitcher_tendencies(normalise_game(parse_feed(feed_texts(t.events)), "reference", doc_keys=["game_pk"]))
+    return pitcher_tendencies(normalise_game(feed(t.events), "reference", doc_keys=["game_pk"]))
 
 
 @query(
@@ -125,7 +126,7 @@ def pbp_pitcher_tendencies(t: Tables):
 )
 def record_path_events(t: Tables):
     out = explode_path(
-        parse_feed(feed_texts(t.events)), ["liveData.plays.allPlays", "playEvents"], keep=["game_pk"],
+        feed(t.events), ["liveData.plays.allPlays", "playEvents"], keep=["game_pk"],
         parents={"atBatIndex": "0.atBatIndex"}, positions=True,
     )
     return undotted(out.select("game_pk", "atBatIndex", "pos_1", "type", "pitchNumber", "endTime", "`details.type.code`"))
@@ -140,7 +141,7 @@ def record_path_events(t: Tables):
 def game_metadata(t: Tables):
     meta = game_meta(current=True)
     wanted = [meta[n].alias(n) for n in ("home_team", "away_team", "home_league_id", "game_status")]
-    return parse_feed(feed_texts(t.events)).select(
+    return feed(t.events).select(
         "game_pk", *wanted, date_prefix(meta["date_time"]).alias("game_date"),
         meta["current_play"]["atBatIndex"].alias("current_at_bat"),
     )
@@ -149,13 +150,24 @@ def game_metadata(t: Tables):
 @query(
     "feed_status",
     f"""WITH {SQL_RAW} SELECT status, count(*) AS documents FROM (
-  SELECT game_pk, CASE WHEN game_pk % 9 = 5 THEN 'error' ELSE 'ok' END AS status FROM raw GROUP BY game_pk) GROUP BY status""",
+  SELECT game_pk, CASE WHEN game_pk % 9 = 2 THEN 'error' ELSE 'ok' END AS status FROM raw GROUP BY game_pk) GROUP BY status""",
 )
 def feed_status(t: Tables):
-    kept = parse_feed(feed_texts(t.events, broken_every=9), errors="keep")
+    kept = parse_feed(feed_texts(t.events, broken_every=9), TEXT)
     return kept.groupBy("status").agg(F.count(F.lit(1)).alias("documents"))
 
 
+@query(
+    "feed_errors",
+    f"""WITH {SQL_RAW} SELECT game_pk AS landed_as, 'error' AS status, true AS has_text FROM raw
+WHERE game_pk % 9 = 2 GROUP BY game_pk""",
+)
+def feed_errors(t: Tables):
+    texts = feed_texts(t.events, broken_every=9).withColumnRenamed("game_pk", "landed_as")
+    broken = broken_documents(parse_feed(texts, TEXT, keep=("landed_as",)))
+    return broken.select("landed_as", "status", F.col(TEXT).isNotNull().alias("has_text"))
+
+
 # --- join and fill on flat rows -----------------------------------------------------
 
 
@@ -202,7 +214,7 @@ def _pitches(t: Tables):
 
 
 def _schedule(t: Tables):
-    return schedule_games(schedule_documents(t.events))
+    return schedule_games(good_documents(parse_schedule(schedule_texts(t.events))))
 
 
 @query(
@@ -236,12 +248,12 @@ def season_game_ids(t: Tables):
 @query(
     "season_summary",
     "WITH " + _IDS.replace("{head}", SQL_RAW)
-    + """ SELECT (SELECT count(DISTINCT CAST(ts AS DATE)) FROM raw) AS n_days, count(*) AS n_ids,
+    + """ SELECT (SELECT count(*) FROM days) AS n_days, count(*) AS n_ids,
   count(DISTINCT game_pk) AS n_distinct_ids FROM ids""",
 )
 def summary(t: Tables):
     ids = season_games(_pitches(t), _schedule(t), FIRST, LAST, EXCLUDED, dedupe=False)
-    return season_summary(_pitches(t), ids)
+    return season_summary(pull_weeks(_pitches(t), "game_date", FIRST, LAST), ids)
 
 
 @query(
@@ -250,8 +262,7 @@ def summary(t: Tables):
     + f" SELECT {_NAMES} FROM pbp WHERE game_pk IN (SELECT game_pk FROM ids)",
 )
 def season(t: Tables):
-    feed = parse_feed(feed_texts(t.events))
-    return undotted(season_pbp(feed, _pitches(t), _schedule(t), FIRST, LAST, EXCLUDED, doc_keys=["game_pk"]))
+    return undotted(season_pbp(feed_texts(t.events), _pitches(t), _schedule(t), FIRST, LAST, EXCLUDED, doc_keys=["game_pk"]))
 
 
 @query(
@@ -260,8 +271,7 @@ def season(t: Tables):
     + f" SELECT {', '.join('pbp.' + flat_name(n) for n in PBP)} FROM pbp JOIN ids ON pbp.game_pk = ids.game_pk",
 )
 def season_repeated(t: Tables):
-    feed = parse_feed(feed_texts(t.events))
     pbp = season_pbp(
-        feed, _pitches(t), _schedule(t), FIRST, LAST, EXCLUDED, dedupe=False, attach="parent", doc_keys=["game_pk"]
+        feed_texts(t.events), _pitches(t), _schedule(t), FIRST, LAST, EXCLUDED, dedupe=False, attach="parent", doc_keys=["game_pk"]
     )
     return undotted(pbp)

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitchflow.schemas import q
+from pitchflow.sources.feeds import TEXT, good_documents, parse_feed
 
 # Pitch-type codes by the event's k; UN is in no bucket, the last has none.
 _CODES = ["FF", "SI", "SL", "CH", "CU", "FC", "FT", "FO", "EP", "KN", "FS", "KC", "SC", "CS", "UN", "FF", "SL", "FF"]
@@ -90,8 +91,8 @@ def undotted(df: DataFrame) -> DataFrame:
     return df.toDF(*[flat_name(n) for n in df.columns])
 
 
-# The number in {"k": 69}. Cheap enough to be repeated wherever a predicate moves it.
-_K = "cast(substring(props, 7, length(props) - 7) AS int)"
+# The number in {"k": 69}.
+_K = "cast(get_json_object(props, '$.k') AS int)"
 
 
 def raw_events(events: DataFrame) -> DataFrame:
@@ -161,11 +162,16 @@ def game_documents(events: DataFrame) -> DataFrame:
 
 
 def feed_texts(events: DataFrame, broken_every: int = 0) -> DataFrame:
-    """The documents as landed JSON lines; every so many games with its end cut off."""
+    """The documents as landed JSON lines with their ``game_pk``; every so many games with its end cut off."""
     text = F.to_json(F.struct("game_pk", "gameData", "liveData"))
     if broken_every:
-        text = F.when(F.col("game_pk") % broken_every == 5, F.substring(text, F.lit(1), F.length(text) - 20)).otherwise(text)
-    return game_documents(events).select(text.alias("value"))
+        text = F.when(F.col("game_pk") % broken_every == 2, F.substring(text, F.lit(1), F.length(text) - 20)).otherwise(text)
+    return game_documents(events).select("game_pk", text.alias(TEXT))
+
+
+def feed(events: DataFrame) -> DataFrame:
+    """The documents, landed and parsed."""
+    return good_documents(parse_feed(feed_texts(events), TEXT))
 
 
 def schedule_documents(events: DataFrame) -> DataFrame:
@@ -178,6 +184,11 @@ def schedule_documents(events: DataFrame) -> DataFrame:
     return games.select(F.array(F.struct("date", "games")).alias("dates"))
 
 
+def schedule_texts(events: DataFrame) -> DataFrame:
+    """The schedule documents as landed JSON texts."""
+    return schedule_documents(events).select(F.to_json(F.struct("dates")).alias("value"))
+
+
 def team_log(events: DataFrame) -> DataFrame:
     """A team game log: thirty teams, a game per event."""
     return raw_events(events).select(

@@ -11,7 +11,7 @@ from pitchflow.catalog.registry import Tables, query
 from pitchflow.functions.pitches import choose_side, null_flag, pre_pitch_count
 from pitchflow.functions.text import date_prefix, paste
 from pitchflow.operators.calendar import distinct_days, pull_weeks, week_counts
-from pitchflow.operators.nested import drop_list_columns, explode_path, flatten_struct
+from pitchflow.operators.nested import class_table, drop_list_columns, explode_path, flatten_struct
 from pitchflow.operators.ordered import fill_up, last_of_group_flag, running_record, streak
 from pitchflow.operators.profile import share_all_levels, share_profile
 from pitchflow.operators.relational import (
@@ -105,6 +105,7 @@ def entity_threshold_filter(t: Tables):
     ).select("event_id", "user_id", "event_type", "value")
 
 
+# The text of the label for other pitches is the one in functions/pitches.py.
 # --- expressions -------------------------------------------------------------
 
 
@@ -309,6 +310,19 @@ def orders_customers(t: Tables):
     return undotted(left_join_suffixed(left, right, [("o_custkey", "c_custkey")]))
 
 
+@query(
+    "left_join_hot_keys",
+    """WITH l AS (SELECT event_id, CASE WHEN user_id % 50 <> 0 THEN user_id % 10 END AS k FROM events WHERE event_type = 'error'),
+r AS (SELECT CASE WHEN s_suppkey % 20 <> 0 THEN s_suppkey % 13 END AS k, s_suppkey, s_name FROM supplier)
+SELECT l.event_id, l.k, r.s_suppkey, r.s_name FROM l LEFT JOIN r ON l.k IS NOT DISTINCT FROM r.k""",
+)
+def errors_suppliers(t: Tables):
+    # Every right key counts as frequent here, so all rows take the way of the frequent ones.
+    left = t.events.where("event_type = 'error'").selectExpr("event_id", "if(user_id % 50 <> 0, user_id % 10, NULL) AS k")
+    right = t.supplier.selectExpr("if(s_suppkey % 20 <> 0, s_suppkey % 13, NULL) AS k", "s_suppkey", "s_name")
+    return left_join_suffixed(left, right, [("k", "k")], hot_right_rows=1)
+
+
 @query(
     "ids_for_days",
     """SELECT o_orderkey FROM orders JOIN (SELECT DISTINCT CAST(l_shipdate AS DATE) AS day FROM lineitem
@@ -484,6 +498,18 @@ def vector_elements(t: Tables):
     return out.withColumn("element", F.col("element").cast("double"))
 
 
+@query(
+    "class_table",
+    """SELECT 'vec_id' AS variable, 'bigint' AS value, count(vec_id) AS present FROM embeddings
+UNION ALL SELECT 'embedding', 'list', count(embedding) FROM embeddings UNION ALL SELECT 'label', 'int', count(label) FROM embeddings""",
+)
+def column_classes(t: Tables):
+    """The class of every column, and in how many rows it is present."""
+    names = t.embeddings.columns
+    present = t.embeddings.agg(*[F.count(c(n)).alias(n) for n in names]).unpivot([], [c(n) for n in names], "variable", "present")
+    return class_table(t.embeddings).join(present, "variable")
+
+
 @query("drop_list_columns", "SELECT vec_id, label FROM embeddings")
 def scalar_columns(t: Tables):
     return drop_list_columns(t.embeddings)

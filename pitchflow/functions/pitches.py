@@ -51,6 +51,10 @@ def bucket_flags(code: str) -> dict[str, Column]:
     return flags
 
 
+# Fixed value: the text of the label of other pitches.
+OTHER_PITCH = "Pitch Not a Ball or Strike. Original Count: "
+
+
 def pre_pitch_count(strike: Column, ball: Column, in_play: Column, balls: Column, strikes: Column) -> Column:
     """The ball-strike count the pitch was thrown at, as ``b-s``.
 
@@ -66,7 +70,7 @@ def pre_pitch_count(strike: Column, ball: Column, in_play: Column, balls: Column
         .when(ball, paste(balls - 1, strikes))
         .when(in_play.isNull(), F.lit(None).cast("string"))
         .when(in_play, paste(balls, strikes))
-        .otherwise(F.concat(F.lit("Pitch Not a Ball or Strike. Original Count: "), paste(balls, strikes)))
+        .otherwise(F.concat(F.lit(OTHER_PITCH), paste(balls, strikes)))
     )
 
 

@@ -48,13 +48,24 @@ def pull_weeks(df: DataFrame, date_column: str, first: dt.date, last: dt.date) -
     return kept.withColumn("start_date", start).withColumn("end_date", F.date_add(F.col("start_date"), WEEK - 1))
 
 
-def week_counts(df: DataFrame, date_column: str, first: dt.date, last: dt.date) -> DataFrame:
-    """Rows per weekly window, the empty windows included, with a status."""
-    pulled = pull_weeks(df, date_column, first, last).groupBy("week").agg(F.count(F.lit(1)).alias("number_rows"))
-    grid = week_grid(df.sparkSession, first, last)
-    # Both sides have one row per week.
-    counted = grid.join(pulled, "week", "left").withColumn("number_rows", F.coalesce("number_rows", F.lit(0)))
-    return counted.withColumn("status", F.when(F.col("number_rows") > 0, "ok").otherwise("empty"))
+def week_counts(df: DataFrame, date_column: str, first: dt.date, last: dt.date, errors: DataFrame | None = None) -> DataFrame:
+    """Rows per weekly window, the empty windows included, with a status.
+
+    ``errors`` has one row per failed pull with a day of its window in
+    ``date_column``; such a window's status is error, whatever rows it has.
+    """
+
+    def counted(rows: DataFrame, name: str) -> DataFrame:
+        return pull_weeks(rows, date_column, first, last).groupBy("week").agg(F.count(F.lit(1)).alias(name))
+
+    # All sides have one row per week.
+    grid = week_grid(df.sparkSession, first, last).join(counted(df, "number_rows"), "week", "left")
+    grid = grid.withColumn("number_rows", F.coalesce("number_rows", F.lit(0)))
+    status = F.when(F.col("number_rows") > 0, "ok").otherwise("empty")
+    if errors is not None:
+        grid = grid.join(counted(errors, "_failed"), "week", "left")
+        status = F.when(F.col("_failed") > 0, "error").otherwise(status)
+    return grid.withColumn("status", status).drop("_failed")
 
 
 def distinct_days(df: DataFrame, date_column: str = "game_date") -> DataFrame:

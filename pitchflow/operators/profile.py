@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pitchflow.functions.pitches import bucket_flags, pre_pitch_count
 from pitchflow.schemas import c, q
 
+# Texts of the guards.
 NO_DATA = "No data available for that player. Please try again or display all."
 BAD_CONFIDENCE = "Confidence Level out of range. Please choose a number between 0 and 1"
 

@@ -10,18 +10,8 @@ from pyspark.sql import functions as F
 
 from pitchflow.schemas import c
 
-BROADCAST_ROWS = 1_000_000
-HOT_ROWS = 5_000_000
-
-
-def broadcast_within(df: DataFrame, max_rows: int = BROADCAST_ROWS, bound: DataFrame | None = None) -> DataFrame:
-    """Mark ``df`` for broadcast if it is known to be small, else leave it to a shuffle join.
-
-    ``bound`` is a cheaper DataFrame with at least as many rows as ``df``. The
-    check is a count that stops at ``max_rows + 1`` rows.
-    """
-    rows = (df if bound is None else bound).limit(max_rows + 1).count()
-    return F.broadcast(df) if rows <= max_rows else df
+# A right key with this many rows is worth splitting; at most so many keys are, and each into so many parts.
+SPLIT_ROWS, SPLIT_KEYS, PARTS = 100_000, 1000, 16
 
 
 def cols_first(df: DataFrame, *names: str) -> DataFrame:
@@ -46,7 +36,7 @@ def left_join_suffixed(
     on: Sequence[tuple[str, str]],
     scope: Sequence[str] = (),
     suffixes: tuple[str, str] = (".x", ".y"),
-    hot_right_rows: int | None = HOT_ROWS,
+    hot_right_rows: int | None = SPLIT_ROWS,
 ) -> DataFrame:
     """Left join in which a missing key matches a missing key.
 
@@ -56,10 +46,13 @@ def left_join_suffixed(
     the left row.
 
     A left key with very many rows is split by adaptive execution, which cuts
-    the left side of a left join. It cannot cut the right side, so keys with
-    more than ``hot_right_rows`` right rows go through an inner join instead
-    (they have a match by definition), where both sides are cut. That costs a
-    count of the right keys; where the scope keeps groups small, pass ``None``.
+    the left side of a left join. It cannot cut the right side, so the
+    ``SPLIT_KEYS`` most frequent right keys with at least ``hot_right_rows`` rows
+    are dealt into ``PARTS`` parts by a hash of the right row, and their left
+    rows are repeated for each part; such a left row has a match, so its copies
+    without one are dropped again. It is one join, with the same result whatever
+    the counts are. The left side is read once, the right side twice. Where the
+    scope keeps groups small, ``None`` leaves all this out.
     """
     keys = [*on, *((s, s) for s in scope)]
     right_keys = {r for _, r in keys}
@@ -86,23 +79,26 @@ def left_join_suffixed(
     if hot_right_rows is None:
         return lhs.join(rhs, condition(lhs, rhs, "_rk"), "left").select(*[c(n) for n in out])
 
-    # At most rows / hot_right_rows keys, so the list is safe to broadcast.
+    # A list of bounded length, so it is safe to broadcast.
     hot = F.broadcast(
         rhs.groupBy(*[f"_rk{i}" for i in range(len(keys))])
         .count()
-        .where(F.col("count") > hot_right_rows)
-        .select(*[F.col(f"_rk{i}").alias(f"_hk{i}") for i in range(len(keys))])
+        .where(F.col("count") >= hot_right_rows)
+        .orderBy(F.desc("count"), *[f"_rk{i}" for i in range(len(keys))])
+        .limit(SPLIT_KEYS)
+        .select(*[F.col(f"_rk{i}").alias(f"_hk{i}") for i in range(len(keys))], F.lit(True).alias("_hot"))
     )
-    is_hot_left = condition(lhs, hot, "_hk")
-    is_hot_right = _all([
-        rhs[f"_rk{i}"] == hot[f"_hk{i}"] if lk in scope else rhs[f"_rk{i}"].eqNullSafe(hot[f"_hk{i}"])
-        for i, (lk, _) in enumerate(keys)
-    ])
-    left_cold, left_hot = lhs.join(hot, is_hot_left, "left_anti"), lhs.join(hot, is_hot_left, "left_semi")
-    right_cold, right_hot = rhs.join(hot, is_hot_right, "left_anti"), rhs.join(hot, is_hot_right, "left_semi")
-    cold = left_cold.join(right_cold, condition(left_cold, right_cold, "_rk"), "left").select(*[c(n) for n in out])
-    warm = left_hot.join(right_hot, condition(left_hot, right_hot, "_rk"), "inner").select(*[c(n) for n in out])
-    return cold.unionByName(warm)
+    same = [rhs[f"_rk{i}"] == hot[f"_hk{i}"] if lk in scope else rhs[f"_rk{i}"].eqNullSafe(hot[f"_hk{i}"]) for i, (lk, _) in enumerate(keys)]
+    hashed = F.xxhash64(*[rhs[f"`{n}`"] for n in rhs.columns])
+    parted = rhs.join(hot, _all(same), "left").select(
+        *[rhs[f"`{n}`"] for n in rhs.columns], F.lit(True).alias("_met"),
+        F.when(F.col("_hot"), F.pmod(hashed, F.lit(PARTS)).cast("int")).otherwise(0).alias("_rpart"),
+    )
+    tagged = lhs.join(hot, condition(lhs, hot, "_hk"), "left")
+    parts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(PARTS - 1))).otherwise(F.array(F.lit(0)))
+    repeated = tagged.select(*[lhs[f"`{n}`"] for n in lhs.columns], "_hot", F.explode(parts).alias("_lpart"))
+    joined = repeated.join(parted, condition(repeated, parted, "_rk") & (repeated["_lpart"] == parted["_rpart"]), "left")
+    return joined.where(F.col("_hot").isNull() | F.col("_met")).select(*[c(n) for n in out])
 
 
 def union_fill(*frames: DataFrame, strict: bool = False) -> DataFrame:
@@ -125,15 +121,18 @@ def union_fill(*frames: DataFrame, strict: bool = False) -> DataFrame:
 
 
 def exclude_ids(df: DataFrame, column: str, ids: Iterable | DataFrame) -> DataFrame:
-    """Drop rows whose id is in ``ids``: a short list becomes a predicate, a DataFrame an anti join.
+    """Drop rows whose id is in ``ids``; a missing id is in no list and stays.
 
-    A missing id is dropped by the list form, as a comparison with it is unknown.
+    A short list becomes a predicate, a long one or a DataFrame an anti join.
     """
-    if isinstance(ids, DataFrame):
-        # Distinct first: that is reduced before the shuffle, so an id listed very often costs nothing.
-        only = ids.select(c(ids.columns[0]).alias("_id")).distinct()
-        return df.join(only, c(column) == F.col("_id"), "left_anti")
-    return df.where(~c(column).isin(*ids))
+    if not isinstance(ids, DataFrame):
+        listed = [i for i in ids if i is not None]
+        if len(listed) <= 200:
+            return df.where(c(column).isNull() | ~c(column).isin(*listed))
+        ids = df.sparkSession.createDataFrame([(i,) for i in listed], ["_id"])
+    # Distinct first: that is reduced before the shuffle, so an id listed very often costs nothing.
+    only = ids.select(c(ids.columns[0]).alias("_id")).distinct()
+    return df.join(only, c(column) == F.col("_id"), "left_anti")
 
 
 def code_frequencies(df: DataFrame, *codes: str, ordered: bool = True) -> DataFrame:
@@ -143,8 +142,19 @@ def code_frequencies(df: DataFrame, *codes: str, ordered: bool = True) -> DataFr
 
 
 def first_match(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """One row per key: the first by ``order``. An aggregate, so no key's rows meet in one task."""
+    """One row per key: the first by ``order``, a missing value before all others.
+
+    The least value of the first order column is found in hash tables; only
+    rows that have it go on to the comparison of whole rows, which sorts.
+    """
     rest = [n for n in df.columns if n not in keys]
+    lead = c(order[0])
+    least = df.groupBy(*[c(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(
+        F.min(lead).alias("_least"), F.max(lead.isNull()).alias("_missing")
+    )
+    least = least.withColumn("_least", F.when(~F.col("_missing"), F.col("_least")))
+    same = _all([c(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
+    candidates = df.join(least, same & lead.eqNullSafe(F.col("_least")), "left_semi")
     row = F.min_by(F.struct(*[c(n) for n in rest]), F.struct(*[c(n) for n in order])).alias("_row")
-    first = df.groupBy(*[c(n) for n in keys]).agg(row)
+    first = candidates.groupBy(*[c(n) for n in keys]).agg(row)
     return first.select(*[c(n) for n in keys], *[F.col("_row").getField(n).alias(n) for n in rest])

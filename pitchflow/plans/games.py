@@ -14,9 +14,9 @@ from pitchflow.functions.text import date_prefix
 from pitchflow.operators.calendar import distinct_days, game_ids_for_days, grid_end, pull_weeks
 from pitchflow.operators.nested import META_PATHS
 from pitchflow.operators.ordered import fill_up, last_of_group_flag
-from pitchflow.operators.relational import BROADCAST_ROWS, broadcast_within, exclude_ids
+from pitchflow.operators.relational import exclude_ids
 from pitchflow.schemas import PBP, c, q
-from pitchflow.sources.feeds import DOC_ID
+from pitchflow.sources.feeds import DOC_ID, STATUS, TEXT, broken_documents, good_documents, parse_feed
 from pitchflow.sources.tables import in_range
 
 PLAYS = "liveData.plays.allPlays"
@@ -87,13 +87,16 @@ def _by_parent(games: DataFrame, carried: list[str], flag_nulls: str) -> DataFra
     )
 
 
-def _by_end_time(games: DataFrame, carried: list[str], doc_keys: list[str], flag_nulls: str) -> DataFrame:
+def _by_end_time(games: DataFrame, carried: list[str], doc_keys: list[str], flag_nulls: str, fill: Sequence[str] | None) -> DataFrame:
     """Events left-joined to at-bats on the end time, then filled upwards.
 
     Both sides of the join come from one document, so it is done inside the
     document and takes neither a second parse nor a shuffle. The fill and the
-    flag share one shuffle on the document.
+    flag need a document's rows together: the nested documents, which are
+    compact, are dealt by their key before they become rows, and both windows
+    use that.
     """
+    games = games.repartition(*[c(k) for k in doc_keys])
     event_columns, at_bat_columns = _play_columns(games.schema["_plays"].dataType)
     matches = f"""transform(filter(_plays, b -> b.playEndTime <=> e.endTime), b -> {_struct("b", at_bat_columns)})"""
     events = f"""flatten(transform(filter(_plays, ab -> ab.playEvents IS NOT NULL),
@@ -104,7 +107,8 @@ def _by_end_time(games: DataFrame, carried: list[str], doc_keys: list[str], flag
         *carried, "event_pos", "coalesce(_match, 0) AS _match",
         *[f"_e.{q(n)} AS {q(n)}" for n in event_columns], *[f"_ab.{q(n)} AS {q(n)}" for n in at_bat_columns],
     )
-    filled = fill_up(flat, list(at_bat_columns), doc_keys, ["event_pos", "_match"])
+    wanted = list(at_bat_columns) if fill is None else [n for n in at_bat_columns if n in fill]
+    filled = fill_up(flat, wanted, doc_keys, ["event_pos", "_match"])
     return last_of_group_flag(filled, "pitchNumber", [*doc_keys, "atBatIndex"], FLAG, flag_nulls)
 
 
@@ -122,6 +126,7 @@ def normalise_game(
     flag_nulls: str = "propagate",
     doc_keys: Sequence[str] | None = None,
     ordered: bool = False,
+    fill: Sequence[str] | None = None,
 ) -> DataFrame:
     """Game documents to one flat row per event.
 
@@ -137,11 +142,14 @@ def normalise_game(
     id from :func:`read_feed`, or else a hash of the document, which like any
     key of a shuffle must come out the same when a task is run again. Equal
     documents may share a key, as their rows fill each other with equal values.
-    ``ordered`` sorts by game, then latest at-bat and pitch first.
+    ``ordered`` sorts by game, then latest at-bat and pitch first. ``fill``
+    names the at-bat columns that ``"reference"`` fills, by default all.
 
     The table has all scalar fields of events and at-bats that the schema of
     ``feed`` names: the standard ones first, then any extra ones.
     """
+    if STATUS in feed.columns:
+        raise ValueError("take good_documents() and broken_documents() apart first, so that no document is lost unseen")
     feed, doc_keys = _with_doc_keys(feed, doc_keys)
     extra = [k for k in doc_keys if k != "game_pk"]
     carried = ["game_pk", *extra, *META_COLUMNS]
@@ -150,7 +158,7 @@ def normalise_game(
     if attach == "parent":
         rows = _by_parent(games, carried, flag_nulls)
     elif attach == "reference":
-        rows = _by_end_time(games, carried, doc_keys, flag_nulls)
+        rows = _by_end_time(games, carried, doc_keys, flag_nulls, fill)
     else:
         raise ValueError("attach must be 'reference' or 'parent'")
     sides = side_columns(c("about.halfInning"), F.col("home_team"), F.col("away_team"))
@@ -172,18 +180,18 @@ def season_games(
     schedule: DataFrame,
     first: dt.date,
     last: dt.date,
-    exclude: Iterable[int] = (),
+    exclude: Iterable[int] | DataFrame = (),
     dedupe: bool = True,
 ) -> DataFrame:
     """The ids of the season's games: weekly windows → game days → listed games.
 
-    Of the pitch rows only the date is read.
+    Of the pitch rows only the date is read. ``exclude`` is a list of ids or a
+    DataFrame with the ids in its first column.
     """
     # The windows bound the number of days, so the days can be broadcast.
     days = F.broadcast(distinct_days(pull_weeks(pitches, "game_date", first, last)))
     ids = game_ids_for_days(days, schedule, dedupe)
-    exclude = list(exclude)
-    return exclude_ids(ids, "game_pk", exclude) if exclude else ids
+    return exclude_ids(ids, "game_pk", exclude)
 
 
 def season_pbp(
@@ -192,21 +200,37 @@ def season_pbp(
     schedule: DataFrame,
     first: dt.date,
     last: dt.date,
-    exclude: Iterable[int] = (),
+    exclude: Iterable[int] | DataFrame = (),
     dedupe: bool = True,
     attach: str = "reference",
     flag_nulls: str = "propagate",
     doc_keys: Sequence[str] | None = None,
-    broadcast_rows: int = BROADCAST_ROWS,
+    fill: Sequence[str] | None = None,
 ) -> DataFrame:
-    """The season's play-by-play table as one lazy plan.
+    """The season's play-by-play table as one lazy plan; no job runs while it is built.
 
-    The documents are the large side and should not be shuffled, so the ids are
-    broadcast if the schedule lists at most ``broadcast_rows`` games in the
-    season; otherwise the join shuffles.
+    ``feed`` is either parsed documents, or, better, landed texts as
+    :func:`pitchflow.sources.feeds.landed` gives them, ``game_pk`` beside each:
+    then the ids meet the texts, and only the season's documents are parsed. How
+    the ids travel is left to the optimizer, which knows their size.
     """
     ids = season_games(pitches, schedule, first, last, exclude, dedupe)
-    listed = in_range(schedule.withColumn("date", F.col("date").cast("date")), "date", first, grid_end(first, last))
-    ids = broadcast_within(ids, broadcast_rows, bound=listed.select("gamePk"))
-    feed, doc_keys = _with_doc_keys(feed, doc_keys)
-    return normalise_game(feed.join(ids, "game_pk"), attach, flag_nulls, doc_keys=[*doc_keys, "listed_on"])
+    if TEXT in feed.columns:
+        wanted = feed.join(ids, "game_pk")
+        kept = [n for n in wanted.columns if n not in ("game_pk", TEXT)]
+        feed = good_documents(parse_feed(wanted, TEXT, keep=tuple(kept)))
+        feed, doc_keys = _with_doc_keys(feed, doc_keys)
+    else:
+        feed, doc_keys = _with_doc_keys(feed, doc_keys)
+        feed = feed.join(ids, "game_pk")
+    return normalise_game(feed, attach, flag_nulls, doc_keys=[*doc_keys, "listed_on"], fill=fill)
+
+
+def season_errors(
+    feed: DataFrame, pitches: DataFrame, schedule: DataFrame, first: dt.date, last: dt.date, exclude: Iterable[int] | DataFrame = (),
+) -> DataFrame:
+    """The error table of the season's landed texts: broken ones of its games, and those that don't tell their game."""
+    ids = season_games(pitches, schedule, first, last, exclude)
+    own = feed.join(ids, "game_pk", "left_semi").unionByName(feed.where("game_pk IS NULL"))
+    kept = tuple(n for n in own.columns if n not in ("game_pk", TEXT))
+    return broken_documents(parse_feed(own, TEXT, keep=kept))

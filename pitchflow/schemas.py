@@ -26,7 +26,7 @@ CORRUPT = "_corrupt_record"
 
 # --- nested documents -------------------------------------------------------
 
-# Paths inside one event and inside one at-bat, with their types.
+# Paths inside one event and inside one at-bat, with their types.
 EVENT_PATHS: dict[str, str] = {
     "type": "STRING", "pitchNumber": "INT", "endTime": "STRING",
     "count.balls": "INT", "count.strikes": "INT", "count.outs": "INT",
@@ -105,34 +105,41 @@ PBP = {
 
 # --- flat tables, columns in file order -------------------------------------
 
-_PITCH_ORDER = """
-pitch_type game_date release_speed release_pos_x release_pos_z player_name batter pitcher events description
-spin_dir spin_rate_deprecated break_angle_deprecated break_length_deprecated zone des game_type stand p_throws
-home_team away_team type hit_location bb_type balls strikes game_year pfx_x pfx_z plate_x plate_z on_3b on_2b
-on_1b outs_when_up inning inning_topbot hc_x hc_y tfs_deprecated tfs_zulu_deprecated fielder_2 umpire sv_id
-vx0 vy0 vz0 ax ay az sz_top sz_bot hit_distance_sc launch_speed launch_angle effective_speed release_spin_rate
-release_extension game_pk pitcher.1 fielder_2.1 fielder_3 fielder_4 fielder_5 fielder_6 fielder_7 fielder_8
-fielder_9 release_pos_y estimated_ba_using_speedangle estimated_woba_using_speedangle woba_value woba_denom
-babip_value iso_value launch_speed_angle at_bat_number pitch_number pitch_name home_score away_score bat_score
-fld_score post_away_score post_home_score post_bat_score post_fld_score if_fielding_alignment
-of_fielding_alignment
-""".split()
-
-_PITCH_STRING = set("""
-pitch_type player_name events description des game_type stand p_throws home_team away_team type bb_type
-inning_topbot sv_id pitch_name if_fielding_alignment of_fielding_alignment spin_dir spin_rate_deprecated
-break_angle_deprecated break_length_deprecated tfs_deprecated tfs_zulu_deprecated umpire
-""".split())
-_PITCH_LONG = set("batter pitcher pitcher.1 game_pk".split())
-_PITCH_INT = set("""
-balls strikes game_year outs_when_up inning at_bat_number pitch_number home_score away_score bat_score fld_score
-post_away_score post_home_score post_bat_score post_fld_score
-""".split())
+# Fixed values.
+_PITCH_ORDER = [
+    "pitch_type", "game_date", "release_speed", "release_pos_x", "release_pos_z", "player_name", "batter",
+    "pitcher", "events", "description", "spin_dir", "spin_rate_deprecated", "break_angle_deprecated",
+    "break_length_deprecated", "zone", "des", "game_type", "stand", "p_throws", "home_team", "away_team", "type",
+    "hit_location", "bb_type", "balls", "strikes", "game_year", "pfx_x", "pfx_z", "plate_x", "plate_z", "on_3b",
+    "on_2b", "on_1b", "outs_when_up", "inning", "inning_topbot", "hc_x", "hc_y", "tfs_deprecated",
+    "tfs_zulu_deprecated", "fielder_2", "umpire", "sv_id", "vx0", "vy0", "vz0", "ax", "ay", "az", "sz_top",
+    "sz_bot", "hit_distance_sc", "launch_speed", "launch_angle", "effective_speed", "release_spin_rate",
+    "release_extension", "game_pk", "pitcher.1", "fielder_2.1", "fielder_3", "fielder_4", "fielder_5", "fielder_6",
+    "fielder_7", "fielder_8", "fielder_9", "release_pos_y", "estimated_ba_using_speedangle",
+    "estimated_woba_using_speedangle", "woba_value", "woba_denom", "babip_value", "iso_value",
+    "launch_speed_angle", "at_bat_number", "pitch_number", "pitch_name", "home_score", "away_score", "bat_score",
+    "fld_score", "post_away_score", "post_home_score", "post_bat_score", "post_fld_score", "if_fielding_alignment",
+    "of_fielding_alignment",
+]
+
+_PITCH_STRING = {
+    "pitch_type", "player_name", "events", "description", "des", "game_type", "stand", "p_throws", "home_team",
+    "away_team", "type", "bb_type", "inning_topbot", "sv_id", "pitch_name", "if_fielding_alignment",
+    "of_fielding_alignment", "spin_dir", "spin_rate_deprecated", "break_angle_deprecated",
+    "break_length_deprecated", "tfs_deprecated", "tfs_zulu_deprecated", "umpire",
+}
+_PITCH_LONG = {"batter", "pitcher", "pitcher.1", "game_pk"}
+_PITCH_INT = {
+    "balls", "strikes", "game_year", "outs_when_up", "inning", "at_bat_number", "pitch_number", "home_score",
+    "away_score", "bat_score", "fld_score", "post_away_score", "post_home_score", "post_bat_score",
+    "post_fld_score",
+}
 # Nullable whole numbers that the source writes with a decimal point ("543228.0").
-PITCH_FLOAT_LONG = """
-on_1b on_2b on_3b fielder_2 fielder_2.1 fielder_3 fielder_4 fielder_5 fielder_6 fielder_7 fielder_8 fielder_9
-""".split()
-PITCH_FLOAT_INT = "zone hit_location launch_speed_angle".split()
+PITCH_FLOAT_LONG = [
+    "on_1b", "on_2b", "on_3b", "fielder_2", "fielder_2.1", "fielder_3", "fielder_4", "fielder_5", "fielder_6",
+    "fielder_7", "fielder_8", "fielder_9",
+]
+PITCH_FLOAT_INT = ["zone", "hit_location", "launch_speed_angle"]
 
 
 def _pitch_type(name: str) -> str:
@@ -150,10 +157,16 @@ def ddl(columns: Mapping[str, str]) -> str:
 
 PITCH = {name: _pitch_type(name) for name in _PITCH_ORDER}
 
+# The counting columns of a batting line.
+COUNTING = [
+    "G", "PA", "AB", "R", "H", "2B", "3B", "HR", "RBI", "BB", "IBB", "SO", "HBP", "SH", "SF", "GDP", "SB", "CS",
+]
+
+# Columns of the landed tables, in file order.
 BATTING = {
     "Name": "STRING", "Age": "INT", "#days": "INT", "Lev": "STRING", "Tm": "STRING",
-    **{n: "INT" for n in "G PA AB R H 2B 3B HR RBI BB IBB SO HBP SH SF GDP SB CS".split()},
-    **{n: "DOUBLE" for n in "BA OBP SLG OPS".split()},
+    **{n: "INT" for n in COUNTING},
+    "BA": "DOUBLE", "OBP": "DOUBLE", "SLG": "DOUBLE", "OPS": "DOUBLE",
     "mlb_ID": "BIGINT",
 }
 
@@ -164,5 +177,6 @@ TEAM_GAMES = {
     "Attendance": "DOUBLE", "cLI": "DOUBLE", "Streak": "INT", "Orig. Scheduled": "STRING",
 }
 
+# Columns of the code tables.
 TYPE_CODES = {"details.type.code": "STRING", "details.type.description": "STRING", "cnt": "BIGINT"}
 CALL_CODES = {"details.code": "STRING", "details.call.description": "STRING", "cnt": "BIGINT"}

@@ -20,13 +20,19 @@ INDEX = "_c0"
 Day = str | dt.date
 
 
-def read_csv(spark: SparkSession, path: str, columns: Mapping[str, str], index: bool = False) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, columns: Mapping[str, str], index: bool = False, broken: bool = False) -> DataFrame:
     """A CSV file with a header and an explicit schema; ``NA`` and empty mean missing.
 
-    ``index`` says the file starts with an unnamed row number; it is read as ``_c0``.
+    ``index`` says the file starts with an unnamed row number; it is read as
+    ``_c0``. A cell that does not fit its type is an error, unless ``broken`` is
+    set: then the row comes with NULL there and its text in ``_corrupt_record``.
     """
     full = {INDEX: "INT", **columns} if index else dict(columns)
-    return spark.read.schema(ddl(full)).option("header", True).option("nullValue", "NA").csv(path)
+    if broken:
+        full[schemas.CORRUPT] = "STRING"
+    mode = "PERMISSIVE" if broken else "FAILFAST"
+    reader = spark.read.schema(ddl(full)).option("header", True).option("nullValue", "NA").option("mode", mode)
+    return reader.option("columnNameOfCorruptRecord", schemas.CORRUPT).csv(path)
 
 
 def read_pitches(
@@ -48,7 +54,7 @@ def read_pitches(
         longs = {n: "bigint" for n in schemas.PITCH_FLOAT_LONG} | {n: "int" for n in schemas.PITCH_FLOAT_INT}
         df = df.select(*[c(n).cast(longs[n]).alias(n) if n in longs else c(n) for n in df.columns])
     else:
-        df = spark.read.parquet(path)
+        df = spark.read.schema(ddl(schemas.PITCH)).parquet(path)
     return in_range(df, "game_date", first, last)
 
 
@@ -65,7 +71,7 @@ def pitcher_range(pitches: DataFrame, first: Day, last: Day, pitcher_id: int) ->
     return in_range(pitches, "game_date", first, last).where(F.col("pitcher") == pitcher_id)
 
 
-COUNTING = "G PA AB R H 2B 3B HR RBI BB IBB SO HBP SH SF GDP SB CS".split()
+COUNTING = schemas.COUNTING
 
 
 def batting_range(

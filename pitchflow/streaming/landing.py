@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pitchflow.plans.games import normalise_game
-from pitchflow.sources.feeds import parse_feed
+from pitchflow.sources.feeds import broken_documents, good_documents, parse_feed
 from pitchflow.sources.tables import write_pbp
 
 
@@ -20,18 +20,23 @@ def follow_feeds(
     landing: str,
     table: str,
     checkpoint: str,
+    errors: str,
     attach: str = "reference",
     files_per_batch: int = 1000,
 ) -> StreamingQuery:
     """Process the documents landed so far, then stop; run again for what comes later.
 
-    ``checkpoint`` and ``table`` must lie in storage all executors share. Every
-    batch has its own folder under ``table`` and replaces it when it is run
-    again after a failure, so no game is written twice.
+    ``checkpoint``, ``table`` and ``errors`` must lie in storage all executors
+    share. Every batch has its own folder under ``table`` and replaces it when it
+    is run again after a failure, so no game is written twice. Broken documents
+    go to the same folder under ``errors``, with their text: good and broken
+    documents together are the landed ones.
     """
 
     def load(batch: DataFrame, number: int) -> None:
-        write_pbp(normalise_game(parse_feed(batch), attach), f"{table}/batch={number}")
+        parsed = parse_feed(batch)
+        broken_documents(parsed).write.mode("overwrite").parquet(f"{errors}/batch={number}")
+        write_pbp(normalise_game(good_documents(parsed), attach), f"{table}/batch={number}")
 
     texts = spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(landing)
     return (

@@ -3,15 +3,18 @@ import json
 
 import pytest
 from games import expected, game, lines
+from pyspark.sql import functions as F
 
-from pitchflow.plans.games import normalise_game, season_games, season_pbp, sort_plays
+from pitchflow.plans.games import normalise_game, season_errors, season_games, season_pbp, sort_plays
 from pitchflow.schemas import PBP, feed_schema
-from pitchflow.sources.feeds import parse_feed, read_feed, read_schedule
+from pitchflow.sources.feeds import (
+    broken_documents, event_variants, good_documents, landed, parse_feed, read_feed, read_schedule, schedule_games,
+)
 from pitchflow.sources.tables import read_pbp, write_pbp
 
 
 def docs_df(spark, docs):
-    return parse_feed(spark.createDataFrame([(t,) for t in lines(docs)], "value STRING"))
+    return good_documents(parse_feed(spark.createDataFrame([(t,) for t in lines(docs)], "value STRING")))
 
 
 def key(rows, names):
@@ -44,7 +47,7 @@ def test_two_versions_of_a_game_stay_apart(spark, tmp_path):
     docs = [game(5, seed=1), game(5, seed=2), game(5, seed=2)]
     want = [row for d in docs for row in expected(d)]
     (tmp_path / "f.jsonl").write_text("\n".join(lines(docs)))
-    for feed in (docs_df(spark, docs), read_feed(spark, str(tmp_path))):
+    for feed in (docs_df(spark, docs), good_documents(read_feed(spark, str(tmp_path)))):
         got = [r.asDict() for r in normalise_game(feed).collect()]
         assert key(got, want[0].keys()) == key(want, want[0].keys())
 
@@ -64,7 +67,7 @@ def test_extra_fields(spark, tmp_path):
             e["pitchData"]["startSpeed"], e["note"] = 90.5, "e"
     schema = feed_schema({"pitchData.startSpeed": "DOUBLE", "note": "STRING"}, {"about.inning": "INT", "note": "STRING"})
     (tmp_path / "f.jsonl").write_text(lines([doc])[0])
-    feed = read_feed(spark, str(tmp_path), schema=schema)
+    feed = good_documents(read_feed(spark, str(tmp_path), schema=schema))
     for attach in ("reference", "parent"):
         pbp = normalise_game(feed, attach)
         assert pbp.columns == [*PBP, "pitchData.startSpeed", "note.x", "about.inning", "note.y"]
@@ -90,13 +93,42 @@ def test_broken_documents_are_kept_apart(spark, tmp_path):
     wrong_type = game(6)
     wrong_type["liveData"]["plays"]["allPlays"][0]["count"]["balls"] = "many"
     (tmp_path / "feed.jsonl").write_text("\n".join([*texts, json.dumps(wrong_type)]))
-    good, bad = read_feed(spark, str(tmp_path), errors="split")
+    every = read_feed(spark, str(tmp_path))
+    good, bad = good_documents(every), broken_documents(every)
     assert sorted(r.game_pk for r in good.collect()) == [1, 2]
     assert bad.count() == 3
     assert bad.select("document").where("document is not null").count() == 2
-    kept = read_feed(spark, str(tmp_path), errors="keep")
-    assert {(r.status, r["count"]) for r in kept.groupBy("status").count().collect()} == {("ok", 2), ("error", 3)}
-    assert read_feed(spark, str(tmp_path)).count() == 2
+    assert {(r.status, r["count"]) for r in every.groupBy("status").count().collect()} == {("ok", 2), ("error", 3)}
+    assert good.count() + bad.count() == every.count() == 5
+    with pytest.raises(ValueError, match="broken_documents"):
+        normalise_game(every)
+
+
+def test_broken_schedules_are_kept_apart(spark, tmp_path):
+    good = {"dates": [{"date": "2020-07-24", "games": [{"gamePk": 1, "status": {"abstractGameState": "Final"}}]}]}
+    (tmp_path / "s.jsonl").write_text("\n".join([json.dumps(good), json.dumps(good)[:-9], "{}"]))
+    every = read_schedule(spark, str(tmp_path))
+    assert schedule_games(good_documents(every)).count() == 1
+    assert broken_documents(every).count() == 2 and every.count() == 3
+
+
+def test_unlisted_fields_come_out(spark, tmp_path):
+    doc = game(1)
+    for play in doc["liveData"]["plays"]["allPlays"]:
+        for n, event in enumerate(play["playEvents"] or []):
+            event["newField"] = {"speed": 90.5 + n}
+    (tmp_path / "feed.jsonl").write_text("\n".join(lines([doc])))
+    events = event_variants(landed(spark, str(tmp_path)))
+    got = events.selectExpr("event_pos", "variant_get(event, '$.newField.speed', 'double') AS speed").orderBy("event_pos").collect()
+    want = [e["newField"]["speed"] for p in doc["liveData"]["plays"]["allPlays"] for e in p["playEvents"] or []]
+    assert [r.speed for r in got] == want and [r.event_pos for r in got] == list(range(len(want)))
+
+
+def test_only_the_named_columns_are_filled(spark):
+    feed = docs_df(spark, [game(pk) for pk in (1, 2)])
+    every, some = (normalise_game(feed, fill=f).orderBy("game_pk", "event_pos", "atBatIndex").collect() for f in (None, ["atBatIndex"]))
+    assert [r.atBatIndex for r in every] == [r.atBatIndex for r in some]
+    assert sum(r["result.event"] is None for r in some) > sum(r["result.event"] is None for r in every)
 
 
 def test_documents_are_parsed_once(spark):
@@ -133,7 +165,8 @@ def season_inputs(spark, tmp_path):
     (tmp_path / "sched" / "s.json").write_text(json.dumps(schedule))
     days = ["2020-07-24", "2020-07-24", "2020-07-25", "2020-08-01", "2020-12-01", None]
     pitches = spark.createDataFrame([(d and dt.date.fromisoformat(d),) for d in days], "game_date DATE")
-    return docs, read_feed(spark, str(tmp_path / "feed")), read_schedule(spark, str(tmp_path / "sched")), pitches
+    schedule = schedule_games(good_documents(read_schedule(spark, str(tmp_path / "sched"))))
+    return docs, good_documents(read_feed(spark, str(tmp_path / "feed"))), schedule, pitches
 
 
 def test_season(spark, tmp_path):
@@ -146,8 +179,13 @@ def test_season(spark, tmp_path):
 
     pbp = season_pbp(feed, pitches, schedule, first, last, exclude=[3])
     assert pbp.count() == size[1] + size[2]
-    shuffled = season_pbp(feed, pitches, schedule, first, last, exclude=[3], broadcast_rows=1)
-    assert key([r.asDict() for r in shuffled.collect()], PBP) == key([r.asDict() for r in pbp.collect()], PBP)
+    texts = landed(spark, str(tmp_path / "feed"))
+    pruned = season_pbp(texts, pitches, schedule, first, last, exclude=spark.createDataFrame([(3,)], "x LONG"))
+    assert key([r.asDict() for r in pruned.collect()], PBP) == key([r.asDict() for r in pbp.collect()], PBP)
+    plan = pruned._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("from_json") < plan.index("Join")  # the join lies below the parse
+    cut = texts.withColumn("document", F.expr("if(game_pk IN (2, 4), left(document, 300), document)"))
+    assert [r.doc_id is not None for r in season_errors(cut, pitches, schedule, first, last).collect()] == [True]
     twice = season_pbp(feed, pitches, schedule, first, last, dedupe=False)
     assert twice.count() == size[1] + 2 * size[2] + size[3]
 
@@ -162,11 +200,12 @@ def test_season(spark, tmp_path):
 def test_streamed_folder_equals_batch(spark, tmp_path):
     from pitchflow.streaming.landing import follow_feeds
 
-    landing, table, state = (str(tmp_path / n) for n in ("landing", "table", "state"))
+    landing, table, state, errors = (str(tmp_path / n) for n in ("landing", "table", "state", "errors"))
     (tmp_path / "landing").mkdir()
     for run, pks in enumerate(([1, 2], [3])):
-        (tmp_path / "landing" / f"{run}.jsonl").write_text("\n".join(lines([game(pk) for pk in pks])))
-        follow_feeds(spark, landing, table, state).awaitTermination()
+        (tmp_path / "landing" / f"{run}.jsonl").write_text("\n".join([*lines([game(pk) for pk in pks]), "{broken"]))
+        follow_feeds(spark, landing, table, state, errors).awaitTermination()
     got = spark.read.parquet(table)
     assert got.count() == sum(len(expected(game(pk))) for pk in (1, 2, 3))
     assert got.select("batch").distinct().count() == 2
+    assert spark.read.parquet(errors).count() == 2

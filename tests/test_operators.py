@@ -14,7 +14,7 @@ from pitchflow.operators.calendar import (
 from pitchflow.operators.nested import class_table, drop_list_columns, explode_path, flatten_struct, game_meta
 from pitchflow.operators.ordered import fill_up, last_of_group_flag, running_record, streak
 from pitchflow.operators.relational import (
-    broadcast_within, code_frequencies, col_range, cols_first, exclude_ids, first_match, left_join_suffixed, union_fill,
+    code_frequencies, col_range, cols_first, exclude_ids, first_match, left_join_suffixed, union_fill,
 )
 from pitchflow.schemas import FEED, c
 
@@ -151,7 +151,9 @@ def test_selections(spark):
     assert cols_first(df, "d", "b").columns == ["d", "b", "a.x", "e"]
     assert col_range(df, "b", "e") == ["b", "d", "e"]
     ids = spark.createDataFrame([(1,), (2,), (3,)], "id INT")
-    assert rows(exclude_ids(ids, "id", [1, 3])) == rows(exclude_ids(ids, "id", ids.where("id <> 2"))) == [(2,)]
+    some = ids.union(spark.createDataFrame([(None,)], "id INT"))
+    for listed in ([1, 3], [1, 3, None], [1, *range(3, 400)], ids.where("id <> 2")):
+        assert rows(exclude_ids(some, "id", listed)) == [(2,), (None,)]
 
 
 def test_code_frequencies_missing_last(spark):
@@ -162,14 +164,8 @@ def test_code_frequencies_missing_last(spark):
 def test_first_match(spark):
     df = spark.createDataFrame([("a", 3, "x"), ("a", 1, None), ("b", 2, "z")], "k STRING, o INT, v STRING")
     assert rows(first_match(df, ["k"], ["o"])) == [("a", 1, None), ("b", 2, "z")]
-
-
-def test_broadcast_only_when_small(spark):
-    small, large = spark.range(5), spark.range(50)
-    plan = lambda df: df.join(broadcast_within(large, 10), "id")._jdf.queryExecution().logical().toString()
-    assert "UnresolvedHint broadcast" not in plan(small)
-    hinted = spark.range(100).join(broadcast_within(small, 10), "id")._jdf.queryExecution().logical().toString()
-    assert "broadcast" in hinted.lower()
+    more = df.union(spark.createDataFrame([("a", 1, "b"), ("c", None, "n"), ("c", 0, "m"), (None, 1, "u")], df.schema))
+    assert rows(first_match(more, ["k"], ["o", "v"])) == [("a", 1, None), ("b", 2, "z"), ("c", None, "n"), (None, 1, "u")]
 
 
 # --- ordered -----------------------------------------------------------------
@@ -194,11 +190,15 @@ def test_last_flag(spark):
 
 
 # Ten games of one team, in order, with record and streak.
-GAMES = "W 1-0 1, L 1-1 -1, L 1-2 -2, W 2-2 1, L 2-3 -1, L 2-4 -2, W 3-4 1, W 4-4 2, W 5-4 3, L 5-5 -1"
+GAMES = [
+    ("W", "1-0", "1"), ("L", "1-1", "-1"), ("L", "1-2", "-2"), ("W", "2-2", "1"),
+    ("L", "2-3", "-1"), ("L", "2-4", "-2"), ("W", "3-4", "1"), ("W", "4-4", "2"),
+    ("W", "5-4", "3"), ("L", "5-5", "-1"),
+]
 
 
 def test_record_and_streak(spark):
-    data = [(i, "NYY", *g.split()) for i, g in enumerate(GAMES.split(", "))]
+    data = [(i, "NYY", *g) for i, g in enumerate(GAMES)]
     df = spark.createDataFrame(data, "i INT, Tm STRING, `W/L` STRING, rec STRING, st STRING")
     out = streak(running_record(df, "W/L", ["Tm"], ["i"]), "W/L", ["Tm"], ["i"])
     assert all(r["W-L"] == r.rec and r.Streak == int(r.st) for r in out.collect())
@@ -293,6 +293,9 @@ def test_pull_weeks_equals_range_join(spark):
     counts = week_counts(df.where("game_date < '2020-08-01'"), "game_date", first, last)
     assert {r.week: (r.number_rows, r.status) for r in counts.collect()} == {
         1: (4, "ok"), 2: (0, "empty"), 3: (0, "empty"), 4: (0, "empty")}
+    failed = spark.createDataFrame([(dt.date(2020, 7, 24),), (dt.date(2020, 8, 9),)], "game_date DATE")
+    states = week_counts(df.where("game_date < '2020-08-01'"), "game_date", first, last, failed).orderBy("week").collect()
+    assert [r.status for r in states] == ["error", "empty", "error", "empty"]
 
 
 def test_days_ids_summary(spark):

@@ -48,4 +48,17 @@ def test_third_of_the_right_rows_with_one_key(small_partitions):
     split = left_join_suffixed(left, right, [("k", "rk")], hot_right_rows=10_000)
     total = lambda df: df.agg(F.count(F.lit(1)), F.sum(F.col("y") % 1000), F.sum("id")).first()
     assert total(plain) == total(split)
-    assert "skew=true" not in run(plain)[1] and "skew=true" in run(split)[1]
+    rows, plan = run(split)
+    assert "_rpart" in plan and plan.count("Range (") == 3  # the left side once, the right side twice
+    # The third of the right rows with one key is dealt into parts.
+    parts = right.where("rk = 5").groupBy(F.expr("pmod(xxhash64(rk, y), 16)")).count()
+    assert parts.count() == 16 and parts.agg(F.max("count")).first()[0] < ROWS / 3 / 8
+
+
+@pytest.mark.parametrize("hot", [1, 40, None])
+def test_split_keys_keep_every_row(spark, hot):
+    left = spark.range(0, 400).selectExpr("id", "if(id % 7 = 0, NULL, id % 11) AS k", "if(id % 5 = 0, NULL, id % 3) AS g")
+    right = spark.range(0, 300).selectExpr("if(id % 4 = 0, NULL, id % 9) AS rk", "if(id % 6 = 0, NULL, id % 3) AS g", "id AS y")
+    joined = left_join_suffixed(left, right, [("k", "rk")], scope=["g"], hot_right_rows=hot)
+    want = left.alias("l").join(right.alias("r"), F.expr("l.k <=> r.rk AND l.g = r.g"), "left").selectExpr("id", "k", "l.g", "y")
+    assert sorted(map(str, joined.select("id", "k", "g", "y").collect())) == sorted(map(str, want.collect()))
