@@ -99,3 +99,65 @@ def op10_attention_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder).select("doc_id", "text")
     model = quality_classifier.fit(docs, read(spark, folder, "labels").where(~_held_out()))
     return quality_classifier.score(docs, model, keep_text=False).select("doc_id", _held_out().alias("held_out"), "score", "predicted")
+
+
+SQL["op3_line_rules"] = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+words AS (SELECT doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM d),
+base AS (
+  SELECT doc_id, len(w) AS n_words, length(text) - length(regexp_replace(text, '[^\x20\x09-\x0D]', '', 'g')) AS word_chars,
+    length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols, strlen(array_to_string(w, '')) AS size
+  FROM words),
+triples AS (
+  SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g
+  FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 2)) AS i FROM words WHERE len(w) > 2)),
+often AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n FROM triples),
+repeated AS (
+  SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words FROM often, (SELECT unnest([0, 1, 2]) AS k) WHERE n > 1 GROUP BY doc_id),
+lines AS (
+  SELECT doc_id, line, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS w
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d) WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+judged AS (
+  SELECT *, len(w) AS n, strlen(array_to_string(w, '')) AS chars,
+    greatest(length(line) - length(replace(line, '|', '')), length(line) - length(replace(line, '»', '')),
+      length(line) - length(replace(line, '›', '')), (length(line) - length(replace(line, ' > ', ''))) // 3,
+      length(line) - length(replace(line, '•', ''))) >= 3
+    OR (len(w) <= 40 AND len(list_filter(__PHRASES__, lambda x: contains(lower(line), x))) > 0)
+    OR (len(w) >= 4 AND len(regexp_extract_all(line, '[!?]{2,}')) > 0.2::DOUBLE * len(w))
+    OR (len(w) > 200 AND NOT regexp_matches(line, '[.!?:;"''”’)…。！？]'))
+    OR length(regexp_replace(line, '[^#*$%&|<>]', '', 'g')) > 0.1::DOUBLE * length(line)
+    OR (len(w) >= 4 AND length(regexp_replace(line, '[^\p{Lu}]', '', 'g')) > 0.6::DOUBLE * length(replace(line, ' ', ''))) AS bad
+  FROM lines),
+sums AS (
+  SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines, count(*) FILTER (bad) AS n_bad_lines,
+    coalesce(sum(chars) FILTER (bad), 0) AS lost_chars
+  FROM judged GROUP BY doc_id),
+joined AS (
+  SELECT base.*, coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+    coalesce(n_bad_lines, 0) AS n_bad_lines, coalesce(lost_chars, 0) AS lost_chars
+  FROM base LEFT JOIN sums USING (doc_id) LEFT JOIN repeated USING (doc_id))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, n_bad_lines,
+  CASE WHEN size = 0 THEN 0.0::DOUBLE ELSE lost_chars::DOUBLE / size END AS lost,
+  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND lost_chars <= 0.5::DOUBLE * size AS kept
+FROM joined
+""".replace("__PHRASES__", "[" + ", ".join(f"'{x}'" for x in quality_rules.BOILERPLATE) + "]")
+
+
+SQL["op7_chosen_path"] = r"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(text, '') AS text, md5(coalesce(text, '')) AS text_id FROM documents),
+t AS (SELECT text_id, min(text) AS text, min(doc_id) AS least, count(*) AS n_copies FROM d GROUP BY text_id),
+w AS (SELECT text_id, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM t),
+s AS (
+  SELECT DISTINCT text_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(generate_series(1, len(w) - 4), lambda i: array_to_string(w[i:i + 4], ' '))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM w),
+sizes AS (SELECT text_id, count(*) AS k FROM s GROUP BY text_id),
+pairs AS (SELECT a.text_id AS a, b.text_id AS b, count(*) AS shared FROM s a JOIN s b ON a.g = b.g AND a.text_id <> b.text_id GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM pairs JOIN sizes x ON x.text_id = a JOIN sizes y ON y.text_id = b WHERE 5 * shared >= 4 * (x.k + y.k - shared)),
+reach(a, b) AS (SELECT text_id, text_id FROM t UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+classes AS (SELECT a AS text_id, min(least) AS class_id FROM reach JOIN t ON t.text_id = b GROUP BY a),
+counts AS (SELECT a AS text_id, count(*) AS n_links FROM links GROUP BY a)
+SELECT d.doc_id, d.text_id, class_id, n_copies, coalesce(n_links, 0) AS n_links
+FROM d JOIN t USING (text_id) JOIN classes USING (text_id) LEFT JOIN counts USING (text_id)
+"""
