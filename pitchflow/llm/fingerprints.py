@@ -1,25 +1,29 @@
 """Document fingerprints that can be subtracted: invertible Bloom lookup tables over paragraph digests.
 
 A text's paragraphs are hashed, and each digest is put into three cells of a
-small table; a cell holds a count, the XOR of its digests and the XOR of their
-check hashes. The table is the fingerprint. Subtracting two tables cell by cell
-leaves what the texts don't share; cells with a single digest give it away, it
-is taken out of its other cells, and so on until the table is empty
-(peeling; Eppstein, Goodrich, Uyeda, Varghese 2011). Where the difference is too
-large for that, it is tried again with larger tables, the digests being dealt by
-value to as many of them as the texts are long, so the work grows with the
-length and not with its square. Should that fail four times over, the digests
-themselves are compared.
+small table, one in each third; a cell holds a count, the XOR of its digests and
+the XOR of their check hashes. The table is the fingerprint. Subtracting two
+tables of one size leaves what the texts don't share; a cell with a single
+digest gives it away, it is taken out of its other two cells, and so on until
+the table is empty (peeling; Eppstein, Goodrich, Uyeda, Varghese 2011). Where
+that gets stuck it is tried again with a larger table and other places. Should
+it fail ``TRIES`` times over, the digests themselves are compared.
+
+The column ``fingerprint`` is the smallest table, of ``3 * FIRST`` cells. To
+compare two texts, tables are made that fit the number of their paragraphs.
+Their cells are rows: subtraction is a sum over signed digests, and a round of
+peeling looks at one third, where each digest has just one cell, and sums again.
+All cells of a pair stay in one partition, so the rounds shuffle nothing and
+compile to hash aggregates.
 
 Paragraphs end at line ends, at about every second sentence end (where the next
 one begins with A to M), and at places inside long stretches that only the
 neighbouring letters choose; equal passages have equal paragraphs, whatever
 stands before them.
 
-Only DataFrame and SQL functions are used, on one row at a time: no shuffle but
-that of the neighbours below, no state beyond a row. Null texts are empty and
-have an empty table; two empty tables are alike (1.0). Repeated paragraphs of a
-text count once, and order doesn't count. Repeated rows give equal results.
+Only DataFrame and SQL functions are used. Null texts are empty and have an
+empty table; two empty tables are alike (1.0). Repeated paragraphs of a text
+count once, and order doesn't count. Rows that repeat are rows like others.
 """
 
 from __future__ import annotations
@@ -29,12 +33,12 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitchflow.llm.common import partitions, quoted
+from pitchflow.llm.common import partitions, quoted, stored
 
-#: Cells of one of the three parts of a table: of the fingerprint, and of what is tried after it.
-FIRST, RETRIES = 11, (43, 171, 683)
-#: Digests of both texts that one of the larger tables gets, on average.
-PER_TABLE = 48
+#: Cells of a third of the fingerprint.
+FIRST = 11
+#: Cells of a third for each digest of both texts, at first; doubled on each try. Rounds of peeling over all three thirds.
+ROOM, TRIES, ROUNDS = 0.6, 4, 5
 
 CUT = r"\n+|(?<=[.!?])[ \t]+(?=[A-M])|(?<=[dgy]) (?=[aeo])"
 
@@ -45,64 +49,81 @@ def digests(text: str) -> str:
     return f"array_distinct(transform({parts}, x -> xxhash64(trim(x))))"
 
 
-def _places(key: str, third: int) -> str:
-    return f"array({', '.join(f'int({t * third} + pmod(xxhash64({key}, {t}L), {third}))' for t in range(3))})"
+def written(sets: DataFrame, third: int = FIRST) -> DataFrame:
+    """``(row, pair, keys)`` to ``(row, pair, print)``: the table of each set as text, ``cell:count:digests:check`` in hexadecimal.
 
-
-def _update(cells: str, i: str, key: str, sign: str, third: int) -> str:
-    """The cells with ``key`` put into cell ``i``, counted by ``sign``."""
-    old = f"{cells}[{i}]"
-    new = f"named_struct('n', {old}.n + {sign}, 'k', {old}.k ^ {key}, 'h', {old}.h ^ xxhash64({key}, 7L))"
-    return f"concat(slice({cells}, 1, {i}), array({new}), slice({cells}, {i} + 2, {3 * third}))"
+    Empty cells are left out. The rows of ``sets`` lie by ``row``.
+    """
+    sized = sets.selectExpr("row", "pair", f"{third} AS s", "explode(keys) AS k")
+    placed = ", ".join(_place("k", t, 0) for t in range(3))
+    cells = _summed(sized.selectExpr("row", "pair", "s", f"explode(array({placed})) AS cell", "0L AS f", "1 AS n", "k", "xxhash64(k, 7L) AS h"))
+    texts = cells.selectExpr("row", "pair", "concat_ws(':', lpad(hex(cell), 2, '0'), hex(n), hex(k), hex(h)) AS x")
+    return texts.groupBy("row", "pair").agg(F.array_join(F.array_sort(F.collect_list("x")), " ").alias("print"))
 
 
-def table(keys: str, third: int = FIRST) -> str:
-    """SQL for the table of a set of digests."""
-    empty = f"array_repeat(named_struct('n', 0, 'k', 0L, 'h', 0L), {3 * third})"
-    put = f"aggregate({_places('k', third)}, c, (d, i) -> {_update('d', 'i', 'k', '1', third)})"
-    return f"aggregate({keys}, {empty}, (c, k) -> {put})"
+def _place(key: str, third: int, attempt: int) -> str:
+    """SQL for a digest's cell in one third of a table whose thirds have ``s`` cells."""
+    return f"int({third} * s + pmod(xxhash64({key}, {10 * attempt + third}L), s))"
 
 
-def written(cells: str) -> str:
-    """SQL for a table as text: count, digests and check of each cell in hexadecimal."""
-    return f"array_join(transform({cells}, c -> concat_ws(':', hex(c.n), hex(c.k), hex(c.h))), ' ')"
+def subtracted(pairs: DataFrame, attempt: int = 0) -> DataFrame:
+    """``(row, pair, a, b)`` with sets of digests to the cells of table ``a`` less table ``b``: ``(row, pair, s, cell, f, n, k, h)``.
 
+    The rows of ``pairs`` lie by ``row``; cells that are empty are left out.
+    """
+    room = ROOM * 2**attempt
+    sized = pairs.selectExpr("row", "pair", f"int(greatest(8, ceil({room} * (size(a) + size(b))))) AS s", "a", "b")
+    signed = sized.selectExpr("row", "pair", "s", "explode(concat(transform(a, x -> named_struct('k', x, 'n', 1)), transform(b, x -> named_struct('k', x, 'n', -1)))) AS e")
+    placed = ", ".join(_place("e.k", t, attempt) for t in range(3))
+    cells = signed.selectExpr("row", "pair", "s", f"explode(array({placed})) AS cell", "0L AS f", "e.n AS n", "e.k AS k", "xxhash64(e.k, 7L) AS h")
+    return _summed(cells)
 
-def peeled(a: str, b: str, third: int) -> str:
-    """SQL for what only table ``a`` has and only ``b`` has, ``(a, b)`` arrays of digests, or NULL if peeling gets stuck."""
-    cells = 3 * third
-    less = f"zip_with({a}, {b}, (x, y) -> named_struct('n', x.n - y.n, 'k', x.k ^ y.k, 'h', x.h ^ y.h))"
 
-    def pure(c: str) -> str:
-        return f"(({c}.n = 1 OR {c}.n = -1) AND {c}.h = xxhash64({c}.k, 7L))"
+def _summed(cells: DataFrame) -> DataFrame:
+    out = cells.groupBy("row", "pair", "s", "cell", "f").agg(F.sum("n").cast("int").alias("n"), F.bit_xor("k").alias("k"), F.bit_xor("h").alias("h"))
+    return out.where("n <> 0 OR k <> 0 OR h <> 0")
 
-    top = "s.c[s.q[0]]"
-    taken = f"aggregate({_places(f'{top}.k', third)}, s.c, (d, j) -> {_update('d', 'j', f'{top}.k', f'(-{top}.n)', third)})"
-    rest = "slice(s.q, 2, size(s.q))"
-    hit = f"named_struct('c', {taken}, 'q', concat({rest}, {_places(f'{top}.k', third)}), 'f', concat(s.f, array(named_struct('k', {top}.k, 'n', {top}.n))))"
-    miss = f"named_struct('c', s.c, 'q', {rest}, 'f', s.f)"
-    start = f"named_struct('c', t, 'q', filter(sequence(0, {cells - 1}), i -> {pure('t[i]')}), 'f', cast(array() AS array<struct<k: bigint, n: int>>))"
-    side = "transform(filter(s.f, x -> x.n = {}), x -> x.k)"
-    done = f"if(forall(s.c, x -> x.n = 0 AND x.k = 0L AND x.h = 0L), named_struct('a', {side.format(1)}, 'b', {side.format(-1)}), NULL)"
-    # At most one digest per cell can come out, and each puts three cells on the list: four steps per cell are enough.
-    loop = f"aggregate(sequence(1, {4 * cells}), {start}, (s, _n) -> if(size(s.q) = 0, s, if({pure(top)}, {hit}, {miss})), s -> {done})"
-    return f"transform(array({less}), t -> {loop})[0]"
 
+def peeled(cells: DataFrame, attempt: int = 0, rounds: int = ROUNDS) -> DataFrame:
+    """Cells after peeling: rows of cell -1 are recovered digests ``f`` with the sign ``n``; other rows are cells that got stuck."""
+    for step in range(3 * rounds):
+        third = step % 3
+        pure = f"cell >= {third} * s AND cell < {third + 1} * s AND (n = 1 OR n = -1) AND h = xxhash64(k, 7L)"
+        out = [f"named_struct('cell', -1, 'f', k, 'n', n, 'k', 0L, 'h', 0L)"]
+        out += [f"named_struct('cell', {_place('k', t, attempt)}, 'f', 0L, 'n', -n, 'k', k, 'h', h)" for t in range(3) if t != third]
+        same = "named_struct('cell', cell, 'f', f, 'n', n, 'k', k, 'h', h)"
+        cells = _summed(cells.selectExpr("row", "pair", "s", f"inline(if({pure}, array({', '.join(out)}), array({same})))"))
+    return cells
 
-def difference(ka: str, kb: str, first: str) -> str:
-    """SQL for the difference of two sets of digests; ``first`` is the result of subtracting their fingerprints, or NULL."""
-    tables = f"int(pow(2, ceil(log2(greatest(1D, (size({ka}) + size({kb})) / {PER_TABLE}D)))))"
-    tries = [peeled(table("g.a", third), table("g.b", third), third) for third in RETRIES]
-    exact = "named_struct('a', array_except(g.a, g.b), 'b', array_except(g.b, g.a))"
-    dealt = f"transform(sequence(0, p - 1), i -> named_struct('a', filter({ka}, k -> pmod(k, p) = i), 'b', filter({kb}, k -> pmod(k, p) = i)))"
-    each = f"transform({dealt}, g -> coalesce({', '.join(tries)}, {exact}))"
-    larger = f"transform(array({tables}), p -> transform(array({each}), e -> named_struct('a', flatten(transform(e, x -> x.a)), 'b', flatten(transform(e, x -> x.b))))[0])[0]"
-    return f"coalesce({first}, {larger})"
 
+def differences(pairs: DataFrame, keep: bool = False) -> DataFrame:
+    """``(row, pair, only_a, only_b)``: how many digests only one of two sets has; with ``keep`` also ``lost`` and ``gained``, the digests.
 
-def likeness(ka: str, diff: str) -> str:
-    """SQL for the share of common paragraphs among all, from one set and the difference: 0 to 1."""
-    return f"if(size({ka}) + size({diff}.b) = 0, 1D, double(size({ka}) - size({diff}.a)) / (size({ka}) + size({diff}.b)))"
+    ``pairs`` has ``(row, pair, a, b)``. Pairs without a difference have no row.
+    """
+    found = []
+    left = pairs
+    for attempt in range(TRIES):
+        cells = peeled(subtracted(left.repartition("row"), attempt), attempt)
+        sums = [F.count_if(F.expr("cell = -1 AND n = 1")).alias("only_a"), F.count_if(F.expr("cell = -1 AND n = -1")).alias("only_b")]
+        if keep:
+            sums += [F.expr(f"collect_list(if(cell = -1 AND n = {n}, f, NULL))").alias(name) for n, name in ((1, "lost"), (-1, "gained"))]
+        # A digest comes out once, and nothing else is left: otherwise the pair is tried again.
+        stuck = F.max(F.expr("cell >= 0 OR abs(n) <> 1")).alias("stuck")
+        done = stored(cells.groupBy("row", "pair").agg(stuck, *sums))
+        found.append(done.where("NOT stuck").drop("stuck"))
+        again = done.where("stuck").select("row", "pair")
+        if again.isEmpty():
+            break
+        left = pairs.join(again, ["row", "pair"], "left_semi")
+    else:
+        exact = left.selectExpr("row", "pair", "array_except(a, b) AS lost", "array_except(b, a) AS gained")
+        kept = ["lost", "gained"] if keep else []
+        found.append(exact.selectExpr("row", "pair", "bigint(size(lost)) AS only_a", "bigint(size(gained)) AS only_b", *kept))
+    out = found[0]
+    for more in found[1:]:
+        out = out.unionByName(more)
+    return out
 
 
 def with_next(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", extra: str = "_keys", buckets: int | None = None) -> DataFrame:
@@ -144,14 +165,28 @@ def compare_with_edits(docs: DataFrame, text: str = "text", doc_id: str = "doc_i
     paired = with_next(keyed).selectExpr("doc_id", "text", "_keys AS ka", "_next", "_next_keys AS kn", "bigint(char_length(text)) AS n_chars")
     cut = "int(n_chars div 3)"
     edited = paired.selectExpr("doc_id", "n_chars", "ka", "kn", f"concat(substring(text, 1, int(n_chars) - {cut}), substring(_next, 1, {cut})) AS edited")
-    sets = edited.selectExpr("doc_id", "n_chars", "ka", "kn", "sha2(edited, 256) AS edited_sha256", f"{digests('edited')} AS ke")
-    tables = sets.selectExpr("*", f"{table('ka')} AS ta", f"{table('ke')} AS te", f"{table('kn')} AS tn")
-    firsts = tables.selectExpr("*", f"{peeled('ta', 'te', FIRST)} AS de", f"{peeled('ta', 'tn', FIRST)} AS dn")
-    full = firsts.selectExpr(
-        "doc_id", "n_chars", "edited_sha256", f"{written('ta')} AS fingerprint", f"{written('te')} AS edited_fingerprint", "ka",
-        f"{difference('ka', 'ke', 'de')} AS de", f"{difference('ka', 'kn', 'dn')} AS dn",
+    # Written once: the number of a row is the same for all that read it.
+    sets = stored(edited.selectExpr("monotonically_increasing_id() AS row", "doc_id", "n_chars", "ka", "kn", "unhex(sha2(edited, 256)) AS sha", f"{digests('edited')} AS ke"))
+    both = sets.selectExpr("row", "ka", "inline(array(named_struct('pair', 0, 'b', ke), named_struct('pair', 1, 'b', kn)))")
+    found = differences(both.selectExpr("row", "pair", "ka AS a", "b"))
+    texts = sets.selectExpr("row", "ka", "ke").repartition("row").selectExpr(
+        "row", "inline(array(named_struct('pair', 0, 'keys', ka), named_struct('pair', 1, 'keys', ke)))"
     )
-    return full.selectExpr(
-        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", f"{likeness('ka', 'de')} AS near_edited", f"{likeness('ka', 'dn')} AS near_next",
-        "size(de.a) AS n_lost", "size(de.b) AS n_gained",
+    facts = found.selectExpr("row", "pair", "only_a", "only_b", "cast(NULL AS string) AS print").unionByName(
+        written(texts).selectExpr("row", "pair", "cast(NULL AS bigint) AS only_a", "cast(NULL AS bigint) AS only_b", "print")
+    )
+    # Pair 0 is the edited text and pair 1 the next one; table 0 is the text's and table 1 the edited text's.
+    wide = facts.groupBy("row").agg(*[
+        F.max(F.when(F.col("pair") == p, F.col(c))).alias(f"{c}{p}") for p in (0, 1) for c in ("only_a", "only_b", "print")
+    ])
+    narrow = sets.selectExpr("row", "doc_id", "n_chars", "sha", "size(ka) AS n")
+    joined = narrow.join(wide.withColumnRenamed("row", "_row"), F.col("row") == F.col("_row"), "left")
+
+    def likeness(p: int) -> str:
+        a, b = f"coalesce(only_a{p}, 0)", f"coalesce(only_b{p}, 0)"
+        return f"if(n + {b} = 0, 1D, double(n - {a}) / (n + {b}))"
+
+    return joined.selectExpr(
+        "doc_id", "n_chars", "lower(hex(sha)) AS edited_sha256", "coalesce(print0, '') AS fingerprint", "coalesce(print1, '') AS edited_fingerprint",
+        f"{likeness(0)} AS near_edited", f"{likeness(1)} AS near_next", "coalesce(only_a0, 0) AS n_lost", "coalesce(only_b0, 0) AS n_gained",
     )
