@@ -187,8 +187,8 @@ def event_days(t: Tables):
 # --- row order -----------------------------------------------------------------
 
 def _piece():
-    """event_id is unique: at most 2**20 rows of any group share a piece."""
-    return F.shiftright(F.col("event_id"), 20)
+    """event_id is unique: at most 256 rows of any group share a piece, so every table has groups of several pieces."""
+    return F.shiftright(F.col("event_id"), 8)
 
 
 @query(
@@ -256,7 +256,7 @@ FROM log WINDOW w AS (PARTITION BY Tm ORDER BY game_no ROWS UNBOUNDED PRECEDING)
 )
 def record(t: Tables):
     log = _log(t).select("game_no", "Tm", "wl")
-    return running_record(log, "wl", ["Tm"], ["game_no"], "record", segment=F.shiftright("game_no", 20))
+    return running_record(log, "wl", ["Tm"], ["game_no"], "record", segment=F.shiftright("game_no", 8))
 
 
 @query(
@@ -269,7 +269,7 @@ SELECT game_no, Tm, wl, CAST((CASE WHEN wl = 'W' THEN 1 ELSE -1 END) *
 )
 def runs(t: Tables):
     log = _log(t).select("game_no", "Tm", "wl")
-    return streak(log, "wl", ["Tm"], ["game_no"], "streak", segment=F.shiftright("game_no", 20))
+    return streak(log, "wl", ["Tm"], ["game_no"], "streak", segment=F.shiftright("game_no", 8))
 
 
 @query(
