@@ -41,7 +41,8 @@ from pyspark.sql import functions as F
 from pitchflow.llm.common import digest, groups, stored
 
 LENGTH, K = 100, 32
-HOT = 20_000
+#: Occurrences of one anchor that a task sorts; with their contexts, about 60 MB.
+HOT = 100_000
 #: Bytes worked at once by a task that looks for anchors.
 SLICE = 1 << 20
 #: Room for the position in a number that also tells rows of one id apart.
@@ -214,27 +215,28 @@ def covered(numbered: DataFrame, length: int = LENGTH, hot: int = HOT, k: int =
 
     every = numbered.mapInArrow(found, "hash long, doc long, at long")
     # A window sorts a frequent anchor's rows on disk if it must; its size decides how it is worked.
-    met = every.selectExpr("*", "count(1) OVER (PARTITION BY hash) AS n").where("n > 1")
-    places = met.groupBy("doc", F.expr(f"int(at >> {_BITS})").alias("nth")).agg(F.collect_list(F.struct("hash", F.expr(f"at & {(1 << _BITS) - 1}").alias("at"), "n")).alias("places"))
-    places = places.join(copies.select("doc", "nth"), ["doc", "nth"], "left_anti")
+    met = stored(every.selectExpr("*", "count(1) OVER (PARTITION BY hash) AS n").where("n > 1"))
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = {"hash": pa.int64(), "n": pa.int64(), "doc": pa.int64(), "nth": pa.int32(), "at": pa.int64(), "left": pa.binary(), "right": pa.binary()}
+        kinds = {"hash": pa.int64(), "doc": pa.int64(), "nth": pa.int32(), "at": pa.int64(), "left": pa.binary(), "right": pa.binary()}
         for batch in batches:
             rows: dict[str, list] = {name: [] for name in kinds}
             for doc, nth, value, own in zip(*(batch[n] for n in ("doc", "nth", "text", "places")), strict=True):
                 text, doc, nth, own = value.as_py().encode(), doc.as_py(), nth.as_py(), own.values
-                for h, at, n in zip(*(own.field(i).to_pylist() for i in range(3)), strict=True):
-                    for name, x in zip(kinds, (h, n, doc, nth, at, text[max(0, at - near) : at][::-1], text[at : at + far]), strict=True):
+                for h, at in zip(*(own.field(i).to_pylist() for i in range(2)), strict=True):
+                    for name, x in zip(kinds, (h, doc, nth, at, text[max(0, at - near) : at][::-1], text[at : at + far]), strict=True):
                         rows[name].append(x)
                 if len(rows["at"]) > 20_000:
                     yield pa.record_batch([pa.array(rows[n], kind) for n, kind in kinds.items()], names=list(kinds))
                     rows = {name: [] for name in kinds}
             yield pa.record_batch([pa.array(rows[n], kind) for n, kind in kinds.items()], names=list(kinds))
 
-    around = numbered.join(places, ["doc", "nth"]).select("doc", "nth", "text", "places").mapInArrow(
-        contexts, "hash long, n long, doc long, nth int, at long, left binary, right binary"
-    )
+    def around(rows: DataFrame) -> DataFrame:
+        places = rows.groupBy("doc", F.expr(f"int(at >> {_BITS})").alias("nth")).agg(
+            F.collect_list(F.struct("hash", F.expr(f"at & {(1 << _BITS) - 1}").alias("at"))).alias("places")
+        ).join(copies.select("doc", "nth"), ["doc", "nth"], "left_anti")
+        joined = numbered.join(places, ["doc", "nth"]).select("doc", "nth", "text", "places")
+        return joined.mapInArrow(contexts, "hash long, doc long, nth int, at long, left binary, right binary")
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
@@ -252,19 +254,31 @@ def covered(numbered: DataFrame, length: int = LENGTH, hot: int = HOT, k: int =
             yield pa.record_batch([pa.array(x) for x in zip(*out, strict=True)], names=["doc", "nth", "a", "b"])
 
     schema = "doc long, nth long, a long, b long"
-    cold = around.where(F.col("n") <= hot).select("hash", "doc", "nth", "at", "left", "right")
+    cold = around(met.where(F.col("n") <= hot))
     by_tree = cold.repartition("hash").sortWithinPartitions("hash").mapInArrow(compared, schema)
-
-    # Strings around frequent anchors: l bytes before it and the rest from it.
-    strings = around.where(F.col("n") > hot).selectExpr("*", f"explode(sequence(0, {near})) AS l").where(
-        f"octet_length(left) >= l AND octet_length(right) >= {length} - l"
-    ).selectExpr("doc", "nth", "at", "l", f"md5(concat(reverse(hex(substring(left, 1, l))), '-', hex(substring(right, 1, {length} - l)))) AS s", "hash")
-    least = strings.groupBy("hash", "l", "s").agg(F.min(F.struct("doc", "nth", "at")).alias("first"))
-    later = strings.join(least, ["hash", "l", "s"]).where("struct(doc, nth, at) <> first")
-    by_hash = later.groupBy("doc", "nth", "at").agg(F.max("l").alias("most"), F.min("l").alias("fewest")).selectExpr(
-        "doc", "bigint(nth) AS nth", "at - most AS a", f"at + {length} - fewest AS b"
-    )
-    ranges = by_tree.union(by_hash).union(copies.where(f"b >= {length}").selectExpr("doc", "bigint(nth)", "bigint(a)", "bigint(b)"))
+    found_ranges = [by_tree, copies.where(f"b >= {length}").selectExpr("doc", "bigint(nth)", "bigint(a)", "bigint(b)")]
+
+    frequent = met.where(F.col("n") > hot)
+    if not frequent.isEmpty():
+        # Of equal contexts all but the first are covered; the others' strings are hashed: l bytes before the anchor, the rest from it.
+        texts = stored(around(frequent).withColumn("c", F.md5(F.concat_ws("-", F.hex("left"), F.hex("right")))))
+        first = texts.groupBy("hash", "c").agg(F.min(F.struct("doc", "nth", "at")).alias("first"))
+        marked = texts.join(first, ["hash", "c"])
+        again = marked.where(f"struct(doc, nth, at) <> first AND octet_length(left) + octet_length(right) >= {length}")
+        strings = marked.where("struct(doc, nth, at) = first").selectExpr("*", f"explode(sequence(0, {near})) AS l").where(
+            f"octet_length(left) >= l AND octet_length(right) >= {length} - l"
+        ).selectExpr("doc", "nth", "at", "l", f"md5(concat(hex(substring(left, 1, l)), '-', hex(substring(right, 1, {length} - l)))) AS s", "hash")
+        least = strings.groupBy("hash", "l", "s").agg(F.min(F.struct("doc", "nth", "at")).alias("first"))
+        later = strings.join(least, ["hash", "l", "s"]).where("struct(doc, nth, at) <> first")
+        found_ranges += [
+            again.selectExpr("doc", "bigint(nth) AS nth", "at - octet_length(left) AS a", "at + octet_length(right) AS b"),
+            later.groupBy("doc", "nth", "at").agg(F.max("l").alias("most"), F.min("l").alias("fewest")).selectExpr(
+                "doc", "bigint(nth) AS nth", "at - most AS a", f"at + {length} - fewest AS b"
+            ),
+        ]
+    ranges = found_ranges[0]
+    for more in found_ranges[1:]:
+        ranges = ranges.union(more)
     return ranges.groupBy("doc", F.col("nth").cast("int").alias("nth")).agg(F.collect_list(F.struct("a", "b")).alias("ranges"))
 
 
