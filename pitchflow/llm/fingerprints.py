@@ -84,12 +84,16 @@ def _summed(cells: DataFrame) -> DataFrame:
     return out.where("n <> 0 OR k <> 0 OR h <> 0")
 
 
-def peeled(cells: DataFrame, attempt: int = 0, rounds: int = ROUNDS) -> DataFrame:
-    """Cells after peeling: rows of cell -1 are recovered digests ``f`` with the sign ``n``; other rows are cells that got stuck."""
+def peeled(cells: DataFrame, attempt: int = 0, keep: bool = True, rounds: int = ROUNDS) -> DataFrame:
+    """Cells after peeling: rows of cell -1 (only ``a`` has it) and -2 (only ``b``) are recovered digests ``f``, ``n`` times.
+
+    Without ``keep`` these two rows hold the numbers of digests alone. Other rows are cells that got stuck.
+    """
     for step in range(3 * rounds):
         third = step % 3
         pure = f"cell >= {third} * s AND cell < {third + 1} * s AND (n = 1 OR n = -1) AND h = xxhash64(k, 7L)"
-        out = [f"named_struct('cell', -1, 'f', k, 'n', n, 'k', 0L, 'h', 0L)"]
+        digest = "k" if keep else "0L"
+        out = [f"named_struct('cell', if(n = 1, -1, -2), 'f', {digest}, 'n', 1, 'k', 0L, 'h', 0L)"]
         out += [f"named_struct('cell', {_place('k', t, attempt)}, 'f', 0L, 'n', -n, 'k', k, 'h', h)" for t in range(3) if t != third]
         same = "named_struct('cell', cell, 'f', f, 'n', n, 'k', k, 'h', h)"
         cells = _summed(cells.selectExpr("row", "pair", "s", f"inline(if({pure}, array({', '.join(out)}), array({same})))"))
@@ -104,12 +108,12 @@ def differences(pairs: DataFrame, keep: bool = False) -> DataFrame:
     found = []
     left = pairs
     for attempt in range(TRIES):
-        cells = peeled(subtracted(left.repartition("row"), attempt), attempt)
-        sums = [F.count_if(F.expr("cell = -1 AND n = 1")).alias("only_a"), F.count_if(F.expr("cell = -1 AND n = -1")).alias("only_b")]
+        cells = peeled(subtracted(left.repartition("row"), attempt), attempt, keep)
+        sums = [F.sum(F.expr(f"if(cell = {cell}, n, 0)")).alias(name) for cell, name in ((-1, "only_a"), (-2, "only_b"))]
         if keep:
-            sums += [F.expr(f"collect_list(if(cell = -1 AND n = {n}, f, NULL))").alias(name) for n, name in ((1, "lost"), (-1, "gained"))]
-        # A digest comes out once, and nothing else is left: otherwise the pair is tried again.
-        stuck = F.max(F.expr("cell >= 0 OR abs(n) <> 1")).alias("stuck")
+            sums += [F.expr(f"collect_list(if(cell = {cell}, f, NULL))").alias(name) for cell, name in ((-1, "lost"), (-2, "gained"))]
+        # Nothing else is left, and no digest came out twice: otherwise the pair is tried again.
+        stuck = F.max(F.expr("cell >= 0 OR n <> 1" if keep else "cell >= 0")).alias("stuck")
         done = stored(cells.groupBy("row", "pair").agg(stuck, *sums))
         found.append(done.where("NOT stuck").drop("stuck"))
         again = done.where("stuck").select("row", "pair")
