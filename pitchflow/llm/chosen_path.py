@@ -6,8 +6,9 @@ all sets recursively: a node of the recursion samples one or two coordinates of
 the MinHash sketch, by its path alone, and every set goes to the children that
 its tokens there name. So similar sets follow the same paths. Nodes with few
 sets are leaves; so are those at the greatest depth, whatever their size. The
-number of runs follows from the recall wanted. All sets of a leaf are then
-compared exactly, in blocks.
+number of runs follows from the recall wanted. Members of a leaf whose sketches
+agree with another's in as many coordinates as all but one pair in 100,000 at
+the threshold do are then compared exactly, in blocks.
 
 The recursion goes level by level over narrow rows ``(path, text)``. Equal
 texts are one text from the start, so a group of copies of any size is one row.
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitchflow.llm.common import components, digest, fresh, stored
-from pitchflow.llm.shingles import linked, minhashes, shingle_hashes, shingle_sets
+from pitchflow.llm.shingles import likely, linked, minhashes, shingle_hashes, shingle_sets
 
 THRESHOLD = 0.8
 RECALL = 0.995
@@ -55,6 +56,16 @@ def runs_for(recall: float, similarity: float = THRESHOLD, depth: int = DEPTH) -
     return math.ceil(math.log(1 - recall) / math.log(1 - survival(similarity, depth)))
 
 
+def surely_equal(similarity: float, miss: float = 1e-5) -> int:
+    """The most equal coordinates that sets of this similarity have but for a share ``miss`` of all pairs."""
+    below = 0.0
+    for k in range(SKETCH + 1):
+        below += math.comb(SKETCH, k) * similarity**k * (1 - similarity) ** (SKETCH - k)
+        if below > miss:
+            return k
+    return SKETCH
+
+
 def _slices(batches: Iterator[pa.RecordBatch], size: int = 1 << 21) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Rows with their texts, about ``size`` bytes of text at once."""
     for batch in batches:
@@ -69,7 +80,7 @@ def _slices(batches: Iterator[pa.RecordBatch], size: int = 1 << 21) -> Iterator[
 
 def chosen_paths(sketches: DataFrame, runs: int, leaf: int = LEAF, depth: int = DEPTH) -> DataFrame:
     """``(id, sketch)`` to ``(leaf, id)``: the leaves in which a set meets others."""
-    start = sketches.selectExpr("id", f"explode(sequence(1L, {runs}L)) AS path")
+    start = sketches.selectExpr("id", "sketch", f"explode(sequence(1L, {runs}L)) AS path")
     leaves = []
     rows = start
     for level in range(1, depth + 1):
@@ -99,16 +110,16 @@ def similarity_join(
     def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in _slices(batches):
             hashes, each = shingle_hashes(texts, words)
-            sketch = minhashes(hashes, each, SKETCH).astype("<u4")
+            sketch = minhashes(hashes, each, SKETCH).view(np.int32)
             yield pa.RecordBatch.from_arrays([
-                part["doc_id"], part["id"], pa.array([x.tobytes() if n else None for x, n in zip(sketch, each, strict=True)], pa.binary()),
+                part["doc_id"], part["id"], pa.array([x if n else None for x, n in zip(sketch, each, strict=True)], pa.list_(pa.int32())),
             ], names=["doc_id", "id", "sketch"])
 
-    narrow = stored(rows.mapInArrow(sketched, f"doc_id {docs.schema[doc_id].dataType.simpleString()}, id binary, sketch binary"))
+    narrow = stored(rows.mapInArrow(sketched, f"doc_id {docs.schema[doc_id].dataType.simpleString()}, id binary, sketch array<int>"))
     texts = stored(narrow.groupBy("id").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n_copies"), F.first("sketch").alias("sketch")))
-    coordinates = "transform(sequence(0, {}), i -> hex(substring(sketch, 4 * i + 1, 4)))".format(SKETCH - 1)
-    sketches = texts.where("sketch IS NOT NULL").selectExpr("id", "least", f"{coordinates} AS sketch")
-    leaves = stored(chosen_paths(sketches.select("id", "sketch"), runs_for(recall, threshold)))
+    sketches = texts.where("sketch IS NOT NULL").select("id", "sketch")
+    met = chosen_paths(sketches, runs_for(recall, threshold))
+    leaves = stored(likely(met, sketches, surely_equal(threshold)))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, own in _slices(batches):
@@ -133,9 +144,12 @@ def similarity_join(
 
 def one_of_each_class(docs: DataFrame, joined: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` that stand for their class: the least id, one row of it."""
-    stays_id, stays_text, nth = fresh(docs, "_stays", "_stays_text", "_nth")
-    stays = joined.where("doc_id <=> class_id").select(F.col("doc_id").alias(stays_id), F.col("text_id").alias(stays_text)).distinct()
+    stays_id, stays_text, times, nth = fresh(docs, "_stays", "_stays_text", "_times", "_nth")
+    stays = joined.where("doc_id <=> class_id").groupBy(F.col("doc_id").alias(stays_id), F.col("text_id").alias(stays_text)).agg(F.count(F.lit(1)).alias(times))
+    stays = stored(stays)
     key = F.lower(F.hex(digest(F.coalesce(F.col(text), F.lit("")))))
     met = docs.join(stays, F.col(doc_id).eqNullSafe(F.col(stays_id)) & (key == F.col(stays_text)))
-    ranked = met.selectExpr("*", f"row_number() OVER (PARTITION BY {stays_id}, {stays_text} ORDER BY 1) AS {nth}")
-    return ranked.where(f"{nth} = 1").drop(stays_id, stays_text, nth)
+    if not stays.where(f"{times} > 1").isEmpty():  # rows that repeat id and text: one of them
+        ranked = met.selectExpr("*", f"row_number() OVER (PARTITION BY {stays_id}, {stays_text} ORDER BY 1) AS {nth}")
+        met = ranked.where(f"{nth} = 1").drop(nth)
+    return met.drop(stays_id, stays_text, times)

@@ -126,6 +126,51 @@ def _parts(links: np.ndarray) -> np.ndarray:
     return part
 
 
+def _blocks(members: DataFrame, block: int) -> DataFrame:
+    """``(leaf, id, n)`` to ``(leaf, a, b, first, id)``: each pair of a leaf's members meets in one block ``(a, b)`` of the leaf.
+
+    ``first`` says on which side of the block a member stands. Leaves of up to ``block`` members are one block.
+    """
+    chunks = f"int(ceil(n / {float(block)}D))"
+    own = f"int(pmod(xxhash64(id), {chunks}))"
+    return members.selectExpr("id", "leaf", f"{own} AS own", f"explode(sequence(0, {chunks} - 1)) AS other").selectExpr(
+        "id", "leaf", "least(own, other) AS a", "greatest(own, other) AS b", "own = least(own, other) AS first"
+    )
+
+
+def _in_blocks(rows: DataFrame) -> DataFrame:
+    return rows.repartition("leaf", "a", "b").sortWithinPartitions("leaf", "a", "b", "id")
+
+
+def _block_key(table: pa.RecordBatch) -> list[tuple]:
+    return list(zip(*(table[n].to_pylist() for n in ("leaf", "a", "b")), strict=True))
+
+
+def likely(leaves: DataFrame, sketches: DataFrame, equal: int, block: int = BLOCK) -> DataFrame:
+    """The rows ``(leaf, id)`` of members that share at least ``equal`` coordinates of their sketches with another one of the leaf.
+
+    ``sketches`` has ``(id, sketch)``, an array of integers. This is far less to
+    move than the sets, and leaves few members to compare exactly.
+    """
+    counts = leaves.groupBy("leaf").agg(F.count(F.lit(1)).alias("n"))
+    ready = _blocks(leaves.join(counts, "leaf"), block).join(sketches, "id")
+
+    def screened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (leaf, _, _), table in groups(batches, _block_key):
+            if table.num_rows < 2:
+                continue
+            sketch = np.stack([np.asarray(x, np.int64) for x in table["sketch"].to_pylist()])
+            same = np.zeros((len(sketch), len(sketch)), np.int16)
+            for column in sketch.T:
+                same += column[:, None] == column
+            np.fill_diagonal(same, 0)
+            has = np.flatnonzero((same >= equal).any(0))
+            if len(has):
+                yield pa.record_batch({"leaf": pa.array([leaf] * len(has), pa.int64()), "id": table["id"].take(pa.array(has)).combine_chunks()})
+
+    return _in_blocks(ready).mapInArrow(screened, "leaf long, id binary").distinct()
+
+
 def linked(leaves: DataFrame, sets: DataFrame, threshold: float, block: int = BLOCK) -> DataFrame:
     """Compare all texts that share a leaf: ``(id, links, root)`` for each block in which a text has a link.
 
@@ -142,17 +187,10 @@ def linked(leaves: DataFrame, sets: DataFrame, threshold: float, block: int = BL
     once = stored(marks.where("n > 1").groupBy("n", "x", "y").agg(F.min("leaf").alias("leaf")).select("leaf", "n"))
     members = stored(leaves.join(once, "leaf"))
     lists = members.groupBy("id").agg(F.collect_list("leaf").alias("leaves"))
-    chunks = f"int(ceil(n / {float(block)}D))"
-    own = f"pmod(xxhash64(id), {chunks})"
-    rows = members.selectExpr("id", "leaf", f"{own} AS own", f"explode(sequence(0, {chunks} - 1)) AS other").selectExpr(
-        "id", "leaf", "least(own, other) AS a", "greatest(own, other) AS b", "own = least(own, other) AS first"
-    )
-    ready = rows.join(sets.join(lists, "id"), "id")
-    ordered = ready.repartition("leaf", "a", "b").sortWithinPartitions("leaf", "a", "b", "id")
+    ordered = _in_blocks(_blocks(members, block).join(sets.join(lists, "id"), "id"))
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key = lambda t: list(zip(*(t[n].to_pylist() for n in ("leaf", "a", "b")), strict=True))
-        for (leaf, a, b), table in groups(batches, key):
+        for (leaf, a, b), table in groups(batches, _block_key):
             n = table.num_rows
             if n < 2:
                 continue

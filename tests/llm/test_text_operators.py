@@ -444,6 +444,24 @@ def test_large_buckets_are_compared_in_blocks(spark):
     assert got == {i: len(ids) - 1 for i in ids}
 
 
+@pytest.mark.parametrize("block", [5, 400])
+def test_members_with_a_like_one_are_kept(spark, block):
+    rng = np.random.default_rng(3)
+    sketches = rng.integers(0, 1000, (30, 32))
+    sketches[20:] = sketches[0]
+    for n in range(20, 30):
+        sketches[n, : n - 20] = -n  # up to nine coordinates of their own
+    df = spark.createDataFrame([(bytearray([n]), x.tolist()) for n, x in enumerate(sketches)], "id binary, sketch array<int>")
+    leaves = spark.createDataFrame([(1, bytearray([n])) for n in range(30)] + [(2, bytearray([n])) for n in range(20)], "leaf long, id binary")
+    got = {(r.leaf, bytes(r.id)[0]) for r in shingles.likely(leaves, df, 15, block).collect()}
+    assert got == {(1, n) for n in (0, *range(20, 30))}
+
+
+def test_sketches_miss_next_to_nothing():
+    rng = np.random.default_rng(4)
+    assert (rng.binomial(chosen_path.SKETCH, 0.8, 300_000) < chosen_path.surely_equal(0.8)).mean() < 5e-5
+
+
 def test_runs_reach_the_recall():
     runs = chosen_path.runs_for(0.995)
     assert 1 - (1 - chosen_path.survival(0.8, chosen_path.DEPTH)) ** runs >= 0.995
