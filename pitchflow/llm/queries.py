@@ -24,7 +24,7 @@ def query(f: Callable[[SparkSession, str], DataFrame]):
 @query
 def op1_paragraph_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder).select("doc_id", "text")
-    out = paragraph_dedup.drop_paragraphs(docs)
+    out = paragraph_dedup.drop_repeats(docs)
     return out.withColumn("removed", F.col("n_removed") > 0).withColumnRenamed("text", "kept_text")
 
 

@@ -176,6 +176,29 @@ def test_paragraphs(docs, rows):
     assert sum(r.n_removed for r in got) > 20
 
 
+def test_near_copies_of_lines(spark):
+    rng = np.random.default_rng(8)
+    word = lambda: "".join(rng.choice(list("abcdefghij"), 6))
+    sentence = lambda: " ".join(word() for _ in range(15)).capitalize() + "."
+    base = [" ".join(sentence() for _ in range(4)) for _ in range(6)]
+    rows = []
+    for i in range(24):
+        words = base[i % 6].split(" ")
+        if i >= 6:
+            words[2 + i] = word()  # one inner word: Jaccard 0.84 as a line, under 0.4 as a sentence
+        rows.append((i, "\n".join([" ".join(words), sentence()])))
+    lines = [(i, x) for i, t in rows for x in t.split("\n")]
+    part, links = classes([shingle_set(x) for _, x in lines])
+    assert sum(links) > 12
+    keeper: dict = {}
+    for (i, _), p in zip(lines, part, strict=True):
+        keeper[p] = min(keeper.get(p, i), i)
+    got = {r.doc_id: r for r in paragraph_dedup.drop_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    want = {i: "\n".join(x for (j, x), p in zip(lines, part, strict=True) if j == i and keeper[p] == i) for i, _ in rows}
+    assert {i: r.text.strip() for i, r in got.items()} == want
+    assert sum(r.n_removed for r in got.values()) == 18
+
+
 def test_bands_reach_the_recall():
     for threshold, recall in ((0.8, 0.99), (0.5, 0.95), (0.9, 0.999)):
         bands, width = paragraph_dedup.tune_bands(threshold, recall)
