@@ -212,6 +212,43 @@ def test_many_short_paragraphs_are_split_exactly():
     assert [w is not None for *_, w in parts] == [True, False, False, True]
 
 
+def unlike(rng: np.random.Generator, n: int, low: int, high: int) -> str:
+    """``n`` words, none like the next, in sentences of ``low`` to ``high`` words."""
+    out: list[str] = []
+    while len(out) < n:
+        out += ["".join(rng.choice(list("abcdefghij"), rng.integers(2, 8))) for _ in range(rng.integers(low, high + 1))]
+        out[-1] += "."
+    return " ".join(out[:n])
+
+
+LENGTHS = [(2, 6), (1, 3), (4, 16), (20, 40), (900, 900)]
+
+
+@pytest.mark.parametrize("low, high", LENGTHS)
+def test_passages_hold_whole_units(low, high):
+    rng = np.random.default_rng(low)
+    for k in range(200):
+        passage = unlike(rng, 50, low, high)
+        a, b = (" ".join([unlike(rng, 37 + k % 9, low, high), passage, unlike(rng, 60, *LENGTHS[k % 5])]) for _ in range(2))
+        cut = list(paragraph_dedup.passages([a, "", " \n", b.replace(" ", "  "), "é ü\n" + a]))
+        assert ["".join(t[x:y] for x, y, _ in c) for t, c in zip([a, b.replace(" ", "  "), "é ü\n" + a], [cut[0], cut[3], cut[4]], strict=True)] == [a, b.replace(" ", "  "), "é ü\n" + a]
+        assert all(w is not None and len(w.split()) >= 8 for *_, w in cut[0]) and max(len(w.split()) for *_, w in cut[0]) <= 48
+        both = {w for *_, w in cut[0]} & {w for *_, w in cut[3]}
+        assert any(w.decode() in passage for w in both)
+
+
+def test_passages_inside_other_text_are_found(spark):
+    rng = np.random.default_rng(6)
+    rows, planted = [], [unlike(rng, 80, low, high) for low, high in LENGTHS]
+    planted.append("\n".join(unlike(rng, 5, 5, 5) for _ in range(16)))
+    for i in range(18):
+        host = lambda: unlike(rng, 60, *LENGTHS[i % 5])
+        rows.append((i, f"{host()} {planted[i % 6]} {host()}"))
+    got = {r.doc_id: r.text for r in paragraph_dedup.drop_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, t in rows:
+        assert (got[i] == t) if i < 6 else len(t.split()) - len(got[i].split()) >= 40
+
+
 # --- 2 token store, 8 chunks
 
 
