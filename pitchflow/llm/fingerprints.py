@@ -6,15 +6,20 @@ the XOR of their check hashes. The table is the fingerprint. Subtracting two
 tables of one size leaves what the texts don't share; a cell with a single
 digest gives it away, it is taken out of its other two cells, and so on until
 the table is empty (peeling; Eppstein, Goodrich, Uyeda, Varghese 2011). Where
-that gets stuck it is tried again with a larger table and other places. Should
-it fail ``TRIES`` times over, the digests themselves are compared.
-
-The column ``fingerprint`` is the smallest table, of ``3 * FIRST`` cells. To
-compare two texts, tables are made that fit the number of their paragraphs.
-Their cells are rows: subtraction is a sum over signed digests, and a round of
-peeling looks at one third, where each digest has just one cell, and sums again.
-All cells of a pair stay in one partition, so the rounds shuffle nothing and
-compile to hash aggregates.
+that gets stuck it is tried again with a table that fits the paragraphs of both
+texts and other places, then with larger ones. Should it fail ``TRIES`` times
+over, the digests themselves are compared.
+
+The column ``fingerprint`` is a text's table. Its thirds have a power of two of
+cells, by the number of the text's own paragraphs alone. A digest's place is its
+hash modulo that number, so a table folds to half the size: cells of a third
+that are half of it apart are added up. Two texts are compared by their tables
+first, the larger folded to the size of the smaller. Cells are rows: since
+folding and subtraction are sums, the cells of the difference are made by one
+sum over signed digests at the smaller size, and a round of peeling looks at
+one third, where each digest has just one cell, and sums again. All cells of a
+pair stay in one partition, so the rounds shuffle nothing and compile to hash
+aggregates.
 
 Paragraphs end at line ends, at about every second sentence end (where the next
 one begins with A to M), and at places inside long stretches that only the
@@ -35,9 +40,10 @@ from pyspark.sql import functions as F
 
 from pitchflow.llm.common import partitions, quoted, stored
 
-#: Cells of a third of the fingerprint.
-FIRST = 11
-#: Cells of a third for each digest of both texts, at first; doubled on each try. Rounds of peeling over all three thirds.
+#: The least number of cells of a third of the fingerprint; a power of two.
+FIRST = 8
+#: Cells of a third for each digest; after the tables of the texts, for those of both texts, doubled on each further try.
+#: Rounds of peeling over all three thirds.
 ROOM, TRIES, ROUNDS = 0.6, 4, 5
 
 CUT = r"\n+|(?<=[.!?])[ \t]+(?=[A-M])|(?<=[dgy]) (?=[aeo])"
@@ -49,16 +55,23 @@ def digests(text: str) -> str:
     return f"array_distinct(transform({parts}, x -> xxhash64(trim(x))))"
 
 
-def written(sets: DataFrame, third: int = FIRST) -> DataFrame:
-    """``(row, pair, keys)`` to ``(row, pair, print)``: the table of each set as text, ``cell:count:digests:check`` in hexadecimal.
+def third(keys: str) -> str:
+    """SQL for the cells of a third of the table of a set of digests: room for as many again, and up to the next power of two."""
+    return f"int(greatest({FIRST}, power(2, ceil(log2({2 * ROOM} * size({keys}))))))"
+
+
+def written(sets: DataFrame) -> DataFrame:
+    """``(row, pair, keys)`` to ``(row, pair, print)``: the table of each set as text, in hexadecimal: the cells of a third and then, with
+    spaces between, ``cell:count:digests:check``.
 
     Empty cells are left out. The rows of ``sets`` lie by ``row``.
     """
-    sized = sets.selectExpr("row", "pair", f"{third} AS s", "explode(keys) AS k")
+    sized = sets.selectExpr("row", "pair", f"{third('keys')} AS s", "explode(keys) AS k")
     placed = ", ".join(_place("k", t, 0) for t in range(3))
     cells = _summed(sized.selectExpr("row", "pair", "s", f"explode(array({placed})) AS cell", "0L AS f", "1 AS n", "k", "xxhash64(k, 7L) AS h"))
-    texts = cells.selectExpr("row", "pair", "concat_ws(':', lpad(hex(cell), 2, '0'), hex(n), hex(k), hex(h)) AS x")
-    return texts.groupBy("row", "pair").agg(F.array_join(F.array_sort(F.collect_list("x")), " ").alias("print"))
+    texts = cells.selectExpr("row", "pair", "s", "struct(cell, concat_ws(':', hex(cell), hex(n), hex(k), hex(h)) AS x) AS x")
+    listed = texts.groupBy("row", "pair", "s").agg(F.array_sort(F.collect_list("x")).alias("xs"))
+    return listed.selectExpr("row", "pair", "concat_ws(' ', hex(s), transform(xs, x -> x.x)) AS print")
 
 
 def _place(key: str, third: int, attempt: int) -> str:
@@ -69,10 +82,11 @@ def _place(key: str, third: int, attempt: int) -> str:
 def subtracted(pairs: DataFrame, attempt: int = 0) -> DataFrame:
     """``(row, pair, a, b)`` with sets of digests to the cells of table ``a`` less table ``b``: ``(row, pair, s, cell, f, n, k, h)``.
 
+    Attempt 0 subtracts the tables of ``written``, folded to the size of the smaller one, further ones tables that fit both sets.
     The rows of ``pairs`` lie by ``row``; cells that are empty are left out.
     """
-    room = ROOM * 2**attempt
-    sized = pairs.selectExpr("row", "pair", f"int(greatest(8, ceil({room} * (size(a) + size(b))))) AS s", "a", "b")
+    larger = f"int(greatest({FIRST}, ceil({ROOM * 2 ** (attempt - 1)} * (size(a) + size(b)))))"
+    sized = pairs.selectExpr("row", "pair", f"{larger if attempt else f'least({third("a")}, {third("b")})'} AS s", "a", "b")
     signed = sized.selectExpr("row", "pair", "s", "explode(concat(transform(a, x -> named_struct('k', x, 'n', 1)), transform(b, x -> named_struct('k', x, 'n', -1)))) AS e")
     placed = ", ".join(_place("e.k", t, attempt) for t in range(3))
     cells = signed.selectExpr("row", "pair", "s", f"explode(array({placed})) AS cell", "0L AS f", "e.n AS n", "e.k AS k", "xxhash64(e.k, 7L) AS h")

@@ -367,6 +367,38 @@ def test_fingerprints(docs, rows):
     assert len({r.fingerprint for r in got if r.doc_id in (5, 40, 41)}) <= 2
 
 
+def test_fingerprints_alone_tell_the_difference(spark):
+    # Only the returned tables are used, and n_lost and n_gained come out of them.
+    rng = np.random.default_rng(2)
+    line = lambda: " ".join(rng.choice(WORDS, 6))
+    texts = ["\n".join(line() for _ in range(n)) for n in (0, 3, 20, 30, 40, 45, 90, 100, 600, 700)]
+    texts += ["z " * 2000, "\n".join(line() for _ in range(55))]  # the last one's edited text has far fewer paragraphs
+    got = fingerprints.compare_with_edits(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    signed = lambda x: (int(x, 16) ^ 1 << 63) - (1 << 63)
+    cells, known, folded = [], {}, 0
+    for r in got:
+        tables = [(x.split(" ") if x else ["8"]) for x in (r.fingerprint, r.edited_fingerprint)]
+        sizes = [int(x[0], 16) for x in tables]
+        assert all(x & (x - 1) == 0 for x in sizes)
+        third, summed = min(sizes), {}
+        folded += sizes[0] != sizes[1]
+        for sign, size, (_, *table) in zip((1, -1), sizes, tables, strict=True):
+            for cell, n, k, h in (x.split(":") for x in table):
+                place = int(cell, 16) // size * third + int(cell, 16) % size % third
+                old = summed.get(place, (0, 0, 0))
+                summed[place] = old[0] + sign * int(n, 16), old[1] ^ signed(k), old[2] ^ signed(h)
+        cells += [(r.doc_id, 0, third, c, 0, *x) for c, x in summed.items() if any(x)]
+        known[r.doc_id] = r.n_lost, r.n_gained
+    df = spark.createDataFrame(cells, "row long, pair int, s int, cell int, f long, n int, k long, h long")
+    left = collections.defaultdict(collections.Counter)
+    for r in fingerprints.peeled(df, keep=False).collect():
+        left[r.row][min(r.cell, 0)] += abs(r.n)
+    peeled = [i for i in known if not left[i][0]]
+    assert len(peeled) >= 8 and folded
+    assert all((left[i][-1], left[i][-2]) == known[i] for i in peeled)
+    assert max(sum(known[i]) for i in peeled) > 100
+
+
 @pytest.mark.parametrize("tries", [4, 0])
 def test_differences_of_any_size_are_recovered(spark, monkeypatch, tries):
     monkeypatch.setattr(fingerprints, "TRIES", tries)  # without a try the digests are compared
