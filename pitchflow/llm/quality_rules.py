@@ -5,6 +5,12 @@ below. Failing lines go; a document whose lost lines held more than
 ``MAX_LOST`` of its word characters is rejected. Before that two plain rules on
 the document apply: too few words, too many words in repeated 3-word windows.
 
+With ``Limits(ends=True)`` lines are judged by their ends too: a line of
+``short_words`` words or more must end with a terminal mark, and so must one of
+``run`` shorter ones in a row, since unended short lines are headings next to
+prose but a menu among themselves. It is off by default: the SQL registered for
+the query states the result without it.
+
 A word is a run of characters other than space, tab, line feed, vertical tab,
 form feed and carriage return. Null texts have no words and fail. Rows are
 independent, so repeated rows get equal results and nothing is shuffled; a text
@@ -41,8 +47,9 @@ _SHOUT = re.compile(r"[!?]{2,}")
 
 @dataclass(frozen=True)
 class Limits:
-    """``short_words``: a line of fewer words needs no end mark rule. ``shouts``: share of words before ``!!``.
-    ``upper``: share of letters in upper case. ``symbols``: share of characters."""
+    """``ends``: lines are judged by their ends. ``short_words``: a line of fewer words needs no end mark, unless it is one of
+    ``run`` such lines in a row. ``shouts``: share of words before ``!!``. ``upper``: share of letters in upper case.
+    ``symbols``: share of characters."""
 
     min_words: int = MIN_WORDS
     max_lost: float = MAX_LOST
@@ -51,6 +58,30 @@ class Limits:
     upper: float = 0.6
     symbols: float = 0.1
     long_unended: int = 200
+    ends: bool = False
+    short_words: int = 10
+    run: int = 3
+
+
+def _unended(line: str) -> bool:
+    return line.rstrip(" \t\n\x0b\x0c\r")[-1] not in TERMINAL
+
+
+def menu_lines(lines: list[str], limits: Limits) -> set[int]:
+    """The places of lines that stand in a run of short lines without end marks; lines without words don't end a run."""
+    out: set[int] = set()
+    held: list[int] = []
+    for i, line in enumerate([*lines, None]):
+        words = line.encode().split() if line is not None else []
+        if line is not None and not words:
+            continue
+        if words and len(words) < limits.short_words and _unended(line):
+            held.append(i)
+            continue
+        if len(held) >= limits.run:
+            out.update(held)
+        held = []
+    return out
 
 
 def line_fault(line: str, words: list[bytes], limits: Limits = Limits()) -> str | None:
@@ -65,6 +96,8 @@ def line_fault(line: str, words: list[bytes], limits: Limits = Limits()) -> str
         return "punctuation"
     if n > limits.long_unended and not any(mark in line for mark in TERMINAL):
         return "punctuation"
+    if limits.ends and n >= limits.short_words and _unended(line):
+        return "punctuation"
     if sum(map(line.count, SYMBOLS)) > limits.symbols * len(line):
         return "symbols"
     letters = len(line) - line.count(" ")
@@ -88,14 +121,16 @@ def measure(text: str | None, limits: Limits = Limits()) -> dict:
                 repeated += i + 3 - max(i, free)
                 free = i + 3
     seen, same, kept, lost, faults = set(), 0, [], 0, 0
-    for line in text.split("\n"):
+    lines = text.split("\n")
+    menus = menu_lines(lines, limits) if limits.ends else ()
+    for i, line in enumerate(lines):
         own = line.encode().split()
         if not own:
             kept.append(line)
             continue
         same += line in seen
         seen.add(line)
-        if line_fault(line, own, limits):
+        if i in menus or line_fault(line, own, limits):
             faults += 1
             lost += sum(map(len, own))
         else:

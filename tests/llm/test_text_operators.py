@@ -349,6 +349,23 @@ def test_bad_lines_go_first():
     assert not quality_rules.measure(mostly)["kept"] and not quality_rules.measure(None)["kept"]
 
 
+def test_lines_are_judged_by_their_ends():
+    rng = np.random.default_rng(5)
+    ends = quality_rules.Limits(ends=True)
+    items = [" ".join(rng.choice(WORDS, 4)) + f" {i}" for i in range(20)]
+    menu, spaced = "\n".join(items), "\n\n".join(items)
+    fragments = "\n".join(" ".join([*rng.choice(WORDS, 20), f"it{i}"]) for i in range(6))
+    for page in (menu, spaced, fragments):
+        got = quality_rules.measure(page, ends)
+        assert not got["base_failed"] and got["lost"] == 1 and not got["kept"]
+    prose_lines = [" ".join(rng.choice(WORDS, 20)) + mark for mark in (".", "?", "!”", ".  ", ":", "…")]
+    page = "\n".join(x for k, line in enumerate(prose_lines) for x in (f"Heading number {k}", "", line))
+    got = quality_rules.measure(page, ends)
+    assert got["kept"] and got["n_bad_lines"] == 0 and got["clean_text"] == page
+    got = quality_rules.measure(menu + "\n" + page, ends)
+    assert got["kept"] == (got["lost"] <= 0.5) and items[3] not in got["clean_text"] and prose_lines[0] in got["clean_text"]
+
+
 # --- 4 fingerprints
 
 
