@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitchflow.llm import (
-    bpe_chunks, chosen_path, fingerprints, line_dedup, mixing, paragraph_dedup, quality_classifier, quality_rules, repeated_bytes, token_store,
+    bpe_chunks, chosen_path, collocations, fingerprints, line_dedup, mixing, packing, paragraph_dedup, quality_classifier, quality_rules,
+    repeated_bytes, spelling, token_store,
 )
 from pitchflow.llm.common import read, shared_folder
 
@@ -161,3 +162,87 @@ counts AS (SELECT a AS text_id, count(*) AS n_links FROM links GROUP BY a)
 SELECT d.doc_id, d.text_id, class_id, n_copies, coalesce(n_links, 0) AS n_links
 FROM d JOIN t USING (text_id) JOIN classes USING (text_id) LEFT JOIN counts USING (text_id)
 """
+
+
+@query
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(read(spark, folder).select("doc_id", "text"), slips=31)
+
+
+# A word loses its letter i; two words that share what is left after losing letter i have one letter replaced,
+# a word that is what is left of another one is it with one letter deleted.
+SQL["op11_spelling_variants"] = r"""
+WITH RECURSIVE table_of AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+runs AS (
+  SELECT doc_id, run, count(*) AS c
+  FROM (SELECT doc_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]+')) AS run FROM documents)
+  WHERE length(run) >= 7 GROUP BY ALL),
+bytes AS (
+  SELECT doc_id, run, c, flatten(list_transform(string_split(concat(doc_id, ':', run), ''), lambda x:
+    CASE WHEN unicode(x) < 128 THEN [unicode(x)::BIGINT] ELSE [192 | (unicode(x) >> 6)::BIGINT, 128 | (unicode(x) & 63)::BIGINT] END)) AS b
+  FROM runs),
+hashed AS (
+  SELECT run, c, xor(list_reduce(list_concat([4294967295], b), lambda h, x: xor(h >> 8, t[(xor(h, x) & 255) + 1])), 4294967295) AS h
+  FROM bytes, table_of),
+slipped AS (
+  SELECT CASE WHEN h % 31 = 0 THEN left(run, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, c FROM hashed),
+words AS (SELECT word, sum(c)::BIGINT AS n FROM slipped WHERE length(word) >= 7 GROUP BY word HAVING sum(c) >= 2),
+less AS (
+  SELECT word, n, i, left(word, i - 1) || substr(word, i + 1) AS v
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1))::INT AS i FROM words)),
+pairs AS (
+  SELECT a.word, a.n, b.word AS other, b.n AS m FROM less a JOIN less b ON a.i = b.i AND a.v = b.v AND a.word <> b.word
+  UNION SELECT a.word, a.n, b.word, b.n FROM less a JOIN words b ON a.v = b.word
+  UNION SELECT b.word, b.n, a.word, a.n FROM less a JOIN words b ON a.v = b.word),
+near AS (SELECT word, count(*) AS n_near, arg_min(other, (-m, other)) AS best, max(m) AS most FROM pairs GROUP BY word),
+forms AS (
+  SELECT words.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN most >= 10 * n THEN best END AS form, CASE WHEN most >= 10 * n THEN most END AS form_n
+  FROM words LEFT JOIN near USING (word)),
+way AS (
+  SELECT word, word AS at FROM forms UNION SELECT way.word, forms.form FROM way JOIN forms ON way.at = forms.word WHERE forms.form IS NOT NULL),
+roots AS (SELECT way.word, way.at AS root FROM way JOIN forms ON way.at = forms.word WHERE forms.form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN roots USING (word)
+"""
+
+
+@query
+def op12_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(read(spark, folder).select("doc_id", "text"), ids=False)
+
+
+@query
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(read(spark, folder).select("lang", "text"))
+
+
+SQL["op13_collocations"] = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS piece, regexp_extract_all(p, '[^\x20\x09]+') AS w
+  FROM (SELECT lang, unnest(regexp_split_to_array(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p FROM documents)),
+words AS (SELECT lang, piece, unnest(w) AS x, unnest(range(len(w))) AS i FROM pieces WHERE len(w) > 0),
+near AS (
+  SELECT lang, x, lead(x, 1) OVER p AS y, lead(x, 2) OVER p AS z FROM words WINDOW p AS (PARTITION BY piece ORDER BY i)),
+f1 AS (SELECT lang, x, count(*) AS f FROM near GROUP BY ALL),
+f2 AS (SELECT lang, x, y, count(*) AS f FROM near WHERE y IS NOT NULL GROUP BY ALL),
+f3 AS (SELECT lang, x, y, z, count(*) AS f FROM near WHERE z IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+cuts AS (
+  SELECT p.lang, p.x || ' ' || p.y AS phrase, p.f AS a, 1 AS k, l.f AS l, r.f AS r,
+    greatest((SELECT max(f) FROM f3 WHERE f3.lang = p.lang AND f3.x = p.x AND f3.y = p.y), (SELECT max(f) FROM f3 WHERE f3.lang = p.lang AND f3.y = p.x AND f3.z = p.y)) AS longer
+  FROM f2 p JOIN f1 l ON l.lang = p.lang AND l.x = p.x JOIN f1 r ON r.lang = p.lang AND r.x = p.y WHERE p.f >= 10
+  UNION ALL
+  SELECT p.lang, concat_ws(' ', p.x, p.y, p.z), p.f, 1, l.f, r.f, NULL
+  FROM f3 p JOIN f1 l ON l.lang = p.lang AND l.x = p.x JOIN f2 r ON r.lang = p.lang AND r.x = p.y AND r.y = p.z
+  UNION ALL
+  SELECT p.lang, concat_ws(' ', p.x, p.y, p.z), p.f, 2, l.f, r.f, NULL
+  FROM f3 p JOIN f2 l ON l.lang = p.lang AND l.x = p.x AND l.y = p.y JOIN f1 r ON r.lang = p.lang AND r.x = p.z),
+scored AS (SELECT *, (1000000::HUGEINT * a * a) // (l::HUGEINT * r) AS score FROM cuts),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+kept AS (SELECT * FROM best WHERE longer IS NULL OR 100 * longer < 50 * a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept),
+sizes AS (SELECT lang, sum(f)::BIGINT AS n FROM f1 GROUP BY lang)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked JOIN sizes USING (lang) WHERE rank <= 2000
+"""
