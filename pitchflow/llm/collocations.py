@@ -64,9 +64,10 @@ class FMIndex:
     """Both directions of an FM-index over word ids from 1 on; 0 stands between pieces. Sorted as deep as phrases get."""
 
     def __init__(self, ids: np.ndarray, depth: int):
-        pad = np.zeros(depth, np.int64)
+        # With a break at either end each word has as many rows before it as it has places.
+        pad = np.zeros(depth + 1, np.int64)
         self.depth, self.padded = depth, np.concatenate([pad, ids, pad])
-        self.at = np.arange(depth, depth + len(ids))
+        self.at = np.arange(depth, depth + len(ids) + 2)
         self.forward, self.backward = self._sorted(1), self._sorted(-1)
         self.before, self.after = self.padded[self.forward - 1], self.padded[self.backward + 1]
 
