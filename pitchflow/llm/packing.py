@@ -46,7 +46,7 @@ from pitchflow.llm.word_encoder import default_path, encoder
 
 CAPACITY, END = 2048, 0
 #: Texts are encoded together up to so many characters.
-TOGETHER = 8 << 20
+TOGETHER = 4 << 20
 
 
 class Tightest:
