@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pitchflow.llm.common import stored
 
 #: Bytes of text in a shard.
-SHARD = 10 << 20
+SHARD = 7 << 20
 UNKNOWN = "und"
 #: Rows of a batch that a shard passes on.
 ROWS = 50_000
@@ -98,8 +98,10 @@ class FMIndex:
         of = np.full(len(symbols), -1, np.int64)
         rows = np.repeat(own - (np.cumsum(phrases.size) - phrases.size), phrases.size) + np.arange(int(phrases.size.sum()))
         of[rows] = np.repeat(np.arange(len(own)), phrases.size)
+        del rows
         symbol, row = self._ranked(symbols)
         parent = of[row]
+        del of, row
         place = np.flatnonzero((symbol > 0) & (parent >= 0))
         symbol, parent = symbol[place], parent[place]
         # By symbol, then by row: the rows of a phrase with one symbol stand together.
@@ -148,6 +150,7 @@ def shard_counts(texts: list[bytes], max_words: int) -> Iterator[tuple[pa.Array,
         number[names.index(b"\n")] = 0
     found = numbered.indices.to_numpy()
     ids = number[found if b"" not in names else found[found != names.index(b"")]]
+    del numbered, joined, found
     words = pa.concat_arrays([pa.array([b""], pa.binary()), words])
     yield pa.array([b""], pa.binary()), np.array([np.count_nonzero(ids)]), pa.array([b""], pa.binary())
     index = FMIndex(ids, max(1, max_words - 1))
