@@ -193,7 +193,7 @@ def attach_and_fill(t: Tables):
     # A game has at most 240 events, so joined groups and windows are small.
     joined = left_join_suffixed(events, ends, [("at", "ended")], scope=["game_pk"], hot_right_rows=None)
     keyed = joined.withColumn("match", F.coalesce("purchase_id", F.lit(0)))
-    filled = fill_up(keyed, ["purchase_id", "value.y"], ["game_pk"], ["event_id", "match"])
+    filled = fill_up(keyed, ["purchase_id", "value.y"], ["game_pk"], ["event_id", "match"], segment=None)  # 240 events a game
     return undotted(filled.drop("at", "match"))
 
 

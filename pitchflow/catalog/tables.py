@@ -10,16 +10,20 @@ from pitchflow.catalog.derived import SQL_RAW, batting_lines, raw_events, team_l
 from pitchflow.catalog.registry import Tables, query
 from pitchflow.functions.pitches import choose_side, null_flag, pre_pitch_count
 from pitchflow.functions.text import date_prefix, paste
-from pitchflow.operators.calendar import distinct_days, pull_weeks, week_counts
-from pitchflow.operators.nested import class_table, drop_list_columns, explode_path, flatten_struct
-from pitchflow.operators.ordered import fill_up, last_of_group_flag, running_record, streak
+from pitchflow.operators.calendar import (
+    count_bitmaps, distinct_days, id_bitmaps, in_windows, merge_bitmaps, pull_weeks, season_windows, week_counts, window_counts,
+)
+from pitchflow.operators.nested import class_table, drop_list_columns, explode_path, flatten_documents, flatten_struct
+from pitchflow.operators.ordered import attach_forward, fill_up, last_of_group_flag, row_index, running_record, streak
 from pitchflow.operators.profile import share_all_levels, share_profile
 from pitchflow.operators.relational import (
     code_frequencies, col_range, cols_first, exclude_ids, left_join_suffixed, union_fill,
 )
 from pitchflow.schemas import c
 from pitchflow.sources.feeds import parse_documents
-from pitchflow.sources.tables import batting_range, lookup_player, lookup_players, pitcher_range, team_games
+from pitchflow.sources.tables import (
+    batting_range, lookup_player, lookup_players, pitcher_range, range_from_totals, running_totals, team_games, with_ratios,
+)
 
 # --- shares ------------------------------------------------------------------
 
@@ -272,6 +276,108 @@ def runs(t: Tables):
     return streak(log, "wl", ["Tm"], ["game_no"], "streak", segment=F.shiftright("game_no", 8))
 
 
+# The same with pieces that the operators find: two fifths of the users are one group.
+_SKEWED = "CASE WHEN user_id % 5 < 2 THEN -1 ELSE user_id END"
+
+
+@query("row_index", "SELECT row_number() OVER (ORDER BY value DESC, event_id) - 1 AS row, event_id, value FROM events")
+def numbered_events(t: Tables):
+    falling = t.events.selectExpr("event_id", "value", "-value AS less")
+    return row_index(falling, ["less", "event_id"], "row").drop("less")
+
+
+@query(
+    "row_index_by_group",
+    f"SELECT 1 + row_number() OVER (PARTITION BY {_SKEWED} ORDER BY ts, event_id) - 1 AS row, event_id, {_SKEWED} AS k FROM events",
+)
+def numbered_by_group(t: Tables):
+    return row_index(t.events.selectExpr("event_id", "ts", f"{_SKEWED} AS k"), ["ts", "event_id"], "row", ["k"], start=1).drop("ts")
+
+
+@query(
+    "fill_up_found",
+    f"""SELECT event_id, {_SKEWED} AS k, last_value(CASE WHEN event_type = 'purchase' THEN value END IGNORE NULLS) OVER w AS next_purchase
+FROM events WINDOW w AS (PARTITION BY {_SKEWED} ORDER BY event_id DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
+)
+def next_purchase(t: Tables):
+    df = t.events.selectExpr("event_id", f"{_SKEWED} AS k", "if(event_type = 'purchase', value, NULL) AS next_purchase")
+    return fill_up(df, ["next_purchase"], ["k"], ["event_id"])
+
+
+@query(
+    "last_of_group_flag_found",
+    _FLAG_ROWS + f"""SELECT event_id, {_SKEWED} AS k, number, CASE WHEN number IS NULL THEN NULL
+  WHEN number = max(number) OVER w THEN 'true' ELSE 'false' END AS last_flag
+FROM r WINDOW w AS (PARTITION BY {_SKEWED})""",
+)
+def last_flag_found(t: Tables):
+    df = _numbered(t).selectExpr("event_id", f"{_SKEWED} AS k", "number")
+    return last_of_group_flag(df, "number", ["k"], "last_flag", "ignore")
+
+
+_SKEWED_TEAM = "CASE WHEN Tm IN ('T1', 'T2', 'T3', 'T4', 'T5', 'T6', 'T7', 'T8', 'T9') THEN 'T1' ELSE Tm END"
+
+
+@query(
+    "running_record_found",
+    _LOG + f"""SELECT game_no, {_SKEWED_TEAM} AS team, wl, sum(CASE WHEN wl = 'W' THEN 1 ELSE 0 END) OVER w || '-' ||
+  sum(CASE WHEN wl = 'L' THEN 1 ELSE 0 END) OVER w AS record
+FROM log WINDOW w AS (PARTITION BY {_SKEWED_TEAM} ORDER BY game_no ROWS UNBOUNDED PRECEDING)""",
+)
+def record_found(t: Tables):
+    log = _log(t).selectExpr("game_no", f"{_SKEWED_TEAM} AS team", "wl")
+    return running_record(log, "wl", ["team"], ["game_no"], "record")
+
+
+@query(
+    "streak_found",
+    _LOG + f""", teams AS (SELECT game_no, {_SKEWED_TEAM} AS team, wl FROM log), runs AS (
+  SELECT game_no, team, wl, row_number() OVER (PARTITION BY team ORDER BY game_no)
+         - row_number() OVER (PARTITION BY team, wl ORDER BY game_no) AS run FROM teams)
+SELECT game_no, team, wl, CAST((CASE WHEN wl = 'W' THEN 1 ELSE -1 END) *
+  row_number() OVER (PARTITION BY team, wl, run ORDER BY game_no) AS INTEGER) AS streak FROM runs""",
+)
+def runs_found(t: Tables):
+    log = _log(t).selectExpr("game_no", f"{_SKEWED_TEAM} AS team", "wl")
+    return streak(log, "wl", ["team"], ["game_no"], "streak")
+
+
+_PURCHASES = f"""a AS (SELECT event_id, {_SKEWED} AS k, CASE WHEN event_id % 41 <> 0 THEN date_trunc('minute', ts) END AS at FROM events),
+b AS (
+  SELECT {_SKEWED} AS k, CASE WHEN event_id % 37 <> 0 THEN date_trunc('minute', ts) END AS bought_at, event_id AS purchase_id
+  FROM events WHERE event_type = 'purchase'),
+firsts AS (SELECT k, bought_at, min(purchase_id) AS purchase_id FROM b WHERE bought_at IS NOT NULL GROUP BY k, bought_at)
+"""
+
+
+def _sides(t: Tables):
+    minute = lambda n: f"if(event_id % {n} <> 0, date_trunc('minute', ts), NULL)"
+    left = t.events.selectExpr("event_id", f"{_SKEWED} AS k", f"{minute(41)} AS at")
+    right = t.events.where("event_type = 'purchase'").selectExpr(f"{_SKEWED} AS k", f"{minute(37)} AS bought_at", "event_id AS purchase_id")
+    return left, right
+
+
+@query(
+    "attach_forward",
+    f"""WITH {_PURCHASES} SELECT a.event_id, a.k, strftime(a.at, '%Y-%m-%d %H:%M') AS at, strftime(f.bought_at, '%Y-%m-%d %H:%M') AS bought_at, f.purchase_id
+FROM a ASOF LEFT JOIN firsts f ON a.k = f.k AND a.at <= f.bought_at""",
+)
+def next_bought(t: Tables):
+    left, right = _sides(t)
+    out = attach_forward(left, right, ["k"], ("at", "bought_at"), ["bought_at", "purchase_id"])
+    return out.withColumns({n: F.date_format(n, "yyyy-MM-dd HH:mm") for n in ("at", "bought_at")})
+
+
+@query(
+    "attach_forward_strict",
+    f"""WITH {_PURCHASES} SELECT a.event_id, a.k, f.purchase_id
+FROM a ASOF LEFT JOIN firsts f ON a.k = f.k AND a.at < f.bought_at""",
+)
+def next_bought_later(t: Tables):
+    left, right = _sides(t)
+    return attach_forward(left, right, ["k"], ("at", "bought_at"), ["bought_at", "purchase_id"], strict=True).select("event_id", "k", "purchase_id")
+
+
 @query(
     "sort_two_keys",
     "SELECT event_id, user_id, event_type FROM events ORDER BY user_id DESC NULLS LAST, event_type DESC NULLS LAST, event_id",
@@ -312,14 +418,14 @@ def orders_customers(t: Tables):
 
 @query(
     "left_join_hot_keys",
-    """WITH l AS (SELECT event_id, CASE WHEN user_id % 50 <> 0 THEN user_id % 10 END AS k FROM events WHERE event_type = 'error'),
-r AS (SELECT CASE WHEN s_suppkey % 20 <> 0 THEN s_suppkey % 13 END AS k, s_suppkey, s_name FROM supplier)
+    """WITH l AS (SELECT event_id, CASE WHEN user_id % 50 <> 0 THEN user_id % 10 END AS k FROM events),
+r AS (SELECT CASE WHEN s_suppkey % 20 <> 0 THEN s_suppkey % 47 END AS k, s_suppkey, s_name FROM supplier)
 SELECT l.event_id, l.k, r.s_suppkey, r.s_name FROM l LEFT JOIN r ON l.k IS NOT DISTINCT FROM r.k""",
 )
 def errors_suppliers(t: Tables):
     # Every right key counts as frequent here, so all rows take the way of the frequent ones.
-    left = t.events.where("event_type = 'error'").selectExpr("event_id", "if(user_id % 50 <> 0, user_id % 10, NULL) AS k")
-    right = t.supplier.selectExpr("if(s_suppkey % 20 <> 0, s_suppkey % 13, NULL) AS k", "s_suppkey", "s_name")
+    left = t.events.selectExpr("event_id", "if(user_id % 50 <> 0, user_id % 10, NULL) AS k")
+    right = t.supplier.selectExpr("if(s_suppkey % 20 <> 0, s_suppkey % 47, NULL) AS k", "s_suppkey", "s_name")
     return left_join_suffixed(left, right, [("k", "k")], hot_right_rows=1)
 
 
@@ -424,6 +530,57 @@ def weeks(t: Tables):
     return counts.withColumns({n: F.col(n).cast("string") for n in ("start_date", "end_date")})
 
 
+# Two seasons with a gap, and one across both.
+SEASONS = [(dt.date(2024, 1, 2), dt.date(2024, 1, 12)), (dt.date(2024, 1, 23), dt.date(2024, 2, 5)), (dt.date(2024, 1, 10), dt.date(2024, 1, 25))]
+_SEASONS = """seasons AS (SELECT * FROM (VALUES (1, DATE '2024-01-02', DATE '2024-01-12'), (2, DATE '2024-01-23', DATE '2024-02-05'),
+  (3, DATE '2024-01-10', DATE '2024-01-25')) AS v(season, a, b)),
+windows AS (
+  SELECT season, CAST(i + 1 AS INTEGER) AS week, a + CAST(7 * i AS INTEGER) AS start_date, a + CAST(7 * i + 6 AS INTEGER) AS end_date
+  FROM (SELECT *, unnest(range((b - a) // 7 + 1)) AS i FROM seasons))"""
+
+
+@query(
+    "window_pull",
+    f"""WITH {_SEASONS} SELECT event_id, season, week, CAST(start_date AS VARCHAR) AS start_date
+FROM events JOIN windows ON CAST(ts AS DATE) BETWEEN start_date AND end_date""",
+)
+def window_pull(t: Tables):
+    pulled = in_windows(t.events, "ts", season_windows(t.spark, SEASONS))
+    return pulled.select("event_id", "season", "week", F.col("start_date").cast("string").alias("start_date"))
+
+
+@query(
+    "window_counts",
+    f"""WITH {_SEASONS}, failed AS (SELECT DISTINCT CAST(ts AS DATE) AS day FROM events WHERE event_type = 'error' AND value > 199)
+SELECT season, week, CAST(start_date AS VARCHAR) AS start_date, CAST(end_date AS VARCHAR) AS end_date, count(event_id) AS number_rows,
+  CASE WHEN EXISTS (SELECT 1 FROM failed WHERE day BETWEEN start_date AND end_date) THEN 'error'
+       WHEN count(event_id) > 0 THEN 'ok' ELSE 'empty' END AS status
+FROM windows LEFT JOIN events ON CAST(ts AS DATE) BETWEEN start_date AND end_date GROUP BY season, week, start_date, end_date""",
+)
+def window_states(t: Tables):
+    """The windows of events far above the others count as failed pulls."""
+    failed = t.events.where("event_type = 'error' AND value > 199").select("ts")
+    counts = window_counts(t.events, "ts", season_windows(t.spark, SEASONS), failed)
+    return counts.withColumns({n: F.col(n).cast("string") for n in ("start_date", "end_date")})
+
+
+@query(
+    "distinct_ids_by_week",
+    "SELECT CAST(CAST(date_trunc('week', ts) AS DATE) AS VARCHAR) AS week, count(DISTINCT user_id) AS users, count(DISTINCT event_id) AS games FROM events GROUP BY 1",
+)
+def ids_by_week(t: Tables):
+    weekly = t.events.selectExpr("CAST(to_date(date_trunc('week', ts)) AS STRING) AS week", "user_id", "event_id")
+    counts = [count_bitmaps(id_bitmaps(weekly, n, ["week"]), ["week"], name) for n, name in (("user_id", "users"), ("event_id", "games"))]
+    return counts[0].join(counts[1], "week")
+
+
+@query("distinct_ids_merged", "SELECT event_type, count(DISTINCT user_id) AS users FROM events GROUP BY 1")
+def ids_merged(t: Tables):
+    """Counted by week and kind, then merged over the weeks: the weeks' users are not added up but joined."""
+    weekly = id_bitmaps(t.events.selectExpr("weekofyear(ts) AS week", "event_type", "user_id"), "user_id", ["week", "event_type"])
+    return count_bitmaps(merge_bitmaps(weekly, ["event_type"]), ["event_type"], "users")
+
+
 @query(
     "pitcher_range",
     "SELECT event_id, user_id AS pitcher, CAST(CAST(ts AS DATE) AS VARCHAR) AS game_date, value FROM events "
@@ -452,6 +609,24 @@ def batting(t: Tables):
     return batting_range(batting_lines(t.lineitem), "1996-03-01", "1998-09-30", counting=counting, digits=None)
 
 
+@query(
+    "batting_range_from_totals",
+    """WITH s AS (SELECT l_suppkey AS mlb_ID, sum(CAST(l_quantity AS INTEGER)) AS AB, sum(l_linenumber) AS H,
+  sum(l_partkey % 3) AS b2, sum(l_partkey % 2) AS b3, sum(l_orderkey % 2) AS HR, sum(l_orderkey % 4) AS BB,
+  sum(l_linenumber % 2) AS HBP, sum(l_orderkey % 3) AS SF
+  FROM lineitem WHERE CAST(l_shipdate AS DATE) BETWEEN DATE '1996-03-01' AND DATE '1996-03-20' GROUP BY l_suppkey),
+r AS (SELECT *, CAST(H AS DOUBLE) / AB AS BA, CAST(H + BB + HBP AS DOUBLE) / (AB + BB + HBP + SF) AS OBP,
+  CAST(H + b2 + 2 * b3 + 3 * HR AS DOUBLE) / AB AS SLG FROM s)
+SELECT mlb_ID, CAST(AB AS BIGINT) AS AB, CAST(H AS BIGINT) AS H, CAST(b2 AS BIGINT) AS "2B", CAST(b3 AS BIGINT) AS "3B",
+  CAST(HR AS BIGINT) AS HR, CAST(BB AS BIGINT) AS BB, CAST(HBP AS BIGINT) AS HBP, CAST(SF AS BIGINT) AS SF,
+  BA, OBP, SLG, OBP + SLG AS OPS FROM r""",
+)
+def batting_totals(t: Tables):
+    counting = ["AB", "H", "2B", "3B", "HR", "BB", "HBP", "SF"]
+    totals = running_totals(batting_lines(t.lineitem), ["mlb_ID"], "Date", counting)
+    return with_ratios(range_from_totals(totals, ["mlb_ID"], "Date", "1996-03-01", "1996-03-20", counting), digits=None)
+
+
 @query(
     "team_season",
     _LOG + "SELECT game_no, CAST(Date AS VARCHAR) AS Date, Tm, Home_Away, wl, R FROM log WHERE Tm = 'T7' AND year(Date) = 2024",
@@ -477,6 +652,24 @@ def json_field(t: Tables):
     return parse_documents(t.events, "props", "k INT", keep=("event_id",)).select("event_id", "k")
 
 
+@query(
+    "flatten_found",
+    """SELECT event_id, CASE WHEN event_id % 100 = 7 THEN 'error' ELSE 'ok' END AS status,
+  CASE WHEN event_id % 100 <> 7 THEN event_type END AS kind,
+  CASE WHEN event_id % 100 <> 7 AND event_type = 'purchase' THEN value END AS sale_value,
+  CASE WHEN event_id % 100 <> 7 AND event_type = 'purchase' THEN user_id END AS sale_to_user,
+  CASE WHEN event_id % 100 <> 7 AND event_type = 'error' THEN props END AS text
+FROM events""",
+)
+def flatten_found(t: Tables):
+    """Documents whose fields differ by kind, some cut off; nobody names the fields."""
+    sale = "named_struct('value', value, 'to', named_struct('user', user_id))"
+    document = f"""to_json(named_struct('kind', event_type, 'sale', if(event_type = 'purchase', {sale}, NULL), 'text', if(event_type = 'error', props, NULL)))"""
+    texts = t.events.selectExpr("event_id", f"{document} AS d").selectExpr("event_id", "if(event_id % 100 = 7, left(d, length(d) - 3), d) AS d")
+    out = undotted(flatten_documents(texts, "d", ["event_id"]))
+    return out.withColumn("sale_value", F.col("sale_value").cast("double"))
+
+
 @query(
     "flatten_struct",
     'SELECT o_orderkey, o_custkey AS customer_key, o_orderstatus AS state_now_status, o_orderpriority AS state_now_priority FROM orders',

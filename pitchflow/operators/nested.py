@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -110,3 +111,38 @@ def game_meta(current: bool = False) -> dict[str, Column]:
     """The scalars of a game document as columns, on request with the current play."""
     paths = META_PATHS | ({"current_play": "liveData.plays.currentPlay"} if current else {})
     return {name: F.col(path) for name, path in paths.items()}
+
+
+def found_schema(df: DataFrame, text: str) -> str:
+    """The schema of all JSON documents of a column together, found in one pass over them, as ``from_json`` takes it.
+
+    Fields of every document are in it, by name. Numbers of different kinds
+    widen; a field that is a scalar in one document and a list or struct in
+    another comes as VARIANT, one that is always null as a text. Texts that are
+    no JSON don't count. Only the schema reaches the driver.
+    """
+    found = df.select(F.try_parse_json(c(text)).alias("_v")).agg(F.schema_of_variant_agg("_v")).first()[0]
+    found = None if found == "VOID" else found
+    if found is None or not found.startswith("OBJECT<"):
+        raise ValueError("the documents are not all JSON objects" if found else "there are no documents to find a schema in")
+    # Names in backticks stay as they are.
+    words = {"OBJECT<": "STRUCT<", "VOID": "STRING"}
+    return re.sub(r"`(?:[^`]|``)*`|OBJECT<|\bVOID\b(?!:)", lambda m: words.get(m[0], m[0]), found)
+
+
+def flatten_documents(df: DataFrame, text: str, keep: Sequence[str] = (), schema: str | None = None, sep: str = ".") -> DataFrame:
+    """JSON documents as one flat column per scalar path, whatever fields they have; ``keep`` stands before them.
+
+    Without a ``schema`` it is found in the documents first, which reads them
+    once. ``status`` is ``error`` for a text that is no JSON; its fields are
+    NULL. Lists stay lists (see :func:`explode_path`).
+    """
+    schema = schema or found_schema(df, text)
+    good = F.try_parse_json(c(text)).isNotNull()
+    status = F.when(good, "ok").otherwise("error").alias("status")
+    parsed = df.select(*[c(k) for k in keep], status, F.from_json(F.when(good, c(text)), schema).alias("_d"))
+    clash = {*keep, "status"} & {f.name for f in parsed.schema["_d"].dataType.fields}
+    if clash:
+        raise ValueError(f"documents have {sorted(clash)} too")
+    leaves = _leaves(parsed.schema["_d"].dataType, F.col("_d"), "", sep)
+    return parsed.select(*[c(k) for k in keep], "status", *[col.alias(name) for name, col in leaves])

@@ -108,8 +108,9 @@ def _by_end_time(games: DataFrame, carried: list[str], doc_keys: list[str], flag
         *[f"_e.{q(n)} AS {q(n)}" for n in event_columns], *[f"_ab.{q(n)} AS {q(n)}" for n in at_bat_columns],
     )
     wanted = list(at_bat_columns) if fill is None else [n for n in at_bat_columns if n in fill]
-    filled = fill_up(flat, wanted, doc_keys, ["event_pos", "_match"])
-    return last_of_group_flag(filled, "pitchNumber", [*doc_keys, "atBatIndex"], FLAG, flag_nulls)
+    # A document's events are few by nature: plain windows.
+    filled = fill_up(flat, wanted, doc_keys, ["event_pos", "_match"], segment=None)
+    return last_of_group_flag(filled, "pitchNumber", [*doc_keys, "atBatIndex"], FLAG, flag_nulls, segment=None)
 
 
 def _with_doc_keys(feed: DataFrame, doc_keys: Sequence[str] | None) -> tuple[DataFrame, list[str]]:

@@ -7,10 +7,10 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from pitchflow import schemas
 from pitchflow.functions.batting import batting_ratios
+from pitchflow.operators.ordered import FOUND, row_index, running_sums
 from pitchflow.operators.relational import first_match
 from pitchflow.schemas import c, ddl
 
@@ -164,15 +164,51 @@ def read_pbp(spark: SparkSession, path: str, extra: Mapping[str, str] = {}) -> D
     return spark.read.schema(ddl(schemas.PBP | dict(extra))).parquet(path)
 
 
-def write_sample(df: DataFrame, path: str, order: Sequence[str], rows: int = 10, index: bool = True) -> None:
-    """The first ``rows`` rows by ``order`` as one CSV file with a header.
+#: A sample of up to so many rows is one file.
+ONE_FILE = 100_000
 
-    ``index`` puts the row number, from 0, in front. A sort with a limit keeps
-    only that many rows per task.
+
+def write_sample(df: DataFrame, path: str, order: Sequence[str], rows: int | None = 10, index: bool = True) -> None:
+    """The first ``rows`` rows by ``order`` (all of them, if ``None``) as CSV with a header, the row number from 0 in front if ``index``.
+
+    A sort with a limit keeps only that many rows per task. Up to ``ONE_FILE``
+    rows are one file; more are files whose names follow the order, numbered
+    through by :func:`row_index`, so that no task has them all.
     """
     by = [c(o) for o in order]
-    head = df.orderBy(*by).limit(rows)
+    out = df if rows is None else df.orderBy(*by).limit(rows)
     if index:
-        number = (F.row_number().over(Window.orderBy(*by)) - 1).alias(INDEX)
-        head = head.select(number, *[c(n) for n in df.columns])
-    head.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+        out = row_index(out, order, INDEX)
+        by = [F.col(INDEX)]
+    few = rows is not None and rows <= ONE_FILE
+    out = out.coalesce(1).sortWithinPartitions(*by) if few else out.repartitionByRange(*by).sortWithinPartitions(*by)
+    out.write.mode("overwrite").option("header", True).csv(path)
+
+
+def running_totals(
+    df: DataFrame, keys: Sequence[str], day: str, columns: Sequence[str], segment: Column | str | None = FOUND,
+) -> DataFrame:
+    """A row per key and day that occurs: the sums of ``columns`` up to and including that day.
+
+    Days without rows have no row. Days are summed before anything is ordered;
+    a key with very many days is worked in pieces. A missing value counts as 0.
+    """
+    per_day = df.where(c(day).isNotNull()).groupBy(*[c(k) for k in keys], c(day).cast("date").alias(day)).agg(
+        *[F.coalesce(F.sum(c(n)), F.lit(0)).alias(n) for n in columns]
+    )
+    return running_sums(per_day, columns, keys, [day], segment)
+
+
+def range_from_totals(totals: DataFrame, keys: Sequence[str], day: str, first: Day, last: Day, columns: Sequence[str]) -> DataFrame:
+    """The sums of a date range out of :func:`running_totals`: two rows a key, the last one up to ``last`` less the last one before ``first``.
+
+    Keys without a day in the range are left out, as they are from a sum over the range.
+    """
+    values = F.struct(*[c(n) for n in columns])
+    at, before = F.lit(last).cast("date"), F.lit(first).cast("date")
+    ends = totals.where(c(day) <= at).groupBy(*[c(k) for k in keys]).agg(
+        F.max_by(values, c(day)).alias("_to"), F.max(c(day)).alias("_last"),
+        F.max_by(F.when(c(day) < before, values), F.when(c(day) < before, c(day))).alias("_from"),
+    )
+    less = lambda n: F.col("_to").getField(n) - F.coalesce(F.col("_from").getField(n), F.lit(0))
+    return ends.where(F.col("_last") >= before).select(*[c(k) for k in keys], *[less(n).alias(n) for n in columns])

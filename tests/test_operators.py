@@ -12,7 +12,7 @@ from pitchflow.operators.calendar import (
     distinct_days, game_ids_for_days, grid_end, pull_weeks, season_bounds, season_summary, week_counts, week_grid,
 )
 from pitchflow.operators.nested import class_table, drop_list_columns, explode_path, flatten_struct, game_meta
-from pitchflow.operators.ordered import fill_up, last_of_group_flag, running_record, streak
+from pitchflow.operators.ordered import FOUND, attach_forward, fill_up, last_of_group_flag, row_index, running_record, streak, with_found_segment
 from pitchflow.operators.relational import (
     code_frequencies, col_range, cols_first, exclude_ids, first_match, left_join_suffixed, union_fill,
 )
@@ -219,25 +219,114 @@ def uneven(spark):
 
 
 
-@pytest.mark.parametrize("width", [4, 16, 1000])
+@pytest.mark.parametrize("width", [4, 16, 1000, None])
 def test_pieces_equal_whole_groups(uneven, width):
-    cut = {"segment": F.floor(F.col("i") / width)}
-    assert rows(fill_up(uneven, ["v", "n"], ["k"], ["i"])) == rows(fill_up(uneven, ["v", "n"], ["k"], ["i"], **cut))
-    assert rows(fill_up(uneven, ["v"], ["k"], ["day", "i"])) == rows(
-        fill_up(uneven, ["v"], ["k"], ["day", "i"], segment=F.col("day")))
-    assert rows(running_record(uneven, "r", ["k"], ["i"])) == rows(running_record(uneven, "r", ["k"], ["i"], **cut))
-    assert rows(streak(uneven, "r", ["k"], ["i"])) == rows(streak(uneven, "r", ["k"], ["i"], **cut))
+    cut = {"segment": F.floor(F.col("i") / width)} if width else {}
+    by_day = {"segment": F.col("day")} if width else {}
+    plain = {"segment": None}
+    assert rows(fill_up(uneven, ["v", "n"], ["k"], ["i"], **plain)) == rows(fill_up(uneven, ["v", "n"], ["k"], ["i"], **cut))
+    assert rows(fill_up(uneven, ["v"], ["k"], ["day", "i"], **plain)) == rows(fill_up(uneven, ["v"], ["k"], ["day", "i"], **by_day))
+    assert rows(running_record(uneven, "r", ["k"], ["i"], **plain)) == rows(running_record(uneven, "r", ["k"], ["i"], **cut))
+    assert rows(streak(uneven, "r", ["k"], ["i"], **plain)) == rows(streak(uneven, "r", ["k"], ["i"], **cut))
+    assert rows(row_index(uneven, ["i"], keys=["k"], **plain)) == rows(row_index(uneven, ["i"], keys=["k"], **cut))
     for nulls in ("propagate", "ignore"):
-        assert rows(last_of_group_flag(uneven, "n", ["k"], "f", nulls)) == rows(
+        assert rows(last_of_group_flag(uneven, "n", ["k"], "f", nulls, **plain)) == rows(
             last_of_group_flag(uneven, "n", ["k"], "f", nulls, **cut))
 
 
+def test_found_segments_cut_the_large_groups(uneven):
+    cut = with_found_segment(uneven, ["k"], F.struct("day", "i"), "s", pieces=30)
+    assert cut.columns == [*uneven.columns, "s"]
+    sizes = {k: sorted(r["count"] for r in cut.where(F.col("k").eqNullSafe(k)).groupBy("s").count().collect()) for k in ("hot", "a")}
+    assert 7 <= len(sizes["hot"]) <= 12 and sizes["hot"][-1] < 3 * sizes["hot"][0] + 60
+    # Along the order the segment never falls.
+    for k in ("hot", "a", None):
+        got = [r.s for r in cut.where(F.col("k").eqNullSafe(k)).orderBy("day", "i").collect()]
+        assert got == sorted(got) and got[0] == 0
+    # Rows at one place stay together, and a table smaller than the sample is cut less.
+    same = with_found_segment(uneven.withColumn("i", F.lit(1)), ["k"], F.struct("i"), "s", pieces=30)
+    assert same.where("s > 1").isEmpty()
+    assert with_found_segment(uneven.limit(100), ["k"], F.struct("i"), "s", pieces=30).agg(F.max("s")).first()[0] < 3
+
+
+@pytest.mark.parametrize("keys", [[], ["k"]])
+def test_row_index(uneven, keys):
+    order = ["n", "i"]
+    got = row_index(uneven, order, "no", keys, start=5)
+    assert got.columns == ["no", *uneven.columns]
+    seen = {}
+    expected = []
+    for r in sorted(uneven.collect(), key=lambda r: (r.n is not None, r.n, r.i)):
+        group = r.k if keys else None
+        seen[group] = seen.get(group, 4) + 1
+        expected.append((seen[group], *r))
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(expected, key=str)
+    assert row_index(uneven.limit(0), order).count() == 0
+
+
+def test_no_task_sees_the_whole_table(spark, uneven):
+    """Numbering the whole table deals it by pieces, and the tasks that number it share it."""
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    df = row_index(uneven.select("i", "k"), ["i"])
+    shares = df.groupBy(F.spark_partition_id()).count().collect()
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    plan = df._jdf.queryExecution().executedPlan().toString().split("\n")
+    alone = [below for line, below in zip(plan, plan[1:]) if "Exchange SinglePartition" in line]
+    assert all("partial_count(1)" in below for below in alone)  # a count's row per task
+    assert len(shares) >= 3 and max(r["count"] for r in shares) < 2000
+
+
+@pytest.mark.parametrize("name", ["fill_up", "flag", "record", "streak", "index", "index of all", "forward"])
+def test_rows_are_shuffled_once(uneven, name):
+    """The rows and their summary read one shuffle of the table, also with found pieces."""
+    if name == "forward":
+        df = attach_forward(uneven, uneven.select("k", F.col("i").alias("u")), ["k"], ("i", "u"), ["u"])
+    elif name.startswith("index"):
+        df = row_index(uneven, ["i"], keys=[] if "all" in name else ["k"])
+    else:
+        df = OPERATORS[name](uneven, FOUND)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("\n+- == Initial Plan ==")[0]
+    dealt = [line for line in final.split("\n") if "REPARTITION_BY_COL" in line]
+    assert sum("ReusedExchange" not in line for line in dealt) == 1 and any("ReusedExchange" in line for line in dealt)
+    assert "BroadcastNestedLoopJoin" not in final
+
+
+def brute_forward(left, right, strict):
+    out = []
+    for i, k, t in left:
+        after = sorted((u, m) for k2, u, m in right if k2 == k and u is not None and t is not None and (u > t or u == t and not strict))
+        out.append((i, k, t, *(after[0] if after else (None, None))))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("strict", [False, True])
+@pytest.mark.parametrize("how", ["found", "none", "time"])
+def test_attach_forward(spark, strict, how):
+    rng = random.Random(3)
+    key = lambda: rng.choice(["hot"] * 5 + ["a", "b", None])
+    place = lambda n: None if rng.random() < 0.05 else rng.randint(0, n)
+    left = [(i, key(), place(500)) for i in range(1500)] + [(9999, "hot", 1000), (9998, "only left", 1)]
+    right = [(key(), place(450), i) for i in range(300)] + [("only right", 4, 1)]
+    a, b = spark.createDataFrame(left, "id INT, k STRING, t INT"), spark.createDataFrame(right, "k STRING, u INT, m INT")
+    segment = {"found": {}, "none": {"segment": None}, "time": {"segment": F.floor(F.coalesce("_time", F.lit(-1)) / 40)}}[how]
+    got = attach_forward(a, b, ["k"], ("t", "u"), ["u", "m"], strict, **segment)
+    assert got.columns == ["id", "k", "t", "u", "m"]
+    assert sorted(map(tuple, got.collect()), key=str) == brute_forward(left, right, strict)
+    assert "Join" not in attach_forward(a, b, ["k"], ("t", "u"), ["u", "m"], strict, segment=None)._jdf.queryExecution().optimizedPlan().toString()
+    assert attach_forward(a, b.limit(0), ["k"], ("t", "u"), ["u", "m"]).where("u IS NULL AND m IS NULL").count() == len(left)
+    assert attach_forward(a.limit(0), b, ["k"], ("t", "u"), ["u", "m"]).count() == 0
+    with pytest.raises(ValueError):
+        attach_forward(a, b, ["k"], ("t", "u"), ["k"])
+
+
 def test_streak_over_missing_results(spark):
     data = [(i, "g", r) for i, r in enumerate(["W", "W", None, None, "L", "W", "W", "W", None, "W"] * 6)]
     df = spark.createDataFrame(data, "i INT, k STRING, r STRING")
     for width in (1, 2, 3, 7):
         cut = {"segment": F.floor(F.col("i") / width)}
-        assert rows(streak(df, "r", ["k"], ["i"])) == rows(streak(df, "r", ["k"], ["i"], **cut))
+        assert rows(streak(df, "r", ["k"], ["i"], segment=None)) == rows(streak(df, "r", ["k"], ["i"], **cut))
 
 
 OPERATORS = {
