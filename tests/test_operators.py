@@ -278,8 +278,9 @@ def test_no_task_sees_the_whole_table(spark, uneven):
 
 
 @pytest.mark.parametrize("name", ["fill_up", "flag", "record", "streak", "index", "index of all", "forward"])
-def test_rows_are_shuffled_once(uneven, name):
+def test_rows_are_shuffled_once(spark, name):
     """The rows and their summary read one shuffle of the table, also with found pieces."""
+    uneven = spark.range(0, 3000, 1, 3).selectExpr("int(id) AS i", "if(id % 3 = 0, 'hot', string(id % 7)) AS k", "if(id % 9 = 0, id, NULL) AS v", "id AS n", "if(id % 5 = 0, 'W', 'L') AS r")
     if name == "forward":
         df = attach_forward(uneven, uneven.select("k", F.col("i").alias("u")), ["k"], ("i", "u"), ["u"])
     elif name.startswith("index"):
