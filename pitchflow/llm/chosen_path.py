@@ -66,7 +66,7 @@ def surely_equal(similarity: float, miss: float = 1e-5) -> int:
     return SKETCH
 
 
-def _slices(batches: Iterator[pa.RecordBatch], size: int = 1 << 21) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+def _slices(batches: Iterator[pa.RecordBatch], size: int = 1 << 19) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Rows with their texts, about ``size`` bytes of text at once."""
     for batch in batches:
         start, held, total = 0, [], 0
@@ -113,10 +113,13 @@ def similarity_join(
             sketch = minhashes(hashes, each, SKETCH).view(np.int32)
             yield pa.RecordBatch.from_arrays([
                 part["doc_id"], part["id"], pa.array([x if n else None for x, n in zip(sketch, each, strict=True)], pa.list_(pa.int32())),
-            ], names=["doc_id", "id", "sketch"])
+                pa.array(each, pa.int64()),
+            ], names=["doc_id", "id", "sketch", "n_items"])
 
-    narrow = stored(rows.mapInArrow(sketched, f"doc_id {docs.schema[doc_id].dataType.simpleString()}, id binary, sketch array<int>"))
-    texts = stored(narrow.groupBy("id").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n_copies"), F.first("sketch").alias("sketch")))
+    narrow = stored(rows.mapInArrow(sketched, f"doc_id {docs.schema[doc_id].dataType.simpleString()}, id binary, sketch array<int>, n_items long"))
+    texts = stored(narrow.groupBy("id").agg(
+        F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n_copies"), F.first("sketch").alias("sketch"), F.first("n_items").alias("n_items"),
+    ))
     sketches = texts.where("sketch IS NOT NULL").select("id", "sketch")
     met = chosen_paths(sketches, runs_for(recall, threshold))
     leaves = stored(likely(met, sketches, surely_equal(threshold)))
@@ -128,7 +131,7 @@ def similarity_join(
     # Only texts that met another one are read again, one document for each.
     candidates = leaves.select("id").distinct().join(texts.select("id", "least"), "id")
     chosen = rows.join(candidates.withColumnRenamed("id", "_id"), F.expr("doc_id <=> least AND id = _id")).select("id", "text").dropDuplicates(["id"])
-    found = stored(linked(leaves, chosen.mapInArrow(sets, "id binary, items binary"), threshold))
+    found = stored(linked(leaves, chosen.mapInArrow(sets, "id binary, items binary"), threshold, sizes=texts.select("id", "n_items")))
     links = found.groupBy("id").agg(F.sum("links").alias("n_links"))
     parts = components(found.select("id", "root"), "id", "root")
 

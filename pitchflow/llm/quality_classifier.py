@@ -39,7 +39,7 @@ PASSAGE = 400
 THRESHOLD = 0.7
 HIDDEN, GATE = 24, 12
 #: Bytes worked at once: what bounds a task's memory beside the longest document.
-SLICE = 1 << 21
+SLICE = 1 << 19
 
 _CLASSES = 14
 
@@ -192,10 +192,12 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "d
     """A model from at most ``sample`` documents of ``docs`` that ``labels`` (``doc_id``, ``label``) marks."""
     marked = labels.where(F.col(doc_id).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(doc_id).alias("_id"))
     marked = marked.agg(F.min(label).cast("int").alias("label"))
-    # Documents of unlabelled ids were never candidates, so only ids are sorted here.
-    chosen = marked.orderBy(F.xxhash64("_id"), "_id").limit(sample)
+    # Labels of documents that are not there take no places. Only ids are sorted here.
+    there = marked.join(docs.select(F.col(doc_id).alias("_id")), "_id", "left_semi")
+    chosen = there.orderBy(F.xxhash64("_id"), "_id").limit(sample)
     rows = docs.select(F.col(doc_id).alias("_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    rows = rows.join(F.broadcast(chosen), "_id").select("text", "label")
+    # Of rows that repeat an id the least text is learned from.
+    rows = rows.join(F.broadcast(chosen), "_id").groupBy("_id", "label").agg(F.min("text").alias("text")).select("text", "label")
     got = rows.mapInArrow(_bags, "bag binary, label int").collect()
     got.sort(key=lambda r: (r.label, bytes(r.bag)))
     bags = [np.frombuffer(r.bag, np.float16).reshape(-1, FEATURES).astype(np.float32) for r in got]

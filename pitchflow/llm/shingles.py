@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 
 from pitchflow.llm.common import groups, stored
 
-#: Members of one side of a comparison; larger buckets are compared in blocks of this many.
-BLOCK = 400
+#: Members of one side of a comparison, and the items of their sets; larger buckets are compared in blocks of this many.
+BLOCK, BLOCK_ITEMS = 400, 2_000_000
+#: Items whose intersections are counted at once.
+ITEMS = 1_000_000
 
 _BASE = 0x9E3779B97F4A7C15
 _MIX = (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53)
@@ -87,7 +89,18 @@ def minhashes(hashes: np.ndarray, each: np.ndarray, n: int, seed: int = 1) -> np
 
 
 def common_counts(sets: list[np.ndarray]) -> np.ndarray:
-    """Sizes of all intersections. Frequent items by matrix products, rare ones pair by pair."""
+    """Sizes of all intersections of sorted sets, range of hashes by range, each with about ``ITEMS`` items."""
+    parts = max(1, -(-sum(map(len, sets)) // ITEMS))
+    edges = np.array([k * 2**64 // parts for k in range(1, parts)], np.uint64)
+    cuts = [np.concatenate([[0], np.searchsorted(s, edges), [len(s)]]) for s in sets]
+    out = np.zeros((len(sets), len(sets)), np.float32)
+    for k in range(parts):
+        out += _common([s[c[k] : c[k + 1]] for s, c in zip(sets, cuts, strict=True)])
+    return out
+
+
+def _common(sets: list[np.ndarray]) -> np.ndarray:
+    """Frequent items by matrix products, rare ones pair by pair."""
     n = len(sets)
     out = np.zeros((n, n), np.float32)
     items = np.concatenate(sets)
@@ -126,12 +139,13 @@ def _parts(links: np.ndarray) -> np.ndarray:
     return part
 
 
-def _blocks(members: DataFrame, block: int) -> DataFrame:
+def _blocks(members: DataFrame, block: int, items: str = "0") -> DataFrame:
     """``(leaf, id, n)`` to ``(leaf, a, b, first, id)``: each pair of a leaf's members meets in one block ``(a, b)`` of the leaf.
 
-    ``first`` says on which side of the block a member stands. Leaves of up to ``block`` members are one block.
+    ``first`` says on which side of the block a member stands. Leaves of up to
+    ``block`` members with ``BLOCK_ITEMS`` ``items`` together are one block.
     """
-    chunks = f"int(ceil(n / {float(block)}D))"
+    chunks = f"int(greatest(1, ceil(n / {float(block)}D), ceil({items} / {float(BLOCK_ITEMS)}D)))"
     own = f"int(pmod(xxhash64(id), {chunks}))"
     return members.selectExpr("id", "leaf", f"{own} AS own", f"explode(sequence(0, {chunks} - 1)) AS other").selectExpr(
         "id", "leaf", "least(own, other) AS a", "greatest(own, other) AS b", "own = least(own, other) AS first"
@@ -171,7 +185,7 @@ def likely(leaves: DataFrame, sketches: DataFrame, equal: int, block: int = BLOC
     return _in_blocks(ready).mapInArrow(screened, "leaf long, id binary").distinct()
 
 
-def linked(leaves: DataFrame, sets: DataFrame, threshold: float, block: int = BLOCK) -> DataFrame:
+def linked(leaves: DataFrame, sets: DataFrame, threshold: float, block: int = BLOCK, sizes: DataFrame | None = None) -> DataFrame:
     """Compare all texts that share a leaf: ``(id, links, root)`` for each block in which a text has a link.
 
     ``leaves`` has ``(leaf, id)``, ``sets`` ``(id, items)``: sorted 64-bit hashes
@@ -179,22 +193,27 @@ def linked(leaves: DataFrame, sets: DataFrame, threshold: float, block: int = BL
     Jaccard similarity of at least ``threshold``: a pair that meets in several
     leaves is counted in the least of them, which both texts' lists of leaves
     tell. ``root`` is a text of the same connected part. Pairs are never rows:
-    a block of at most two times ``block`` members is compared in memory. Leaves
-    with the same members count once.
+    a block of at most two times ``block`` members is compared in memory, and
+    with ``sizes``, ``(id, n_items)``, about as many times ``BLOCK_ITEMS`` items
+    (a larger set is whole). Leaves with the same members count once.
     """
     leaves = leaves.distinct()
     marks = leaves.groupBy("leaf").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y"))
     once = stored(marks.where("n > 1").groupBy("n", "x", "y").agg(F.min("leaf").alias("leaf")).select("leaf", "n"))
     members = stored(leaves.join(once, "leaf"))
     lists = members.groupBy("id").agg(F.collect_list("leaf").alias("leaves"))
-    ordered = _in_blocks(_blocks(members, block).join(sets.join(lists, "id"), "id"))
+    weighed = members.withColumn("items", F.lit(0))
+    if sizes is not None:
+        weights = members.join(sizes, "id").groupBy("leaf").agg(F.sum("n_items").alias("items"))
+        weighed = members.join(weights, "leaf")
+    ordered = _in_blocks(_blocks(weighed, block, "items").join(sets.join(lists, "id"), "id"))
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (leaf, a, b), table in groups(batches, _block_key):
             n = table.num_rows
             if n < 2:
                 continue
-            items = [np.frombuffer(x, np.uint64) for x in table["items"].to_pylist()]
+            items = [np.frombuffer(x.as_buffer(), np.uint64) for x in table["items"]]
             common = common_counts(items)
             sizes = np.array([len(x) for x in items], np.float32)
             union = sizes[:, None] + sizes - common

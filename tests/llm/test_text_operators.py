@@ -107,6 +107,28 @@ def test_long_words_differ():
     assert len(set(hashes.tolist())) == 6 and counts.tolist() == [1] * 6
 
 
+def test_blocks_are_bounded_by_bytes(spark, monkeypatch):
+    """Large sets: what the comparison takes beside the sets stays small, and blocks by items give the same links."""
+    import tracemalloc
+
+    rng = np.random.default_rng(8)
+    base = np.unique(rng.integers(0, 2**63, 20_000, np.uint64))
+    large = [np.unique(np.concatenate([base[: 19_000 - 5 * i], rng.integers(0, 2**63, 800, np.uint64)])) for i in range(200)]
+    tracemalloc.start()
+    counts = shingles.common_counts(large)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 120 << 20
+    assert counts[0, 7] == len(np.intersect1d(large[0], large[7])) and counts[3, 3] == len(large[3])
+    sets = spark.createDataFrame([(bytes([i]), bytearray(x[:300].tobytes())) for i, x in enumerate(large[:60])], "id binary, items binary")
+    sizes = sets.select("id", (F.length("items") / 8).cast("long").alias("n_items"))
+    leaves = sets.select(F.lit(1).cast("long").alias("leaf"), "id")
+    total = lambda df: {bytes(r.id): r.n for r in df.groupBy("id").agg(F.sum("links").alias("n")).collect()}
+    whole = total(shingles.linked(leaves, sets, 0.8))
+    monkeypatch.setattr(shingles, "BLOCK_ITEMS", 2500)
+    assert total(shingles.linked(leaves, sets, 0.8, sizes=sizes)) == whole and len(whole) == 60
+
+
 def test_common_counts():
     rng = np.random.default_rng(1)
     sets = [np.unique(rng.integers(0, 60, rng.integers(0, 50)).astype(np.uint64)) for _ in range(40)]
