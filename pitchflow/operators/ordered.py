@@ -300,7 +300,7 @@ def attach_forward(
     match = F.struct(*[c(n) for n in columns])
     rows = right.where(c(at[1]).isNotNull()).select(*key(right), c(at[1]).alias("_time"), F.lit(right_side).alias("_side"), match.alias("_match"))
     rest = [n for n in left.columns if n not in keys]
-    mine = left.select(*key(left), c(at[0]).alias("_time"), F.lit(left_side).alias("_side"), F.struct(*[c(n) for n in rest], F.lit(0)).alias("_row"))
+    mine = left.select(*key(left), c(at[0]).alias("_time"), F.lit(left_side).alias("_side"), F.struct(*([c(n) for n in rest] or [F.lit(0)])).alias("_row"))
     both = mine.unionByName(rows, allowMissingColumns=True).withColumn("_tie", F.col("_match"))
     filled = fill_up(both, ["_match"], [f"_key{i}" for i in range(len(keys))], ["_time", "_side", "_tie"], segment)
     found = F.when(F.col("_time").isNotNull(), F.col("_match"))
