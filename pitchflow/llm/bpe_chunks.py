@@ -35,7 +35,9 @@ from pitchflow.llm.tokens import Encoder, default_path, encoder
 #: Bytes the rolling hash sees, a power of two, and the average length of a chunk, another.
 WINDOW, AVERAGE = 32, 2048
 #: Bytes of chunks and ids one worker keeps.
-KEEP = 96 << 20
+KEEP = 64 << 20
+#: Bytes of ids that a task holds before it passes rows on.
+HELD = 4 << 20
 
 _FACTOR = 0x9E3779B1
 _CUT = re.compile(r" (?=\S)")
@@ -158,8 +160,10 @@ def transcode(docs: DataFrame, outputs: Sequence[str] = ("n_tokens", "ids", "dec
         own = chunk_encoder(path)
         for batch in batches:
             columns: dict[str, list] = {n: [] for n in outputs}
-            for value in batch.column(len(passed)):
+            first = held = 0
+            for row, value in enumerate(batch.column(len(passed)), 1):
                 ids = own.encode(value.as_py() or "")
+                held += len(ids)
                 back = own.base.decode(ids) if decodes else ""
                 made = {
                     "n_tokens": lambda ids=ids: len(ids) // 4, "ids": lambda ids=ids: ids, "decoded": lambda back=back: back,
@@ -167,7 +171,10 @@ def transcode(docs: DataFrame, outputs: Sequence[str] = ("n_tokens", "ids", "dec
                 }
                 for n in outputs:
                     columns[n].append(made[n]())
-            arrays = [pa.array(columns[n], _KINDS[n][1]) for n in outputs]
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(passed)], *arrays], names=[*passed, *outputs])
+                if held >= HELD or row == batch.num_rows:
+                    arrays = [pa.array(columns[n], _KINDS[n][1]) for n in outputs]
+                    yield pa.RecordBatch.from_arrays([*(x.slice(first, row - first) for x in batch.columns[: len(passed)]), *arrays], names=[*passed, *outputs])
+                    columns = {n: [] for n in outputs}
+                    first, held = row, 0
 
     return docs.select(*[F.col(quoted(n)) for n in passed], F.col(quoted(text)).alias(fresh(docs, "_body")[0])).mapInArrow(coded, schema)

@@ -66,7 +66,9 @@ class Encoder:
     def _mark(self, marks: str) -> bytes:
         got = self._others.get(marks)
         if got is None:
-            got = self._others[marks] = self._word(marks)
+            got = self._word(marks)
+            if len(marks) <= PIECE_CHARS and len(self._others) < PIECES // 8:
+                self._others[marks] = got
         return got
 
     def _new(self, piece: str) -> bytes:
