@@ -552,10 +552,10 @@ def window_pull(t: Tables):
 @query(
     "window_counts",
     f"""WITH {_SEASONS}, failed AS (SELECT DISTINCT CAST(ts AS DATE) AS day FROM events WHERE event_type = 'error' AND value > 199)
-SELECT season, week, CAST(start_date AS VARCHAR) AS start_date, CAST(end_date AS VARCHAR) AS end_date, count(event_id) AS number_rows,
-  CASE WHEN EXISTS (SELECT 1 FROM failed WHERE day BETWEEN start_date AND end_date) THEN 'error'
-       WHEN count(event_id) > 0 THEN 'ok' ELSE 'empty' END AS status
-FROM windows LEFT JOIN events ON CAST(ts AS DATE) BETWEEN start_date AND end_date GROUP BY season, week, start_date, end_date""",
+SELECT season, week, CAST(start_date AS VARCHAR) AS start_date, CAST(end_date AS VARCHAR) AS end_date, n AS number_rows,
+  CASE WHEN bad > 0 THEN 'error' WHEN n > 0 THEN 'ok' ELSE 'empty' END AS status
+FROM (SELECT w.*, (SELECT count(*) FROM events WHERE CAST(ts AS DATE) BETWEEN w.start_date AND w.end_date) AS n,
+  (SELECT count(*) FROM failed WHERE day BETWEEN w.start_date AND w.end_date) AS bad FROM windows w)""",
 )
 def window_states(t: Tables):
     """The windows of events far above the others count as failed pulls."""
