@@ -19,12 +19,15 @@ folding and subtraction are sums, the cells of the difference are made by one
 sum over signed digests at the smaller size, and a round of peeling looks at
 one third, where each digest has just one cell, and sums again. All cells of a
 pair stay in one partition, so the rounds shuffle nothing and compile to hash
-aggregates.
+aggregates. The sets of digests are written once, in buckets of their rows:
+tables, differences and the result are all made bucket by bucket.
 
 Paragraphs end at line ends, at about every second sentence end (where the next
 one begins with A to M), and at places inside long stretches that only the
 neighbouring letters choose; equal passages have equal paragraphs, whatever
-stands before them.
+stands before them. These places are rules for Latin letters. A stretch of over
+``WHOLE`` characters of which these are less than a quarter is cut where a hash
+of two neighbouring characters says so, whatever the script.
 
 Only DataFrame and SQL functions are used. Null texts are empty and have an
 empty table; two empty tables are alike (1.0). Repeated paragraphs of a text
@@ -34,11 +37,12 @@ count once, and order doesn't count. Rows that repeat are rows like others.
 from __future__ import annotations
 
 import math
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitchflow.llm.common import partitions, quoted, stored
+from pitchflow.llm.common import partitions, quoted, shared_folder, stored
 
 #: The least number of cells of a third of the fingerprint; a power of two.
 FIRST = 8
@@ -46,12 +50,21 @@ FIRST = 8
 #: Rounds of peeling over all three thirds.
 ROOM, TRIES, ROUNDS = 0.6, 4, 5
 
+#: Partitions of the cells for each shuffle partition: a digest of 8 bytes becomes three rows of five numbers.
+SPREAD = 2
+#: Longer stretches of other scripts are cut by neighbouring characters, at one place in ``EVERY`` on average.
+WHOLE, EVERY = 200, 48
+
 CUT = r"\n+|(?<=[.!?])[ \t]+(?=[A-M])|(?<=[dgy]) (?=[aeo])"
 
 
 def digests(text: str) -> str:
     """SQL for the set of paragraph digests of a text expression."""
-    parts = f"filter(split({text}, r'{CUT}'), x -> length(trim(x)) > 0)"
+    # A stretch has no line end, so one can mark the places.
+    marked = f"zip_with(cs, slice(cs, 2, size(cs)), (a, b) -> if(pmod(xxhash64(a, b), {EVERY}) = 0, concat(a, '\n'), a))"
+    pieces = f"flatten(transform(array(split(x, '')), cs -> split(concat_ws('', {marked}), '\n')))"
+    latin = f"length(x) <= {WHOLE} OR 4 * length(regexp_replace(x, '[A-Za-z]', '')) <= 3 * length(x)"
+    parts = f"filter(flatten(transform(split({text}, r'{CUT}'), x -> if({latin}, array(x), {pieces}))), x -> length(trim(x)) > 0)"
     return f"array_distinct(transform({parts}, x -> xxhash64(trim(x))))"
 
 
@@ -114,15 +127,23 @@ def peeled(cells: DataFrame, attempt: int = 0, keep: bool = True, rounds: int =
     return cells
 
 
-def differences(pairs: DataFrame, keep: bool = False) -> DataFrame:
+def bucketed(df: DataFrame, key: str) -> DataFrame:
+    """``df`` written as a table in the shared folder in buckets of ``key``: what is worked by ``key`` from there on shuffles nothing."""
+    spark, name = df.sparkSession, f"pitchflow_{uuid.uuid4().hex}"
+    count = SPREAD * partitions(spark)
+    df.repartition(count, key).write.bucketBy(count, key).option("path", shared_folder(spark)).saveAsTable(name, format="parquet")
+    return spark.table(name)
+
+
+def differences(pairs: DataFrame, keep: bool = False, by_row: bool = False) -> DataFrame:
     """``(row, pair, only_a, only_b)``: how many digests only one of two sets has; with ``keep`` also ``lost`` and ``gained``, the digests.
 
-    ``pairs`` has ``(row, pair, a, b)``. Pairs without a difference have no row.
+    ``pairs`` has ``(row, pair, a, b)``; with ``by_row`` they lie by ``row`` already. Pairs without a difference have no row.
     """
     found = []
-    left = pairs
+    pairs = left = pairs if by_row else pairs.repartition(SPREAD * partitions(pairs.sparkSession), "row")
     for attempt in range(TRIES):
-        cells = peeled(subtracted(left.repartition("row"), attempt), attempt, keep)
+        cells = peeled(subtracted(left, attempt), attempt, keep)
         sums = [F.sum(F.expr(f"if(cell = {cell}, n, 0)")).alias(name) for cell, name in ((-1, "only_a"), (-2, "only_b"))]
         if keep:
             sums += [F.expr(f"collect_list(if(cell = {cell}, f, NULL))").alias(name) for cell, name in ((-1, "lost"), (-2, "gained"))]
@@ -130,10 +151,10 @@ def differences(pairs: DataFrame, keep: bool = False) -> DataFrame:
         stuck = F.max(F.expr("cell >= 0 OR n <> 1" if keep else "cell >= 0")).alias("stuck")
         done = stored(cells.groupBy("row", "pair").agg(stuck, *sums))
         found.append(done.where("NOT stuck").drop("stuck"))
-        again = done.where("stuck").select("row", "pair")
+        again = done.where("stuck").groupBy("row").agg(F.collect_set("pair").alias("_again"))
         if again.isEmpty():
             break
-        left = pairs.join(again, ["row", "pair"], "left_semi")
+        left = pairs.join(again, "row").where("array_contains(_again, pair)").drop("_again")
     else:
         exact = left.selectExpr("row", "pair", "array_except(a, b) AS lost", "array_except(b, a) AS gained")
         kept = ["lost", "gained"] if keep else []
@@ -184,21 +205,16 @@ def compare_with_edits(docs: DataFrame, text: str = "text", doc_id: str = "doc_i
     cut = "int(n_chars div 3)"
     edited = paired.selectExpr("doc_id", "n_chars", "ka", "kn", f"concat(substring(text, 1, int(n_chars) - {cut}), substring(_next, 1, {cut})) AS edited")
     # Written once: the number of a row is the same for all that read it.
-    sets = stored(edited.selectExpr("monotonically_increasing_id() AS row", "doc_id", "n_chars", "ka", "kn", "unhex(sha2(edited, 256)) AS sha", f"{digests('edited')} AS ke"))
+    sets = bucketed(edited.selectExpr(
+        "monotonically_increasing_id() AS row", "doc_id", "n_chars", "ka", "kn", "unhex(sha2(edited, 256)) AS sha", f"{digests('edited')} AS ke"
+    ), "row")
     both = sets.selectExpr("row", "ka", "inline(array(named_struct('pair', 0, 'b', ke), named_struct('pair', 1, 'b', kn)))")
-    found = differences(both.selectExpr("row", "pair", "ka AS a", "b"))
-    texts = sets.selectExpr("row", "ka", "ke").repartition("row").selectExpr(
-        "row", "inline(array(named_struct('pair', 0, 'keys', ka), named_struct('pair', 1, 'keys', ke)))"
-    )
-    facts = found.selectExpr("row", "pair", "only_a", "only_b", "cast(NULL AS string) AS print").unionByName(
-        written(texts).selectExpr("row", "pair", "cast(NULL AS bigint) AS only_a", "cast(NULL AS bigint) AS only_b", "print")
-    )
+    found = differences(both.selectExpr("row", "pair", "ka AS a", "b"), by_row=True)
     # Pair 0 is the edited text and pair 1 the next one; table 0 is the text's and table 1 the edited text's.
-    wide = facts.groupBy("row").agg(*[
-        F.max(F.when(F.col("pair") == p, F.col(c))).alias(f"{c}{p}") for p in (0, 1) for c in ("only_a", "only_b", "print")
-    ])
-    narrow = sets.selectExpr("row", "doc_id", "n_chars", "sha", "size(ka) AS n")
-    joined = narrow.join(wide.withColumnRenamed("row", "_row"), F.col("row") == F.col("_row"), "left")
+    counts = found.groupBy("row").agg(*[F.max(F.when(F.col("pair") == p, F.col(c))).alias(f"{c}{p}") for p in (0, 1) for c in ("only_a", "only_b")])
+    joined = sets.selectExpr("row", "doc_id", "n_chars", "sha", "size(ka) AS n").join(counts, "row", "left")
+    for p, keys in enumerate(("ka", "ke")):
+        joined = joined.join(written(sets.selectExpr("row", f"{p} AS pair", f"{keys} AS keys")).selectExpr("row", f"print AS print{p}"), "row", "left")
 
     def likeness(p: int) -> str:
         a, b = f"coalesce(only_a{p}, 0)", f"coalesce(only_b{p}, 0)"

@@ -6,8 +6,11 @@ out so that no task sees more than it must:
 
 1. Anchors: a position is an anchor if the hash of the ``K`` bytes from it is the
    least in some stretch of ``length`` bytes. Equal strings of that length hold
-   the same anchors, and each holds one, so every repeat shows at an anchor. Only
-   anchors that occur twice go on, about a fifth of one position in 37.
+   the same anchors, and each holds one, so every repeat shows at an anchor. A
+   string around an anchor reaches half of its other bytes beyond it on one side
+   at least, so an anchor goes on only if it occurs again with the same bytes
+   before it or with the same bytes after it: two short hashes beside each
+   anchor tell, and what meets by chance stays behind.
 2. Each sends its context, what a string of ``length`` bytes around it can hold,
    to the task of its hash.
 3. There the suffixes from the anchors are sorted, a stack scan over the common
@@ -73,12 +76,16 @@ def _sliding(x: np.ndarray, width: int, of) -> np.ndarray:
     return of(x[: len(x) - rest], x[rest:]) if rest else x
 
 
-def anchors(texts: list[bytes], length: int = LENGTH, k: int = K) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``(text, position, hash)`` of all anchors."""
+def anchors(texts: list[bytes], length: int = LENGTH, k: int = K) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ma.MaskedArray, np.ma.MaskedArray]:
+    """``(text, position, hash, before, after)`` of all anchors.
+
+    A string of ``length`` bytes has half of what it has beside the anchor on one side at least. ``before`` and ``after`` are hashes
+    of the ``k`` bytes that begin so much before and after the anchor, masked where the text doesn't reach there.
+    """
     data = np.frombuffer(b"".join(texts), np.uint8)
     empty = np.zeros(0, np.int64)
     if len(data) < length:
-        return empty, empty, empty
+        return empty, empty, empty, np.ma.array(empty.astype(np.int32)), np.ma.array(empty.astype(np.int32))
     sizes = np.array([len(t) for t in texts])
     ends = np.cumsum(sizes)
     grams = _gram_hashes(data, k)
@@ -93,7 +100,14 @@ def anchors(texts: list[bytes], length: int = LENGTH, k: int = K) -> tuple[np.nd
     padded = np.concatenate([np.zeros(width - 1, np.uint32), least, np.zeros(width - 1, np.uint32)])
     at = np.flatnonzero(_sliding(padded, width, np.maximum)[: len(choice)] == choice)
     text = np.searchsorted(ends, at, side="right")
-    return text, at - (ends - sizes)[text], grams[at].view(np.int64)
+    half = (length - k + 1) // 2
+    short = grams.view(np.int64).astype(np.int32)
+
+    def beside(place: np.ndarray) -> np.ma.MaskedArray:
+        reached = (place >= (ends - sizes)[text]) & (place + k <= ends[text])
+        return np.ma.array(short[np.where(reached, place, 0)], mask=~reached)
+
+    return text, at - (ends - sizes)[text], grams[at].view(np.int64), beside(at - half), beside(at + half)
 
 
 def _common(a: bytes, b: bytes) -> int:
@@ -188,9 +202,10 @@ def covered(numbered: DataFrame, length: int = LENGTH, hot: int = HOT, k: int =
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(ids, nths, texts):
-            text, at, hashes = anchors(texts, length, k)
+            text, at, hashes, before, after = anchors(texts, length, k)
             place = at + (np.array(nths, np.int64)[text] << _BITS) if len(at) else at
-            return pa.record_batch({"hash": pa.array(hashes), "doc": pa.array(np.array(ids, np.int64)[text] if len(at) else at), "at": pa.array(place)})
+            sides = {n: pa.array(x.data, mask=np.ma.getmaskarray(x)) for n, x in (("before", before), ("after", after))}
+            return pa.record_batch({"hash": pa.array(hashes), "doc": pa.array(np.array(ids, np.int64)[text] if len(at) else at), "at": pa.array(place)} | sides)
 
         for batch in batches:
             ids, nths, texts, total = [], [], [], 0
@@ -213,9 +228,13 @@ def covered(numbered: DataFrame, length: int = LENGTH, hot: int = HOT, k: int =
     copies = same.withColumn("salt", F.pmod(F.xxhash64("doc", "nth"), F.lit(salts)).cast("int")).join(salted, ["key", "salt"])
     copies = stored(copies.where("struct(doc, nth) <> first").select("doc", "nth", F.lit(0).alias("a"), F.col("size").alias("b")))
 
-    every = numbered.mapInArrow(found, "hash long, doc long, at long")
-    # A window sorts a frequent anchor's rows on disk if it must; its size decides how it is worked.
-    met = stored(every.selectExpr("*", "count(1) OVER (PARTITION BY hash) AS n").where("n > 1"))
+    every = numbered.mapInArrow(found, "hash long, doc long, at long, before int, after int")
+    # A window sorts a frequent anchor's rows on disk if it must; its size decides how it is worked. All windows share one shuffle.
+    again = every.selectExpr("*", "count(1) OVER (PARTITION BY hash) AS n").where("n > 1").drop("n")
+    beside = again.selectExpr("*", "count(before) OVER (PARTITION BY hash, before) AS b").selectExpr(
+        "*", "count(after) OVER (PARTITION BY hash, after) AS a"
+    ).where("b > 1 OR a > 1")
+    met = stored(beside.selectExpr("hash", "doc", "at", "count(1) OVER (PARTITION BY hash) AS n"))
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = {"hash": pa.int64(), "doc": pa.int64(), "nth": pa.int32(), "at": pa.int64(), "left": pa.binary(), "right": pa.binary()}

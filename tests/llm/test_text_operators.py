@@ -438,6 +438,18 @@ def test_fingerprints_alone_tell_the_difference(spark):
     assert max(sum(known[i]) for i in peeled) > 100
 
 
+def test_other_scripts_are_cut_too(spark):
+    """One line without a Latin letter, with and without spaces: what is equal shows, and a text is like itself."""
+    rng = np.random.default_rng(9)
+    words = ["".join(map(chr, rng.integers(0x430, 0x44F, 6))) for _ in range(300)]
+    texts = [gap.join(rng.choice(words, 2000)) for gap in (" ", "") for _ in range(4)]
+    texts += ["".join(map(chr, rng.integers(0x4E00, 0x9FA5, 1500))) for _ in range(3)]
+    got = fingerprints.compare_with_edits(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    # Two thirds of a text's pieces are left, and a third of its own comes in: a half of all, less what lies on the seam.
+    assert all(0.3 < r.near_edited < 0.7 for r in got), [r.near_edited for r in got]
+    assert all(r.near_next < 0.1 for r in got), [r.near_next for r in got]
+
+
 @pytest.mark.parametrize("tries", [4, 0])
 def test_differences_of_any_size_are_recovered(spark, monkeypatch, tries):
     monkeypatch.setattr(fingerprints, "TRIES", tries)  # without a try the digests are compared
@@ -487,6 +499,28 @@ def test_repeated_bytes(docs, rows, hot):
     assert sum(r.n_removed for r in got) > 3000
 
 
+def test_short_repeats_show_wherever_they_stand(spark):
+    """Strings of just the length and one less, at both ends of texts and inside: the hashes beside an anchor lose none of them."""
+    rng = np.random.default_rng(8)
+    noise = lambda n: "".join(rng.choice(list("abcdefgh é"), n))
+    passages, texts = [noise(n) for n in (90, 95, 99, 100, 101, 110) for _ in range(8)], []
+    for passage in passages:
+        body = passage.encode()[: len(passage)].decode(errors="ignore")
+        texts += [body + noise(60), noise(70) + body, noise(50) + body + noise(50)]
+    want, seen = {}, set()
+    for i, t in enumerate(texts):
+        body = t.encode()
+        mark = np.zeros(len(body), bool)
+        for j in range(len(body) - 99):
+            if body[j : j + 100] in seen:
+                mark[j : j + 100] = True
+            seen.add(body[j : j + 100])
+        want[i] = int(mark.sum())
+    got = repeated_bytes.remove_repeats(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r.doc_id: r.n_removed for r in got} == want
+    assert sum(n > 0 for n in want.values()) > 30 and any(n == 100 for n in want.values())
+
+
 def test_interval_tree():
     words = sorted([b"banana", b"bandana", b"ban", b"bat", b"cat", b"ban"])
     common_prefix = [repeated_bytes._common(a, b) for a, b in itertools.pairwise(words)]
