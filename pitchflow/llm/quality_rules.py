@@ -5,11 +5,10 @@ below. Failing lines go; a document whose lost lines held more than
 ``MAX_LOST`` of its word characters is rejected. Before that two plain rules on
 the document apply: too few words, too many words in repeated 3-word windows.
 
-With ``Limits(ends=True)`` lines are judged by their ends too: a line of
-``short_words`` words or more must end with a terminal mark, and so must one of
-``run`` shorter ones in a row, since unended short lines are headings next to
-prose but a menu among themselves. It is off by default: the SQL registered for
-the query states the result without it.
+With ``Limits(ends=True)``, as in the query, lines are judged by their ends too:
+a line of ``short_words`` words or more must end with a terminal mark, and of
+shorter ones no ``run`` or more in a row may go without, since unended short
+lines are headings next to prose but a menu among themselves.
 
 A word is a run of characters other than space, tab, line feed, vertical tab,
 form feed and carriage return. Null texts have no words and fail. Rows are
@@ -20,6 +19,7 @@ is held alone, so memory is bounded by the longest one. Extra columns stay.
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -41,6 +41,9 @@ BOILERPLATE = (
     "all rights reserved", "privacy policy", "terms of use", "terms of service", "cookie policy", "use cookies", "enable javascript",
     "subscribe to our newsletter", "click here", "sign up now", "log in to", "skip to content", "back to top", "powered by",
     "share on facebook", "share on twitter", "lorem ipsum",
+    "alle rechte vorbehalten", "datenschutzerklärung", "nutzungsbedingungen", "verwendet cookies", "zum newsletter anmelden", "nach oben",
+    "tous droits réservés", "politique de confidentialité", "mentions légales", "utilise des cookies", "haut de page",
+    "todos los derechos reservados", "política de privacidad", "aviso legal", "utiliza cookies", "volver arriba",
 )
 _SHOUT = re.compile(r"[!?]{2,}")
 
@@ -101,7 +104,8 @@ def line_fault(line: str, words: list[bytes], limits: Limits = Limits()) -> str
     if sum(map(line.count, SYMBOLS)) > limits.symbols * len(line):
         return "symbols"
     letters = len(line) - line.count(" ")
-    if n >= 4 and sum(map(str.isupper, line)) > limits.upper * letters:
+    # Upper case letters; characters that merely count as such, like Roman numerals, are looked at only where it matters.
+    if n >= 4 and sum(map(str.isupper, line)) > limits.upper * letters and sum(unicodedata.category(c) == "Lu" for c in line) > limits.upper * letters:
         return "upper case"
     return None
 

@@ -38,7 +38,7 @@ def op2_token_store(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op3_line_rules(spark: SparkSession, folder: str) -> DataFrame:
-    return quality_rules.clean_lines(read(spark, folder).select("doc_id", "text"), clean_text=False)
+    return quality_rules.clean_lines(read(spark, folder).select("doc_id", "text"), limits=quality_rules.Limits(ends=True), clean_text=False)
 
 
 @query
@@ -116,8 +116,14 @@ often AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n FROM tri
 repeated AS (
   SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words FROM often, (SELECT unnest([0, 1, 2]) AS k) WHERE n > 1 GROUP BY doc_id),
 lines AS (
-  SELECT doc_id, line, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS w
-  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d) WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+  SELECT doc_id, pos, line, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS w,
+    NOT regexp_matches(line, '[.!?:;"''”’)…。！？][\x20\x09-\x0D]*$') AS unended
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM d)
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+stretches AS (
+  SELECT *, unended AND len(w) < 10 AS short, sum(CASE WHEN unended AND len(w) < 10 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY pos) AS stretch
+  FROM lines),
+runs AS (SELECT *, short AND count(*) FILTER (short) OVER (PARTITION BY doc_id, stretch) >= 3 AS menu FROM stretches),
 judged AS (
   SELECT *, len(w) AS n, strlen(array_to_string(w, '')) AS chars,
     greatest(length(line) - length(replace(line, '|', '')), length(line) - length(replace(line, '»', '')),
@@ -126,9 +132,10 @@ judged AS (
     OR (len(w) <= 40 AND len(list_filter(__PHRASES__, lambda x: contains(lower(line), x))) > 0)
     OR (len(w) >= 4 AND len(regexp_extract_all(line, '[!?]{2,}')) > 0.2::DOUBLE * len(w))
     OR (len(w) > 200 AND NOT regexp_matches(line, '[.!?:;"''”’)…。！？]'))
+    OR (unended AND len(w) >= 10) OR menu
     OR length(regexp_replace(line, '[^#*$%&|<>]', '', 'g')) > 0.1::DOUBLE * length(line)
     OR (len(w) >= 4 AND length(regexp_replace(line, '[^\p{Lu}]', '', 'g')) > 0.6::DOUBLE * length(replace(line, ' ', ''))) AS bad
-  FROM lines),
+  FROM runs),
 sums AS (
   SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines, count(*) FILTER (bad) AS n_bad_lines,
     coalesce(sum(chars) FILTER (bad), 0) AS lost_chars

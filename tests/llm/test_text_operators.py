@@ -9,6 +9,8 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -388,6 +390,38 @@ def test_lines_are_judged_by_their_ends():
     assert got["kept"] == (got["lost"] <= 0.5) and items[3] not in got["clean_text"] and prose_lines[0] in got["clean_text"]
 
 
+def test_pages_without_a_sentence_are_rejected():
+    """Pages of one item a line, of a notice in another language, and of Roman numerals, by the limits of the query."""
+    ends = quality_rules.Limits(ends=True)
+    items = "\n".join(f"Item{i} Page{i} Link{i} Section{i}" for i in range(20))
+    notice = "\n".join(f"Abteilung{i} Nummer{i} Haus{i} Stadt{i}: Alle Rechte vorbehalten." for i in range(20))
+    for page in (items, notice):
+        got = quality_rules.measure(page, ends)
+        assert not got["base_failed"] and got["n_bad_lines"] == 20 and not got["kept"]
+    assert quality_rules.line_fault("Ⅰ Ⅱ Ⅲ Ⅳ.", [b""] * 4) is None and quality_rules.line_fault("AB CD EF GH.", [b""] * 4) == "upper case"
+
+
+@pytest.mark.parametrize("name", ["op3_line_rules", "op7_chosen_path", "op9_line_dedup"])
+def test_queries_equal_their_sql(spark, rows, tmp_path, name):
+    """On the awkward texts above, with menus and fragments among them; ids are unique as in the given tables."""
+    import duckdb
+
+    from pitchflow.llm import queries
+
+    rng = np.random.default_rng(6)
+    own = [t for i, t, _ in rows if i is not None and i < 66]
+    lines = [" ".join(rng.choice(WORDS, int(n))) + str(rng.choice(["", "", ".", "?  ", "”"])) for n in rng.integers(1, 30, 400)]
+    own += ["\n".join(rng.choice([*lines, "", " \t"], int(n))) for n in rng.integers(1, 25, 60)]
+    table = pa.table({"doc_id": pa.array(range(len(own)), pa.int64()), "text": pa.array(own, pa.string())})
+    pq.write_table(table, f"{tmp_path}/documents.parquet")
+    got = queries.QUERIES[name](spark, str(tmp_path))
+    columns = sorted(got.columns)
+    with duckdb.connect() as con:
+        con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet'")
+        want = con.execute(f"SELECT {', '.join(columns)} FROM ({queries.SQL[name]})").fetchall()
+    assert sorted(map(tuple, got.select(columns).collect()), key=repr) == sorted(want, key=repr)
+
+
 # --- 4 fingerprints
 
 
