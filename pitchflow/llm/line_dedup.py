@@ -6,8 +6,10 @@ cuckoo filters, one per shard of the key space, that hold the repeated keys. A
 line is looked up in its shard's filter first; only lines that pass are
 compared with the exact table, so a false positive costs a comparison and
 changes nothing. Filters take insertions and deletions, so documents can be
-added and removed later (:meth:`LineIndex.insert`, :meth:`LineIndex.delete`)
-and only keys whose state changed are touched.
+added and removed later (:meth:`LineIndex.insert`, :meth:`LineIndex.delete`).
+Such a change writes its own reference rows, the counts of its keys, and the
+filters of shards in which a key began or ceased to be repeated, nothing else;
+what was written before is read with it, until :meth:`LineIndex.compacted`.
 
 Every aggregate on keys is partial before it shuffles. A key that stands in a
 third of all documents meets its reference row by salted joins.
@@ -140,22 +142,14 @@ def _build(key: tuple, table: pa.Table) -> pa.Table:
 
 
 def _change(key: tuple, filters: pa.Table, changes: pa.Table) -> pa.Table:
-    """The shard's filter after its changes; anew from all its keys if a change finds no place."""
-    if not filters.num_rows:
-        keys = changes.filter(changes["now"])["hash"].to_numpy().view(np.uint64)
-        held = CuckooFilter.of(keys)
-    else:
-        held = CuckooFilter.unpack(filters["filter"][0].as_py())
-        hashes = changes["hash"].to_numpy().view(np.uint64)
-        was, now = (changes[n].to_numpy(zero_copy_only=False) for n in ("was", "now"))
-        fits = True
-        for h in hashes[was & ~now]:
-            held.remove(int(h))
-        for h in hashes[now & ~was]:
-            fits = fits and held.add(int(h))
-        if not fits:
-            held = CuckooFilter.of(hashes[now])
-    return pa.table({"shard": pa.array([key[0].as_py()], pa.int32()), "filter": pa.array([held.pack()], pa.binary())})
+    """The shard's filter after its changes; null if one finds no place, for the caller to build it anew."""
+    held = CuckooFilter.unpack(filters["filter"][0].as_py()) if filters.num_rows else CuckooFilter(4)
+    hashes, now = changes["hash"].to_numpy().view(np.uint64), changes["now"].to_numpy(zero_copy_only=False)
+    for h in hashes[~now]:
+        held.remove(int(h))
+    fits = all(held.add(int(h)) for h in hashes[now])
+    packed = held.pack() if fits else None
+    return pa.table({"shard": pa.array([key[0].as_py()], pa.int32()), "filter": pa.array([packed], pa.binary())})
 
 
 def _pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -201,30 +195,56 @@ class LineIndex:
     def repeated(self) -> DataFrame:
         return self.counts.where(F.col("n_docs") >= self.min_docs)
 
-    def _next(self, refs: DataFrame) -> LineIndex:
-        refs = stored(refs)
-        counts = stored(_counts(refs))
-        low = F.lit(self.min_docs)
-        old = self.counts.select("key", (F.col("n_docs") >= low).alias("was"))
-        new = counts.select("key", (F.col("n_docs") >= low).alias("now"))
-        both = old.join(new, "key", "full").select(
-            "key", F.coalesce("was", F.lit(False)).alias("was"), F.coalesce("now", F.lit(False)).alias("now")
-        )
-        # Keys that stay repeated go along for the case that a shard has to be built anew.
-        changes = _by_shard(both.where("was OR now"), self.shards).select("shard", "hash", "was", "now")
-        filters = self.filters.groupBy("shard").cogroup(changes.groupBy("shard")).applyInArrow(
-            _change, "shard int, filter binary"
-        )
-        return LineIndex(refs, self.min_docs, self.min_chars, self.shards, counts, stored(filters))
+    def _with(self, refs: DataFrame, changed: DataFrame) -> LineIndex:
+        """The index over ``refs``, with ``changed`` ``(key, n_docs, keeper, before)`` in place of the counts of these keys.
+
+        Written are the changed keys' counts and the filters of shards in which a key began or ceased to be repeated.
+        """
+        changed, low = stored(changed), F.lit(self.min_docs)
+        counts = self.counts.join(changed.select("key"), "key", "left_anti").unionByName(changed.where("n_docs > 0").drop("before"))
+        flips = changed.select("key", (F.col("n_docs") >= low).alias("now"), (F.col("before") >= low).alias("was")).where("now <> was")
+        flips = _by_shard(flips, self.shards).select("shard", "hash", "now")
+        some = flips.select("shard").distinct()
+        # An empty side of a pair of groups is no group of its own here: only shards with changes are touched.
+        here = self.filters.join(some, "shard", "left_semi")
+        tried = stored(here.groupBy("shard").cogroup(flips.groupBy("shard")).applyInArrow(_change, "shard int, filter binary"))
+        full = tried.where("filter IS NULL").select("shard")
+        repeated = _by_shard(counts.where(F.col("n_docs") >= low), self.shards).join(full, "shard", "left_semi")
+        anew = stored(repeated.select("shard", "hash").groupBy("shard").applyInArrow(_build, "shard int, filter binary"))
+        filters = self.filters.join(some, "shard", "left_anti").unionByName(tried.where("filter IS NOT NULL")).unionByName(anew)
+        return LineIndex(refs, self.min_docs, self.min_chars, self.shards, counts, filters)
 
     def insert(self, docs: DataFrame) -> LineIndex:
         """The index with more documents; ids already in it get the new text's lines besides the old ones."""
-        return self._next(self.refs.unionByName(references(docs, self.min_chars)).distinct())
+        new = references(docs, self.min_chars).distinct().join(self.refs, ["key", "doc"], "left_anti")
+        new = stored(new.select("doc", "key"))
+        more = _counts(new).select("key", F.col("n_docs").alias("more"), F.col("keeper").alias("last"))
+        changed = more.join(self.counts, "key", "left").select(
+            "key", (F.coalesce("n_docs", F.lit(0)) + F.col("more")).alias("n_docs"), F.greatest("keeper", "last").alias("keeper"),
+            F.coalesce("n_docs", F.lit(0)).alias("before"),
+        )
+        return self._with(self.refs.select("doc", "key").unionByName(new), changed)
 
     def delete(self, ids: DataFrame) -> LineIndex:
         """The index without the documents whose ids are in the first column of ``ids``."""
-        gone = ids.select(F.col(ids.columns[0]).alias("doc")).distinct()
-        return self._next(self.refs.join(gone, "doc", "left_anti"))
+        gone = stored(ids.select(F.col(ids.columns[0]).cast("long").alias("doc")).where("doc IS NOT NULL").distinct())
+        left = self.refs.join(gone, "doc", "left_anti")
+        fewer = _counts(self.refs.join(gone, "doc", "left_semi")).select("key", F.col("n_docs").alias("fewer"), F.col("keeper").alias("last"))
+        met = stored(fewer.join(self.counts, "key"))
+        # Only a key that lost its keeper needs another one; a frequent key's documents are looked at by salts.
+        orphans = met.where("keeper = last AND n_docs > fewer").select("key", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+        salted = left.withColumn("salt", F.pmod(F.xxhash64("doc"), F.lit(SALTS)).cast("int"))
+        heirs = salted.join(orphans, ["key", "salt"], "left_semi").groupBy("key").agg(F.max("doc").alias("heir"))
+        changed = met.join(heirs, "key", "left").select(
+            "key", (F.col("n_docs") - F.col("fewer")).alias("n_docs"), F.coalesce("heir", "keeper").alias("keeper"), F.col("n_docs").alias("before"),
+        )
+        return self._with(left, changed)
+
+    def compacted(self) -> LineIndex:
+        """The same index with its three tables written anew: after many changes they are read through all of these."""
+        return LineIndex(
+            stored(self.refs), self.min_docs, self.min_chars, self.shards, stored(self.counts), stored(self.filters)
+        )
 
     def dropped(self) -> DataFrame:
         """``(doc, keys)``: the keys whose lines each document loses; only documents that lose some."""

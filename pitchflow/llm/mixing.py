@@ -5,7 +5,10 @@
    shared among the others by weight until nobody is above.
 2. A source's documents stand in a random order (a hash of the id). Passing
    over that order again and again until the target is met gives its stream;
-   the stream is cut into blocks of about ``block_words``.
+   the stream is cut into blocks of about ``block_words``. The last, partial
+   pass first settles its largest documents, those over a 64th of the source
+   (63 at most), by subset sums, then takes the others in order up to what is
+   left, and last the ones that fit into the rest.
 3. The blocks are dealt to output shards by a splitting tree: a node's blocks
    go half to the left, half to the right, and how many of each source go left
    is one multivariate hypergeometric draw, as if the node's blocks had been
@@ -18,7 +21,9 @@ Only DataFrame and SQL functions are used. The tree has one row per node with
 an array over sources. Nothing but counts per (source, bucket) is ever brought
 together: running sums are taken inside hash buckets of a source, so a source
 that holds a third of all rows is spread over ``buckets`` tasks. Every draw is a
-function of the seed and the data: a task that runs again, and a rerun, agree.
+function of the seed and the data: a task that runs again, and a rerun, agree,
+since rows are ordered by hash, id, size and a digest of their columns (maps
+aside); what these leave tied is alike.
 
 Null sources are one source, the last. A null or empty text has size 0 and is
 never taken, nor is anything when all sizes are 0. Repeated rows are rows like
@@ -27,6 +32,7 @@ others. Extra columns pass through.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -37,7 +43,10 @@ from pitchflow.llm.common import WORD, fresh, quoted, stored
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
 SEED = 20
-FILLERS = 3
+#: Turns of filling the rest of a partial pass with one document each, and the steps of sums that its largest documents are told apart by.
+FILLERS, STEPS = 3, 1000
+#: A document of more than this part of its source is one of its largest; there are fewer than 64, a bit of a number for each.
+LARGE = 64
 
 
 def word_count(text: Column) -> Column:
@@ -114,6 +123,30 @@ def split_quotas(quotas: DataFrame, levels: int, seed: int = SEED) -> DataFrame:
     return nodes
 
 
+def _subset(large: str, part: str, size: str) -> str:
+    """SQL for those of ``large`` that a partial pass over ``part`` words takes.
+
+    What they leave is for the other documents, ``size`` less all the large ones;
+    of the sums that leave neither too much nor too little the one nearest to the
+    large documents' share is taken, else the nearest one. Sums are told apart by
+    ``STEPS`` of the part, each kept with its set as the bits of a number.
+    """
+    step = f"greatest(1L, bigint({part} / {STEPS}))"
+    every = f"""aggregate(sequence(0, size({large}) - 1), array(named_struct('s', 0L, 'm', 0L)), (sums, i) -> element_at(transform(
+        array(array_sort(concat(sums, transform(filter(sums, t -> t.s <= {part}),
+            t -> named_struct('s', t.s + {large}[i].size, 'm', t.m | shiftleft(1L, i)))))),
+        z -> filter(z, (t, j) -> j = 0 OR t.s div {step} <> z[j - 1].s div {step})), 1))"""
+    total = f"aggregate({large}, 0L, (s, x) -> s + x.size)"
+    off = f"greatest(0D, t.s - {part}, {part} - ({size} - {total}) - t.s)"
+    best = f"array_min(transform({every}, t -> named_struct('off', {off}, 'far', abs(t.s - {part} * {total} / {size}), 'm', t.m))).m"
+    return f"if(size({large}) = 0, {large}, element_at(transform(array({best}), m -> filter({large}, (x, i) -> (m & shiftleft(1L, i)) <> 0)), 1))"
+
+
+def _among(large: str, at: str) -> str:
+    """SQL for the place of a document that starts at ``at`` when the ``large`` ones are left out."""
+    return f"({at} - aggregate({large}, 0L, (s, x) -> s + if(x.at < {at}, x.size, 0L)))"
+
+
 def mix(
     docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = 1.0, max_epochs: int = MAX_EPOCHS, block_words: int = 50_000,
     levels: int = 4, buckets: int = 256, seed: int = SEED, doc_id: str = "doc_id", source: str = "source", size: Column | None = None,
@@ -121,15 +154,17 @@ def mix(
     """``docs`` with ``size``, ``source_size``, ``target`` and ``draws``: an array of ``(epoch, shard, block)``, one for each time it is taken.
 
     A document's draw belongs to the block in which it starts in its source's
-    stream. A source's taken words miss its target by less than one document,
-    and by far less where sizes are many.
+    stream. A source's taken words miss its target by less than one of its smaller
+    documents, and by far less where sizes are many, unless no choice of
+    documents comes near it.
     """
     words = word_count(F.col("text")) if size is None else size
     names = [quoted(n) for n in docs.columns if n not in ("size", "source_size", "target", "draws")]
-    h, b, at, key, words_of = fresh(docs, "_mix_h", "_mix_b", "_mix_at", "_mix", "_mix_words")
+    h, b, at, key, words_of, tie = fresh(docs, "_mix_h", "_mix_b", "_mix_at", "_mix", "_mix_words", "_mix_t")
     hashed = F.xxhash64(F.lit(seed), F.col(doc_id))
-    wide = docs.withColumn(words_of, words).withColumn(h, hashed).withColumn(b, F.pmod(h, F.lit(buckets)))
-    narrow = stored(wide.selectExpr(f"{quoted(doc_id)} AS _id", f"{quoted(source)} AS source", f"{words_of} AS size", f"{h} AS _h", f"{b} AS _b"))
+    told = [quoted(f.name) for f in docs.schema.fields if not re.search("map<|variant|interval", f.dataType.simpleString())]
+    wide = docs.withColumn(words_of, words).withColumn(h, hashed).withColumn(b, F.pmod(h, F.lit(buckets))).withColumn(tie, F.xxhash64(*told))
+    narrow = stored(wide.selectExpr(f"{quoted(doc_id)} AS _id", f"{quoted(source)} AS source", f"{words_of} AS size", f"{h} AS _h", f"{b} AS _b", f"{tie} AS _t"))
 
     sums = stored(narrow.groupBy("source", "_b").agg(F.sum("size").alias("size")))
     running = "(PARTITION BY source ORDER BY _b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
@@ -150,26 +185,42 @@ def mix(
         same = F.expr(f"{by} <=> {key}_s AND {bucket} = {key}_c")
         return out.join(info, same, "left").withColumn(at, F.col(f"{key}_start") + F.col(at))
 
-    # The part of an epoch that is left over takes the documents that end before it does, and then, ``FILLERS`` times, the largest other
-    # one that still fits; the last time the one that comes nearest.
-    order = stored(placed(narrow, targets, "source", "_b", "_h, _id", "size").where(f"size > 0 AND {key}_part > 0"))
-    fill = order.groupBy("source").agg(
-        F.max(F.expr(f"if({at} + size <= {key}_part, {at} + size, 0L)")).alias("got"), F.max(f"{key}_part").alias("part"),
+    # The part of an epoch that is left over: its largest documents by subset sums, of the others those that end before it does, and
+    # then, ``FILLERS`` times, the largest other one that still fits; the last time the one that comes nearest.
+    order = stored(placed(narrow, targets, "source", "_b", "_h, _id, _t", "size").where(f"size > 0 AND {key}_part > 0"))
+    large = order.where(f"size > {key}_source_size div {LARGE}").groupBy("source").agg(
+        F.array_sort(F.collect_list(F.struct(F.col(at).alias("at"), "size"))).alias("large")
+    )
+    none = "cast(array() AS array<struct<at: bigint, size: bigint>>)"
+    settled = targets.where("part > 0").alias("t").join(large.alias("l"), F.expr("t.source <=> l.source"), "left").selectExpr(
+        "t.source", "part", "source_size", f"coalesce(large, {none}) AS large"
+    ).withColumn("chosen", F.expr(_subset("large", "part", "source_size")))
+    settled = stored(settled.selectExpr(
+        "source", "large", "transform(chosen, x -> x.at) AS chosen", "part - aggregate(chosen, 0L, (s, x) -> s + x.size) AS room",
+    ))
+    others = stored(order.where(f"size <= {key}_source_size div {LARGE}").alias("o").join(
+        settled.alias("s"), F.expr("o.source <=> s.source")
+    ).selectExpr("o.source", "size", "room", at, f"{_among('large', at)} AS _place"))
+    fill = others.groupBy("source").agg(
+        F.max(F.expr("if(_place + size <= room, _place + size, 0L)")).alias("got"), F.max("room").alias("room"),
         F.expr("cast(array() AS array<bigint>)").alias("fillers"),
     )
     for turn in range(FILLERS):
         fill = stored(fill)
-        rest = order.alias("o").join(F.broadcast(fill).alias("w"), F.expr("o.source <=> w.source")).where(
-            f"{at} + size > part AND NOT array_contains(fillers, {at})"
+        rest = others.alias("o").join(fill.alias("w"), F.expr("o.source <=> w.source")).where(
+            f"_place + size > w.room AND NOT array_contains(fillers, {at})"
         )
-        off = "abs(size - (part - got))"
-        fits = f"{off} < part - got" if turn == FILLERS - 1 else "size <= part - got"
+        off = "abs(size - (w.room - got))"
+        fits = f"{off} < w.room - got" if turn == FILLERS - 1 else "size <= w.room - got"
         best = rest.groupBy("o.source").agg(F.min(F.expr(f"if({fits}, struct({off} AS off, {at} AS at, size), NULL)")).alias("f"))
-        fill = fill.alias("w").join(F.broadcast(best).alias("b"), F.expr("w.source <=> b.source"), "left").selectExpr(
-            "w.source", "got + coalesce(f.size, 0L) AS got", "part", "if(f IS NULL, fillers, concat(fillers, array(f.at))) AS fillers"
+        fill = fill.alias("w").join(best.alias("b"), F.expr("w.source <=> b.source"), "left").selectExpr(
+            "w.source", "got + coalesce(f.size, 0L) AS got", "room", "if(f IS NULL, fillers, concat(fillers, array(f.at))) AS fillers"
         )
-    filled = targets.alias("t").join(F.broadcast(fill).alias("f"), F.expr("t.source <=> f.source"), "left")
-    filled = filled.selectExpr("t.*", "coalesce(f.fillers, cast(array() AS array<bigint>)) AS fillers")
+    fill = settled.alias("s").join(fill.alias("w"), F.expr("s.source <=> w.source"), "left").selectExpr(
+        "s.source", "large", "s.room", "concat(chosen, coalesce(fillers, cast(array() AS array<bigint>))) AS fillers"
+    )
+    filled = targets.alias("t").join(fill.alias("f"), F.expr("t.source <=> f.source"), "left")
+    filled = filled.selectExpr("t.*", "coalesce(f.fillers, cast(array() AS array<bigint>)) AS fillers", f"coalesce(large, {none}) AS large", "room")
 
     ordered = F.array_sort(F.collect_list(F.struct(F.col("source").isNull().alias("last"), "source", "quota")))
     quotas = targets.agg(ordered.alias("s")).selectExpr("transform(s, x -> x.quota) AS quotas", "transform(s, x -> x.source) AS sources")
@@ -181,8 +232,9 @@ def mix(
     )
     plan = stored(filled.alias("t").join(F.broadcast(ends).alias("e"), F.expr("t.source <=> e.source"), "left").selectExpr("t.*", "e.ends"))
 
-    joined = placed(wide, plan, quoted(source), b, f"{h}, {quoted(doc_id)}", words_of)
-    more = f"{key}_part > 0 AND ({at} + {words_of} <= {key}_part OR array_contains({key}_fillers, {at}))"
+    joined = placed(wide, plan, quoted(source), b, f"{h}, {quoted(doc_id)}, {tie}", words_of)
+    early = f"{words_of} <= {key}_source_size div {LARGE} AND {_among(f'{key}_large', at)} + {words_of} <= {key}_room"
+    more = f"{key}_part > 0 AND ({early} OR array_contains({key}_fillers, {at}))"
     epochs = f"if({words_of} = 0 OR {key}_target <= 0, 0, int({key}_full) + int({more}))"
     block = f"least({key}_quota - 1, bigint(floor((e * {key}_source_size + {at}) / {key}_target * {key}_quota)))"
     # A one-to-one map of block numbers: the factor is a prime beyond any quota.

@@ -613,6 +613,21 @@ def test_mixture(docs):
     assert mixing.mixture(mixed).count() == sum(len(r.draws) for r in got)
 
 
+@pytest.mark.parametrize("seed", [20, 1, 2])
+def test_a_dominant_document_is_no_miss(spark, seed):
+    rows = [(0, "a", 60_000)] + [(i, "a", 500) for i in range(1, 81)] + [(1000 + i, "b", 1000) for i in range(160)]
+    mixed = mixing.mix(spark.createDataFrame(rows, "doc_id long, source string, n long"), size=F.col("n"), seed=seed, levels=1, buckets=8)
+    for r in mixed.groupBy("source").agg(F.max("target").alias("target"), F.sum(F.col("size") * F.size("draws")).alias("taken")).collect():
+        assert abs(r.taken - r.target) <= 0.01 * r.target
+
+
+def test_rows_alike_but_for_their_text_are_drawn_alike_again(spark):
+    rows = [(i // 4, "ab"[i % 2], "w " * (1 + i // 8), f"x{i}") for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string, more string")
+    first, again = (mixing.mix(d, block_words=60, levels=1, buckets=4).collect() for d in (df, df.repartition(7)))
+    assert sorted(map(str, first)) == sorted(map(str, again))
+
+
 # --- 7 join
 
 
@@ -717,6 +732,44 @@ def test_lines_can_be_added_and_taken_back(spark, docs, rows):
     assert result_lines(here.where(~F.col("doc_id").isin(gone)), back) == brute_lines(left, 3)
 
 
+def test_a_change_writes_its_own_keys_only(spark, monkeypatch):
+    written = []
+
+    def counted(df):
+        out = common.stored(df)
+        written.append((sorted(out.columns), out.count()))
+        return out
+
+    line = lambda k: f"line {k} of forty characters and a little more"
+    base = [(i, "\n".join(line(k) for k in range(i % 7, 200 + i % 7))) for i in range(20)]
+    schema = "doc_id long, text string"
+    index = line_dedup.LineIndex.build(spark.createDataFrame(base, schema), shards=8)
+    monkeypatch.setattr(line_dedup, "stored", counted)
+    more = [(100 + i, f"{line(3)}\n{line(1000)}") for i in range(6)]
+    grown = index.insert(spark.createDataFrame(more, schema))
+    rows = [n for names, n in written if "key" in names]
+    assert rows == [12, 2] and max(n for names, n in written if "filter" in names) <= 1
+    got = {tuple(r) for r in grown.compacted().counts.collect()}
+    assert got == {tuple(r) for r in line_dedup.LineIndex.build(spark.createDataFrame(base + more, schema)).counts.collect()}
+    written.clear()
+    back = grown.delete(spark.createDataFrame([(100 + i,) for i in range(6)], "x long"))
+    assert max(n for names, n in written if "key" in names) == 2
+    assert {tuple(r) for r in back.counts.collect()} == {tuple(r) for r in index.counts.collect()}
+    docs = spark.createDataFrame(base + more, schema)
+    for index, rows in ((grown, base + more), (back, base)):
+        assert result_lines(docs.where(F.col("doc_id").isin([i for i, _ in rows])), index) == brute_lines([(*r, None) for r in rows], 5)
+
+
+def test_a_full_filter_is_built_anew(spark):
+    line = lambda k: f"line {k} of forty characters and a little more"
+    schema = "doc_id long, text string"
+    small = [(i, line(0)) for i in range(5)]
+    large = [(10 + i, "\n".join(line(k) for k in range(400))) for i in range(5)]
+    index = line_dedup.LineIndex.build(spark.createDataFrame(small, schema), shards=2).insert(spark.createDataFrame(large, schema))
+    rows = [(*r, None) for r in small + large]
+    assert result_lines(spark.createDataFrame(small + large, schema), index) == brute_lines(rows, 5)
+
+
 def test_cuckoo_filter():
     rng = np.random.default_rng(8)
     keys = rng.integers(0, 2**63, 5000).astype(np.uint64)
