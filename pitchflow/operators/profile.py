@@ -15,6 +15,10 @@ NO_DATA = "No data available for that player. Please try again or display all."
 BAD_CONFIDENCE = "Confidence Level out of range. Please choose a number between 0 and 1"
 
 
+#: Marks the pitches that count where the others are carried along.
+KEPT = "_kept"
+
+
 class NoDataError(ValueError):
     """The chosen player has no rows."""
 
@@ -87,19 +91,38 @@ def share_profile(
     return out
 
 
-def _pitches(pbp: DataFrame, entity: str, entity_id: int, confidence: float, with_count: bool, check: bool) -> DataFrame:
+def profile_of_counts(
+    counts: DataFrame, keys: Sequence[str], flags: Mapping[str, Column], label: str, label_name: str = "label", count_name: str = "rows",
+    label_nulls: str = "skip", rows: str = "_rows",
+) -> DataFrame:
+    """:func:`share_profile` of rows that come counted: ``rows`` says how often each one stands."""
+    weighed = counts.select(
+        *[c(k) for k in keys], c(label).alias("_label"), c(rows).alias("_rows"),
+        *[(flag * c(rows)).alias(f"_f{i}") for i, flag in enumerate(flags.values())],
+    )
+    return weighed.groupBy(*[c(k) for k in keys]).agg(*_shares(flags, F.col("_label"), label_name, count_name, label_nulls))
+
+
+def _pitches(
+    pbp: DataFrame, entity: str, entity_id: int, confidence: float, with_count: bool, check: bool | str, keep: Sequence[str] = (),
+) -> DataFrame:
     if entity not in ("pitcher", "batter"):
         raise ValueError("entity must be 'pitcher' or 'batter'")
     ident = c(f"matchup.{entity}.id")
     if entity_id != 0:
         pbp = pbp.where(ident == entity_id)
-        if check and pbp.isEmpty():
+        if check is True and pbp.isEmpty():
             raise NoDataError(NO_DATA)
     if confidence >= 1 or confidence <= 0:
         raise ValueError(BAD_CONFIDENCE)
     code = c("details.type.code")
-    pbp = pbp.where((c("pitchData.typeConfidence") >= confidence) & (c("type") == "pitch") & code.isNotNull())
+    counts = (c("pitchData.typeConfidence") >= confidence) & (c("type") == "pitch") & code.isNotNull()
+    late = check == "action" and entity_id != 0
+    if not late:
+        pbp = pbp.where(counts)
     columns = [
+        *[c(n) for n in keep],
+        *([F.coalesce(counts, F.lit(False)).alias(KEPT)] if late else []),
         ident.alias(entity),
         c(f"matchup.{entity}.fullName").alias("player"),
         c("count.outs.start").alias("outs"),
@@ -121,20 +144,31 @@ def tendencies(
     confidence: float = 0.5,
     add_count: bool = False,
     add_outs: bool = False,
-    check: bool = False,
+    check: bool | str = False,
     label_nulls: str = "propagate",
     ordered: bool = True,
 ) -> DataFrame:
     """Pitches and pitch-type shares per pitcher or batter.
 
     ``entity_id`` 0 means everyone. ``add_count`` and ``add_outs`` refine the
-    groups by the count before the pitch and by the outs. ``check`` costs a job:
-    it raises ``NoDataError`` when the chosen player has no rows, before the
-    confidence is looked at. A share counts codes of its list over *all* pitches
+    groups by the count before the pitch and by the outs. ``check=True`` costs a
+    job: it raises ``NoDataError`` when the chosen player has no rows, before the
+    confidence is looked at. ``check="action"`` costs none: the job that makes the
+    result fails with that text. A share counts codes of its list over *all* pitches
     with a code, so shares need not add up to one.
     """
     pitches = _pitches(pbp, entity, entity_id, confidence, add_count, check)
     keys = [entity, *(["Count"] if add_count else []), *(["outs"] if add_outs else [])]
+    if KEPT in pitches.columns:
+        # One player's plays, counted per key and pitch type, fit in one row; a count over no rows is a row as well, so the guard always runs.
+        reduced = _reduce(pitches, [KEPT, *keys], bucket_flags("pitch_type"), F.col("player"), ["pitch_type"])
+        listed = reduced.agg(F.collect_list(F.struct("*")).alias("_r"))
+        some = F.when(F.size("_r") > 0, F.col("_r")).otherwise(F.raise_error(F.lit(NO_DATA)))
+        counted = listed.select(F.inline(some)).where(c(KEPT))
+        out = counted.groupBy(*[c(k) for k in keys]).agg(
+            *_shares(bucket_flags("pitch_type"), F.col("player"), "player", "pitches", label_nulls)
+        )
+        return out.orderBy(c("pitches").desc(), *[c(k).asc_nulls_last() for k in keys]) if ordered else out
     return share_profile(
         pitches, keys, bucket_flags("pitch_type"), F.col("player"), "player", "pitches", label_nulls,
         ["pitch_type"], ordered,
@@ -142,12 +176,12 @@ def tendencies(
 
 
 def pitcher_tendencies(pbp: DataFrame, pitcher_id: int = 0, confidence: float = 0.5,
-                       add_count: bool = False, add_outs: bool = False, check: bool = False) -> DataFrame:
+                       add_count: bool = False, add_outs: bool = False, check: bool | str = False) -> DataFrame:
     return tendencies(pbp, "pitcher", pitcher_id, confidence, add_count, add_outs, check)
 
 
 def batter_tendencies(pbp: DataFrame, batter_id: int = 0, confidence: float = 0.5,
-                      add_count: bool = False, add_outs: bool = False, check: bool = False) -> DataFrame:
+                      add_count: bool = False, add_outs: bool = False, check: bool | str = False) -> DataFrame:
     return tendencies(pbp, "batter", batter_id, confidence, add_count, add_outs, check)
 
 
@@ -184,3 +218,24 @@ def tendencies_all_levels(pbp: DataFrame, entity: str, entity_id: int = 0, confi
         pitches, entity, ["Count", "outs"], bucket_flags("pitch_type"), F.col("player"), "player", "pitches",
         label_nulls, ["pitch_type"],
     )
+
+
+#: Columns of :func:`pitch_counts` by which tendencies are kept up to date, for one kind of player.
+COUNT_KEYS = {"game_pk": "BIGINT", "{entity}": "BIGINT", "player": "STRING", "outs": "INT", "pitch_type": "STRING", "Count": "STRING"}
+
+
+def count_schema(entity: str) -> dict[str, str]:
+    return {n.format(entity=entity): kind for n, kind in COUNT_KEYS.items()}
+
+
+def countable_pitches(pbp: DataFrame, entity: str, confidence: float = 0.5) -> DataFrame:
+    """The pitches that tendencies count, a row each, with the columns of :func:`count_schema`."""
+    return _pitches(pbp, entity, 0, confidence, True, False, ("game_pk",)).select(*[c(n) for n in count_schema(entity)])
+
+
+def tendencies_of_counts(
+    counts: DataFrame, entity: str, add_count: bool = False, add_outs: bool = False, label_nulls: str = "propagate",
+) -> DataFrame:
+    """:func:`tendencies` of everyone from counted pitches, unordered."""
+    keys = [entity, *(["Count"] if add_count else []), *(["outs"] if add_outs else [])]
+    return profile_of_counts(counts, keys, bucket_flags("pitch_type"), "player", "player", "pitches", label_nulls)

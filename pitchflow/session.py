@@ -1,7 +1,11 @@
-"""Session settings used by the tests and the bench."""
+"""Session settings used by the tests and the bench, and the folder that a session shares."""
 
 from __future__ import annotations
 
+import re
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -18,3 +22,17 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
     )
+
+
+def work_folder(spark: SparkSession) -> str:
+    """A new name for a folder below ``spark.checkpoint.dir``, which driver and executors share.
+
+    A session in one process that names none gets a temporary folder; any other is refused.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.conf.get("spark.master", "")):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="pitchflow-")
+        spark.conf.set("spark.checkpoint.dir", base)
+    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"

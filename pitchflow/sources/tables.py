@@ -164,6 +164,39 @@ def read_pbp(spark: SparkSession, path: str, extra: Mapping[str, str] = {}) -> D
     return spark.read.schema(ddl(schemas.PBP | dict(extra))).parquet(path)
 
 
+def write_by_game(df: DataFrame, name: str, path: str, buckets: int = 200) -> None:
+    """The season table as ``name`` in the session's catalog, in buckets by game, each in the order of the game's events.
+
+    What works within a game (fills, flags, joins by game) then needs no shuffle of
+    ``spark.table(name)``. One task writes one bucket; there should be so many that a
+    bucket is a few hundred MB. The catalog only knows the place: the files are
+    plain Parquet at ``path``.
+    """
+    (
+        df.repartition(buckets, "game_pk")
+        .write.mode("overwrite")
+        .bucketBy(buckets, "game_pk")
+        .sortBy("game_pk", "event_pos")
+        .option("path", path)
+        .saveAsTable(name)
+    )
+
+
+def write_clustered(df: DataFrame, path: str, by: Sequence[str], bloom: Sequence[str] = (), distinct: int = 100_000, files: int | None = None) -> None:
+    """Parquet whose files hold ranges of ``by``, so that a search by the first of them skips almost all files, and a Bloom filter in
+    every row group for each column of ``bloom``, by which no order goes.
+
+    Name a second column in ``by`` (a date): then rows of one frequent key are spread over files as well. ``distinct``
+    is the number of values that a row group's filter is made for.
+    """
+    cols = [c(n) for n in by]
+    ranged = df.repartitionByRange(files, *cols) if files else df.repartitionByRange(*cols)
+    out = ranged.sortWithinPartitions(*cols).write.mode("overwrite")
+    for n in bloom:
+        out = out.option(f"parquet.bloom.filter.enabled#{n}", "true").option(f"parquet.bloom.filter.expected.ndv#{n}", str(distinct))
+    out.parquet(path)
+
+
 #: A sample of up to so many rows is one file.
 ONE_FILE = 100_000
 

@@ -209,3 +209,21 @@ def test_streamed_folder_equals_batch(spark, tmp_path):
     assert got.count() == sum(len(expected(game(pk))) for pk in (1, 2, 3))
     assert got.select("batch").distinct().count() == 2
     assert spark.read.parquet(errors).count() == 2
+
+
+def test_streamed_counts_follow_a_game_that_lands_again(spark, tmp_path):
+    from pitchflow.operators.kept import CountLog
+    from pitchflow.operators.profile import count_schema, pitcher_tendencies, tendencies_of_counts
+    from pitchflow.streaming.landing import follow_feeds
+
+    landing, table, state, errors = (str(tmp_path / n) for n in ("landing", "table", "state", "errors"))
+    (tmp_path / "landing").mkdir()
+    log = CountLog(spark, str(tmp_path / "counts"), count_schema("pitcher"), "game_pk")
+    for run, docs in enumerate(([game(1), game(2)], [game(2, seed=5), game(3)])):
+        (tmp_path / "landing" / f"{run}.jsonl").write_text("\n".join(lines(docs)))
+        follow_feeds(spark, landing, table, state, errors, counts={"pitcher": log}).awaitTermination()
+    first, second = (read_pbp(spark, f"{table}/batch={n}") for n in (0, 1))
+    latest = first.where("game_pk <> 2").unionByName(second)
+    want = pitcher_tendencies(latest, add_count=True).collect()
+    got = tendencies_of_counts(log.counts(), "pitcher", add_count=True).collect()
+    assert sorted(map(str, got)) == sorted(map(str, want)) and want
