@@ -74,6 +74,12 @@ class ChunkEncoder:
         self.lengths = np.array([len(b) for b in base.token_bytes()])
         self.encoded = self.reused = 0
 
+    def forget(self) -> None:
+        """Empties the tables of known chunks and pieces."""
+        self.known.clear()
+        self.size = 0
+        self.base.forget()
+
     def _chunk(self, chunk: bytes) -> tuple:
         """The chunk's text, ids, and the cuts of its text with their places in the ids: the first two and the last two."""
         got = self.known.get(chunk)
@@ -149,8 +155,14 @@ _KINDS = {
 }
 
 
-def transcode(docs: DataFrame, outputs: Sequence[str] = ("n_tokens", "ids", "decoded"), text: str = "text", path: str | None = None, keep_text: bool = False) -> DataFrame:
-    """``docs`` with the chosen ``outputs``: ids of every whole text, their number, the text decoded from them, and digests of both."""
+def transcode(
+    docs: DataFrame, outputs: Sequence[str] = ("n_tokens", "ids", "decoded"), text: str = "text", path: str | None = None, keep_text: bool = False,
+    release: bool = False,
+) -> DataFrame:
+    """``docs`` with the chosen ``outputs``: ids of every whole text, their number, the text decoded from them, and digests of both.
+
+    ``release`` empties a worker's tables at the end of each task: what comes after in the same workers has their memory.
+    """
     path = path or default_path()
     passed = [n for n in docs.columns if n not in outputs and (keep_text or n != text)]
     schema = T.StructType([*[docs.schema[n] for n in passed], *[T.StructField(n, _KINDS[n][0]) for n in outputs]])
@@ -176,5 +188,7 @@ def transcode(docs: DataFrame, outputs: Sequence[str] = ("n_tokens", "ids", "dec
                     yield pa.RecordBatch.from_arrays([*(x.slice(first, row - first) for x in batch.columns[: len(passed)]), *arrays], names=[*passed, *outputs])
                     columns = {n: [] for n in outputs}
                     first, held = row, 0
+        if release:
+            own.forget()
 
     return docs.select(*[F.col(quoted(n)) for n in passed], F.col(quoted(text)).alias(fresh(docs, "_body")[0])).mapInArrow(coded, schema)

@@ -46,6 +46,10 @@ class Encoder:
         self._model = self.library.model.tokenize
         self._bytes: list[bytes] | None = None
 
+    def forget(self) -> None:
+        """Empties the tables of known pieces."""
+        self._pieces, self._others, self._missed = {}, {}, 0
+
     def _whole(self, texts: Sequence[str]) -> list[bytes]:
         """Pieces as they stand, by the library."""
         return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(list(texts), add_special_tokens=False)]
