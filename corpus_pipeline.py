@@ -49,7 +49,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Token ids of every document of the mixture, with digests of the ids and of the text decoded from them."""
-    return bpe_chunks.transcode(docs, ("n_tokens", "ids", "ids_sha256", "decoded_sha256"))
+    return bpe_chunks.transcode(docs, ("n_tokens", "ids", "ids_sha256", "decoded_sha256"), release=True)
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
