@@ -10,23 +10,25 @@ then joined. Strings of special tokens split a text as in the library.
 from __future__ import annotations
 
 import re
-from array import array
+from codecs import charmap_decode
 from collections.abc import Sequence
 from functools import lru_cache
 
 import numpy as np
 
-# ``array("I")`` holds 4 bytes, little end first, on every platform Spark runs on; the byte-level alphabet of ASCII letters is ASCII.
 #: Pieces kept by one worker (about 100 bytes each), and the longest piece worth keeping.
 PIECES, PIECE_CHARS = 600_000, 40
 
 #: Words of Latin letters with marks behind them, perhaps over a line end: how the library splits these is certain.
-_LETTERS, _MARKS = "[A-Za-zÀ-ÖØ-öø-ÿŒœ]+", "[.,;:!?]*"
+# Marks are the printable ones of ASCII but the apostrophe, which may begin a piece of its own with the letters behind it.
+_ENDS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")
+_LETTERS, _MARKS = "[A-Za-zÀ-ÖØ-öø-ÿŒœ]+", f"[{re.escape(_ENDS)}]*"
 _SIMPLE = re.compile(f"({_LETTERS})({_MARKS})(?:\n({_LETTERS})({_MARKS}))?")
 _CUT = re.compile(r"(?= \S)")
 #: The byte-level alphabet: bytes that print stand for themselves, the others are numbered from 256 on.
 _PLAIN = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _CHARS = {b: chr(b) for b in _PLAIN} | {b: chr(256 + n) for n, b in enumerate(b for b in range(256) if b not in set(_PLAIN))}
+_ALPHABET = "".join(_CHARS[b] for b in range(256))
 
 
 class Encoder:
@@ -44,6 +46,7 @@ class Encoder:
         self._others: dict[str, bytes] = {}  # by the whole piece
         self._missed = 0
         self._model = self.library.model.tokenize
+        self._packed = [i.to_bytes(4, "little") for i in range(1 + max(self.library.get_vocab(with_added_tokens=True).values(), default=-1))]
         self._bytes: list[bytes] | None = None
 
     def forget(self) -> None:
@@ -56,8 +59,13 @@ class Encoder:
 
     def _word(self, word: str) -> bytes:
         """One word as the library's pre-tokenizer gives it to its model."""
-        text = "Ġ" + word[1:] if word[0] == " " and word.isascii() else word.encode().decode("latin-1").translate(_CHARS)
-        return array("I", [t.id for t in self._model(text)]).tobytes()
+        packed = self._packed
+        return b"".join([packed[t.id] for t in self._model(charmap_decode(word.encode(), "strict", _ALPHABET)[0])])
+
+    def _letters(self, word: str) -> bytes:
+        """A word of ASCII letters with a space before it; the byte-level alphabet writes such letters as they are."""
+        packed = self._packed
+        return b"".join([packed[t.id] for t in self._model("Ġ" + word)])
 
     def _other(self, piece: str) -> bytes:
         got = self._others.get(piece)
@@ -77,10 +85,11 @@ class Encoder:
 
     def _new(self, piece: str) -> bytes:
         """A piece, written without its space, that isn't known yet."""
-        word = piece.rstrip(".,;:!?")
+        word = piece.rstrip(_ENDS)
         if word.isascii() and word.isalpha():
-            out = self._pieces.get(word) or self._word(" " + word)
-            return out + self._mark(piece[len(word) :]) if len(word) < len(piece) else out
+            if len(word) == len(piece):
+                return self._letters(word)
+            return (self._pieces.get(word) or self._letters(word)) + self._mark(piece[len(word) :])
         simple = _SIMPLE.fullmatch(piece)
         if simple is None:
             return self._whole([" " + piece])[0]
@@ -105,20 +114,27 @@ class Encoder:
         head, *pieces = text.split(" ")
         known = self._pieces
         got = list(map(known.get, pieces))
-        if None in got:
-            new = {p for p, ids in zip(pieces, got, strict=True) if ids is None}
-            if any(not p or p[0].isspace() for p in new):
-                return b"".join(map(self._other, _CUT.split(text)))
-            found = {p: self._new(p) for p in new}
+        found: dict[str, bytes] = {}
+        at = -1
+        # Only the places of unknown pieces are gone through.
+        for _ in range(got.count(None)):
+            at = got.index(None, at + 1)
+            piece = pieces[at]
+            ids = found.get(piece)
+            if ids is None:
+                if not piece or piece[0].isspace():
+                    return b"".join(map(self._other, _CUT.split(text)))
+                ids = found[piece] = self._new(piece)
+            got[at] = ids
+        if found:
             if len(known) < PIECES:
-                known.update((p, ids) for p, ids in found.items() if len(p) <= PIECE_CHARS)
+                known.update(found if max(map(len, found)) <= PIECE_CHARS else {p: ids for p, ids in found.items() if len(p) <= PIECE_CHARS})
             else:
                 # The texts may have changed since the table filled up: it starts anew after as many misses as it has places.
                 self._missed += len(found)
                 if self._missed > PIECES:
                     known.clear()
                     self._missed = 0
-            got = [found[p] if ids is None else ids for p, ids in zip(pieces, got, strict=True)]
         return (self._other(head) if head else b"") + b"".join(got)
 
     def token_bytes(self) -> list[bytes]:

@@ -298,6 +298,17 @@ def test_encoder_is_the_library(library):
         assert own.decode(own.encode(text)) == library.decode(ids, skip_special_tokens=False)
 
 
+def test_marks_behind_words_need_no_call_of_the_library(library, monkeypatch):
+    own = tokens.Encoder(tokens.default_path())
+    whole = []
+    monkeypatch.setattr(own, "_whole", lambda texts, f=own._whole: whole.extend(texts) or f(texts))
+    words = ["the", "Straße", "père", "zzqx"]
+    ends = ["$$$", "%%", "***", "#", "|<>", ").", "-", '"', "_", "@\nnext]"]
+    text = "start " + " ".join(w + e for w in words for e in ends) + " it's 3rd"
+    assert np.frombuffer(own.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    assert whole == [" it's", " 3rd", "start"]
+
+
 def test_chunks_are_cut_by_content():
     rng = np.random.default_rng(4)
     shared = prose(rng, 3000).encode()
