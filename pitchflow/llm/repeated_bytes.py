@@ -23,7 +23,9 @@ out so that no task sees more than it must:
 An anchor with more than ``HOT`` occurrences isn't sorted in one task: every
 string around it is hashed and its first occurrence found by a partial
 aggregate, with the same result. Whole copies of a document need no comparison.
-One plan shuffles the texts once and uses that twice.
+One plan shuffles the texts once and uses that twice. The contexts of frequent
+anchors come from another scan of the texts, which knows these few anchors: the
+texts are not shuffled for them.
 
 Null texts are empty. Texts shorter than ``length`` bytes lose nothing. Null ids
 stand before all others. Rows that repeat an id count as documents in the order
@@ -200,13 +202,7 @@ def covered(numbered: DataFrame, length: int = LENGTH, hot: int = HOT, k: int =
     """``(doc, nth, ranges)``: the covered ranges of bytes of each document that has some, as an array of ``(a, b)``."""
     near, far = length - k, length
 
-    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(ids, nths, texts):
-            text, at, hashes, before, after = anchors(texts, length, k)
-            place = at + (np.array(nths, np.int64)[text] << _BITS) if len(at) else at
-            sides = {n: pa.array(x.data, mask=np.ma.getmaskarray(x)) for n, x in (("before", before), ("after", after))}
-            return pa.record_batch({"hash": pa.array(hashes), "doc": pa.array(np.array(ids, np.int64)[text] if len(at) else at), "at": pa.array(place)} | sides)
-
+    def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list, list[bytes]]]:
         for batch in batches:
             ids, nths, texts, total = [], [], [], 0
             for doc, nth, value in zip(batch["doc"].to_pylist(), batch["nth"].to_pylist(), batch["text"], strict=True):
@@ -215,10 +211,17 @@ def covered(numbered: DataFrame, length: int = LENGTH, hot: int = HOT, k: int =
                 texts.append(value.as_py().encode())
                 total += len(texts[-1])
                 if total >= SLICE:
-                    yield out(ids, nths, texts)
+                    yield ids, nths, texts
                     ids, nths, texts, total = [], [], [], 0
             if texts:
-                yield out(ids, nths, texts)
+                yield ids, nths, texts
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, nths, texts in sliced(batches):
+            text, at, hashes, before, after = anchors(texts, length, k)
+            place = at + (np.array(nths, np.int64)[text] << _BITS) if len(at) else at
+            sides = {n: pa.array(x.data, mask=np.ma.getmaskarray(x)) for n, x in (("before", before), ("after", after))}
+            yield pa.record_batch({"hash": pa.array(hashes), "doc": pa.array(np.array(ids, np.int64)[text] if len(at) else at), "at": pa.array(place)} | sides)
 
     # All copies of a text but the first are covered as a whole.
     same = stored(numbered.select("doc", "nth", digest(F.col("text")).alias("key"), F.octet_length("text").alias("size")).distinct())
@@ -236,26 +239,53 @@ def covered(numbered: DataFrame, length: int = LENGTH, hot: int = HOT, k: int =
     ).where("b > 1 OR a > 1")
     met = stored(beside.selectExpr("hash", "doc", "at", "count(1) OVER (PARTITION BY hash) AS n"))
 
+    kinds = {"hash": pa.int64(), "doc": pa.int64(), "nth": pa.int32(), "at": pa.int64(), "left": pa.binary(), "right": pa.binary()}
+    schema = "hash long, doc long, nth int, at long, left binary, right binary"
+
+    def cut(places: Iterator[tuple[int, int, bytes, Iterator[tuple[int, int]]]]) -> Iterator[pa.RecordBatch]:
+        rows: dict[str, list] = {name: [] for name in kinds}
+        for doc, nth, text, own in places:
+            for h, at in own:
+                for name, x in zip(kinds, (h, doc, nth, at, text[max(0, at - near) : at][::-1], text[at : at + far]), strict=True):
+                    rows[name].append(x)
+            if len(rows["at"]) > 20_000:
+                yield pa.record_batch([pa.array(rows[n], kind) for n, kind in kinds.items()], names=list(kinds))
+                rows = {name: [] for name in kinds}
+        yield pa.record_batch([pa.array(rows[n], kind) for n, kind in kinds.items()], names=list(kinds))
+
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = {"hash": pa.int64(), "doc": pa.int64(), "nth": pa.int32(), "at": pa.int64(), "left": pa.binary(), "right": pa.binary()}
         for batch in batches:
-            rows: dict[str, list] = {name: [] for name in kinds}
-            for doc, nth, value, own in zip(*(batch[n] for n in ("doc", "nth", "text", "places")), strict=True):
-                text, doc, nth, own = value.as_py().encode(), doc.as_py(), nth.as_py(), own.values
-                for h, at in zip(*(own.field(i).to_pylist() for i in range(2)), strict=True):
-                    for name, x in zip(kinds, (h, doc, nth, at, text[max(0, at - near) : at][::-1], text[at : at + far]), strict=True):
-                        rows[name].append(x)
-                if len(rows["at"]) > 20_000:
-                    yield pa.record_batch([pa.array(rows[n], kind) for n, kind in kinds.items()], names=list(kinds))
-                    rows = {name: [] for name in kinds}
-            yield pa.record_batch([pa.array(rows[n], kind) for n, kind in kinds.items()], names=list(kinds))
+            listed = zip(*(batch[n] for n in ("doc", "nth", "text", "places")), strict=True)
+            yield from cut(
+                (doc.as_py(), nth.as_py(), value.as_py().encode(), zip(*(own.values.field(i).to_pylist() for i in range(2)), strict=True))
+                for doc, nth, value, own in listed
+            )
 
     def around(rows: DataFrame) -> DataFrame:
         places = rows.groupBy("doc", F.expr(f"int(at >> {_BITS})").alias("nth")).agg(
             F.collect_list(F.struct("hash", F.expr(f"at & {(1 << _BITS) - 1}").alias("at"))).alias("places")
         ).join(copies.select("doc", "nth"), ["doc", "nth"], "left_anti")
         joined = numbered.join(places, ["doc", "nth"]).select("doc", "nth", "text", "places")
-        return joined.mapInArrow(contexts, "hash long, doc long, nth int, at long, left binary, right binary")
+        return joined.mapInArrow(contexts, schema)
+
+    def around_frequent(rows: DataFrame) -> DataFrame:
+        """As ``around``, by a scan of the texts that keeps what stands around the anchors of ``rows``."""
+        # Each has more than ``hot`` occurrences, so they are few.
+        wanted = np.array(sorted(r.hash for r in rows.select("hash").distinct().collect()), np.int64)
+
+        def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for ids, nths, texts in sliced(batches):
+                text, at, hashes, *_ = anchors(texts, length, k)
+                own = np.isin(hashes, wanted)
+                if own.any():
+                    yield from cut(
+                        (ids[t], nths[t], texts[t], [(h, p)]) for t, p, h in zip(text[own].tolist(), at[own].tolist(), hashes[own].tolist(), strict=True)
+                    )
+
+        places = rows.selectExpr("hash", "doc", f"int(at >> {_BITS}) AS nth", f"at & {(1 << _BITS) - 1} AS at").join(
+            copies.select("doc", "nth"), ["doc", "nth"], "left_anti"
+        )
+        return numbered.mapInArrow(held, schema).join(places, ["hash", "doc", "nth", "at"], "left_semi")
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
@@ -272,15 +302,14 @@ def covered(numbered: DataFrame, length: int = LENGTH, hot: int = HOT, k: int =
         if out:
             yield pa.record_batch([pa.array(x) for x in zip(*out, strict=True)], names=["doc", "nth", "a", "b"])
 
-    schema = "doc long, nth long, a long, b long"
     cold = around(met.where(F.col("n") <= hot))
-    by_tree = cold.repartition("hash").sortWithinPartitions("hash").mapInArrow(compared, schema)
+    by_tree = cold.repartition("hash").sortWithinPartitions("hash").mapInArrow(compared, "doc long, nth long, a long, b long")
     found_ranges = [by_tree, copies.where(f"b >= {length}").selectExpr("doc", "bigint(nth)", "bigint(a)", "bigint(b)")]
 
     frequent = met.where(F.col("n") > hot)
     if not frequent.isEmpty():
         # Of equal contexts all but the first are covered; the others' strings are hashed: l bytes before the anchor, the rest from it.
-        texts = stored(around(frequent).withColumn("c", F.md5(F.concat_ws("-", F.hex("left"), F.hex("right")))))
+        texts = stored(around_frequent(frequent).withColumn("c", F.md5(F.concat_ws("-", F.hex("left"), F.hex("right")))))
         first = texts.groupBy("hash", "c").agg(F.min(F.struct("doc", "nth", "at")).alias("first"))
         marked = texts.join(first, ["hash", "c"])
         again = marked.where(f"struct(doc, nth, at) <> first AND octet_length(left) + octet_length(right) >= {length}")

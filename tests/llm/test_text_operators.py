@@ -544,6 +544,21 @@ def test_repeated_bytes(docs, rows, hot):
     assert sum(r.n_removed for r in got) > 3000
 
 
+def test_frequent_anchors_shuffle_no_texts(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    texts = [prose(rng, 30) + " " + line + " " + prose(rng, 30) for line in [prose(rng, 40), prose(rng, 50)] for _ in range(12)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    plans = []
+    monkeypatch.setattr(repeated_bytes, "stored", lambda df, f=repeated_bytes.stored: plans.append(df._jdf.queryExecution().executedPlan().toString()) or f(df))
+    rows = lambda hot: sorted((r.doc_id, r.n_removed, r.kept_sha256) for r in repeated_bytes.remove_repeats(docs, hot=hot).collect())
+    few = rows(10**6)
+    plans.clear()
+    assert rows(3) == few and sum(n > 100 for _, n, _ in few) >= 20
+    frequent = [p for p in plans if "left" in p]
+    # The texts go from the scan to the Python step, with no exchange between.
+    assert len(frequent) == 1 and re.search(r"MapInArrow(?:(?!Exchange)[^\n]*\n)*?[^\n]*Scan", frequent[0]) and "collect_list" not in frequent[0]
+
+
 def test_short_repeats_show_wherever_they_stand(spark):
     """Strings of just the length and one less, at both ends of texts and inside: the hashes beside an anchor lose none of them."""
     rng = np.random.default_rng(8)
