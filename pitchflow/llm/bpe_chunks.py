@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pitchflow.llm.common import fresh, quoted
+from pitchflow.llm.common import fresh, lean, quoted
 from pitchflow.llm.tokens import Encoder, default_path, encoder
 
 #: Bytes the rolling hash sees, a power of two, and the average length of a chunk, another.
@@ -191,4 +191,4 @@ def transcode(
         if release:
             own.forget()
 
-    return docs.select(*[F.col(quoted(n)) for n in passed], F.col(quoted(text)).alias(fresh(docs, "_body")[0])).mapInArrow(coded, schema)
+    return docs.select(*[F.col(quoted(n)) for n in passed], F.col(quoted(text)).alias(fresh(docs, "_body")[0])).mapInArrow(lean(coded) if release else coded, schema)

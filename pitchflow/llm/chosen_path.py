@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitchflow.llm.common import components, digest, fresh, stored
+from pitchflow.llm.common import components, digest, fresh, lean, stored
 from pitchflow.llm.shingles import likely, linked, minhashes, shingle_hashes, shingle_sets
 
 THRESHOLD = 0.8
@@ -116,7 +116,7 @@ def similarity_join(
                 pa.array(each, pa.int64()),
             ], names=["doc_id", "id", "sketch", "n_items"])
 
-    narrow = stored(rows.mapInArrow(sketched, f"doc_id {docs.schema[doc_id].dataType.simpleString()}, id binary, sketch array<int>, n_items long"))
+    narrow = stored(rows.mapInArrow(lean(sketched), f"doc_id {docs.schema[doc_id].dataType.simpleString()}, id binary, sketch array<int>, n_items long"))
     texts = stored(narrow.groupBy("id").agg(
         F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n_copies"), F.first("sketch").alias("sketch"), F.first("n_items").alias("n_items"),
     ))
@@ -131,7 +131,7 @@ def similarity_join(
     # Only texts that met another one are read again, one document for each.
     candidates = leaves.select("id").distinct().join(texts.select("id", "least"), "id")
     chosen = rows.join(candidates.withColumnRenamed("id", "_id"), F.expr("doc_id <=> least AND id = _id")).select("id", "text").dropDuplicates(["id"])
-    found = stored(linked(leaves, chosen.mapInArrow(sets, "id binary, items binary"), threshold, sizes=texts.select("id", "n_items")))
+    found = stored(linked(leaves, chosen.mapInArrow(lean(sets), "id binary, items binary"), threshold, sizes=texts.select("id", "n_items")))
     links = found.groupBy("id").agg(F.sum("links").alias("n_links"))
     parts = components(found.select("id", "root"), "id", "root")
 

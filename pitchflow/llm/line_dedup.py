@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitchflow.llm.common import digest, fresh, partitions, quoted, stored
+from pitchflow.llm.common import digest, fresh, lean, partitions, quoted, stored
 
 SALTS = 16
 SLOTS = 4
@@ -253,7 +253,7 @@ class LineIndex:
         held = self.filters.select("*", salts)
         rows = lines.unionByName(held, allowMissingColumns=True).repartition("shard", "salt")
         rows = rows.sortWithinPartitions("shard", "salt", F.col("filter").isNull())
-        near = rows.mapInArrow(_pass, "key binary, doc long, salt int")
+        near = rows.mapInArrow(lean(_pass), "key binary, doc long, salt int")
         exact = self.repeated().select("key", "keeper", salts)
         hit = near.join(exact, ["key", "salt"]).where("doc <> keeper")
         return hit.groupBy("doc").agg(F.collect_set("key").alias("keys"))

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pitchflow.llm.common import fresh, quoted
+from pitchflow.llm.common import fresh, lean, quoted
 
 SAMPLE = 3000
 BAG = 64
@@ -198,7 +198,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "d
     rows = docs.select(F.col(doc_id).alias("_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     # Of rows that repeat an id the least text is learned from.
     rows = rows.join(F.broadcast(chosen), "_id").groupBy("_id", "label").agg(F.min("text").alias("text")).select("text", "label")
-    got = rows.mapInArrow(_bags, "bag binary, label int").collect()
+    got = rows.mapInArrow(lean(_bags), "bag binary, label int").collect()
     got.sort(key=lambda r: (r.label, bytes(r.bag)))
     bags = [np.frombuffer(r.bag, np.float16).reshape(-1, FEATURES).astype(np.float32) for r in got]
     return fit_bags(bags, np.array([r.label for r in got]))
@@ -226,5 +226,5 @@ def score(docs: DataFrame, model: Model, text: str = "text", threshold: float =
                 done = pa.array(np.concatenate(scores).astype(float))
                 yield pa.RecordBatch.from_arrays([*batch.columns[: len(passed)], done], names=[*passed, names[0]])
 
-    got = kept.mapInArrow(scored, schema)
+    got = kept.mapInArrow(lean(scored), schema)
     return got.withColumn(names[1], (F.col(quoted(names[0])) >= threshold).cast("int"))

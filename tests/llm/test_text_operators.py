@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import collections
+import ctypes
 import hashlib
 import itertools
 import re
@@ -138,6 +139,25 @@ def test_common_counts():
     assert all(got[i, j] == len(np.intersect1d(sets[i], sets[j])) for i in range(40) for j in range(40))
 
 
+def test_tasks_give_free_memory_back():
+    if not hasattr(ctypes.CDLL(None), "malloc_trim"):
+        pytest.skip("no glibc")
+
+    def held():
+        return next(int(x.split()[1]) for x in open("/proc/self/smaps_rollup") if x.startswith("Pss_Anon")) >> 10
+
+    def task(batches):
+        yield from batches
+        # Much is freed below a little that stays.
+        parts = [bytes(1000 + i % 7) for i in range(120_000)]
+        state["kept"] = parts[::500]
+        state["full"] = held()
+
+    state: dict = {}
+    assert list(common.lean(task)(iter([1, 2]))) == [1, 2]
+    assert held() < state["full"] - 90
+
+
 def test_components(spark):
     rng = np.random.default_rng(5)
     edges = [(int(a), int(b)) for a, b in rng.integers(0, 300, (200, 2))] + [(i, i + 1) for i in range(1000, 1060)] + [(2000, i) for i in range(1900, 2100)]
