@@ -293,6 +293,54 @@ def test_passages_inside_other_text_are_found(spark):
         assert (got[i] == t) if i < 6 else len(t.split()) - len(got[i].split()) >= 40
 
 
+def test_leaves_do_not_meet_by_chance():
+    hashes = np.random.default_rng(3).integers(0, 2**64, 12 * 200_000, np.uint64)
+    leaves = paragraph_dedup._leaves(hashes, np.full(200_000, 12), 3, 1)
+    assert len(np.unique(leaves)) == 600_000
+    pack = paragraph_dedup._packed(leaves[:5000].T.reshape(-1), np.tile(np.arange(1, 5001, dtype=np.uint64), 3))
+    items = np.concatenate([np.frombuffer(x.as_buffer(), paragraph_dedup._ITEM) for x in pack["pack"]])
+    assert pack["bucket"].to_pylist() == sorted(set((leaves[:5000].reshape(-1) >> np.uint64(52)).tolist())) and len(items) == 15_000
+
+
+def test_a_frequent_leaf_is_held_as_two_items():
+    items = np.array([(7, k) for k in range(1, 1000)] + [(8, 5), (8, 5), (9, 6)], paragraph_dedup._ITEM)
+    short, other, rest = paragraph_dedup._met(items)
+    assert len(short) == 1001 and other.sum() == 999 and short[~other].tolist() == [5, 5]
+    assert rest.tolist() == [(7, 1), (7, 999), (8, 5), (8, 5), (9, 6)]
+    again, other, _ = paragraph_dedup._met(np.concatenate([rest, np.array([(9, 6), (7, 7)], paragraph_dedup._ITEM)]))
+    assert sorted(zip(again.tolist(), other.tolist(), strict=True)) == [(1, True), (5, False), (5, False), (6, False), (6, False), (7, True), (999, True)]
+
+
+@pytest.mark.parametrize("block", [3, 400])
+def test_small_blocks_count_every_link(spark, block):
+    rng = np.random.default_rng(12)
+    base = [rng.integers(0, 2**64, 20, np.uint64) for _ in range(40)]
+    sets = [np.unique(np.append(base[i % 40][rng.random(20) < 0.95], rng.integers(0, 2**64, i % 3, np.uint64))) for i in range(160)]
+    leaves = [(int(leaf), i.to_bytes(2, "big")) for i in range(160) for leaf in (i % 40, 100 + i % 20, 200 + i // 4)]
+    pairs = (spark.createDataFrame([(leaf, bytearray(x)) for leaf, x in leaves], "leaf long, id binary").coalesce(1),
+             spark.createDataFrame([(bytearray(i.to_bytes(2, "big")), bytearray(x.tobytes())) for i, x in enumerate(sets)], "id binary, items binary"))
+    batch = pa.table({
+        "leaf": pa.array([0, 1, 1, 1, 2, 2, 3], pa.int64()), "a": pa.array([0] * 7, pa.int32()), "b": pa.array([0] * 7, pa.int32()),
+        "id": pa.array([bytes([k]) for k in range(7)]), "first": pa.array([True] * 7), "leaves": pa.array([[1]] * 7, pa.list_(pa.int64())),
+        "items": pa.array([base[k // 2].tobytes() for k in range(7)]),
+    }).to_batches()[0]
+    found: list = []
+    rest = list(shingles._small_blocks(batch, 0.8, found))
+    assert found == [(b"\2", 1, b"\2"), (b"\3", 1, b"\2"), (b"\4", 0, b"\4"), (b"\5", 0, b"\4")]  # these have met in leaf 1 before
+    assert [x["id"].to_pylist() for x in rest] == [[b"\0"], [b"\6"]]
+    links: collections.Counter = collections.Counter()
+    for r in shingles.linked(*pairs, 0.8, block).collect():
+        links[bytes(r.id)] += r.links
+    where = collections.defaultdict(set)
+    for leaf, x in leaves:
+        where[x].add(leaf)
+    own, want = [set(x.tolist()) for x in sets], collections.Counter()
+    for (i, a), (j, b) in itertools.combinations(enumerate(where), 2):
+        if where[a] & where[b] and 5 * len(own[i] & own[j]) >= 4 * len(own[i] | own[j]):
+            want.update((a, b))
+    assert +links == want and sum(want.values()) > 40
+
+
 # --- 2 token store, 8 chunks
 
 
