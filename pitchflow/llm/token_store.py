@@ -124,7 +124,7 @@ def write(docs: DataFrame, folder: str, path: str | None = None, text: str = "te
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, block, start, own = TaskContext.get().partitionId(), 0, 0, encoder(path)
-        writer, last = BlockWriter(dictionary, width), np.array([end], "<u4").tobytes()
+        writer = BlockWriter(dictionary, width)
 
         def done() -> pa.RecordBatch:
             nonlocal block, start
@@ -136,8 +136,8 @@ def write(docs: DataFrame, folder: str, path: str | None = None, text: str = "te
             return pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row, kinds, strict=True)], names=[x.split()[0] for x in _BLOCKS.split(", ")])
 
         for batch in batches:
-            for doc, value in zip(batch["doc"], batch["text"], strict=True):
-                writer.add(doc.as_py(), np.frombuffer(own.encode(value.as_py()) + last, "<u4"))
+            for doc, ids in zip(batch["doc"].to_pylist(), own.encode_all(batch["text"]), strict=True):
+                writer.add(doc, np.append(ids, np.uint32(end)))
                 if writer.size >= BLOCK:
                     yield done()
         if writer.rows:

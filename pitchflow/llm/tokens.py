@@ -11,13 +11,17 @@ from __future__ import annotations
 
 import re
 from codecs import charmap_decode
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Pieces kept by one worker (about 100 bytes each), and the longest piece worth keeping.
 PIECES, PIECE_CHARS = 600_000, 40
+#: Bytes of texts whose pieces are numbered together.
+TOGETHER = 8 << 20
 
 #: Words of Latin letters with marks behind them, perhaps over a line end: how the library splits these is certain.
 # Marks are the printable ones of ASCII but the apostrophe, which may begin a piece of its own with the letters behind it.
@@ -126,6 +130,11 @@ class Encoder:
                     return b"".join(map(self._other, _CUT.split(text)))
                 ids = found[piece] = self._new(piece)
             got[at] = ids
+        self._keep(found)
+        return (self._other(head) if head else b"") + b"".join(got)
+
+    def _keep(self, found: dict[str, bytes]) -> None:
+        known = self._pieces
         if found:
             if len(known) < PIECES:
                 known.update(found if max(map(len, found)) <= PIECE_CHARS else {p: ids for p, ids in found.items() if len(p) <= PIECE_CHARS})
@@ -135,7 +144,58 @@ class Encoder:
                 if self._missed > PIECES:
                     known.clear()
                     self._missed = 0
-        return (self._other(head) if head else b"") + b"".join(got)
+
+    def encode_all(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """What ``encode`` gives, as integers, for each of many texts. Nulls are empty."""
+        texts = pc.fill_null(texts.cast(pa.string()), "")
+        sizes = np.cumsum(pc.binary_length(texts).to_numpy(), dtype=np.int64)
+        start = 0
+        while start < len(texts):
+            end = max(start + 1, int(np.searchsorted(sizes, (sizes[start - 1] if start else 0) + TOGETHER, "right")))
+            yield from self._together(texts.slice(start, end - start))
+            start = end
+
+    def _together(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """The pieces of all texts are numbered in one pass and only different ones are looked up; ids are gathered by number."""
+        parts = pc.split_pattern(texts, " ")
+        offsets = np.asarray(parts.offsets).astype(np.int64)
+        offsets -= offsets[0]
+        flat = parts.flatten()
+        numbered = flat.dictionary_encode()
+        # No piece holds a space, so one long text can be split into them, which is faster than asking for each.
+        every = pa.ListArray.from_arrays(pa.array([0, len(numbered.dictionary)], pa.int32()), numbered.dictionary)
+        which, pieces = numbered.indices.to_numpy().astype(np.int64), pc.binary_join(every, " ")[0].as_py().split(" ")
+        heads = offsets[:-1]
+        inner = np.ones(len(which), bool)
+        inner[heads] = False
+        used, odd = np.zeros(len(pieces), bool), np.zeros(len(pieces), bool)
+        used[which[inner]] = True
+        got: list[bytes] = [ids or b"" for ids in map(self._pieces.get, pieces)]
+        unknown = np.fromiter(map(len, got), np.int64, len(got)) == 0
+        found: dict[str, bytes] = {}
+        for k in np.flatnonzero(unknown & used).tolist():
+            piece = pieces[k]
+            if not piece or piece[0].isspace():
+                odd[k] = True
+            else:
+                got[k] = found[piece] = self._new(piece)
+        self._keep(found)
+        # Texts with white space after a space, or with special tokens, are cut otherwise.
+        alone = np.zeros(len(texts), bool)
+        alone[np.repeat(np.arange(len(texts)), np.diff(offsets))[inner & odd[which]]] = True
+        for token in self.special:
+            alone |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
+        which[heads] = len(got) + np.arange(len(texts))
+        got += [b"" if one or not head else self._other(head) for head, one in zip(flat.take(pa.array(heads)).to_pylist(), alone.tolist(), strict=True)]
+        lengths = np.fromiter(map(len, got), np.int64, len(got)) // 4
+        pool, first = np.frombuffer(b"".join(got), "<u4"), np.cumsum(lengths) - lengths
+        each = lengths[which]
+        ends = np.cumsum(each)
+        ids = pool[np.repeat(first[which] - (ends - each), each) + np.arange(each.sum())]
+        last = 0
+        for k, (end, one) in enumerate(zip(ends[offsets[1:] - 1].tolist(), alone.tolist(), strict=True)):
+            yield np.frombuffer(self.encode(texts[k].as_py()), "<u4") if one else ids[last:end]
+            last = end
 
     def token_bytes(self) -> list[bytes]:
         """The bytes each id stands for. Byte-level vocabularies write bytes as printable characters."""

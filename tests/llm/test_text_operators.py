@@ -366,6 +366,17 @@ def test_encoder_is_the_library(library):
         assert own.decode(own.encode(text)) == library.decode(ids, skip_special_tokens=False)
 
 
+def test_many_texts_together_are_the_library(library, monkeypatch):
+    rng = np.random.default_rng(7)
+    monkeypatch.setattr(tokens, "TOGETHER", 200)
+    bits = [" ", "  ", "\n", "\t", "a", "b's", " the", " the", "é", "中", "1", "\r", "<|endoftext|>", "🙂", "\x85", " \n", " Word.\nNext", " x"]
+    texts = [None, "", *("".join(rng.choice(bits, rng.integers(0, 14))) for _ in range(800)), " the" * 300]
+    own = tokens.Encoder(tokens.default_path())
+    for part in (pa.array(texts), pa.array(texts).slice(5, 40), pa.array([], pa.string())):
+        got = [x.tolist() for x in own.encode_all(part)]
+        assert got == [library.encode(x or "", add_special_tokens=False).ids for x in part.to_pylist()]
+
+
 def test_marks_behind_words_need_no_call_of_the_library(library, monkeypatch):
     own = tokens.Encoder(tokens.default_path())
     whole = []
