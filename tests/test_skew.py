@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from pitchflow.operators import relational
 from pitchflow.operators.ordered import fill_up
 from pitchflow.operators.relational import left_join_suffixed
 
@@ -62,3 +63,39 @@ def test_split_keys_keep_every_row(spark, hot):
     joined = left_join_suffixed(left, right, [("k", "rk")], scope=["g"], hot_right_rows=hot)
     want = left.alias("l").join(right.alias("r"), F.expr("l.k <=> r.rk AND l.g = r.g"), "left").selectExpr("id", "k", "l.g", "y")
     assert sorted(map(str, joined.select("id", "k", "g", "y").collect())) == sorted(map(str, want.collect()))
+
+
+@pytest.mark.parametrize("cell_rows", [1, 7, 12, 30])
+def test_grid_of_a_split_key_keeps_every_row(spark, monkeypatch, cell_rows):
+    monkeypatch.setattr(relational, "CELL_ROWS", cell_rows)
+    left = spark.range(0, 400).selectExpr("id", "if(id % 7 = 0, NULL, id % 11) AS k", "map('a', id) AS m").unionAll(
+        spark.sql("SELECT 1L, 1L, map('a', 1L) FROM range(20)")
+    )
+    right = spark.range(0, 300).selectExpr("if(id % 4 = 0, NULL, id % 9) AS rk", "id AS y").unionAll(spark.sql("SELECT 1L, 1L FROM range(20)"))
+    joined = left_join_suffixed(left, right, [("k", "rk")], hot_right_rows=1)
+    want = left.alias("l").join(right.alias("r"), F.expr("l.k <=> r.rk"), "left").selectExpr("id", "k", "m", "y")
+    assert sorted(map(str, joined.select("id", "k", "m", "y").collect())) == sorted(map(str, want.collect()))
+
+
+def exploded(plan):
+    """Rows out of each explode of a plan that was run, by its output column."""
+    if plan.nodeName() == "AdaptiveSparkPlan":
+        return exploded(plan.executedPlan())
+    if plan.nodeName().endswith("QueryStage"):
+        return exploded(plan.plan())
+    found = {}
+    if plan.nodeName() == "Generate":
+        text = plan.toString().split("\n")[0]
+        found["left" if "_lpart" in text else "right"] = plan.metrics().apply("numOutputRows").value()
+    for i in range(plan.children().size()):
+        found |= exploded(plan.children().apply(i))
+    return found
+
+
+def test_left_rows_are_not_repeated_for_few_right_rows(spark):
+    # 40 right rows a key fit one part: the 16 cells share the left rows out instead of repeating them.
+    left = spark.range(0, 1000).selectExpr("id", "id % 10 AS k")
+    right = spark.range(0, 400).selectExpr("id % 10 AS rk", "id AS y")
+    execution = left_join_suffixed(left, right, [("k", "rk")], hot_right_rows=1)._jdf.queryExecution()
+    assert execution.toRdd().count() == 40_000
+    assert exploded(execution.executedPlan()) == {"left": 1000, "right": 400 * 16}
