@@ -311,6 +311,77 @@ def test_a_frequent_leaf_is_held_as_two_items():
     assert sorted(zip(again.tolist(), other.tolist(), strict=True)) == [(1, True), (5, False), (5, False), (6, False), (6, False), (7, True), (999, True)]
 
 
+def test_units_are_cut_and_hashed_together():
+    """No digest per unit: texts of a batch are cut, told apart and made into sets at once, also where the cuts come from beside them."""
+    rng = np.random.default_rng(15)
+    kinds = ["a", "bc", "é", "end.", "x y z", " ", "  ", "\t", "\n", "\r\n", "one two three four five six seven eight.", ""]
+    texts = [" ".join(rng.choice(kinds, rng.integers(0, 90))) for _ in range(300)] + ["", "\n", " \n ", "w " * 3000, "x" * 100_000]
+    bodies = [t.encode() for t in texts]
+    split = {"lines": r"\n", "sentences": r"\n|[.!?]+[ \t]+"}
+    for units in ("lines", "sentences", "passages"):
+        told: dict = {}
+        own = paragraph_dedup._cut(bodies, units, 8)
+        for k, text in enumerate(texts):
+            parts = [own.part(u) for u in range(own.first[k], own.first[k + 1])]
+            assert b"".join(parts) == text.encode() and all(parts)
+            if units in split:
+                ends = [0, *(m.end() for m in re.finditer(split[units], text)), len(text)]
+                assert [p.decode() for p in parts] == [text[a:b] for a, b in itertools.pairwise(ends) if b > a]
+            for short, part in zip(own.shorts[own.first[k] : own.first[k + 1]].tolist(), parts, strict=True):
+                words = part.split()
+                assert (short > 0) == (len(words) >= 8) and (not short or told.setdefault(short, words) == words)
+        assert len(set(map(tuple, told.values()))) == len(told) > 20
+        chosen = np.flatnonzero(own.shorts)[::2].tolist()
+        got, want = own.shingles(chosen), shingles.shingle_hashes([own.part(u) for u in chosen])
+        assert all(np.array_equal(a, b) for a, b in zip(got, want, strict=True))
+        sets, sizes = paragraph_dedup._sets(*got)
+        assert all(np.array_equal(a, b) for a, b in zip(np.split(sets, np.cumsum(sizes)[:-1]), shingles.shingle_sets([own.part(u) for u in chosen]), strict=True))
+    again = paragraph_dedup._uncut(bodies, list(paragraph_dedup._cuts_of(bodies, 8)))
+    assert again.body == own.body and all(np.array_equal(a, b) for a, b in zip(again[1:4], own[1:4], strict=True))
+
+
+@pytest.mark.parametrize("often", [1000, 6])
+def test_only_frequent_paragraphs_are_salted(spark, monkeypatch, often):
+    monkeypatch.setattr(paragraph_dedup, "OFTEN", often)
+    rng = np.random.default_rng(9)
+    common, pairs = unlike(rng, 12, 12, 12), [unlike(rng, 12, 12, 12) for _ in range(20)]
+    rows = [(i, "\n".join([common, pairs[i // 2], unlike(rng, 12, 12, 12)])) for i in range(40)]
+    found = paragraph_dedup.paragraph_classes(spark.createDataFrame(rows, "doc long, text string"), units="lines")
+    execution = found._jdf.queryExecution()
+    assert execution.toRdd().count() == 40
+
+    def exploded(plan):
+        if plan.nodeName() == "AdaptiveSparkPlan":
+            return exploded(plan.executedPlan())
+        if plan.nodeName().endswith("QueryStage"):
+            return exploded(plan.plan())
+        own = plan.metrics().apply("numOutputRows").value() if plan.nodeName() == "Generate" else 0
+        return own + sum(exploded(plan.children().apply(i)) for i in range(plan.children().size()))
+
+    # Each class has a row, and the one of 40 documents one for each salt if that is often.
+    assert exploded(execution.executedPlan()) == 20 + (1 if often > 40 else paragraph_dedup.SALTS)
+    assert {r.doc: sorted(p.keeper for p in r.places) for r in found.collect()} == {i: [0, i // 2 * 2] for i in range(40)}
+
+
+def test_blocks_of_many_members_are_compared_together():
+    rng = np.random.default_rng(14)
+    base = rng.integers(0, 2**64, 20, np.uint64)
+    sets = [np.unique(np.append(base[rng.random(20) < 0.93], rng.integers(0, 2**64, k % 3, np.uint64))) for k in range(62)]
+    batch = pa.table({
+        "leaf": pa.array([0] + [1] * 30 + [2] * 30 + [3], pa.int64()), "a": pa.array([0] * 62, pa.int32()), "b": pa.array([0] * 62, pa.int32()),
+        "id": pa.array([bytes([k]) for k in range(62)]), "first": pa.array([True] * 62), "leaves": pa.array([[1]] * 31 + [[2]] * 31, pa.list_(pa.int64())),
+        "items": pa.array([x.tobytes() for x in sets]),
+    }).to_batches()[0]
+    found: list = []
+    assert [x["id"].to_pylist() for x in shingles._small_blocks(batch, 0.8, found)] == [[b"\0"], [bytes([61])]]
+    want: collections.Counter = collections.Counter()
+    for low in (1, 31):
+        for i, j in itertools.combinations(range(low, low + 30), 2):
+            if 5 * len(np.intersect1d(sets[i], sets[j])) >= 4 * len(np.union1d(sets[i], sets[j])):
+                want.update((i, j))
+    assert {x[0]: n for x, n, _ in found} == want and 30 < sum(want.values()) < 2 * 870
+
+
 @pytest.mark.parametrize("block", [3, 400])
 def test_small_blocks_count_every_link(spark, block):
     rng = np.random.default_rng(12)
