@@ -340,6 +340,26 @@ def test_units_are_cut_and_hashed_together():
     assert again.body == own.body and all(np.array_equal(a, b) for a, b in zip(again[1:4], own[1:4], strict=True))
 
 
+def test_a_full_filter_lets_little_more_through(spark):
+    """Two bits of each short: at 16 bits a row under two per cent pass by chance, with one bit it is six."""
+    shorts = np.random.default_rng(21).integers(1, 2**64, 104_000, np.uint64)
+    wanted, others = shorts[:4000], shorts[4000:]
+    marks = paragraph_dedup._marks(spark.createDataFrame([(int(x),) for x in wanted.view(np.int64)], "short long"))
+    assert len(marks) * 8 == 1 << 16 and paragraph_dedup._among(marks, wanted).all()
+    assert paragraph_dedup._among(marks, others).mean() < 0.02
+
+
+def test_components_stop_when_all_hang_on_roots(spark, monkeypatch):
+    """Stars take no round, a path takes some; each component has its least node as the root."""
+    written = []
+    monkeypatch.setattr(common, "stored", lambda df, stored=common.stored: written.append(1) or stored(df))
+    for edges, rounds in (([(0, i) for i in range(1, 30)] + [(40, 41)], 0), ([(i, i + 1) for i in range(30)] + [(40, 41), (41, 42), (42, 40)], None)):
+        written.clear()
+        got = {r.node: r.root for r in common.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+        assert got == {n: 40 if n >= 40 else 0 for e in edges for n in e}
+        assert len(written) == 1 if rounds == 0 else len(written) > 2
+
+
 @pytest.mark.parametrize("often", [1000, 6])
 def test_only_frequent_paragraphs_are_salted(spark, monkeypatch, often):
     monkeypatch.setattr(paragraph_dedup, "OFTEN", often)
